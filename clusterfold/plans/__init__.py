@@ -5,10 +5,10 @@ SQL, such as timings or random samples)."""
 
 from __future__ import annotations
 
-from clusterfold.plans import clustering
+from clusterfold.plans import clustering, regression
 
 QUERIES = {}
 ORACLES = {}
-for _mod in (clustering,):
+for _mod in (clustering, regression):
     QUERIES.update(_mod.QUERIES)
     ORACLES.update(_mod.ORACLES)
