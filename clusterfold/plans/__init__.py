@@ -5,10 +5,10 @@ SQL, such as timings or random samples)."""
 
 from __future__ import annotations
 
-from clusterfold.plans import clustering, regression
+from clusterfold.plans import clustering, preparation, regression
 
 QUERIES = {}
 ORACLES = {}
-for _mod in (clustering, regression):
+for _mod in (preparation, clustering, regression):
     QUERIES.update(_mod.QUERIES)
     ORACLES.update(_mod.ORACLES)
