@@ -1,0 +1,33 @@
+from pyspark.sql import functions as F
+
+from clusterfold.operators import kmeans as km
+from clusterfold.streaming import lines as SL
+
+NAME_LINES = ["Michael, 29", "", "", "Andy, 30", "", "Justin, 19"]
+
+
+def test_running_counters_over_files(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("\n".join(NAME_LINES[:3]) + "\n")
+    (src / "b.txt").write_text("\n".join(NAME_LINES[3:]) + "\n")
+    lines = SL.line_stream(spark, str(src), max_files_per_trigger=1)
+    q = SL.start(SL.counter_stream(lines), "counters_test", output_mode="complete")
+    q.awaitTermination(120)
+    r = spark.table("counters_test").first()
+    assert (r["n_lines"], r["n_blank"], r["n_words"]) == (6, 3, 6)
+
+    qw = SL.start(SL.word_stream(SL.line_stream(spark, str(src))), "words_test")
+    qw.awaitTermination(120)
+    assert spark.table("words_test").count() == 6
+
+
+def test_assign_stream(spark, tmp_path):
+    src = tmp_path / "pts"
+    spark.createDataFrame([(0, [0.0, 0.0]), (1, [5.0, 5.0])], "id bigint, x array<double>") \
+        .write.parquet(str(src))
+    stream = spark.readStream.schema("id bigint, x array<double>").parquet(str(src))
+    q = SL.start(SL.assign_stream(stream, {0: [0.0, 1.0], 1: [5.0, 4.0]}), "assign_test")
+    q.awaitTermination(120)
+    got = {r["id"]: r["j"] for r in spark.table("assign_test").collect()}
+    assert got == {0: 0, 1: 1}
