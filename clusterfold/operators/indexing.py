@@ -29,7 +29,17 @@ def row_index(
     df: DataFrame, order_cols: list[str], name: str = "idx", partitions: int | None = None,
     check_unique: bool = False,
 ) -> DataFrame:
-    """Add a 0-based index in the order of ``order_cols`` (a unique key).
+    """See ``row_index_counted``; returns the indexed frame only."""
+    return row_index_counted(df, order_cols, name, partitions, check_unique)[0]
+
+
+def row_index_counted(
+    df: DataFrame, order_cols: list[str], name: str = "idx", partitions: int | None = None,
+    check_unique: bool = False,
+) -> tuple[DataFrame, int]:
+    """Add a 0-based index in the order of ``order_cols`` (a unique key);
+    also returns the row count.  The result keeps the range partitioning
+    on ``order_cols``: every partition holds one contiguous index range.
 
     ``check_unique`` adds one aggregate job that verifies the key is
     unique (a repeated key would make the index order arbitrary)."""
@@ -60,7 +70,7 @@ def row_index(
         .withColumn(name, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(mask)))
         .drop("_pid", "_off", "_mid")
     )
-    return out
+    return out, acc
 
 
 def prefix(x: Column | str, n: int) -> Column:

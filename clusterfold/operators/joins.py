@@ -51,12 +51,18 @@ def broadcast_size_ok(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, on: list[str] | str, strict: bool = True,
     max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
-    check_unique: bool = True,
+    check_unique: bool | None = None,
 ) -> DataFrame:
     """``facts`` enriched with ``lookup`` columns; a fact key absent from
-    the lookup raises (``strict``) or drops the row (inner join)."""
+    the lookup raises (``strict``) or drops the row (inner join).
+
+    ``check_unique``: verify the lookup keys are unique (one aggregate over
+    the lookup).  Default: only when the lookup is within the broadcast
+    bound, i.e. when the check itself is bounded."""
     keys = [on] if isinstance(on, str) else list(on)
     fits, _, _ = broadcast_size_ok(lookup, max_rows, max_bytes)
+    if check_unique is None:
+        check_unique = fits
     if check_unique:
         dup = lookup.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
         if dup:

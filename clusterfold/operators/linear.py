@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterfold.functions.vectors import dot_const, require_length
-from clusterfold.operators.indexing import row_index
+from clusterfold.operators.indexing import row_index_counted
 
 # Fixed value: rows per block in the pairwise matrix product (memory cap
 # of a block: rows * (d+1)^2 doubles).
@@ -167,19 +167,25 @@ def _chunk_schema(df: DataFrame, keys: list[str], ord_col: str) -> T.StructType:
 
 def affine_chunks(
     df: DataFrame, keys: list[str], ord_col: str, coef: float | str,
-    partitions: int | None = None,
+    partitions: int | None = None, ordered_input: bool = False,
 ) -> DataFrame:
     """Phase 1 of the fold: one composed map per (partition, key run).
 
     ``coef`` is the SGD factor c of ``w <- w - c (w.x - y) x``: a number or
     the name of a per-row column.  Output: ``keys, _first (first ord), _n,
-    _m (flattened (d+1)x(d+1) matrix)``."""
+    _m (flattened (d+1)x(d+1) matrix)``.
+
+    ``ordered_input``: ``df`` is already partitioned so that every partition
+    holds a contiguous range of the (keys, ord) order (e.g. the output of
+    ``row_index``); then only the local sort runs, no new exchange."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cexpr = F.col(coef).cast("double") if isinstance(coef, str) else F.lit(float(coef))
     src = df.select(*keys, ord_col, F.col("x").cast("array<double>").alias("x"),
                     F.col("y").cast("double").alias("y"), cexpr.alias("_c"))
-    parted = src.repartitionByRange(n, *keys, ord_col).sortWithinPartitions(*keys, ord_col)
+    if not ordered_input:
+        src = src.repartitionByRange(n, *keys, ord_col)
+    parted = src.sortWithinPartitions(*keys, ord_col)
     schema = _chunk_schema(df, keys, ord_col)
 
     def run(batches):
@@ -281,30 +287,22 @@ def chain_chunks(
 
 def sgd_pass(
     train: DataFrame, w0: Sequence[float], step: float, ord_col: str = "ord",
-    by: Sequence[str] = (), partitions: int | None = None,
+    by: Sequence[str] = (), partitions: int | None = None, ordered_input: bool = False,
 ) -> DataFrame:
     """One pass in ``ord_col`` order, ``w <- w - step 2 (w.x - y) x``,
     one model per ``by`` group.  Returns ``by..., pos, w``."""
-    chunks = affine_chunks(train, list(by), ord_col, 2.0 * step, partitions)
+    chunks = affine_chunks(train, list(by), ord_col, 2.0 * step, partitions, ordered_input)
     return chain_chunks(chunks, list(by), None, w0)
 
 
 def with_shards(
-    train: DataFrame, shards: int, ord_col: str = "ord", by: Sequence[str] = (),
-    dense_from_zero: bool = False,
+    train: DataFrame, shards: int, ord_col: str = "ord", partitions: int | None = None,
 ) -> DataFrame:
-    """Shard = floor(idx * P / m) with idx the 0-based rank by ``ord_col``
-    (per ``by`` group): P contiguous, near-equal slices, as ``glom`` gives
-    for data distributed in order."""
-    if by:
-        raise NotImplementedError("per-group shards: use one call per group key set")
-    if dense_from_zero:
-        idx = train.withColumn("_idx", F.col(ord_col).cast("long"))
-        m = train.count()
-    else:
-        idx = row_index(train, [ord_col], "_idx")
-        m = idx.count()
-    return idx.withColumn("shard", F.floor(F.col("_idx") * shards / F.lit(m)).cast("int")).drop("_idx")
+    """Shard = floor(idx * P / m) with idx the 0-based rank by ``ord_col``:
+    P contiguous, near-equal slices, as ``glom`` gives for data distributed
+    in order.  The result stays range-partitioned on ``ord_col``."""
+    idx, m = row_index_counted(train, [ord_col], "_idx", partitions)
+    return idx.withColumn("shard", F.floor(F.col("_idx") * shards / F.lit(max(m, 1))).cast("int")).drop("_idx")
 
 
 def sgd_averaged(
@@ -313,8 +311,9 @@ def sgd_averaged(
 ) -> DataFrame:
     """Every shard runs G4 from w0; the shard weights are averaged with
     equal weight (an empty shard contributes w0).  Returns ``pos, w``."""
-    sharded = with_shards(train, shards, ord_col)
-    per_shard = sgd_pass(sharded, w0, step, ord_col, by=["shard"], partitions=partitions)
+    sharded = with_shards(train, shards, ord_col, partitions)
+    per_shard = sgd_pass(sharded, w0, step, ord_col, by=["shard"], partitions=partitions,
+                         ordered_input=True)
     present = per_shard.groupBy("pos").agg(F.sum("w").alias("sw"), F.count(F.lit(1)).alias("ns"))
     w0s = sharded.sparkSession.createDataFrame(
         [(i, float(v)) for i, v in enumerate(w0)], "pos int, w0 double"
@@ -331,8 +330,9 @@ def sgd_relay(
     """Shards processed in order, each starting from the weights the
     previous one left.  Returns ``shard, pos, w`` (weights after each
     shard; the last shard's row is the model, equal to G4 over all rows)."""
-    sharded = with_shards(train, shards, ord_col)
-    chunks = affine_chunks(sharded, ["shard"], ord_col, 2.0 * step, partitions)
+    sharded = with_shards(train, shards, ord_col, partitions)
+    chunks = affine_chunks(sharded, ["shard"], ord_col, 2.0 * step, partitions,
+                           ordered_input=True)
     return chain_chunks(chunks, [], "shard", w0, trace=True)
 
 
@@ -350,11 +350,11 @@ def sgd_sampled(
     in step order.  Returns ``replica, pos, w``."""
     spark = train.sparkSession
     if idx_col is None:
-        rows = row_index(train, [ord_col], "_idx")
+        rows, m = row_index_counted(train, [ord_col], "_idx", partitions)
         idx_col = "_idx"
     else:
         rows = train
-    m = rows.count()
+        m = rows.count()
     steps = m if steps is None else steps
     draws = spark.range(steps * replicas).select(
         (F.col("id") / steps).cast("int").alias("replica"),

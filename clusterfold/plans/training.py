@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clusterfold.operators.joins import lookup_join
 from clusterfold.sources.tables import table
 
 
@@ -27,12 +28,14 @@ def train_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``x = [c_acctbal / 10000, 1]``, ``y = o_totalprice / 500000`` and the
     group columns ``c_mktsegment``, ``o_orderpriority``.
 
-    The join is left to Catalyst: broadcast while customer is below the
-    broadcast threshold, a sort-merge join on custkey beyond it."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
-                                              "o_orderpriority")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    j = o.join(c, o.o_custkey == c.c_custkey)
+    customer is the lookup side of a size-checked join: broadcast while its
+    measured size is within the bound, a sort-merge join on custkey beyond
+    it (never an estimate-based broadcast)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"),
+                                              "o_totalprice", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"),
+                                                "c_acctbal", "c_mktsegment")
+    j = lookup_join(o, c, "custkey", strict=False)
     return j.select(
         F.col("o_orderkey").alias("ord"),
         "c_mktsegment",
