@@ -36,16 +36,26 @@ def shuffle_join(left: DataFrame, right: DataFrame, on: list[str] | str,
 
 
 def broadcast_size_ok(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[bool, int, int]:
-    """(fits, rows, bytes) measured on at most max_rows + 1 rows: the row
-    count and the serialised (JSON) size of those rows, in one job."""
+                      max_bytes: int = MAX_BROADCAST_BYTES,
+                      keys: list[str] | None = None) -> tuple[bool, int, int, int]:
+    """(fits, rows, bytes, largest key multiplicity) measured in one job on
+    at most max_rows + 1 rows: the row count, the serialised (JSON) size and,
+    if ``keys`` are given, how often the most repeated key occurs (exact
+    whenever the frame fits, since then all its rows were read)."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    r = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*cols)))), F.lit(0)).alias("b"),
+    limited = df.limit(max_rows + 1).select(
+        *[F.col(f"`{k}`") for k in (keys or [])],
+        F.octet_length(F.to_json(F.struct(*cols))).alias("_b"),
+    )
+    per_key = limited.groupBy(*(keys or [])).agg(
+        F.count(F.lit(1)).alias("_c"), F.sum("_b").alias("_b"))
+    r = per_key.agg(
+        F.coalesce(F.sum("_c"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("_b"), F.lit(0)).alias("b"),
+        F.coalesce(F.max("_c"), F.lit(0)).alias("mult"),
     ).first()
-    n, b = int(r["n"]), int(r["b"])
-    return n <= max_rows and b <= max_bytes, n, b
+    n, b, mult = int(r["n"]), int(r["b"]), int(r["mult"])
+    return n <= max_rows and b <= max_bytes, n, b, mult
 
 
 def lookup_join(
@@ -56,14 +66,14 @@ def lookup_join(
     """``facts`` enriched with ``lookup`` columns; a fact key absent from
     the lookup raises (``strict``) or drops the row (inner join).
 
-    ``check_unique``: verify the lookup keys are unique (one aggregate over
-    the lookup).  Default: only when the lookup is within the broadcast
-    bound, i.e. when the check itself is bounded."""
+    The size proof and the key-uniqueness check (a lookup is a map) are one
+    bounded job.  For a lookup beyond the broadcast bound, uniqueness is
+    checked only on request (``check_unique=True``: one aggregate over it)."""
     keys = [on] if isinstance(on, str) else list(on)
-    fits, _, _ = broadcast_size_ok(lookup, max_rows, max_bytes)
-    if check_unique is None:
-        check_unique = fits
-    if check_unique:
+    fits, _, _, mult = broadcast_size_ok(lookup, max_rows, max_bytes, keys)
+    if fits and mult > 1:
+        raise ValueError(f"lookup keys {keys} are not unique ({mult} rows share a key)")
+    if not fits and check_unique:
         dup = lookup.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
         if dup:
             raise ValueError(f"lookup keys {keys} are not unique: {dup[0].asDict()}")

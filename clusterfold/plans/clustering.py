@@ -176,12 +176,22 @@ def q_vec_ops(spark, sf_dir):
 
 
 def q_kmeans_variants(spark, sf_dir):
+    """K10 timing matrix with A7 (total seconds per variant)."""
     pts = embedding_points(spark, sf_dir)
     rows = km.variant_timings(pts, embedding_seeds(pts), max_iter=VARIANT_ITER, eps=EPS)
-    return spark.createDataFrame(
+    t = spark.createDataFrame(
         rows, "variant string, assign string, persist boolean, coalesce int, "
         "iteration int, seconds double"
     )
+    totals = t.groupBy("variant").agg(F.sum("seconds").alias("total_seconds"))
+    return t.join(F.broadcast(totals), "variant")
+
+
+def q_kmeans_fit_sampled(spark, sf_dir):
+    """K1 with sampled seeds (k = number of labels), then the full loop."""
+    pts = embedding_points(spark, sf_dir)
+    res = km.kmeans(pts, init="sample", seed=SAMPLE_SEED, max_iter=MAX_ITER, eps=EPS)
+    return _centroid_rows(spark, res.centroids, res.sizes)
 
 
 QUERIES = {
@@ -205,6 +215,7 @@ QUERIES = {
     "sample_k": q_sample_k,
     "vec_ops": q_vec_ops,
     "kmeans_variants": q_kmeans_variants,
+    "kmeans_fit_sampled": q_kmeans_fit_sampled,
 }
 
 

@@ -61,6 +61,18 @@ def q_sgd_adagrad(spark, sf_dir):
     return out.withColumn("w", r6("w"))
 
 
+def q_sgd_adagrad_textbook(spark, sf_dir):
+    out = lin.sgd_adagrad(train_orders(spark, sf_dir), ZERO, ZERO, ADA_STEP, ADA_EPS,
+                          scale_gradient=False, ord_col="ord", by=GROUPS)
+    return out.withColumn("w", r6("w"))
+
+
+def q_sgd_sampled_rand(spark, sf_dir):
+    out = lin.sgd_sampled(train_orders(spark, sf_dir), ZERO, SAMPLED_STEP, seed=SAMPLED_SEED,
+                          replicas=SAMPLED_REPLICAS, rule="rand", ord_col="ord")
+    return out.withColumn("w", r6("w"))
+
+
 def q_sgd_sampled(spark, sf_dir):
     out = lin.sgd_sampled(train_orders(spark, sf_dir), ZERO, SAMPLED_STEP, seed=SAMPLED_SEED,
                           replicas=SAMPLED_REPLICAS, rule="arith", ord_col="ord")
@@ -76,6 +88,8 @@ QUERIES = {
     "sgd_relay": q_sgd_relay,
     "sgd_adagrad": q_sgd_adagrad,
     "sgd_sampled": q_sgd_sampled,
+    "sgd_adagrad_textbook": q_sgd_adagrad_textbook,
+    "sgd_sampled_rand": q_sgd_sampled_rand,
 }
 
 
@@ -122,10 +136,11 @@ def _sgd_lambda(c: str) -> str:
             f"'w1': a.w1 - e.x1 * ({c} * {err}), 'x0': {_Z}, 'x1': {_Z}, 'y': {_Z}}}")
 
 
-def _ada_lambda(step: float, eps: float) -> str:
+def _ada_lambda(step: float, eps: float, scale: float | None = None) -> str:
+    scale = step if scale is None else scale
     err = "(a.w0 * e.x0 + a.w1 * e.x1 - e.y)"
-    g0 = f"({step} * 2.0 * {err} * e.x0)"
-    g1 = f"({step} * 2.0 * {err} * e.x1)"
+    g0 = f"({scale} * 2.0 * {err} * e.x0)"
+    g1 = f"({scale} * 2.0 * {err} * e.x1)"
     s0 = f"(a.s0 + {g0} * {g0})"
     s1 = f"(a.s1 + {g1} * {g1})"
     return (f"lambda a, e: {{'w0': a.w0 - {step} / sqrt({eps} + {s0}) * {g0}, "
@@ -199,6 +214,7 @@ ORACLES = {
     "batch_gd_scan": _gd_sql(SCAN_EPOCHS),
     "sgd_pass": _grouped_fold_sql(_sgd_lambda(f"{SGD_STEP} * 2.0"), False),
     "sgd_adagrad": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS), True),
+    "sgd_adagrad_textbook": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS, 1.0), True),
     "sgd_averaged": _AVG_SQL,
     "sgd_relay": _RELAY_SQL,
     "sgd_sampled": _SAMPLED_SQL,
