@@ -254,7 +254,8 @@ def assign_stepwise(points: DataFrame, cents: Centroids, mode: str = "auto") ->
         .agg(F.min(F.struct("d", "j")).alias("_m"))
         .select("id", F.col("_m.j").alias("j"), F.col("_m.d").alias("d"))
     )
-    return points.join(zik, "id")
+    # both sides grow with the data: a shuffled join, never an estimate-based broadcast
+    return points.join(zik.hint("merge"), "id")
 
 
 # ---- cluster sums and one step (A4, K3) ------------------------------------

@@ -367,7 +367,7 @@ def sgd_sampled(
     else:
         raise ValueError(f"unknown rule {rule!r}")
     draws = draws.withColumn(idx_col, pick)
-    joined = draws.join(rows.select(idx_col, "x", "y"), idx_col)
+    joined = draws.join(rows.select(idx_col, "x", "y").hint("merge"), idx_col)
     chunks = affine_chunks(joined, ["replica"], "t", 2.0 * step / m, partitions)
     return chain_chunks(chunks, ["replica"], None, w0)
 

@@ -162,7 +162,7 @@ def q_vec_ops(spark, sf_dir):
     pts = embedding_points(spark, sf_dir)
     a = pts.select(F.col("id").alias("vec_id"), F.col("x").alias("a"))
     b = pts.select((F.col("id") - 1).alias("vec_id"), F.col("x").alias("b"))
-    p = a.join(b, "vec_id").where(V.require_same_length("a", "b"))
+    p = a.join(b.hint("merge"), "vec_id").where(V.require_same_length("a", "b"))
     return p.select(
         "vec_id",
         r6(V.vsum(V.vadd("a", "b"))).alias("sum_add"),
