@@ -85,11 +85,25 @@ def last(x: Column | str, strict: bool = True) -> Column:
     return F.element_at(x, -1) if strict else F.try_element_at(x, F.lit(-1))
 
 
+# Fixed value: multiplier of the reproducible sample order (Knuth's
+# multiplicative hash constant, modulo 2^32).
+HASH_MULT = 2654435761
+
+
+def hash_key(id_col: str, seed: int) -> Column:
+    """pmod(id * 2654435761 + seed, 2^32): a pseudo-random order that any
+    engine can recompute from an integer id."""
+    return F.pmod(F.col(id_col).cast("long") * HASH_MULT + F.lit(seed), F.lit(1 << 32))
+
+
 def sample_k(df: DataFrame, k: int, seed: int = 0, order_col: str | None = None) -> DataFrame:
-    """K rows without replacement. ``orderBy(rand).limit(k)`` runs as a
-    per-partition top-k plus a merge of k rows per partition."""
-    key = F.rand(seed) if order_col is None else F.xxhash64(F.col(order_col), F.lit(seed))
-    return df.withColumn("_r", key).orderBy("_r").limit(k).drop("_r")
+    """K rows without replacement. ``orderBy(key).limit(k)`` runs as a
+    per-partition top-k plus a merge of k rows per partition.  The key is
+    ``rand(seed)``, or with ``order_col`` the reproducible ``hash_key``
+    (ties broken by the id)."""
+    if order_col is None:
+        return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(k).drop("_r")
+    return df.withColumn("_r", hash_key(order_col, seed)).orderBy("_r", order_col).limit(k).drop("_r")
 
 
 def head_n(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:

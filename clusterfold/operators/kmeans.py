@@ -78,11 +78,16 @@ def seed_frame(points: DataFrame, k: int, how: str = "first", seed: int = 0) ->
 
     ``first``: the k smallest ids; ``sample``: k rows drawn without
     replacement (``orderBy(rand)`` + ``limit`` runs as a per-partition
-    top-k, never a full sort)."""
+    top-k, never a full sort); ``hash``: the same draw with a reproducible
+    key computed from the id (``indexing.hash_key``)."""
+    from clusterfold.operators.indexing import hash_key
+
     if how == "first":
         order = F.col("id")
     elif how == "sample":
         order = F.rand(seed)
+    elif how == "hash":
+        order = hash_key("id", seed)
     else:
         raise ValueError(f"unknown init {how!r}")
     keyed = points.select("id", "x", order.alias("_o"))

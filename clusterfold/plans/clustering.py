@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clusterfold.functions import vectors as V
 from clusterfold.operators import kmeans as km
+from clusterfold.sources.tables import table
 from clusterfold.plans.common import (
     embedding_points,
     embedding_seeds,
@@ -187,6 +188,23 @@ def q_kmeans_variants(spark, sf_dir):
     return t.join(F.broadcast(totals), "variant")
 
 
+def q_sample_k_hashed(spark, sf_dir):
+    """P7 with a reproducible key: k rows ordered by hash(vec_id, seed)."""
+    from clusterfold.operators.indexing import sample_k
+
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return sample_k(e, SAMPLE_K, SAMPLE_SEED, order_col="vec_id")
+
+
+def q_kmeans_fit_hashed(spark, sf_dir):
+    """K1 + K4 from k seeds drawn by the reproducible hash order."""
+    pts = embedding_points(spark, sf_dir)
+    k = km.k_from_labels(pts)
+    seeds = km.collect_centroids(km.seed_frame(pts, k, "hash", SAMPLE_SEED))
+    res = km.kmeans(pts, init=seeds, max_iter=MAX_ITER, eps=EPS)
+    return _centroid_rows(spark, res.centroids, res.sizes)
+
+
 def q_kmeans_fit_sampled(spark, sf_dir):
     """K1 with sampled seeds (k = number of labels), then the full loop."""
     pts = embedding_points(spark, sf_dir)
@@ -216,6 +234,8 @@ QUERIES = {
     "vec_ops": q_vec_ops,
     "kmeans_variants": q_kmeans_variants,
     "kmeans_fit_sampled": q_kmeans_fit_sampled,
+    "sample_k_hashed": q_sample_k_hashed,
+    "kmeans_fit_hashed": q_kmeans_fit_hashed,
 }
 
 
@@ -256,8 +276,17 @@ def _rows_of(cents: str, with_n: bool = True) -> str:
     )
 
 
-def _fit_sql(max_iter: int, eps: float, final: str) -> str:
-    ctes = [_P, _C0, "s0 AS (SELECT false AS s)"]
+_HASH = f"((vec_id * 2654435761 + {SAMPLE_SEED}) % 4294967296)"
+_C0_HASH = (
+    f"c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY {_HASH}, vec_id) - 1)::INTEGER AS j, "
+    "embedding::DOUBLE[] AS c FROM embeddings "
+    f"QUALIFY row_number() OVER (ORDER BY {_HASH}, vec_id) <= "
+    "(SELECT count(DISTINCT label) FROM embeddings))"
+)
+
+
+def _fit_sql(max_iter: int, eps: float, final: str, seed_cte: str = _C0) -> str:
+    ctes = [_P, seed_cte, "s0 AS (SELECT false AS s)"]
     trace = []
     for i in range(1, max_iter + 1):
         prev = f"c{i - 1}"
@@ -330,6 +359,10 @@ ORACLES = {
     "kmeans_empty_cluster": _one_step_sql(_C0_FAR),
     "centroid_shift": _one_step_sql(_C0, "shift"),
     "kmeans_fit": _fit_sql(MAX_ITER, EPS, "centroids"),
+    "kmeans_fit_hashed": _fit_sql(MAX_ITER, EPS, "centroids", _C0_HASH),
+    "sample_k_hashed": (
+        f"SELECT vec_id, label FROM embeddings ORDER BY {_HASH}, vec_id LIMIT {SAMPLE_K}"
+    ),
     "kmeans_trace": _fit_sql(MAX_ITER, EPS, "trace"),
     "cluster_labels": _fit_sql(MAX_ITER, EPS, "labels"),
     "cross_distances": (
