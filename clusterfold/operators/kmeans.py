@@ -161,13 +161,19 @@ def _matrix(cents: Centroids):
     return np.asarray(js, dtype=np.int32), np.asarray([cents[j] for j in js], dtype=np.float64)
 
 
-def _batch_distances(xs, C):
-    """(n, k) Euclidean distances of a batch of points to the centroids."""
+def _with_coords(points: DataFrame, d: int, keep: list[str]) -> DataFrame:
+    """``keep`` plus the checked vector column ``x`` for the Arrow path.
+    (The array stays one column: splitting 64 coordinates into scalar
+    columns was measured slower, the projection outgrows codegen.)"""
+    return points.where(require_length("x", d, "point")).select(*keep, "x")
+
+
+def _batch_distances(pdf, C):
+    """(X, D): the batch's points (n, d) and their distances (n, k)."""
     import numpy as np
 
+    xs = pdf["x"]
     X = np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, C.shape[1]))
-    if X.shape[1] != C.shape[1]:
-        raise ValueError(f"point length {X.shape[1]} differs from {C.shape[1]}")
     D = np.empty((X.shape[0], C.shape[0]))
     for t in range(C.shape[0]):
         diff = X - C[t]
@@ -194,14 +200,14 @@ def assign(points: DataFrame, cents: Centroids, mode: str = "auto") -> DataFrame
         import pandas as pd
 
         for pdf in batches:
-            _, D = _batch_distances(pdf["x"], C)
+            _, D = _batch_distances(pdf, C)
             best = D.argmin(axis=1)  # first minimum -> lowest j
             out = pdf[keep].copy()
             out["j"] = js[best]
             out["d"] = D[range(len(D)), best] if len(D) else pd.Series([], dtype=float)
             yield out
 
-    return points.select(*keep, "x").mapInPandas(run, _point_schema(points, keep))
+    return _with_coords(points, C.shape[1], keep).mapInPandas(run, _point_schema(points, keep))
 
 
 def _assigned_expr(points: DataFrame, cents: Centroids) -> DataFrame:
@@ -239,7 +245,7 @@ def distance_rows(points: DataFrame, cents: Centroids, mode: str = "auto") -> Da
         import pandas as pd
 
         for pdf in batches:
-            _, D = _batch_distances(pdf["x"], C)
+            _, D = _batch_distances(pdf, C)
             yield pd.DataFrame(
                 {
                     "id": np.repeat(pdf["id"].to_numpy(), len(js)),
@@ -248,7 +254,7 @@ def distance_rows(points: DataFrame, cents: Centroids, mode: str = "auto") -> Da
                 }
             )
 
-    return points.select("id", "x").mapInPandas(run, "id bigint, j int, d double")
+    return _with_coords(points, C.shape[1], ["id"]).mapInPandas(run, "id bigint, j int, d double")
 
 
 def assign_stepwise(points: DataFrame, cents: Centroids, mode: str = "auto") -> DataFrame:
@@ -289,7 +295,7 @@ def _partial_sums_arrow(points: DataFrame, cents: Centroids) -> DataFrame:
         S = np.zeros((k, d))
         N = np.zeros(k, dtype=np.int64)
         for pdf in batches:
-            X, D = _batch_distances(pdf["x"], C)
+            X, D = _batch_distances(pdf, C)
             best = D.argmin(axis=1)
             N += np.bincount(best, minlength=k)
             for t in np.unique(best):
@@ -302,7 +308,7 @@ def _partial_sums_arrow(points: DataFrame, cents: Centroids) -> DataFrame:
             "n": np.repeat(N[seen], d),
         })
 
-    return points.select("x").mapInPandas(run, "j int, pos int, s double, n bigint")
+    return _with_coords(points, d, []).mapInPandas(run, "j int, pos int, s double, n bigint")
 
 
 def cluster_means(assigned: DataFrame) -> DataFrame:

@@ -165,14 +165,35 @@ def _chunk_schema(df: DataFrame, keys: list[str], ord_col: str) -> T.StructType:
     return T.StructType(fields)
 
 
+# Fixed value: up to this feature count the features reach pandas as
+# scalar columns (whole numpy arrays); beyond it as one array column.
+_SCALAR_FEATURES = 16
+
+
+def _coords(d: int) -> list:
+    if d <= _SCALAR_FEATURES:
+        return [F.col("x")[i].cast("double").alias(f"_x{i}") for i in range(d)]
+    return [F.col("x").cast("array<double>").alias("x")]
+
+
+def _features(pdf, d: int):
+    """(n, d) float64 matrix of a batch's features."""
+    import numpy as np
+
+    if d <= _SCALAR_FEATURES:
+        return pdf[[f"_x{i}" for i in range(d)]].to_numpy(dtype=np.float64)
+    return np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, d))
+
+
 def affine_chunks(
-    df: DataFrame, keys: list[str], ord_col: str, coef: float | str,
+    df: DataFrame, keys: list[str], ord_col: str, coef: float | str, d: int,
     partitions: int | None = None, ordered_input: bool = False,
 ) -> DataFrame:
     """Phase 1 of the fold: one composed map per (partition, key run).
 
     ``coef`` is the SGD factor c of ``w <- w - c (w.x - y) x``: a number or
-    the name of a per-row column.  Output: ``keys, _first (first ord), _n,
+    the name of a per-row column; ``d`` the feature count (features reach
+    pandas as d scalar columns).  Output: ``keys, _first (first ord), _n,
     _m (flattened (d+1)x(d+1) matrix)``.
 
     ``ordered_input``: ``df`` is already partitioned so that every partition
@@ -181,8 +202,8 @@ def affine_chunks(
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cexpr = F.col(coef).cast("double") if isinstance(coef, str) else F.lit(float(coef))
-    src = df.select(*keys, ord_col, F.col("x").cast("array<double>").alias("x"),
-                    F.col("y").cast("double").alias("y"), cexpr.alias("_c"))
+    src = df.where(require_length("x", d, "feature vector")).select(
+        *keys, ord_col, *_coords(d), F.col("y").cast("double").alias("y"), cexpr.alias("_c"))
     if not ordered_input:
         src = src.repartitionByRange(n, *keys, ord_col)
     parted = src.sortWithinPartitions(*keys, ord_col)
@@ -197,7 +218,7 @@ def affine_chunks(
             out = []
             if len(pdf) == 0:
                 continue
-            X = np.stack(pdf["x"].to_numpy())
+            X = _features(pdf, d)
             y = pdf["y"].to_numpy(dtype=float)
             c = pdf["_c"].to_numpy(dtype=float)
             ords = pdf[ord_col].to_numpy()
@@ -291,7 +312,8 @@ def sgd_pass(
 ) -> DataFrame:
     """One pass in ``ord_col`` order, ``w <- w - step 2 (w.x - y) x``,
     one model per ``by`` group.  Returns ``by..., pos, w``."""
-    chunks = affine_chunks(train, list(by), ord_col, 2.0 * step, partitions, ordered_input)
+    chunks = affine_chunks(train, list(by), ord_col, 2.0 * step, len(w0), partitions,
+                           ordered_input)
     return chain_chunks(chunks, list(by), None, w0)
 
 
@@ -331,7 +353,7 @@ def sgd_relay(
     previous one left.  Returns ``shard, pos, w`` (weights after each
     shard; the last shard's row is the model, equal to G4 over all rows)."""
     sharded = with_shards(train, shards, ord_col, partitions)
-    chunks = affine_chunks(sharded, ["shard"], ord_col, 2.0 * step, partitions,
+    chunks = affine_chunks(sharded, ["shard"], ord_col, 2.0 * step, len(w0), partitions,
                            ordered_input=True)
     return chain_chunks(chunks, [], "shard", w0, trace=True)
 
@@ -368,7 +390,7 @@ def sgd_sampled(
         raise ValueError(f"unknown rule {rule!r}")
     draws = draws.withColumn(idx_col, pick)
     joined = draws.join(rows.select(idx_col, "x", "y").hint("merge"), idx_col)
-    chunks = affine_chunks(joined, ["replica"], "t", 2.0 * step / m, partitions)
+    chunks = affine_chunks(joined, ["replica"], "t", 2.0 * step / m, len(w0), partitions)
     return chain_chunks(chunks, ["replica"], None, w0)
 
 
@@ -386,12 +408,12 @@ def sgd_adagrad(
     spark = train.sparkSession
     keys = list(by)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = train.select(*keys, ord_col, F.col("x").cast("array<double>").alias("x"),
-                       F.col("y").cast("double").alias("y"))
+    d = len(w0)
+    src = train.where(require_length("x", d, "feature vector")).select(
+        *keys, ord_col, *_coords(d), F.col("y").cast("double").alias("y"))
     parted = (src.repartition(n, *keys) if keys else src.repartition(1)).sortWithinPartitions(
         *keys, ord_col
     )
-    d = len(w0)
     a = step if scale_gradient else 1.0
     w_init = [float(v) for v in w0]
     s_init = [float(v) for v in s0]
@@ -413,7 +435,7 @@ def sgd_adagrad(
                     done.append(dict(zip(keys, cur_key), pos=p, w=w[p]))
 
         for pdf in batches:
-            xs = pdf["x"].to_list()
+            xs = _features(pdf, d).tolist()
             ys = pdf["y"].to_list()
             kcols = [pdf[k].to_list() for k in keys]
             for r in range(len(xs)):
