@@ -23,10 +23,6 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-class MissingKeyError(RuntimeError):
-    pass
-
-
 def shuffle_join(left: DataFrame, right: DataFrame, on: list[str] | str,
                  strategy: str = "merge", how: str = "inner") -> DataFrame:
     """Join with a shuffle on the keys (``merge`` or ``shuffle_hash``)."""

@@ -5,9 +5,10 @@ features (as double), the last field is the label.  Blank lines are
 dropped (and counted by ``delimited_counts``) instead of producing a
 label ``""``.
 
-``mode='strict'``: a field that is not a number fails the job (ANSI cast),
-as ``toDouble`` does.  ``mode='permissive'``: such a record is dropped
-and counted as rejected.
+``mode='strict'``: a field that is not a number, or a record with too few
+fields, fails the job, as ``toDouble`` does (an explicit ``raise_error``
+filter, so it holds whatever the session's ANSI setting).
+``mode='permissive'``: such a record is dropped and counted as rejected.
 """
 
 from __future__ import annotations
@@ -30,19 +31,19 @@ def parse_points(
     keep = keep or []
     f = _fields(F.col(line_col), sep)
     raw = F.slice(f, 1, n_features)
+    if mode not in ("strict", "permissive"):
+        raise ValueError(f"unknown mode {mode!r}")
+    x = F.transform(raw, lambda v: v.try_cast("double"))
+    label = F.element_at(f, -1)
+    out = lines.where(F.col(line_col) != "").select(
+        *keep, x.alias("x"), label.alias("label"), F.col(line_col).alias("_line"))
+    ok = (F.size("x") == n_features) & F.forall("x", lambda v: v.isNotNull())
     if mode == "strict":
-        x = F.transform(raw, lambda v: v.cast("double"))
-        label = F.element_at(f, -1)
-    elif mode == "permissive":
-        x = F.transform(raw, lambda v: v.try_cast("double"))
-        label = F.try_element_at(f, F.lit(-1))
+        bad = F.concat(F.lit(f"not a record of {n_features} numeric features: "), F.col("_line"))
+        out = out.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(bad)))
     else:
-        raise ValueError(f"unknown mode {mode!r}")
-    out = lines.where(F.col(line_col) != "").select(*keep, x.alias("x"), label.alias("label"))
-    if mode == "permissive":
-        ok = (F.size("x") == n_features) & F.forall("x", lambda v: v.isNotNull())
         out = out.where(ok)
-    return out
+    return out.drop("_line")
 
 
 def delimited_counts(lines: DataFrame, n_features: int, sep: str = ",",

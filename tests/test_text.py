@@ -70,3 +70,16 @@ def test_delimited_modes(spark):
     import pytest
     with pytest.raises(Exception):
         D.parse_points(lines, 2, mode="strict").collect()
+
+
+def test_strict_mode_independent_of_ansi(spark):
+    import pytest
+
+    lines = spark.createDataFrame([("1,2,A",), ("x,2,B",)], "line string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="numeric features"):
+            D.parse_points(lines, 2, mode="strict").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
