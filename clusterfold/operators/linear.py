@@ -155,16 +155,6 @@ def _compose(X, y, c):
     return total
 
 
-def _chunk_schema(df: DataFrame, keys: list[str], ord_col: str) -> T.StructType:
-    fields = [df.schema[k] for k in keys]
-    fields += [
-        T.StructField("_first", df.schema[ord_col].dataType, True),
-        T.StructField("_n", T.LongType(), False),
-        T.StructField("_m", T.ArrayType(T.DoubleType(), False), False),
-    ]
-    return T.StructType(fields)
-
-
 # Fixed value: up to this feature count the features reach pandas as
 # scalar columns (whole numpy arrays); beyond it as one array column.
 _SCALAR_FEATURES = 16
@@ -185,6 +175,57 @@ def _features(pdf, d: int):
     return np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, d))
 
 
+# Fixed value: runs up to this many rows are composed together, one
+# batched matrix product per row position; longer runs use the pairwise tree.
+_SHORT_RUN = 64
+
+
+def _compose_runs(X, y, c, starts, ends):
+    """Composed map of every run ``[starts[i], ends[i])`` of a sorted batch,
+    vectorised across runs: (runs, d+1, d+1)."""
+    import numpy as np
+
+    d = X.shape[1]
+    lengths = ends - starts
+    out = np.empty((len(starts), d + 1, d + 1))
+    long_runs = np.flatnonzero(lengths > _SHORT_RUN)
+    for i in long_runs:
+        out[i] = _compose(X[starts[i]:ends[i]], y[starts[i]:ends[i]], c[starts[i]:ends[i]])
+    short = np.flatnonzero(lengths <= _SHORT_RUN)
+    if len(short):
+        M = np.broadcast_to(np.eye(d + 1), (len(short), d + 1, d + 1)).copy()
+        L, S = lengths[short], starts[short]
+        for t in range(int(L.max())):
+            act = np.flatnonzero(L > t)
+            idx = S[act] + t
+            M[act] = np.matmul(_row_maps(X[idx], y[idx], c[idx]), M[act])
+        out[short] = M
+    return out
+
+
+def _runs(pdf, cols):
+    """Start and end offsets of the runs of equal ``cols`` in a sorted batch."""
+    import numpy as np
+
+    change = np.zeros(len(pdf), dtype=bool)
+    change[0] = True
+    for col in cols:
+        v = pdf[col].to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    starts = np.flatnonzero(change)
+    return starts, np.append(starts[1:], len(pdf))
+
+
+def _chunk_schema(df: DataFrame, keys: list[str], ord_col: str) -> T.StructType:
+    fields = [df.schema[k] for k in keys]
+    fields += [
+        T.StructField("_first", df.schema[ord_col].dataType, True),
+        T.StructField("_n", T.LongType(), False),
+        T.StructField("_m", T.ArrayType(T.DoubleType(), False), False),
+    ]
+    return T.StructType(fields)
+
+
 def affine_chunks(
     df: DataFrame, keys: list[str], ord_col: str, coef: float | str, d: int,
     partitions: int | None = None, ordered_input: bool = False,
@@ -192,9 +233,10 @@ def affine_chunks(
     """Phase 1 of the fold: one composed map per (partition, key run).
 
     ``coef`` is the SGD factor c of ``w <- w - c (w.x - y) x``: a number or
-    the name of a per-row column; ``d`` the feature count (features reach
-    pandas as d scalar columns).  Output: ``keys, _first (first ord), _n,
-    _m (flattened (d+1)x(d+1) matrix)``.
+    the name of a per-row column; ``d`` the feature count.  Output: ``keys,
+    _first (first ord), _n, _m (flattened (d+1)x(d+1) matrix)``: one row per
+    group per partition, so a partition emits at most as many rows as it
+    holds groups, and a group at most one row per partition.
 
     ``ordered_input``: ``df`` is already partitioned so that every partition
     holds a contiguous range of the (keys, ord) order (e.g. the output of
@@ -208,102 +250,144 @@ def affine_chunks(
         src = src.repartitionByRange(n, *keys, ord_col)
     parted = src.sortWithinPartitions(*keys, ord_col)
     schema = _chunk_schema(df, keys, ord_col)
+    width = (d + 1) * (d + 1)
 
     def run(batches):
         import numpy as np
         import pandas as pd
 
-        cur = None  # [key tuple, first ord, count, matrix]
+        cur = None  # {"key": tuple, "first": ord, "n": count, "m": matrix}
         for pdf in batches:
-            out = []
             if len(pdf) == 0:
                 continue
-            X = _features(pdf, d)
-            y = pdf["y"].to_numpy(dtype=float)
-            c = pdf["_c"].to_numpy(dtype=float)
-            ords = pdf[ord_col].to_numpy()
-            kv = [pdf[k].to_numpy() for k in keys]
-            change = np.zeros(len(pdf), dtype=bool)
-            change[0] = True
-            for col in kv:
-                change[1:] |= col[1:] != col[:-1]
-            starts = np.flatnonzero(change)
-            ends = np.append(starts[1:], len(pdf))
-            for s, e in zip(starts, ends):
-                key = tuple(col[s] for col in kv)
-                M = _compose(X[s:e], y[s:e], c[s:e])
-                if cur is not None and cur[0] == key:
-                    cur[2] += int(e - s)
-                    cur[3] = M @ cur[3]
-                else:
-                    if cur is not None:
-                        out.append(cur)
-                    cur = [key, ords[s], int(e - s), M]
-            if out:
-                yield _chunk_frame(out, keys)
+            starts, ends = _runs(pdf, keys)
+            mats = _compose_runs(_features(pdf, d), pdf["y"].to_numpy(dtype=float),
+                                 pdf["_c"].to_numpy(dtype=float), starts, ends)
+            rkeys = [pdf[k].to_numpy()[starts] for k in keys]
+            firsts = pdf[ord_col].to_numpy()[starts]
+            counts = (ends - starts).astype(np.int64)
+            a = 0
+            if cur is not None:
+                if tuple(col[0] for col in rkeys) == cur["key"]:
+                    cur["m"] = mats[0] @ cur["m"]
+                    cur["n"] += int(counts[0])
+                    a = 1
+                if a == 1 and len(starts) == 1:
+                    continue
+                yield _chunk_rows(keys, [cur["key"]], [cur["first"]], [cur["n"]],
+                                  cur["m"].reshape(1, width))
+            b = len(starts) - 1
+            if b > a:
+                yield _chunk_rows(keys, list(zip(*[col[a:b] for col in rkeys])), firsts[a:b],
+                                  counts[a:b], mats[a:b].reshape(-1, width))
+            cur = {"key": tuple(col[b] for col in rkeys), "first": firsts[b],
+                   "n": int(counts[b]), "m": mats[b]}
         if cur is not None:
-            yield _chunk_frame([cur], keys)
+            yield _chunk_rows(keys, [cur["key"]], [cur["first"]], [cur["n"]],
+                              cur["m"].reshape(1, width))
 
     return parted.mapInPandas(run, schema)
 
 
-def _chunk_frame(chunks, keys):
+def _chunk_rows(keys, key_tuples, firsts, counts, mats):
     import pandas as pd
 
-    data = {k: [c[0][i] for c in chunks] for i, k in enumerate(keys)}
-    data["_first"] = [c[1] for c in chunks]
-    data["_n"] = [c[2] for c in chunks]
-    data["_m"] = [c[3].reshape(-1) for c in chunks]
+    data = {k: [t[i] for t in key_tuples] for i, k in enumerate(keys)}
+    data["_first"] = list(firsts)
+    data["_n"] = list(counts)
+    data["_m"] = list(mats)
     return pd.DataFrame(data)
 
 
 def chain_chunks(
     chunks: DataFrame, group_keys: list[str], seg_key: str | None, w0: Sequence[float],
-    trace: bool = False,
+    trace: bool = False, partitions: int | None = None,
 ) -> DataFrame:
     """Phase 2: per group, chain the chunk maps in order and apply to w0.
 
-    Output ``group_keys, [seg_key], pos, w``: the final weights, or with
-    ``trace`` the weights after every segment (shard relay)."""
+    Chunks are hash-partitioned by group and sorted; one ``mapInPandas``
+    walks the sorted runs.  Groups with a single chunk (the common case when
+    groups are many and small) are finished together in one batched
+    product; a group split over partitions holds at most one chunk per
+    partition.  Output ``group_keys, [seg_key], pos, w``: the final weights,
+    or with ``trace`` the weights after every segment (shard relay)."""
+    import numpy as np
+
+    spark = chunks.sparkSession
     d = len(w0)
-    w_init = [float(v) for v in w0]
-    gk = list(group_keys) or []
-    src = chunks if gk else chunks.withColumn("_g", F.lit(0))
-    gcols = gk or ["_g"]
+    v0 = np.append(np.asarray([float(v) for v in w0]), 1.0)
+    gk = list(group_keys)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src = chunks.repartition(n, *gk) if gk else chunks.repartition(1)
+    order = gk + ([seg_key] if seg_key else []) + ["_first"]
+    parted = src.sortWithinPartitions(*order)
     fields = [chunks.schema[k] for k in gk]
-    if trace and seg_key:
+    tracing = bool(trace and seg_key)
+    if tracing:
         fields.append(chunks.schema[seg_key])
     fields += [T.StructField("pos", T.IntegerType(), False),
                T.StructField("w", T.DoubleType(), False)]
     schema = T.StructType(fields)
     out_cols = [f.name for f in fields]
 
-    def chain(pdf):
-        import numpy as np
+    def finish(rows):
         import pandas as pd
 
-        order = ([seg_key] if seg_key else []) + ["_first"]
-        pdf = pdf.sort_values(order, kind="mergesort")
-        v = np.append(np.asarray(w_init, dtype=float), 1.0)
-        rows = []
-        segs = pdf[seg_key].to_numpy() if seg_key else np.zeros(len(pdf))
-        mats = pdf["_m"].to_numpy()
-        for i in range(len(pdf)):
-            v = mats[i].reshape(d + 1, d + 1) @ v
-            last_of_seg = i == len(pdf) - 1 or segs[i + 1] != segs[i]
-            if trace and seg_key and last_of_seg:
-                rows.append((segs[i], v[:d].copy()))
-        if not math.isfinite(float(np.sum(v))):
+        return pd.DataFrame(rows, columns=out_cols)
+
+    def emit(key, v, seg=None):
+        if not np.all(np.isfinite(v)):
             raise FloatingPointError("SGD diverged")
-        head = {k: pdf[k].iloc[0] for k in gk}
-        if trace and seg_key:
-            recs = [dict(head, **{seg_key: s}, pos=p, w=float(wv[p]))
-                    for s, wv in rows for p in range(d)]
-        else:
-            recs = [dict(head, pos=p, w=float(v[p])) for p in range(d)]
-        return pd.DataFrame(recs, columns=out_cols)
-
-    return src.groupBy(*gcols).applyInPandas(chain, schema)
+        head = dict(zip(gk, key))
+        if seg is not None:
+            head[seg_key] = seg
+        return [dict(head, pos=p, w=float(v[p])) for p in range(d)]
+
+    def run(batches):
+        cur = None  # {"key": tuple, "v": vector, "seg": current segment}
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            rows = []
+            starts, ends = _runs(pdf, gk) if gk else (np.array([0]), np.array([len(pdf)]))
+            mats = np.stack(pdf["_m"].to_numpy()).reshape(-1, d + 1, d + 1)
+            segs = pdf[seg_key].to_numpy() if seg_key else None
+            kcols = [pdf[k].to_numpy() for k in gk]
+            single = (ends - starts == 1)
+            fast = []  # runs finished below in one batched product
+            for r, (s, e) in enumerate(zip(starts, ends)):
+                key = tuple(col[s] for col in kcols)
+                if cur is not None and key != cur["key"]:
+                    rows += emit(cur["key"], cur["v"][:d])
+                    cur = None
+                if cur is None and single[r] and not tracing and r < len(starts) - 1:
+                    fast.append(r)
+                    continue
+                if cur is None:
+                    cur = {"key": key, "v": v0.copy(), "seg": None}
+                for i in range(s, e):
+                    if tracing and cur["seg"] is not None and segs[i] != cur["seg"]:
+                        rows += emit(key, cur["v"][:d], cur["seg"])
+                    cur["v"] = mats[i] @ cur["v"]
+                    if tracing:
+                        cur["seg"] = segs[i]
+                if tracing and r < len(starts) - 1:
+                    rows += emit(key, cur["v"][:d], cur["seg"])
+                    cur = None
+                elif r < len(starts) - 1:
+                    rows += emit(key, cur["v"][:d])
+                    cur = None
+            done = np.asarray(fast, dtype=int)
+            if len(done):
+                V = np.matmul(mats[starts[done]], v0)
+                for t, r in enumerate(done):
+                    rows += emit(tuple(col[starts[r]] for col in kcols), V[t][:d])
+            if rows:
+                yield finish(rows)
+        if cur is not None:
+            yield finish(emit(cur["key"], cur["v"][:d], cur["seg"] if tracing else None))
+
+    return parted.mapInPandas(run, schema)
 
 
 def sgd_pass(
