@@ -278,8 +278,10 @@ def affine_chunks(
                                   cur["m"].reshape(1, width))
             b = len(starts) - 1
             if b > a:
-                yield _chunk_rows(keys, list(zip(*[col[a:b] for col in rkeys])), firsts[a:b],
-                                  counts[a:b], mats[a:b].reshape(-1, width))
+                data = {k: rkeys[i][a:b] for i, k in enumerate(keys)}
+                data.update(_first=firsts[a:b], _n=counts[a:b],
+                            _m=list(mats[a:b].reshape(-1, width)))
+                yield pd.DataFrame(data)
             cur = {"key": tuple(col[b] for col in rkeys), "first": firsts[b],
                    "n": int(counts[b]), "m": mats[b]}
         if cur is not None:
@@ -379,9 +381,15 @@ def chain_chunks(
                     cur = None
             done = np.asarray(fast, dtype=int)
             if len(done):
-                V = np.matmul(mats[starts[done]], v0)
-                for t, r in enumerate(done):
-                    rows += emit(tuple(col[starts[r]] for col in kcols), V[t][:d])
+                import pandas as pd
+
+                V = np.matmul(mats[starts[done]], v0)[:, :d]
+                if not np.all(np.isfinite(V)):
+                    raise FloatingPointError("SGD diverged")
+                data = {k: np.repeat(col[starts[done]], d) for k, col in zip(gk, kcols)}
+                data.update(pos=np.tile(np.arange(d, dtype=np.int32), len(done)),
+                            w=V.reshape(-1))
+                yield pd.DataFrame(data, columns=out_cols)
             if rows:
                 yield finish(rows)
         if cur is not None:
