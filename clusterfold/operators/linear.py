@@ -21,10 +21,14 @@ in parallel without changing the result:
 1. ``repartitionByRange(keys + ord)`` + ``sortWithinPartitions``: every task
    holds contiguous key-ordered ranges.  A hot group spreads over as many
    tasks as its size needs; nothing is gathered in one place.
-2. ``mapInPandas``: each task multiplies its rows' matrices (numpy, log-depth
-   pairwise products per Arrow batch) into one matrix per group run.
-3. ``groupBy(group).applyInPandas``: per group, at most one matrix per
-   partition is chained in key order and applied to w0.
+2. ``mapInPandas``: each task multiplies its rows' matrices (numpy; short
+   runs of many groups together, one batched product per row position;
+   long runs by log-depth pairwise products) into one matrix per group run.
+3. the chunks (at most one per group and partition) are hash-partitioned
+   by group and sorted; a second ``mapInPandas`` chains each group's chunks
+   in key order and applies them to w0, finishing all single-chunk groups
+   in one batched product (no per-group pandas call, so a million small
+   groups cost no more than a few large ones).
 
 The ordered pass (G4), shard averaging (G5), shard relay (G6) and sampled
 SGD (G3) are all this one fold with different keys.  AdaGrad (G7) is not
