@@ -21,6 +21,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy DataFrame over one table."""
-    return spark.read.parquet(table_path(sf_dir, name))
+_READS: dict[tuple, DataFrame] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
+    """Lazy DataFrame over one table.
+
+    Reading a parquet table runs a small job (its footer gives the schema);
+    the DataFrame is kept per session and path, as a catalog table would
+    be, so later jobs reuse the resolved scan.  ``refresh`` reads anew
+    (after the files changed)."""
+    path = table_path(sf_dir, name)
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if refresh or key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
