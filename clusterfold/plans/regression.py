@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from clusterfold.operators import linear as lin
 from clusterfold.plans.common import r6, weights_frame

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from clusterfold.operators import joins as J
 from clusterfold.plans.inspect import physical_plan

@@ -1,6 +1,4 @@
-from pyspark.sql import functions as F
 
-from clusterfold.operators import kmeans as km
 from clusterfold.streaming import lines as SL
 
 NAME_LINES = ["Michael, 29", "", "", "Andy, 30", "", "Justin, 19"]

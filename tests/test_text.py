@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from clusterfold.operators import text as TX
 from clusterfold.sources import delimited as D
