@@ -492,24 +492,44 @@ def sgd_sampled(
 
 # ---- AdaGrad (G7): sequential fold ---------------------------------------------
 
+# Fixed value: a group with more rows than this is "hot": it is not sent to
+# one reducer, but range-partitioned and relayed (see ``sgd_adagrad``).
+HOT_GROUP_ROWS = 2_000_000
+
+
+def _adagrad_update(w, s, x, y, a, step, eps):
+    """One AdaGrad step in place (w, s lists; x a sequence; y a float)."""
+    d = len(w)
+    err = 2.0 * (sum(w[i] * x[i] for i in range(d)) - y)
+    for i in range(d):
+        g = a * err * x[i]
+        s[i] += g * g
+        w[i] -= step / math.sqrt(eps + s[i]) * g
+
 
 def sgd_adagrad(
     train: DataFrame, w0: Sequence[float], s0: Sequence[float], step: float, eps: float,
     scale_gradient: bool = True, ord_col: str = "ord", by: Sequence[str] = (),
-    partitions: int | None = None,
+    partitions: int | None = None, hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``g = a 2 (w.x - y) x`` with a = step if ``scale_gradient`` (the
     reference's written form) else 1; ``s <- s + g*g``;
-    ``w <- w - step / sqrt(eps + s) * g``.  Returns ``by..., pos, w``."""
+    ``w <- w - step / sqrt(eps + s) * g``.  Returns ``by..., pos, w``.
+
+    The update is not associative, so each group is one ordered pass.
+    Ordinary groups: hash-partitioned by group, sorted, streamed through
+    ``mapInPandas`` (state carried across Arrow batches).  Groups above
+    ``hot_rows`` rows (found by one aggregate; at most rows/hot_rows of
+    them) are range-partitioned on (group, ord) instead, so their shuffle
+    and sort stay balanced, and their chunks are relayed in order: one
+    single-task job per chunk, handing on the (w, s) state of the hot
+    groups (2d numbers each), as the reference's shard relay hands on w."""
     spark = train.sparkSession
     keys = list(by)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = len(w0)
     src = train.where(require_length("x", d, "feature vector")).select(
         *keys, ord_col, *_coords(d), F.col("y").cast("double").alias("y"))
-    parted = (src.repartition(n, *keys) if keys else src.repartition(1)).sortWithinPartitions(
-        *keys, ord_col
-    )
     a = step if scale_gradient else 1.0
     w_init = [float(v) for v in w0]
     s_init = [float(v) for v in s0]
@@ -517,6 +537,40 @@ def sgd_adagrad(
         T.StructField("pos", T.IntegerType(), False), T.StructField("w", T.DoubleType(), False)]
     schema = T.StructType(fields)
 
+    if keys:
+        hot = src.groupBy(*keys).count().where(F.col("count") > hot_rows).collect()
+    else:
+        m = src.count()
+        hot = [{"count": m}] if m > hot_rows else []
+    if not hot:
+        return _adagrad_streamed(src, keys, ord_col, d, n, w_init, s_init, a, step, eps, schema)
+    hot_total = sum(int(r["count"]) for r in hot)
+    if keys:
+        hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot],
+                                         T.StructType([train.schema[k] for k in keys]))
+        cold = src.join(F.broadcast(hot_keys), keys, "left_anti")
+        hot_src = src.join(F.broadcast(hot_keys), keys, "left_semi")
+    else:
+        cold, hot_src = None, src
+    # at most 4 chunks per shuffle partition: the relay is one job per chunk
+    chunks = max(1, min(-(-hot_total // hot_rows), 4 * n))
+    state = _adagrad_relay(hot_src, keys, ord_col, d, chunks, w_init, s_init, a, step, eps)
+    relayed = spark.createDataFrame(
+        [tuple(key) + (p, float(w[p])) for key, (w, _) in sorted(state.items()) for p in range(d)],
+        schema)
+    if cold is None:
+        return relayed
+    streamed = _adagrad_streamed(cold, keys, ord_col, d, n, w_init, s_init, a, step, eps, schema)
+    return streamed.unionByName(relayed)
+
+
+def _adagrad_streamed(src, keys, ord_col, d, n, w_init, s_init, a, step, eps, schema):
+    """One task per group set: hash-partitioned, sorted, streamed."""
+    parted = (src.repartition(n, *keys) if keys else src.repartition(1)).sortWithinPartitions(
+        *keys, ord_col
+    )
+    cols = [f.name for f in schema.fields]
+
     def run(batches):
         import pandas as pd
 
@@ -539,17 +593,50 @@ def sgd_adagrad(
                 if key != cur_key or w is None:
                     flush()
                     cur_key, w, s = key, list(w_init), list(s_init)
-                x = xs[r]
-                err = 2.0 * (sum(w[i] * x[i] for i in range(d)) - ys[r])
-                for i in range(d):
-                    g = a * err * x[i]
-                    s[i] += g * g
-                    w[i] -= step / math.sqrt(eps + s[i]) * g
+                _adagrad_update(w, s, xs[r], ys[r], a, step, eps)
             if done:
-                yield pd.DataFrame(done, columns=[f.name for f in fields])
+                yield pd.DataFrame(done, columns=cols)
                 done.clear()
         flush()
         if done:
-            yield pd.DataFrame(done, columns=[f.name for f in fields])
+            yield pd.DataFrame(done, columns=cols)
 
     return parted.mapInPandas(run, schema)
+
+
+def _adagrad_relay(src, keys, ord_col, d, chunks, w_init, s_init, a, step, eps):
+    """Hot groups: range-partition on (keys, ord) into ``chunks`` sorted
+    partitions (persisted), then run them in order, one single-task job per
+    partition, each starting from the states the previous ones left.
+    Returns {key tuple: (w, s)}."""
+    spark = src.sparkSession
+    parted = (src.repartitionByRange(chunks, *keys, ord_col)
+              .sortWithinPartitions(*keys, ord_col)
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    xcols = [f"_x{i}" for i in range(d)] if d <= _SCALAR_FEATURES else None
+    state: dict[tuple, tuple[list, list]] = {}
+    try:
+        rdd = parted.rdd
+        for i in range(rdd.getNumPartitions()):
+            before = dict(state)
+
+            def fold(rows, before=before):
+                seen: dict[tuple, tuple[list, list]] = {}
+                for row in rows:
+                    key = tuple(row[k] for k in keys)
+                    if key not in seen:
+                        w, s = before.get(key, (w_init, s_init))
+                        seen[key] = (list(w), list(s))
+                    w, s = seen[key]
+                    x = [row[c] for c in xcols] if xcols else list(row["x"])
+                    _adagrad_update(w, s, x, row["y"], a, step, eps)
+                for w, _ in seen.values():
+                    if not all(math.isfinite(v) for v in w):
+                        raise FloatingPointError("AdaGrad diverged")
+                return [seen]
+
+            for part in spark.sparkContext.runJob(rdd, fold, partitions=[i]):
+                state.update(part)
+    finally:
+        parted.unpersist()
+    return state

@@ -100,3 +100,26 @@ def test_adagrad_equals_sequential(spark, parts, batch):
     assert sorted(res) == sorted(exp)
     for g in exp:
         assert res[g] == pytest.approx(exp[g], rel=1e-12, abs=1e-15)
+
+
+@pytest.mark.parametrize("hot_rows", [500, 100])
+def test_adagrad_hot_groups_relayed(spark, hot_rows):
+    df, rows = _train(spark)
+    got = lin.sgd_adagrad(df.repartition(3), [0.0, 0.0], [0.0, 0.0], 0.1, 1e-5, True, "ord",
+                          by=["g"], partitions=5, hot_rows=hot_rows).collect()
+    exp = _brute_adagrad(rows, 0.1, 1e-5)
+    res = {}
+    for r in got:
+        res.setdefault(r["g"], [None, None])[r["pos"]] = r["w"]
+    assert sorted(res) == sorted(exp)
+    for g in exp:
+        assert res[g] == pytest.approx(exp[g], rel=1e-12, abs=1e-15)
+
+
+def test_adagrad_single_hot_group_relayed(spark):
+    df, rows = _train(spark)
+    one = df.withColumn("g", F.lit("all"))
+    got = lin.sgd_adagrad(one, [0.0, 0.0], [0.0, 0.0], 0.1, 1e-5, False, "ord", hot_rows=700)
+    exp = _brute_adagrad([(o, "all", x, y) for o, _, x, y in rows], 0.1, 1e-5, scale=False)["all"]
+    w = [r["w"] for r in got.orderBy("pos").collect()]
+    assert w == pytest.approx(exp, rel=1e-12, abs=1e-15)
