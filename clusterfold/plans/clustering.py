@@ -97,6 +97,16 @@ def q_kmeans_empty_cluster(spark, sf_dir):
     return _centroid_rows(spark, new, sizes)
 
 
+def q_kmeans_empty_keep(spark, sf_dir):
+    """K6 with ``empty_cluster='keep'``: the empty cluster keeps its centroid, n = 0."""
+    pts = embedding_points(spark, sf_dir)
+    seeds = embedding_seeds(pts)
+    far = dict(seeds)
+    far[len(seeds)] = [FAR_COORD] * len(next(iter(seeds.values())))
+    new, sizes = km.step(pts, far, empty_cluster="keep")
+    return _centroid_rows(spark, new, sizes)
+
+
 def q_cross_distances(spark, sf_dir):
     pts = embedding_points(spark, sf_dir)
     rows = km.distance_rows(pts, embedding_seeds(pts))
@@ -222,6 +232,7 @@ QUERIES = {
     "cluster_labels": q_cluster_labels,
     "centroid_shift": q_centroid_shift,
     "kmeans_empty_cluster": q_kmeans_empty_cluster,
+    "kmeans_empty_keep": q_kmeans_empty_keep,
     "cross_distances": q_cross_distances,
     "distances_by_point": q_distances_by_point,
     "nearest_centroid": q_nearest_centroid,
@@ -357,6 +368,12 @@ ORACLES = {
     "kmeans_step": _one_step_sql(_C0),
     "kmeans_stepwise": _one_step_sql(_C0),
     "kmeans_empty_cluster": _one_step_sql(_C0_FAR),
+    "kmeans_empty_keep": (
+        "WITH " + ",\n".join([_P, _C0_FAR] + _step_ctes(1, "c0")) + ", "
+        "kept AS (SELECT j, n, c FROM m1 UNION ALL "
+        "SELECT j, 0::BIGINT AS n, c FROM c0 WHERE j NOT IN (SELECT j FROM m1)) "
+        + _rows_of("kept")
+    ),
     "centroid_shift": _one_step_sql(_C0, "shift"),
     "kmeans_fit": _fit_sql(MAX_ITER, EPS, "centroids"),
     "kmeans_fit_hashed": _fit_sql(MAX_ITER, EPS, "centroids", _C0_HASH),

@@ -40,6 +40,21 @@ def q_delimited_points(spark, sf_dir):
         "c_custkey", F.col("pos").cast("int").alias("pos"), "v", "label")
 
 
+def _edge_lines(spark, sf_dir):
+    return S.csv_edge_lines(table(spark, sf_dir, "customer"), "c_custkey", CSV_COLS)
+
+
+def q_delimited_permissive(spark, sf_dir):
+    pts = D.parse_points(_edge_lines(spark, sf_dir), CSV_FEATURES, ",", "permissive",
+                         keep=["c_custkey"])
+    return pts.select("c_custkey", F.posexplode("x").alias("pos", "v"), "label").select(
+        "c_custkey", F.col("pos").cast("int").alias("pos"), "v", "label")
+
+
+def q_delimited_counts(spark, sf_dir):
+    return D.delimited_counts(_edge_lines(spark, sf_dir), CSV_FEATURES)
+
+
 def q_gen_pairs(spark, sf_dir):
     return G.key_pairs(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
@@ -95,6 +110,8 @@ QUERIES = {
     "tokenize": q_tokenize,
     "blank_line_count": q_blank_line_count,
     "delimited_points": q_delimited_points,
+    "delimited_permissive": q_delimited_permissive,
+    "delimited_counts": q_delimited_counts,
     "gen_pairs": q_gen_pairs,
     "lookup_pairs": q_lookup_pairs,
     "gen_line": q_gen_line,
@@ -116,6 +133,16 @@ _LOG = (
     "ELSE event_type || ', ' || user_id::VARCHAR END AS line FROM events)"
 )
 
+_EDGE = (
+    "el AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN '' "
+    "WHEN c_custkey % 13 = 0 THEN 'n/a,' || c_nationkey::VARCHAR || ',' || c_acctbal::VARCHAR "
+    "|| ',' || c_mktsegment "
+    "WHEN c_custkey % 17 = 0 THEN c_custkey::VARCHAR || ',' || c_nationkey::VARCHAR || ',' "
+    "|| c_acctbal::VARCHAR || ',' "
+    "ELSE c_custkey::VARCHAR || ',' || c_nationkey::VARCHAR || ',' || c_acctbal::VARCHAR "
+    "|| ',' || c_mktsegment END AS line FROM customer)"
+)
+
 _PAIRS = (
     "SELECT (1 + (l_orderkey + l_linenumber) % 3)::INTEGER AS k, "
     "((l_orderkey * 31 + l_linenumber * 17) % 100)::INTEGER AS n FROM lineitem"
@@ -147,6 +174,18 @@ ORACLES = {
         "c_mktsegment AS label, unnest([c_custkey::DOUBLE, c_nationkey::DOUBLE, c_acctbal]) AS v, "
         "unnest(range(1, 4)) AS pos FROM customer)"
     ),
+    "delimited_permissive": (
+        "SELECT c_custkey, (pos - 1)::INTEGER AS pos, v, label FROM (SELECT c_custkey, "
+        "CASE WHEN c_custkey % 17 = 0 THEN '' ELSE c_mktsegment END AS label, "
+        "unnest([c_custkey::DOUBLE, c_nationkey::DOUBLE, c_acctbal]) AS v, "
+        "unnest(range(1, 4)) AS pos FROM customer "
+        "WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0)"
+    ),
+    "delimited_counts": (
+        f"WITH {_EDGE} SELECT count(*) AS n_lines, "
+        "count(*) FILTER (WHERE line = '') AS n_blank, "
+        "count(*) FILTER (WHERE line <> '' AND line LIKE 'n/a,%') AS n_rejected FROM el"
+    ),
     "gen_pairs": _PAIRS,
     "lookup_pairs": (
         f"WITH p AS ({_PAIRS}), m(k, v) AS (VALUES "

@@ -49,3 +49,16 @@ def csv_lines(df: DataFrame, id_col: str, cols: list[str], sep: str = ",") -> Da
     """Render rows as delimited text ``(id_col, line)`` (a text-file stand-in
     that grows with the table)."""
     return df.select(id_col, F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias("line"))
+
+
+def csv_edge_lines(df: DataFrame, id_col: str, cols: list[str], sep: str = ",") -> DataFrame:
+    """Delimited lines with derived edge cases (fixed rule on the id):
+    id % 11 = 0 -> '' (blank); % 13 = 0 -> first field not a number;
+    % 17 = 0 -> trailing separator (empty label); else the plain record."""
+    plain = F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])
+    head_bad = F.concat_ws(sep, F.lit("n/a"), *[F.col(c).cast("string") for c in cols[1:]])
+    no_label = F.concat(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols[:-1]]), F.lit(sep))
+    i = F.col(id_col)
+    line = (F.when(i % 11 == 0, F.lit("")).when(i % 13 == 0, head_bad)
+            .when(i % 17 == 0, no_label).otherwise(plain))
+    return df.select(id_col, line.alias("line"))
