@@ -408,6 +408,8 @@ class KMeansResult:
     centroids: Centroids
     trace: list[dict] = field(default_factory=list)
     sizes: dict[int, int] = field(default_factory=dict)
+    # centroids each iteration assigned to (iteration i used history[i-1])
+    history: list[Centroids] = field(default_factory=list)
 
     def centroids_frame(self, spark: SparkSession) -> DataFrame:
         return centroid_frame(spark, self.centroids)
@@ -464,6 +466,7 @@ def kmeans(
         result = KMeansResult(centroids=cents)
         for it in range(1, max_iter + 1):
             t0 = time.perf_counter()
+            result.history.append(cents)
             new, sizes = step(pts, cents, assign_mode, empty_cluster)
             moved_by = shifts(cents, new)
             n_moved = sum(1 for s in moved_by.values() if s > eps)
@@ -496,6 +499,49 @@ def cluster_labels(assigned: DataFrame, label_col: str = "label") -> DataFrame:
     return assigned.groupBy("j", label_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def label_trace(points: DataFrame, history: Sequence[Centroids],
+                label_col: str = "label") -> DataFrame:
+    """K7 at every iteration: ``(iteration, j, label, n)``, the labels found
+    in each cluster when iteration i assigned the points to ``history[i-1]``.
+
+    One job for all iterations: each task assigns its points under every
+    iteration's centroids (T*k*d numbers, bounded like one centroid table per
+    iteration) and returns its counts; a partial + final aggregate adds them."""
+    if not history:
+        raise ValueError("empty history")
+    for cents in history:
+        _check_size(cents)
+    d = _dim(history[0])
+    mats = [_matrix(c) for c in history]
+    label_type = points.schema[label_col].dataType.simpleString()
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            labels = pdf[label_col].to_numpy()
+            frames = []
+            for it, (js, C) in enumerate(mats, start=1):
+                _, D = _batch_distances(pdf, C)
+                best = js[D.argmin(axis=1)]
+                counts = pd.DataFrame({"j": best, "label": labels}).value_counts().reset_index()
+                counts.columns = ["j", "label", "n"]
+                counts.insert(0, "iteration", it)
+                frames.append(counts)
+            out = pd.concat(frames, ignore_index=True)
+            out["iteration"] = out["iteration"].astype(np.int32)
+            out["j"] = out["j"].astype(np.int32)
+            out["n"] = out["n"].astype(np.int64)
+            yield out
+
+    partial = _with_coords(points, d, [label_col]).mapInPandas(
+        run, f"iteration int, j int, {label_col} {label_type}, n bigint")
+    return partial.groupBy("iteration", "j", label_col).agg(F.sum("n").alias("n"))
+
+
 def variant_timings(
     points: DataFrame,
     init: Centroids,

@@ -80,6 +80,12 @@ def q_cluster_labels(spark, sf_dir):
     return km.cluster_labels(res.assign(pts))
 
 
+def q_cluster_labels_trace(spark, sf_dir):
+    """K7 at every iteration of the fit (one job after the loop)."""
+    pts, res = _fit(spark, sf_dir)
+    return km.label_trace(pts, res.history)
+
+
 def q_centroid_shift(spark, sf_dir):
     pts = embedding_points(spark, sf_dir)
     seeds = embedding_seeds(pts)
@@ -230,6 +236,7 @@ QUERIES = {
     "kmeans_fit": q_kmeans_fit,
     "kmeans_trace": q_kmeans_trace,
     "cluster_labels": q_cluster_labels,
+    "cluster_labels_trace": q_cluster_labels_trace,
     "centroid_shift": q_centroid_shift,
     "kmeans_empty_cluster": q_kmeans_empty_cluster,
     "kmeans_empty_keep": q_kmeans_empty_keep,
@@ -332,6 +339,12 @@ def _fit_sql(max_iter: int, eps: float, final: str, seed_cte: str = _C0) -> str:
         return head + "\nUNION ALL\n".join(trace)
     if final == "labels":
         return head + "SELECT j, label, count(*) AS n FROM fa GROUP BY j, label"
+    if final == "label_trace":
+        return head + "\nUNION ALL\n".join(
+            f"SELECT {i}::INTEGER AS iteration, j, label, count(*) AS n FROM a{i} "
+            f"WHERE NOT (SELECT s FROM s{i - 1}) GROUP BY j, label"
+            for i in range(1, max_iter + 1)
+        )
     raise ValueError(final)
 
 
@@ -382,6 +395,7 @@ ORACLES = {
     ),
     "kmeans_trace": _fit_sql(MAX_ITER, EPS, "trace"),
     "cluster_labels": _fit_sql(MAX_ITER, EPS, "labels"),
+    "cluster_labels_trace": _fit_sql(MAX_ITER, EPS, "label_trace"),
     "cross_distances": (
         f"WITH {_P}, {_C0} SELECT vec_id, j, round(list_distance(p.x, c0.c), 6) AS d FROM p, c0"
     ),
