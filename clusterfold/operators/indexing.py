@@ -44,8 +44,10 @@ def row_index_counted(
     ``check_unique`` adds one aggregate job that verifies the key is
     unique (a repeated key would make the index order arbitrary)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # without an explicit count AQE may merge adjacent (small) ranges
+    ranged = (df.repartitionByRange(partitions, *order_cols) if partitions
+              else df.repartitionByRange(*order_cols))
+    ordered = ranged.sortWithinPartitions(*order_cols)
     tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()).persist(
         StorageLevel.MEMORY_AND_DISK
     )

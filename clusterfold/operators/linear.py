@@ -245,13 +245,13 @@ def affine_chunks(
     ``ordered_input``: ``df`` is already partitioned so that every partition
     holds a contiguous range of the (keys, ord) order (e.g. the output of
     ``row_index``); then only the local sort runs, no new exchange."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cexpr = F.col(coef).cast("double") if isinstance(coef, str) else F.lit(float(coef))
     src = df.where(require_length("x", d, "feature vector")).select(
         *keys, ord_col, *_coords(d), F.col("y").cast("double").alias("y"), cexpr.alias("_c"))
     if not ordered_input:
-        src = src.repartitionByRange(n, *keys, ord_col)
+        # no explicit count unless given: AQE may then merge adjacent ranges
+        src = (src.repartitionByRange(partitions, *keys, ord_col) if partitions
+               else src.repartitionByRange(*keys, ord_col))
     parted = src.sortWithinPartitions(*keys, ord_col)
     schema = _chunk_schema(df, keys, ord_col)
     width = (d + 1) * (d + 1)
@@ -319,12 +319,13 @@ def chain_chunks(
     or with ``trace`` the weights after every segment (shard relay)."""
     import numpy as np
 
-    spark = chunks.sparkSession
     d = len(w0)
     v0 = np.append(np.asarray([float(v) for v in w0]), 1.0)
     gk = list(group_keys)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = chunks.repartition(n, *gk) if gk else chunks.repartition(1)
+    if gk:
+        src = chunks.repartition(partitions, *gk) if partitions else chunks.repartition(*gk)
+    else:
+        src = chunks.repartition(1)
     order = gk + ([seg_key] if seg_key else []) + ["_first"]
     parted = src.sortWithinPartitions(*order)
     fields = [chunks.schema[k] for k in gk]
@@ -526,7 +527,7 @@ def sgd_adagrad(
     groups (2d numbers each), as the reference's shard relay hands on w."""
     spark = train.sparkSession
     keys = list(by)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions
     d = len(w0)
     src = train.where(require_length("x", d, "feature vector")).select(
         *keys, ord_col, *_coords(d), F.col("y").cast("double").alias("y"))
@@ -553,7 +554,8 @@ def sgd_adagrad(
     else:
         cold, hot_src = None, src
     # at most 4 chunks per shuffle partition: the relay is one job per chunk
-    chunks = max(1, min(-(-hot_total // hot_rows), 4 * n))
+    cap = 4 * (n or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    chunks = max(1, min(-(-hot_total // hot_rows), cap))
     state = _adagrad_relay(hot_src, keys, ord_col, d, chunks, w_init, s_init, a, step, eps)
     relayed = spark.createDataFrame(
         [tuple(key) + (p, float(w[p])) for key, (w, _) in sorted(state.items()) for p in range(d)],
@@ -566,9 +568,11 @@ def sgd_adagrad(
 
 def _adagrad_streamed(src, keys, ord_col, d, n, w_init, s_init, a, step, eps, schema):
     """One task per group set: hash-partitioned, sorted, streamed."""
-    parted = (src.repartition(n, *keys) if keys else src.repartition(1)).sortWithinPartitions(
-        *keys, ord_col
-    )
+    if not keys:
+        src = src.repartition(1)
+    else:
+        src = src.repartition(n, *keys) if n else src.repartition(*keys)
+    parted = src.sortWithinPartitions(*keys, ord_col)
     cols = [f.name for f in schema.fields]
 
     def run(batches):
