@@ -58,3 +58,17 @@ def delimited_counts(lines: DataFrame, n_features: int, sep: str = ",",
         F.count_if(blank).alias("n_blank"),
         F.count_if(~blank & bad).alias("n_rejected"),
     )
+
+
+def read_points(spark, path: str, n_features: int, sep: str = ",", mode: str = "strict",
+                ) -> DataFrame:
+    """S1 + S2 + P4 from text files: ``(id, x, label)`` labelled points with
+    a 0-based id in file order (the reference's textFile, split, zipWithIndex)."""
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    # file order: input file and position within it, then a gap-free index
+    ordered = lines.select(F.input_file_name().alias("_f"),
+                           F.monotonically_increasing_id().alias("_p"), "line")
+    pts = parse_points(ordered, n_features, sep, mode, keep=["_f", "_p"])
+    from clusterfold.operators.indexing import row_index
+
+    return row_index(pts, ["_f", "_p"], "id").select("id", "x", "label")

@@ -4,7 +4,8 @@
 file reader itself, so a file of any size is read in parallel splits.
 ``text_lines`` does the same for a text column: ``posexplode(split)``
 is a generator inside one projection, no shuffle.  Line-end rule of a
-text file: a final line break does not start an extra empty line.
+text file reader: ``\n``, ``\r\n`` and ``\r`` all end a line, and a final
+line break does not start an extra empty line.
 """
 
 from __future__ import annotations
@@ -20,10 +21,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def text_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """S1 over a text column: ``(id_col, line_no int, line)``, 0-based."""
-    body = F.when(F.col(text_col).endswith("\n"),
-                  F.expr(f"substring({text_col}, 1, length({text_col}) - 1)")
-                  ).otherwise(F.col(text_col))
-    return df.select(id_col, F.posexplode(F.split(body, "\n", -1)).alias("line_no", "line")).select(
+    body = F.regexp_replace(F.col(text_col), "(\r\n|\r|\n)$", "")
+    lines = F.split(body, "\r\n|\r|\n", -1)
+    return df.select(id_col, F.posexplode(lines).alias("line_no", "line")).select(
         id_col, F.col("line_no").cast("int").alias("line_no"), "line"
     )
 

@@ -82,3 +82,16 @@ def test_strict_mode_independent_of_ansi(spark):
             D.parse_points(lines, 2, mode="strict").collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_text_lines_crlf(spark):
+    df = spark.createDataFrame([(1, "a\r\nb\r\n"), (2, "a\rb")], "id int, text string")
+    rows = [(r["id"], r["line"]) for r in S.text_lines(df, "id", "text").orderBy("id", "line_no").collect()]
+    assert rows == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+
+
+def test_read_points_file_order(spark, tmp_path):
+    p = tmp_path / "pts.txt"
+    p.write_text("5.1,3.5,1.4,0.2,A\n\n4.9,3.0,1.4,0.2,B\n4.7,3.2,1.3,0.2,A\n")
+    pts = D.read_points(spark, str(p), 4).orderBy("id").collect()
+    assert [(r["id"], r["label"]) for r in pts] == [(0, "A"), (1, "B"), (2, "A")]
