@@ -123,3 +123,15 @@ def test_adagrad_single_hot_group_relayed(spark):
     exp = _brute_adagrad([(o, "all", x, y) for o, _, x, y in rows], 0.1, 1e-5, scale=False)["all"]
     w = [r["w"] for r in got.orderBy("pos").collect()]
     assert w == pytest.approx(exp, rel=1e-12, abs=1e-15)
+
+
+def test_hot_group_is_split_across_tasks(spark):
+    # one group holds a third of the rows: phase 1 must cut it into chunks
+    df = spark.range(0, 30000, 1, 6).select(
+        F.col("id").alias("ord"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("g"),
+        F.array(F.lit(0.5), F.lit(1.0)).alias("x"), F.lit(1.0).alias("y"))
+    chunks = lin.affine_chunks(df, ["g"], "ord", 0.01, 2, partitions=8)
+    per_group = {r["g"]: r["count"] for r in chunks.groupBy("g").count().collect()}
+    assert per_group["hot"] >= 3
+    assert max(n for g, n in per_group.items() if g != "hot") <= 2
