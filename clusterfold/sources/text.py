@@ -21,9 +21,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def text_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """S1 over a text column: ``(id_col, line_no int, line)``, 0-based."""
-    body = F.regexp_replace(F.col(text_col), "(\r\n|\r|\n)$", "")
-    lines = F.split(body, "\r\n|\r|\n", -1)
-    return df.select(id_col, F.posexplode(lines).alias("line_no", "line")).select(
+    # literal replacements and a one-character split keep the fast paths
+    # (a regex alternation split was measured 6x slower on sf0.1 documents)
+    t = F.col(text_col)
+    nl = F.when(F.instr(t, "\r") > 0,
+                F.replace(F.replace(t, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+                ).otherwise(t)
+    # the normalised text is computed once, in a projection below the generator
+    norm = df.select(id_col, nl.alias("_t"))
+    t = F.col("_t")
+    body = F.when(t.endswith("\n"), t.substr(F.lit(1), F.length(t) - 1)).otherwise(t)
+    lines = F.split(body, "\n", -1)
+    return norm.select(id_col, F.posexplode(lines).alias("line_no", "line")).select(
         id_col, F.col("line_no").cast("int").alias("line_no"), "line"
     )
 
