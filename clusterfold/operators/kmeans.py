@@ -4,10 +4,10 @@ Design
 ------
 * Points are ``(id bigint, x array<double>, label)``; they are read once,
   projected to those columns and persisted.  They never shuffle.
-* Centroids are a k x d table, bounded by the caller's k and the feature
-  width (checked against ``MAX_CENTROID_VALUES``).  They live on the driver
-  and reach the tasks as literals inside the projection, i.e. as part of
-  the task closure (PySpark broadcasts a large closure by itself).
+* Centroids are a k x d table (the model) held by the driver.  They reach
+  the tasks inside the task closure while small (``CLOSURE_VALUES``), and
+  as broadcast chunks beyond that; tasks then take a running argmin chunk
+  by chunk, so no k is too large and no candidate is left out.
 * Assignment has two physical forms, picked by ``assign_mode='auto'``:
   - ``expr`` (k*d <= ``EXPR_MAX_TERMS``): the nearest centroid is
     ``least(struct(dist_0, 0), ..., struct(dist_k-1, k-1))`` with every
@@ -47,8 +47,10 @@ from pyspark.sql.window import Window
 from clusterfold.functions.vectors import dist_const, require_length
 from clusterfold.operators.indexing import hash_key
 
-# Fixed limit: centroids travel inside task closures, so k*d is bounded.
-MAX_CENTROID_VALUES = 4_000_000
+# Centroid values shipped inside a task closure; beyond that
+# they travel as broadcast chunks of at most BROADCAST_CHUNK_VALUES values.
+CLOSURE_VALUES = 1_000_000
+BROADCAST_CHUNK_VALUES = 4_000_000
 # Largest k*d for which the unrolled codegen expression is used.
 EXPR_MAX_TERMS = 128
 
@@ -106,15 +108,44 @@ def collect_centroids(frame: DataFrame) -> Centroids:
 
 
 def _check_size(cents: Centroids) -> None:
+    """All centroids have one width (any k*d is accepted: see ``_Shipped``)."""
     d = {len(c) for c in cents.values()}
     if len(d) > 1:
         raise ValueError(f"centroids of different lengths: {sorted(d)}")
-    width = d.pop() if d else 0
-    if len(cents) * width > MAX_CENTROID_VALUES:
-        raise ValueError(
-            f"k*d = {len(cents) * width} exceeds {MAX_CENTROID_VALUES}; "
-            "centroids are shipped with every task"
-        )
+
+
+class _Shipped:
+    """A centroid table on its way to the tasks: inside the closure while it
+    holds at most ``CLOSURE_VALUES`` numbers, else as broadcast chunks
+    (a known size: k*d doubles in total).  ``chunks()`` runs on executors."""
+
+    def __init__(self, spark: SparkSession, cents: Centroids):
+        js, C = _matrix(cents)
+        self.js = js
+        self.k, self.d = C.shape
+        self.local = None
+        self.parts = []
+        if C.size <= CLOSURE_VALUES:
+            self.local = C
+        else:
+            rows = max(1, BROADCAST_CHUNK_VALUES // max(self.d, 1))
+            sc = spark.sparkContext
+            self.parts = [sc.broadcast(C[s:s + rows]) for s in range(0, self.k, rows)]
+
+    def chunks(self):
+        """(offset, matrix) pieces of the table, in centroid order."""
+        if self.local is not None:
+            yield 0, self.local
+            return
+        off = 0
+        for b in self.parts:
+            C = b.value
+            yield off, C
+            off += len(C)
+
+    def release(self) -> None:
+        for b in self.parts:
+            b.unpersist()
 
 
 def centroid_frame(spark: SparkSession, cents: Centroids) -> DataFrame:
@@ -167,17 +198,43 @@ def _with_coords(points: DataFrame, d: int, keep: list[str]) -> DataFrame:
     return points.where(require_length("x", d, "point")).select(*keep, "x")
 
 
-def _batch_distances(pdf, C):
-    """(X, D): the batch's points (n, d) and their distances (n, k)."""
+def _batch_points(pdf, d: int):
+    """(n, d) matrix of a batch's points."""
     import numpy as np
 
     xs = pdf["x"]
-    X = np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, C.shape[1]))
+    return np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, d))
+
+
+def _distances(X, C):
+    """(n, k) Euclidean distances of points X to centroids C."""
+    import numpy as np
+
     D = np.empty((X.shape[0], C.shape[0]))
     for t in range(C.shape[0]):
         diff = X - C[t]
         D[:, t] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-    return X, D
+    return D
+
+
+def _nearest(X, ship):
+    """(index into ship.js, distance) of every point's nearest centroid,
+    chunk by chunk; ties go to the lowest j (first in a chunk, and a later
+    chunk must be strictly closer)."""
+    import numpy as np
+
+    n = X.shape[0]
+    best_d = np.full(n, np.inf)
+    best_i = np.zeros(n, dtype=np.int64)
+    rows = np.arange(n)
+    for off, C in ship.chunks():
+        D = _distances(X, C)
+        a = D.argmin(axis=1) if n else np.zeros(0, dtype=np.int64)
+        dm = D[rows, a] if n else np.zeros(0)
+        better = dm < best_d
+        best_d[better] = dm[better]
+        best_i[better] = a[better] + off
+    return best_i, best_d
 
 
 def _point_schema(points: DataFrame, keep: list[str]) -> str:
@@ -193,20 +250,18 @@ def assign(points: DataFrame, cents: Centroids, mode: str = "auto") -> DataFrame
     keep = [c for c in points.columns if c != "x"]
     if mode == "expr":
         return _assigned_expr(points, cents).select(*keep, "j", "d")
-    js, C = _matrix(cents)
+    ship = _Shipped(points.sparkSession, cents)
+    d = ship.d
 
     def run(batches):
-        import pandas as pd
-
         for pdf in batches:
-            _, D = _batch_distances(pdf, C)
-            best = D.argmin(axis=1)  # first minimum -> lowest j
+            best, dist = _nearest(_batch_points(pdf, d), ship)
             out = pdf[keep].copy()
-            out["j"] = js[best]
-            out["d"] = D[range(len(D)), best] if len(D) else pd.Series([], dtype=float)
+            out["j"] = ship.js[best]
+            out["d"] = dist
             yield out
 
-    return _with_coords(points, C.shape[1], keep).mapInPandas(run, _point_schema(points, keep))
+    return _with_coords(points, d, keep).mapInPandas(run, _point_schema(points, keep))
 
 
 def _assigned_expr(points: DataFrame, cents: Centroids) -> DataFrame:
@@ -237,23 +292,25 @@ def distance_rows(points: DataFrame, cents: Centroids, mode: str = "auto") -> Da
             .select("id", F.explode(pairs).alias("_p"))
             .select("id", "_p.j", "_p.d")
         )
-    js, C = _matrix(cents)
+    ship = _Shipped(points.sparkSession, cents)
+    d = ship.d
 
     def run(batches):
         import numpy as np
         import pandas as pd
 
         for pdf in batches:
-            _, D = _batch_distances(pdf, C)
-            yield pd.DataFrame(
-                {
-                    "id": np.repeat(pdf["id"].to_numpy(), len(js)),
-                    "j": np.tile(js, len(pdf)),
+            X = _batch_points(pdf, d)
+            ids = pdf["id"].to_numpy()
+            for off, C in ship.chunks():
+                D = _distances(X, C)
+                yield pd.DataFrame({
+                    "id": np.repeat(ids, len(C)),
+                    "j": np.tile(ship.js[off:off + len(C)], len(pdf)),
                     "d": D.reshape(-1),
-                }
-            )
+                })
 
-    return _with_coords(points, C.shape[1], ["id"]).mapInPandas(run, "id bigint, j int, d double")
+    return _with_coords(points, d, ["id"]).mapInPandas(run, "id bigint, j int, d double")
 
 
 def assign_stepwise(points: DataFrame, cents: Centroids, mode: str = "auto") -> DataFrame:
@@ -281,11 +338,12 @@ def cluster_sums(assigned: DataFrame) -> DataFrame:
     return e.groupBy("j", "pos").agg(F.sum("_v").alias("s"), F.count(F.lit(1)).alias("n"))
 
 
-def _partial_sums_arrow(points: DataFrame, cents: Centroids) -> DataFrame:
+def _partial_sums_arrow(points: DataFrame, ship: "_Shipped | Centroids") -> DataFrame:
     """Per partition: nearest centroid by numpy, then the partition's sums
     in long form ``(j, pos, s, n)``: k*d rows per partition at most."""
-    js, C = _matrix(cents)
-    k, d = C.shape
+    if isinstance(ship, dict):
+        ship = _Shipped(points.sparkSession, ship)
+    js, k, d = ship.js, ship.k, ship.d
 
     def run(batches):
         import numpy as np
@@ -294,8 +352,8 @@ def _partial_sums_arrow(points: DataFrame, cents: Centroids) -> DataFrame:
         S = np.zeros((k, d))
         N = np.zeros(k, dtype=np.int64)
         for pdf in batches:
-            X, D = _batch_distances(pdf, C)
-            best = D.argmin(axis=1)
+            X = _batch_points(pdf, d)
+            best, _ = _nearest(X, ship)
             N += np.bincount(best, minlength=k)
             for t in np.unique(best):
                 S[t] += X[best == t].sum(axis=0)
@@ -346,7 +404,15 @@ def step_sums(points: DataFrame, cents: Centroids, assign_mode: str = "auto") ->
         return cluster_sums(assign_stepwise(points, cents, inner)).collect()
     if _mode(cents, assign_mode) == "expr":
         return cluster_sums(_assigned_expr(points, cents)).collect()
-    partial = _partial_sums_arrow(points, cents)
+    ship = _Shipped(points.sparkSession, cents)
+    try:
+        return _collect_sums(points, ship, k, d)
+    finally:
+        ship.release()
+
+
+def _collect_sums(points: DataFrame, ship: "_Shipped", k: int, d: int) -> list:
+    partial = _partial_sums_arrow(points, ship)
     if points.rdd.getNumPartitions() * k * d <= MAX_DRIVER_PARTIALS:
         # single-stage job: each task returns at most k*d rows
         acc: dict[tuple[int, int], list] = {}
@@ -511,7 +577,7 @@ def label_trace(points: DataFrame, history: Sequence[Centroids],
     for cents in history:
         _check_size(cents)
     d = _dim(history[0])
-    mats = [_matrix(c) for c in history]
+    ships = [_Shipped(points.sparkSession, c) for c in history]
     label_type = points.schema[label_col].dataType.simpleString()
 
     def run(batches):
@@ -522,10 +588,10 @@ def label_trace(points: DataFrame, history: Sequence[Centroids],
             if len(pdf) == 0:
                 continue
             labels = pdf[label_col].to_numpy()
+            X = _batch_points(pdf, d)
             frames = []
-            for it, (js, C) in enumerate(mats, start=1):
-                _, D = _batch_distances(pdf, C)
-                best = js[D.argmin(axis=1)]
+            for it, ship in enumerate(ships, start=1):
+                best = ship.js[_nearest(X, ship)[0]]
                 counts = pd.DataFrame({"j": best, "label": labels}).value_counts().reset_index()
                 counts.columns = ["j", "label", "n"]
                 counts.insert(0, "iteration", it)

@@ -83,6 +83,31 @@ def test_assignment_does_not_shuffle_points(spark):
     assert "MapInPandas" in physical_plan(s)
 
 
-def test_centroid_size_is_bounded(spark):
-    with pytest.raises(ValueError, match="exceeds"):
-        km._check_size({j: [0.0] * 1000 for j in range(5000)})
+def test_large_centroid_tables_go_as_broadcast_chunks(spark, monkeypatch):
+    """No cap on k: beyond the closure bound the table is broadcast in
+    chunks and the argmin runs chunk by chunk, with the same result."""
+    pts = embedding_points(spark, SF_SMALL)
+    seeds = embedding_seeds(pts)
+    base_assign = {r["id"]: (r["j"], r["d"]) for r in km.assign(pts, seeds, "arrow").collect()}
+    base_step, base_sizes = km.step(pts, seeds, "arrow")
+    base_rows = sorted((r["id"], r["j"], r["d"]) for r in km.distance_rows(pts, seeds, "arrow").collect())
+    monkeypatch.setattr(km, "CLOSURE_VALUES", 10)
+    monkeypatch.setattr(km, "BROADCAST_CHUNK_VALUES", 64 * 3)  # 3 centroids per chunk
+    ship = km._Shipped(spark, seeds)
+    assert ship.local is None and len(ship.parts) == 4
+    ship.release()
+    got = {r["id"]: (r["j"], r["d"]) for r in km.assign(pts, seeds, "arrow").collect()}
+    assert got == base_assign
+    step, sizes = km.step(pts, seeds, "arrow")
+    _close(step, base_step)
+    assert sizes == base_sizes
+    rows = sorted((r["id"], r["j"], r["d"]) for r in km.distance_rows(pts, seeds, "arrow").collect())
+    assert rows == base_rows
+
+
+def test_ties_across_chunks_go_to_lowest_id(spark, monkeypatch):
+    monkeypatch.setattr(km, "CLOSURE_VALUES", 1)
+    monkeypatch.setattr(km, "BROADCAST_CHUNK_VALUES", 1)  # one centroid per chunk
+    pts = spark.createDataFrame([(0, [0.0])], "id bigint, x array<double>")
+    r = km.assign(pts, {0: [1.0], 1: [-1.0], 2: [1.0]}, "arrow").first()
+    assert r["j"] == 0 and r["d"] == 1.0
