@@ -64,20 +64,80 @@ def _check_finite(w: Sequence[float], what: str) -> None:
         raise FloatingPointError(f"{what} diverged: {list(w)}")
 
 
+# Fixed value: up to this feature count the sums are aggregate columns
+# (compiled together); wider vectors use long-form partial sums.
+_WIDE_FEATURES = 8
+
+
 def gradient(train: DataFrame, w: Sequence[float]) -> list[float]:
     """G1: sum over rows of 2 (w.x - y) x (one aggregate job)."""
     d = len(w)
+    checked = train.where(require_length("x", d, "feature vector"))
+    if d > _WIDE_FEATURES:
+        # residual per row, then (pos, value) rows feed a partial aggregate
+        r = checked.select((2.0 * (F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in w]),
+                                                            lambda a, b: a * b),
+                                                 F.lit(0.0), lambda acc, v: acc + v)
+                                     - F.col("y"))).alias("_r"), "x")
+        rows = r.select("_r", F.posexplode("x").alias("pos", "v")).groupBy("pos").agg(
+            F.sum(F.col("_r") * F.col("v")).alias("g")).collect()
+        g = [0.0] * d
+        for row in rows:
+            g[int(row["pos"])] = float(row["g"])
+        return g
     r = 2.0 * (dot_const("x", w) - F.col("y"))
-    row = (
-        train.where(require_length("x", d, "feature vector"))
-        .agg(*[F.sum(r * F.col("x")[i]).alias(f"g{i}") for i in range(d)])
-        .first()
-    )
+    row = checked.agg(*[F.sum(r * F.col("x")[i]).alias(f"g{i}") for i in range(d)]).first()
     return [float(row[f"g{i}"] or 0.0) for i in range(d)]
 
 
+def _gram_wide(train: DataFrame, d: int) -> tuple[int, list[list[float]], list[float]]:
+    """X'X, X'y and m for wide vectors: each task forms its own d x d
+    products with numpy (Arrow batches) and returns them in long form; a
+    partial + final aggregate adds them (d*d + d rows per task)."""
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        G = np.zeros((d, d))
+        h = np.zeros(d)
+        m = 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = np.stack(pdf["x"].to_numpy())
+            y = pdf["y"].to_numpy(dtype=float)
+            G += X.T @ X
+            h += X.T @ y
+            m += len(pdf)
+        ii, kk = np.triu_indices(d)
+        yield pd.DataFrame({
+            "i": np.concatenate([ii, np.arange(d), [-1]]).astype(np.int32),
+            "k": np.concatenate([kk, np.full(d, -1), [-1]]).astype(np.int32),
+            "v": np.concatenate([G[ii, kk], h, [float(m)]]),
+        })
+
+    src = train.where(require_length("x", d, "feature vector")).select(
+        F.col("x").cast("array<double>").alias("x"), F.col("y").cast("double").alias("y"))
+    rows = src.mapInPandas(run, "i int, k int, v double").groupBy("i", "k").agg(
+        F.sum("v").alias("v")).collect()
+    G = [[0.0] * d for _ in range(d)]
+    h = [0.0] * d
+    m = 0
+    for r in rows:
+        i, k, v = int(r["i"]), int(r["k"]), float(r["v"])
+        if i < 0:
+            m = int(round(v))
+        elif k < 0:
+            h[i] = v
+        else:
+            G[i][k] = G[k][i] = v
+    return m, G, h
+
+
 def gram(train: DataFrame, d: int) -> tuple[int, list[list[float]], list[float]]:
     """m, X'X and X'y in one aggregate (d*d + d + 1 partial sums per task)."""
+    if d > _WIDE_FEATURES:
+        return _gram_wide(train, d)
     x = F.col("x")
     aggs = [F.count(F.lit(1)).alias("m")]
     for i in range(d):

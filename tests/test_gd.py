@@ -92,3 +92,28 @@ def test_sampled_replicas_and_rule(spark):
 def test_divergence_raises(spark):
     with pytest.raises(FloatingPointError):
         lin.batch_gd(_line(spark, False), [0.0, 0.0], 200, 1.0)
+
+
+def test_wide_features_gram_scan_numpy(spark):
+    import numpy as np
+
+    d, n = 20, 3000
+    rng = np.random.default_rng(0)
+    X = rng.normal(size=(n, d))
+    X[:, -1] = 1.0
+    w_true = rng.normal(size=d)
+    y = X @ w_true + 0.01 * rng.normal(size=n)
+    df = spark.createDataFrame([(X[i].tolist(), float(y[i])) for i in range(n)],
+                               "x array<double>, y double").repartition(4)
+    m, G, h = lin.gram(df, d)
+    assert m == n
+    assert np.allclose(G, X.T @ X) and np.allclose(h, X.T @ y)
+    w0 = [0.0] * d
+    gram_w = lin.batch_gd(df, w0, 5, 0.05, "gram")
+    scan_w = lin.batch_gd(df, w0, 5, 0.05, "scan")
+    ref = np.zeros(d)
+    for _ in range(5):
+        ref = ref - (0.05 / n) * 2 * (X.T @ (X @ ref - y))
+    assert np.allclose(gram_w, ref, rtol=1e-9, atol=1e-12)
+    assert np.allclose(scan_w, ref, rtol=1e-9, atol=1e-12)
+    assert np.allclose(lin.gradient(df, list(w_true)), 2 * X.T @ (X @ w_true - y), atol=1e-8)
