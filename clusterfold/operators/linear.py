@@ -256,14 +256,17 @@ def _compose_runs(X, y, c, starts, ends):
     for i in long_runs:
         out[i] = _compose(X[starts[i]:ends[i]], y[starts[i]:ends[i]], c[starts[i]:ends[i]])
     short = np.flatnonzero(lengths <= _SHORT_RUN)
-    if len(short):
-        M = np.broadcast_to(np.eye(d + 1), (len(short), d + 1, d + 1)).copy()
-        L, S = lengths[short], starts[short]
+    # slices keep (runs, d+1, d+1) within the same memory budget as a block
+    step = max(1, _BLOCK_VALUES // ((d + 1) * (d + 1)))
+    for b in range(0, len(short), step):
+        sl = short[b:b + step]
+        M = np.broadcast_to(np.eye(d + 1), (len(sl), d + 1, d + 1)).copy()
+        L, S = lengths[sl], starts[sl]
         for t in range(int(L.max())):
             act = np.flatnonzero(L > t)
             idx = S[act] + t
             M[act] = np.matmul(_row_maps(X[idx], y[idx], c[idx]), M[act])
-        out[short] = M
+        out[sl] = M
     return out
 
 
