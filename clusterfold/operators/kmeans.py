@@ -411,9 +411,17 @@ def step_sums(points: DataFrame, cents: Centroids, assign_mode: str = "auto") ->
         ship.release()
 
 
+def _num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): take the executor-side path
+        return None
+
+
 def _collect_sums(points: DataFrame, ship: "_Shipped", k: int, d: int) -> list:
     partial = _partial_sums_arrow(points, ship)
-    if points.rdd.getNumPartitions() * k * d <= MAX_DRIVER_PARTIALS:
+    parts = _num_partitions(points)
+    if parts is not None and parts * k * d <= MAX_DRIVER_PARTIALS:
         # single-stage job: each task returns at most k*d rows
         acc: dict[tuple[int, int], list] = {}
         for r in partial.collect():

@@ -24,6 +24,13 @@ def table_path(sf_dir: str, name: str) -> str:
 _READS: dict[tuple, DataFrame] = {}
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # a Spark Connect session has no SparkContext
+        return "connect"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
     """Lazy DataFrame over one table.
 
@@ -32,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) ->
     be, so later jobs reuse the resolved scan.  ``refresh`` reads anew
     (after the files changed)."""
     path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    key = (_app_id(spark), id(spark), path)
     if refresh or key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
