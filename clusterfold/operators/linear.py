@@ -518,6 +518,17 @@ def sgd_relay(
     return chain_chunks(chunks, [], "shard", w0, trace=True)
 
 
+def _dense_index(df: DataFrame, ord_col: str) -> tuple[bool, int]:
+    """(is the integral, unique order key exactly 0..m-1?, m) in one
+    aggregate.  With a unique key, min 0 and max m-1 prove it is dense."""
+    if not isinstance(df.schema[ord_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        return False, df.count()
+    r = df.agg(F.min(ord_col).alias("lo"), F.max(ord_col).alias("hi"),
+               F.count(F.lit(1)).alias("m")).first()
+    m = int(r["m"])
+    return m > 0 and r["lo"] == 0 and r["hi"] == m - 1, m
+
+
 def sgd_sampled(
     train: DataFrame, w0: Sequence[float], step: float, steps: int | None = None,
     seed: int = 0, replicas: int = 1, rule: str = "arith", idx_col: str | None = None,
@@ -532,8 +543,12 @@ def sgd_sampled(
     in step order.  Returns ``replica, pos, w``."""
     spark = train.sparkSession
     if idx_col is None:
-        rows, m = row_index_counted(train, [ord_col], "_idx", partitions)
-        idx_col = "_idx"
+        dense, m = _dense_index(train, ord_col)
+        if dense:  # the unique order key already is the 0-based index
+            rows, idx_col = train, ord_col
+        else:
+            rows, m = row_index_counted(train, [ord_col], "_idx", partitions)
+            idx_col = "_idx"
     else:
         rows = train
         m = rows.count()

@@ -117,3 +117,11 @@ def test_wide_features_gram_scan_numpy(spark):
     assert np.allclose(gram_w, ref, rtol=1e-9, atol=1e-12)
     assert np.allclose(scan_w, ref, rtol=1e-9, atol=1e-12)
     assert np.allclose(lin.gradient(df, list(w_true)), 2 * X.T @ (X @ w_true - y), atol=1e-8)
+
+
+def test_sampled_dense_key_equals_row_index_path(spark):
+    t = _line(spark, True)
+    dense = _w(lin.sgd_sampled(t, [0.0, 0.0], 0.1, steps=700, seed=5, ord_col="ord"))
+    gaps = t.withColumn("ord", F.col("ord") * 3 + 7)  # same order, not an index
+    via_index = _w(lin.sgd_sampled(gaps, [0.0, 0.0], 0.1, steps=700, seed=5, ord_col="ord"))
+    assert dense == pytest.approx(via_index, rel=1e-12)
