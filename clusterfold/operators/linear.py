@@ -479,12 +479,21 @@ def sgd_pass(
 
 def with_shards(
     train: DataFrame, shards: int, ord_col: str = "ord", partitions: int | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, bool]:
     """Shard = floor(idx * P / m) with idx the 0-based rank by ``ord_col``:
     P contiguous, near-equal slices, as ``glom`` gives for data distributed
-    in order.  The result stays range-partitioned on ``ord_col``."""
-    idx, m = row_index_counted(train, [ord_col], "_idx", partitions)
-    return idx.withColumn("shard", F.floor(F.col("_idx") * shards / F.lit(max(m, 1))).cast("int")).drop("_idx")
+    in order.  Returns (frame, ordered): a dense unique key is its own rank
+    (one aggregate); otherwise the row index supplies it, and the frame
+    stays range-partitioned on ``ord_col`` (``ordered`` True)."""
+    dense, m = _dense_index(train, ord_col)
+    if dense:
+        idx, ordered = train.withColumn("_idx", F.col(ord_col).cast("long")), False
+    else:
+        idx, m = row_index_counted(train, [ord_col], "_idx", partitions)
+        ordered = True
+    sharded = idx.withColumn(
+        "shard", F.floor(F.col("_idx") * shards / F.lit(max(m, 1))).cast("int")).drop("_idx")
+    return sharded, ordered
 
 
 def sgd_averaged(
@@ -493,9 +502,9 @@ def sgd_averaged(
 ) -> DataFrame:
     """Every shard runs G4 from w0; the shard weights are averaged with
     equal weight (an empty shard contributes w0).  Returns ``pos, w``."""
-    sharded = with_shards(train, shards, ord_col, partitions)
+    sharded, ordered = with_shards(train, shards, ord_col, partitions)
     per_shard = sgd_pass(sharded, w0, step, ord_col, by=["shard"], partitions=partitions,
-                         ordered_input=True)
+                         ordered_input=ordered)
     present = per_shard.groupBy("pos").agg(F.sum("w").alias("sw"), F.count(F.lit(1)).alias("ns"))
     w0s = sharded.sparkSession.createDataFrame(
         [(i, float(v)) for i, v in enumerate(w0)], "pos int, w0 double"
@@ -512,9 +521,9 @@ def sgd_relay(
     """Shards processed in order, each starting from the weights the
     previous one left.  Returns ``shard, pos, w`` (weights after each
     shard; the last shard's row is the model, equal to G4 over all rows)."""
-    sharded = with_shards(train, shards, ord_col, partitions)
+    sharded, ordered = with_shards(train, shards, ord_col, partitions)
     chunks = affine_chunks(sharded, ["shard"], ord_col, 2.0 * step, len(w0), partitions,
-                           ordered_input=True)
+                           ordered_input=ordered)
     return chain_chunks(chunks, [], "shard", w0, trace=True)
 
 

@@ -125,3 +125,15 @@ def test_sampled_dense_key_equals_row_index_path(spark):
     gaps = t.withColumn("ord", F.col("ord") * 3 + 7)  # same order, not an index
     via_index = _w(lin.sgd_sampled(gaps, [0.0, 0.0], 0.1, steps=700, seed=5, ord_col="ord"))
     assert dense == pytest.approx(via_index, rel=1e-12)
+
+
+def test_shards_from_dense_key_equal_row_index_path(spark):
+    t = _line(spark, True)
+    gaps = t.withColumn("ord", F.col("ord") * 3 + 7)
+    for shards in (3, 8):
+        a = _w(lin.sgd_averaged(t, [0.0, 0.0], 0.01, shards, "ord"))
+        b = _w(lin.sgd_averaged(gaps, [0.0, 0.0], 0.01, shards, "ord"))
+        assert a == pytest.approx(b, rel=1e-12)
+    r1 = _w(lin.sgd_relay(t, [0.0, 0.0], 0.01, 4, "ord"), ["shard"])
+    r2 = _w(lin.sgd_relay(gaps, [0.0, 0.0], 0.01, 4, "ord"), ["shard"])
+    assert r1 == pytest.approx(r2, rel=1e-12)

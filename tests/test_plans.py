@@ -33,15 +33,20 @@ def test_fold_has_no_per_group_python_call(spark):
     assert "rangepartitioning" in plan.lower()
 
 
-def test_relay_reuses_row_index_partitioning(spark):
-    plan = physical_plan(lin.sgd_relay(train_orders(spark, SF_SMALL), [0.0, 0.0], 0.01, 4, "ord"))
-    # the only range exchange is the row index's on ord; a fold that
-    # re-partitioned would add one on (shard, ord)
-    assert "rangepartitioning(ord" in plan.lower()
-    assert "rangepartitioning(shard" not in plan.lower()
-    avg = physical_plan(lin.sgd_averaged(train_orders(spark, SF_SMALL), [0.0, 0.0], 0.01, 4, "ord"))
-    assert "rangepartitioning(shard" not in avg.lower()
-    plain = physical_plan(lin.sgd_pass(train_orders(spark, SF_SMALL), [0.0, 0.0], 0.01, "ord"))
+def test_shard_folds_shuffle_once(spark):
+    from pyspark.sql import functions as F
+
+    dense = train_orders(spark, SF_SMALL)  # o_orderkey is 0..m-1: its own rank
+    plan = physical_plan(lin.sgd_relay(dense, [0.0, 0.0], 0.01, 4, "ord")).lower()
+    assert "rangepartitioning(shard" in plan and "inmemoryrelation" not in plan
+    # a key with gaps goes through the row index, whose range partitioning
+    # the fold reuses: no second range exchange on (shard, ord)
+    gaps = dense.withColumn("ord", F.col("ord") * 3 + 1)
+    for job in (lin.sgd_relay(gaps, [0.0, 0.0], 0.01, 4, "ord"),
+                lin.sgd_averaged(gaps, [0.0, 0.0], 0.01, 4, "ord")):
+        p = physical_plan(job).lower()
+        assert "rangepartitioning(ord" in p and "rangepartitioning(shard" not in p
+    plain = physical_plan(lin.sgd_pass(dense, [0.0, 0.0], 0.01, "ord"))
     assert "rangepartitioning(ord" in plain.lower()
 
 
