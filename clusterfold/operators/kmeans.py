@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 
 from pyspark.sql.window import Window
 
-from clusterfold.functions.vectors import dist_const, require_length
+from clusterfold.functions.vectors import as_double_array, dist_const, require_length
 from clusterfold.operators.indexing import hash_key
 
 # Centroid values shipped inside a task closure; beyond that
@@ -66,7 +66,7 @@ def to_points(
     """Project a table to ``(id, x, label)`` with ``x`` as array<double>."""
     cols = [
         F.col(id_col).cast("bigint").alias("id"),
-        F.col(features_col).cast("array<double>").alias("x"),
+        as_double_array(features_col).alias("x"),
     ]
     if label_col is not None:
         cols.append(F.col(label_col).alias("label"))

@@ -153,7 +153,9 @@ def q_k_from_labels(spark, sf_dir):
 
 
 def q_label_domain(spark, sf_dir):
-    return embedding_points(spark, sf_dir).select("label").distinct()
+    from clusterfold.operators.indexing import distinct_values
+
+    return distinct_values(embedding_points(spark, sf_dir), "label")
 
 
 def q_head_n(spark, sf_dir):
