@@ -175,16 +175,21 @@ ORACLES = {
         "unnest(range(1, 4)) AS pos FROM customer)"
     ),
     "delimited_permissive": (
-        "SELECT c_custkey, (pos - 1)::INTEGER AS pos, v, label FROM (SELECT c_custkey, "
-        "CASE WHEN c_custkey % 17 = 0 THEN '' ELSE c_mktsegment END AS label, "
-        "unnest([c_custkey::DOUBLE, c_nationkey::DOUBLE, c_acctbal]) AS v, "
-        "unnest(range(1, 4)) AS pos FROM customer "
-        "WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0)"
+        f"WITH {_EDGE}, f AS (SELECT c_custkey, string_split(line, ',') AS parts FROM el "
+        "WHERE line <> ''), "
+        "p AS (SELECT c_custkey, parts[-1] AS label, [TRY_CAST(parts[1] AS DOUBLE), "
+        "TRY_CAST(parts[2] AS DOUBLE), TRY_CAST(parts[3] AS DOUBLE)] AS x FROM f "
+        "WHERE len(parts) >= 3) "
+        "SELECT c_custkey, (pos - 1)::INTEGER AS pos, x[pos] AS v, label FROM "
+        "(SELECT *, unnest(range(1, 4)) AS pos FROM p "
+        "WHERE x[1] IS NOT NULL AND x[2] IS NOT NULL AND x[3] IS NOT NULL)"
     ),
     "delimited_counts": (
-        f"WITH {_EDGE} SELECT count(*) AS n_lines, "
-        "count(*) FILTER (WHERE line = '') AS n_blank, "
-        "count(*) FILTER (WHERE line <> '' AND line LIKE 'n/a,%') AS n_rejected FROM el"
+        f"WITH {_EDGE}, f AS (SELECT line, string_split(line, ',') AS parts FROM el) "
+        "SELECT count(*) AS n_lines, count(*) FILTER (WHERE line = '') AS n_blank, "
+        "count(*) FILTER (WHERE line <> '' AND (len(parts) < 3 "
+        "OR TRY_CAST(parts[1] AS DOUBLE) IS NULL OR TRY_CAST(parts[2] AS DOUBLE) IS NULL "
+        "OR TRY_CAST(parts[3] AS DOUBLE) IS NULL)) AS n_rejected FROM f"
     ),
     "gen_pairs": _PAIRS,
     "lookup_pairs": (
