@@ -95,3 +95,12 @@ def test_read_points_file_order(spark, tmp_path):
     p.write_text("5.1,3.5,1.4,0.2,A\n\n4.9,3.0,1.4,0.2,B\n4.7,3.2,1.3,0.2,A\n")
     pts = D.read_points(spark, str(p), 4).orderBy("id").collect()
     assert [(r["id"], r["label"]) for r in pts] == [(0, "A"), (1, "B"), (2, "A")]
+
+
+def test_read_lines_crlf_file_counters(spark, tmp_path):
+    p = tmp_path / "crlf.txt"
+    p.write_bytes(b"Michael, 29\r\n\r\nAndy, 30\r\n")
+    lines = S.read_lines(spark, str(p))
+    assert [r["line"] for r in lines.collect()] == ["Michael, 29", "", "Andy, 30"]
+    c = TX.line_counters(lines).first()
+    assert (c["n_lines"], c["n_blank"], c["n_words"]) == (3, 1, 4)
