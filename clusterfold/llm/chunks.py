@@ -114,7 +114,7 @@ def gathered(found: DataFrame) -> DataFrame:
 
 def replies(chunks: DataFrame, send: Callable, answer: Callable, tally: Callable | None = None) -> DataFrame:
     """``chunk, bucket, reply, tally``: as :func:`exchange`; ``tally(parts)``
-    is a number for the bucket, carried by one of its rows (the others: 0)."""
+    is a byte string for the bucket, carried by one of its rows."""
     bounded_batches(chunks.sparkSession)
 
     def sending(batches):
@@ -127,12 +127,12 @@ def replies(chunks: DataFrame, send: Callable, answer: Callable, tally: Callable
 
     def answering(table: pa.Table) -> pa.Table:
         parts = [p for block in table.column("parts").chunks for p in block.to_pylist()]
-        numbers = np.zeros(len(parts), np.int64)
-        numbers[0] = tally(parts) if tally else 0
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "reply": pa.array(answer(parts), pa.binary()), "tally": numbers})
+        notes: list = [None] * len(parts)
+        notes[0] = tally(parts) if tally else None
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "reply": pa.array(answer(parts), pa.binary()), "tally": pa.array(notes, pa.binary())})
 
     sent = chunks.mapInArrow(sending, "bucket int, chunk long, parts array<binary>")
-    return sent.groupBy("bucket").applyInArrow(answering, "chunk long, bucket int, reply binary, tally long")
+    return sent.groupBy("bucket").applyInArrow(answering, "chunk long, bucket int, reply binary, tally binary")
 
 
 def with_replies(chunks: DataFrame, *answers: DataFrame) -> DataFrame:

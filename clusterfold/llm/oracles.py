@@ -20,9 +20,9 @@ WITH raw AS (
 ), open AS (
   SELECT leaf FROM named GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT line) > 1
 ), fields AS (
-  SELECT leaf, n, at, count(DISTINCT token) AS kinds FROM (
-    SELECT leaf, n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS at FROM named SEMI JOIN open USING (leaf)
-  ) GROUP BY leaf, n, at
+  SELECT leaf, n, spot, count(DISTINCT token) AS kinds FROM (
+    SELECT leaf, n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM named SEMI JOIN open USING (leaf)
+  ) GROUP BY leaf, n, spot
 ), general AS (
   SELECT leaf FROM fields GROUP BY leaf HAVING sum((kinds = 1)::INT) >= 0.7 * max(n)
 ), templates AS (
@@ -58,7 +58,7 @@ WITH doc AS (
 ), hits AS (
   SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, part)
 ), hit_words AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM hits) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS spot FROM hits) GROUP BY doc_id
 ), hit_items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
@@ -76,12 +76,12 @@ WITH doc AS (
 ), firsts AS (
   SELECT part, min(doc_id) AS first_id FROM windows GROUP BY part HAVING count(*) > 1
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS at FROM windows JOIN firsts USING (part) WHERE doc_id > first_id
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS spot FROM windows JOIN firsts USING (part) WHERE doc_id > first_id
 ), words AS (
-  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM doc
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS spot FROM doc
 ), kept AS (
-  SELECT doc_id, count(g.at) AS n_removed, string_agg(word, ' ' ORDER BY words.at) FILTER (WHERE g.at IS NULL) AS text
-  FROM words LEFT JOIN gone g USING (doc_id, at) GROUP BY doc_id
+  SELECT doc_id, count(g.spot) AS n_removed, string_agg(word, ' ' ORDER BY words.spot) FILTER (WHERE g.spot IS NULL) AS text
+  FROM words LEFT JOIN gone g USING (doc_id, spot) GROUP BY doc_id
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)

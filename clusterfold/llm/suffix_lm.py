@@ -1,216 +1,120 @@
-"""Language-model scoring by a probabilistic suffix tree.
-
-A text is its words (A-Z lower-cased) joined by one space, then an end
-symbol; symbols are bytes.  The tree's contexts are up to ``DEPTH`` symbols
-long.  A context stays in the tree if its share of all training positions is
-at least ``MIN_SHARE`` and its next-symbol distribution passes a divergence
-test against that of its longest proper suffix: the log-likelihood gain
-``N * KL`` must exceed ``followers / 2 * ln N``; suffixes of retained
-contexts stay as well.  Next-symbol distributions are smoothed by Witten-Bell
-interpolation with the suffix's distribution.  A text's score is the sum of
-the log10 probabilities of its symbols, each given the longest suffix of
-what stands before it that is a state.
-
-Training counts are gathered from the whole corpus by Spark (grams are
-pre-aggregated in the tasks, then summed); the shares bound the tree by
-``DEPTH / MIN_SHARE`` states whatever the corpus, so it can be broadcast.
-
-The same pass exchanges exact word counts (:mod:`chunks`), which give the
-add-one unigram baseline over words.
+"""Language-model scoring by a probabilistic suffix tree over words.
+
+A text's symbols are its words (A-Z lower-cased) and one end; a word that
+training never saw is the unknown symbol.  Contexts are the one to ``DEPTH``
+symbols before a position (a start symbol stands before the text).  A context
+may enter the tree if it stands at ``MIN_SHARE`` or more of the training
+positions; it is retained if the divergence of its next-symbol distribution
+from that of its longest proper suffix passes a test: the likelihood gain
+``N * KL`` must exceed ``followers / 2 * ln N``.  Suffixes of retained
+contexts stay.  Next-symbol distributions are interpolated with the suffix's
+(Witten-Bell) down to the root, which discounts every word's count by ``d``
+and gives the freed mass to the unknown symbol; all of them sum to one.  Each
+symbol is scored in the state of the longest suffix of what stands before it.
+
+Word counts are exact and come from an exchange of all chunks' distinct words
+(:mod:`chunks`), which is as large as the corpus.  Followers of contexts are
+counted one depth at a time: pre-aggregated in the tasks, summed by Spark,
+kept where a pair makes up ``MIN_PAIR_SHARE`` of the positions.  Both shares
+bound the tree (``1 / MIN_SHARE`` contexts and ``1 / MIN_PAIR_SHARE`` pairs a
+depth) whatever the corpus, so it is built on the driver and broadcast.
 
 Defined results: a null text is empty (one end symbol); with no training row
-every symbol has probability 1/257; repeated rows are scored and counted
-each; a null id is as its training flag says.
+everything is unknown, with probability 1; repeated rows are scored and
+counted each; a null id counts as the largest, its row as ``train`` says.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterfold.llm import chunks as C
 from clusterfold.llm import words as W
 from clusterfold.llm.frames import Shared, saved
-from clusterfold.llm.substrings import kept_texts
 
-DEPTH = 5
-MIN_SHARE = 5e-5  # of a context
-MIN_PAIR_SHARE = 1e-6  # of a context with its next symbol
-END = 10  # a byte that no word holds
-EMIT_GRAMS = 2_000_000
+DEPTH = 3
+MIN_SHARE = 1e-4  # of a context
+MIN_PAIR_SHARE = 5e-6  # of a context with its next symbol
+MIN_PAIRS = 2
+EMIT_PAIRS = 1_000_000
 KEY_BYTES = 25.0  # of text for each distinct word of a chunk, about
+START, END = W.mix(np.array([1, 2], W.U64))
+_MIX_CONTEXT, _MIX_PAIR = W.U64(0xA0761D6478BD642F), W.U64(0xE7037ED1A0B428DB)
+
+
+class Keys:
+    """Membership and places in a set of 64-bit keys."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.sort(keys)
+        self.bits = min(22, max(12, len(keys).bit_length() + 4))
+        self.seen = np.zeros(1 << self.bits, dtype=bool)
+        self.seen[self.keys >> W.U64(64 - self.bits)] = True
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        near = np.flatnonzero(self.seen[keys >> W.U64(64 - self.bits)])
+        if len(near):
+            place = np.minimum(np.searchsorted(self.keys, keys[near]), len(self.keys) - 1)
+            hit = self.keys[place] == keys[near]
+            out[near[hit]] = place[hit]
+        return out
 
 
-def stream(chunk: C.Chunk, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, places of the symbols to predict, their texts): every text
-    is preceded by ``DEPTH`` end symbols and closed by one."""
-    low = W.LOWER[chunk.data]
-    words = W.scan(low, chunk.offsets, W.SPACED)
-    data, offsets = kept_texts(low, words, np.ones(len(words.starts), dtype=bool))
-    sizes = np.diff(offsets)
-    text = np.arange(len(sizes))
-    if keep is not None:
-        text = text[keep]
-    lengths = sizes[text] + 1
-    ends = np.cumsum(lengths + DEPTH)
-    out = np.full(int(ends[-1]) if len(ends) else 0, END, np.uint8)
-    begins = ends - lengths
-    place = np.arange(int(lengths.sum())) + np.repeat(begins - (np.cumsum(lengths) - lengths), lengths)
-    is_end = np.zeros(len(place), dtype=bool)
-    if len(lengths):
-        is_end[np.cumsum(lengths) - 1] = True
-    wanted = np.repeat(offsets[text] - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(place))
-    out[place[~is_end]] = data[wanted[~is_end]]
-    return out, place, np.repeat(text, lengths)
-
-
-def _grams(batches):
-    """(gram, count) rows: DEPTH context bytes and the next, as one number."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def flush():
-        keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
-        held.clear()
-        for lo in range(0, len(keys), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + 100_000].astype(np.int64)), pa.array(counts[lo : lo + 100_000])], names=["gram", "n"])
-
-    for row in C.rows_of(batches):
-        chunk = C.Chunk(row)
-        data, place, _ = stream(chunk, chunk.marks)
-        if len(place):
-            gram = np.zeros(len(data), np.uint64)
-            for k in range(DEPTH + 1):
-                gram[DEPTH:] |= data[DEPTH - k : len(data) - k].astype(np.uint64) << np.uint64(8 * k)
-            held.append(np.unique(gram[place], return_counts=True))
-        if sum(len(k) for k, _ in held) > EMIT_GRAMS:
-            yield from flush()
-    if held:
-        yield from flush()
-
-
-def _levels(table: DataFrame) -> DataFrame:
-    """``depth, context, symbol, n, total, keep``: contexts and next symbols
-    with their shares of the training positions, and the divergence test."""
-    grams = saved(table.mapInArrow(_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
-    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least, least_pair = max(1, int(np.ceil(MIN_SHARE * total))), max(1, int(np.ceil(MIN_PAIR_SHARE * total)))
-    own = grams.select(F.expr("gram >> 8").alias("context"), F.expr("gram & 255").alias("symbol"), "n")
-    levels = []
-    for depth in range(DEPTH, -1, -1):
-        if depth < DEPTH:  # the oldest symbol of the context goes
-            own = own.withColumn("context", F.expr(f"context & {(1 << 8 * depth) - 1}L")).groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-        sums = own.groupBy("context").agg(F.sum("n").alias("total")).where(F.col("total") >= least)
-        # at most 1 / MIN_SHARE contexts are left
-        levels.append(own.where(F.col("n") >= least_pair).join(F.broadcast(sums), "context").withColumn("depth", F.lit(depth)))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out.select("depth", "context", "symbol", "n", "total")
+def longer(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Key of a context with one more symbol before it."""
+    return W.mix(context * _MIX_CONTEXT + symbol)
 
 
-@dataclass
-class Tree:
-    """States of the tree: next state by the symbol before, log10 next-symbol probabilities."""
-
-    number: np.ndarray  # byte -> symbol number; 0: not seen in training
-    child: np.ndarray
-    log10: np.ndarray
-
-    def states(self, symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-        state = np.zeros(len(place), np.int32)
-        live = np.arange(len(place))
-        for k in range(1, DEPTH + 1):
-            deeper = self.child[state[live], symbols[place[live] - k]]
-            more = deeper > 0
-            live = live[more]
-            state[live] = deeper[more]
-            if not len(live):
-                break
-        return state
-
-    def score(self, data: np.ndarray, place: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
-        out = np.zeros(n_texts)
-        symbols = self.number[data]
-        for lo in range(0, len(place), 1 << 18):
-            at = place[lo : lo + (1 << 18)]
-            out += np.bincount(text[lo : lo + (1 << 18)], weights=self.log10[self.states(symbols, at), symbols[at]], minlength=n_texts)
-        return out
+def pair(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    return W.mix(context * _MIX_PAIR ^ symbol)
 
 
-def build(rows) -> Tree:
-    """The tree from the (bounded) context table, a pandas frame."""
-    depth, context, symbol, n = (rows[c].to_numpy(np.int64) for c in ("depth", "context", "symbol", "n"))
-    used = np.unique(symbol)
-    number = np.zeros(256, np.int64)
-    number[used] = np.arange(1, len(used) + 1)
-    width = len(used) + 1
-    base = np.full(width, 1.0)  # add-one over 256 bytes and the end symbol's own value
-    root = depth == 0
-    np.add.at(base, number[symbol[root]], n[root])
-    total0 = n[root].sum() + 257.0
-    tables: list[dict[int, int]] = [{0: 0}]
-    probability, keeps, parents, symbols_of = [base[None, :] / total0], [np.array([True])], [np.array([0])], [np.array([0])]
-    for d in range(1, DEPTH + 1):
-        at = depth == d
-        keys, place = np.unique(context[at], return_inverse=True)
-        if d > 1:
-            known = np.array([int(k) & ((1 << 8 * (d - 1)) - 1) in tables[-1] for k in keys.tolist()], dtype=bool)
-        else:
-            known = np.ones(len(keys), dtype=bool)
-        remap = np.cumsum(known) - 1
-        row_ok = known[place] if len(keys) else np.zeros(0, bool)
-        keys, place = keys[known], remap[place][row_ok]
-        up = np.array([tables[-1][int(k) & ((1 << 8 * (d - 1)) - 1)] for k in keys.tolist()], np.int64)
-        counts = np.zeros((len(keys), width))
-        np.add.at(counts, (place, number[symbol[at][row_ok]]), n[at][row_ok])
-        seen, followers = counts.sum(axis=1), (counts > 0).sum(axis=1)
-        before = probability[-1][up] if len(keys) else np.zeros((0, width))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.where(counts > 0, counts * np.log(counts / seen[:, None] / before), 0.0).sum(axis=1)
-        keeps.append(gain > followers / 2 * np.log(np.maximum(seen, 2)))
-        probability.append((counts + followers[:, None] * before) / (seen + followers)[:, None])
-        tables.append({int(k): i for i, k in enumerate(keys.tolist())})
-        parents.append(up)
-        symbols_of.append((keys >> 8 * (d - 1)) & 255)
-    for d in range(DEPTH, 1, -1):  # suffixes of retained contexts stay
-        keeps[d - 1][parents[d][keeps[d]]] = True
-    ids, at = [], 0
-    for keep in keeps:
-        own = np.full(len(keep), -1, np.int64)
-        own[keep] = np.arange(at, at + keep.sum())
-        ids.append(own)
-        at += int(keep.sum())
-    child = np.zeros((at, width), np.int32)
-    for d in range(1, DEPTH + 1):
-        keep = keeps[d]
-        child[ids[d - 1][parents[d][keep]], number[symbols_of[d][keep]]] = ids[d][keep]
-    child[:, 0] = 0
-    # a state's number 0 is the root, which is nobody's child
-    return Tree(number, child, np.concatenate([np.log10(p[k]) for p, k in zip(probability, keeps)]).astype(np.float32))
+_EMPTY = W.U64(0)
+
+
+def symbols(chunk: C.Chunk, words: W.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, places to predict, their texts): ``DEPTH`` starts, the words, an end."""
+    counts = words.counts
+    sizes = counts + DEPTH + 1
+    ends = np.cumsum(sizes)
+    out = np.full(int(ends[-1]) if len(ends) else 0, START, W.U64)
+    text = words.text_of()
+    out[np.arange(len(hashes)) + DEPTH + (DEPTH + 1) * text] = hashes
+    out[ends - 1] = END
+    place = np.arange(len(out))
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    wanted = place - np.repeat(ends - sizes, sizes) >= DEPTH
+    return out, place[wanted], own[wanted]
+
+
+def _tokens(chunk: C.Chunk) -> tuple[W.Words, np.ndarray]:
+    low = W.LOWER[chunk.data]
+    words = W.scan(low, chunk.offsets, W.SPACED)
+    return words, W.word_hashes(low, words)
 
 
 def _send_words(n_buckets: int):
     def send(chunk: C.Chunk):
-        keys, counts = _word_counts(chunk)[:2]
+        words, hashes = _tokens(chunk)
+        keys, counts, _ = _trained(chunk, words, hashes)
         for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_buckets))):
             yield bucket, [keys[lo:hi].tobytes(), zstandard.compress(counts[lo:hi].astype("<u4").tobytes(), 1)]
 
     return send
 
 
-def _word_counts(chunk: C.Chunk):
-    """(distinct words, their training counts, words' places, words)."""
-    low = W.LOWER[chunk.data]
-    words = W.scan(low, chunk.offsets, W.SPACED)
-    keys, place = np.unique(W.word_hashes(low, words), return_inverse=True)
-    trained = np.bincount(place, weights=chunk.marks[words.text_of()], minlength=len(keys)).astype(np.int64)
-    return keys, trained, place, words
+def _trained(chunk: C.Chunk, words: W.Words, hashes: np.ndarray):
+    """(distinct words, their training counts, words' places)."""
+    keys, place = np.unique(hashes, return_inverse=True)
+    return keys, np.bincount(place, weights=chunk.marks[words.text_of()], minlength=len(keys)).astype(np.int64), place
 
 
 def _sums(parts):
@@ -219,33 +123,197 @@ def _sums(parts):
     counts = np.concatenate([np.frombuffer(zstandard.decompress(p[1]), "<u4") for p in parts]).astype(np.int64)
     order = np.argsort(every, kind="stable")
     first = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1]))
-    sums = np.add.reduceat(counts[order], first)
-    return keys, order, first, sums
+    return keys, every[order][first], order, first, np.add.reduceat(counts[order], first)
 
 
 def _answer_words(parts):
-    keys, order, first, sums = _sums(parts)
+    keys, _, order, first, sums = _sums(parts)
     out = np.empty(len(order), np.int64)
     out[order] = np.repeat(sums, np.diff(np.append(first, len(order))))
     return [zstandard.compress(x.astype("<u8").tobytes(), 1) for x in np.split(out, np.cumsum([len(k) for k in keys])[:-1])]
 
 
-def _distinct(parts):
-    return int((_sums(parts)[3] > 0).sum())
+def _tally_words(least: int):
+    """Distinct trained words, those seen once and twice, and the frequent ones."""
 
+    def tally(parts):
+        _, keys, _, _, sums = _sums(parts)
+        often = sums >= least
+        head = np.array([(sums > 0).sum(), (sums == 1).sum(), (sums == 2).sum()], np.int64)
+        return np.concatenate([head, keys[often].view(np.int64), sums[often]]).tobytes()
+
+    return tally
+
+
+def _train_tokens(table: DataFrame) -> tuple[int, int]:
+    """(symbols, ends) of the training rows."""
 
-def _score(tree, n_buckets: int, ends: int):
     def run(batches):
         for row in C.rows_of(batches):
             chunk = C.Chunk(row)
-            keys, _, place, words = _word_counts(chunk)
+            words = W.scan(chunk.data, chunk.offsets, W.SPACED)
+            ends = int(chunk.marks.sum())
+            yield pa.RecordBatch.from_arrays([pa.array([int(words.counts[chunk.marks].sum()) + ends], pa.int64()), pa.array([ends], pa.int64())], names=["n", "ends"])
+
+    row = table.mapInArrow(run, "n long, ends long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
+    return row[0], row[1]
+
+
+@dataclass
+class Level:
+    """Contexts of one length: totals, the mass left to the suffix, and the
+    probabilities of the pairs."""
+
+    contexts: Keys
+    left: np.ndarray
+    pairs: Keys
+    probability: np.ndarray
+
+
+@dataclass
+class Tree:
+    """Retained contexts by length, over a root of discounted word counts."""
+
+    n: int
+    distinct: int
+    discount: float
+    levels: list[Level] = field(default_factory=list)
+
+    def root(self, counts: np.ndarray) -> np.ndarray:
+        if not self.n:
+            return np.ones(len(counts))
+        return np.where(counts > 0, counts - self.discount, self.discount * self.distinct) / self.n
+
+    def probability(self, data: np.ndarray, place: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of each symbol in ``place``, in the state of the longest suffix
+        before it; ``counts`` are the symbols' training counts."""
+        out = self.root(counts)
+        live, context = np.arange(len(place)), np.full(len(place), _EMPTY)
+        for k, level in enumerate(self.levels):  # from the suffix to longer contexts
+            context = longer(context, data[place[live] - 1 - k])
+            state = level.contexts.find(context)
+            known = state >= 0
+            live, context, state = live[known], context[known], state[known]
+            if not len(live):
+                break
+            at = level.pairs.find(pair(context, data[place[live]]))
+            out[live] = np.where(at >= 0, level.probability[np.maximum(at, 0)], level.left[state] * out[live])
+        return out
+
+
+def _count_followers(contexts: Shared, next_: Shared, depth: int):
+    """(context, symbol, count) of the candidate contexts of one length."""
+
+    def run(batches):
+        held: list = []
+
+        def flush():
+            context, symbol, n = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            key = pair(context, symbol)
+            _, first, place = np.unique(key, return_index=True, return_inverse=True)
+            total = np.bincount(place, weights=n).astype(np.int64)
+            for lo in range(0, len(first), 100_000):
+                at = first[lo : lo + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(context[at].view(np.int64)), pa.array(symbol[at].view(np.int64)), pa.array(total[lo : lo + 100_000])], names=["context", "symbol", "n"])
+
+        for row in C.rows_of(batches):
+            chunk = C.Chunk(row)
+            words, hashes = _tokens(chunk)
+            data, place, text = symbols(chunk, words, hashes)
+            place = place[chunk.marks[text]]
+            context = np.full(len(place), _EMPTY)
+            for k in range(depth):
+                context = longer(context, data[place - 1 - k])
+            ok = (contexts.value.find(context) >= 0) & (next_.value.find(data[place]) >= 0)
+            context, symbol = context[ok], data[place[ok]]
+            _, first, n = np.unique(pair(context, symbol), return_index=True, return_counts=True)
+            held.append((context[first], symbol[first], n))
+            if sum(len(h[0]) for h in held) > EMIT_PAIRS:
+                yield from flush()
+        if held:
+            yield from flush()
+
+    return run
+
+
+def _grow(spark: SparkSession, table: DataFrame, tree: Tree, words: np.ndarray, counts: np.ndarray) -> Tree:
+    """Add the retained contexts, one length after the other."""
+    least, least_pair = max(MIN_PAIRS, MIN_SHARE * tree.n), max(MIN_PAIRS, MIN_PAIR_SHARE * tree.n)
+    next_ = Shared(spark, Keys(words))
+    by_word = dict(zip(words.tolist(), counts.tolist()))
+    # candidate contexts (symbols, oldest first) and their counts
+    starts = by_word.get(int(END), 0)
+    found = {(w,): n for w, n in by_word.items() if n >= least and w != int(END)} | ({(int(START),): starts} if starts >= least else {})
+
+    def key_of(symbols_: tuple) -> int:
+        context = np.array([_EMPTY])
+        for s in reversed(symbols_):
+            context = longer(context, np.array([s], W.U64))
+        return int(context[0])
+
+    prior: list[dict] = []  # per level: (context, symbol) -> probability; context -> mass left
+    for depth in range(1, DEPTH + 1):
+        keys = {key_of(c): c for c in found}
+        if not keys:
+            break
+        sent = Shared(spark, Keys(np.fromiter(keys, W.U64, len(keys))))
+        rows = table.mapInArrow(_count_followers(sent, next_, depth), "context long, symbol long, n long") \
+            .groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair).toPandas()
+        followers: dict[tuple, dict[int, int]] = {}
+        for context, symbol, n in zip(rows["context"].to_numpy(np.int64).view(W.U64).tolist(), rows["symbol"].to_numpy(np.int64).view(W.U64).tolist(), rows["n"].tolist()):
+            followers.setdefault(keys[context], {})[symbol] = n
+        level = {}
+        for context, own in followers.items():
+            kept, kinds = sum(own.values()), len(own)
+            before = {x: _before(tree, by_word, prior, context, x) for x in own}
+            rest, rest_before = found[context] - kept, 1 - sum(before.values())
+            gain = sum(n * np.log(n / found[context] / before[x]) for x, n in own.items())
+            if rest > 0 and rest_before > 0:
+                gain += rest * np.log(rest / found[context] / rest_before)
+            left = kinds / (kept + kinds)
+            level[context] = (gain > kinds / 2 * np.log(found[context]), left, {x: (n + kinds * before[x]) / (kept + kinds) for x, n in own.items()})
+        prior.append(level)
+        found = {(*context, x): n for context, own in followers.items() for x, n in own.items() if n >= least and x != int(END)}
+    keep: set[tuple] = {c for level in prior for c, (ok, _, _) in level.items() if ok}
+    keep |= {c[k:] for c in keep for k in range(1, len(c))}
+    for level in prior:
+        own = sorted((key_of(c), c) for c in level if c in keep)
+        if not own:
+            break
+        contexts = Keys(np.array([k for k, _ in own], W.U64))
+        rows = sorted((int(pair(np.array([k], W.U64), np.array([x], W.U64))[0]), p) for k, c in own for x, p in level[c][2].items())
+        tree.levels.append(Level(contexts, np.array([level[c][1] for _, c in own]), Keys(np.array([k for k, _ in rows], W.U64)), np.array([p for _, p in rows])))
+    return tree
+
+
+def _before(tree: Tree, by_word: dict, prior: list[dict], context: tuple, symbol: int) -> float:
+    """Probability of a frequent symbol after the context's longest proper suffix."""
+    p = (by_word[symbol] - tree.discount) / tree.n
+    for k in range(1, len(context)):
+        state = prior[k - 1].get(context[len(context) - k :])
+        if state is None:
+            break
+        p = state[2].get(symbol, state[1] * p)
+    return p
+
+
+def _score(tree: Shared, n_buckets: int, ends: int):
+    def run(batches):
+        for row in C.rows_of(batches):
+            chunk = C.Chunk(row)
+            words, hashes = _tokens(chunk)
+            keys, _, place = _trained(chunk, words, hashes)
             count = np.zeros(len(keys), np.int64)
             answers = {r["bucket"]: r["reply"] for r in chunk.replies[0]}
             for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_buckets))):
                 count[lo:hi] = np.frombuffer(zstandard.decompress(answers[bucket]), "<u8")
             logs = W.per_text(words, np.log10(count + 1.0)[place]) + np.log10(ends + 1.0)
             known = W.per_text(words, (count > 0)[place]) + int(ends > 0)
-            score = tree.value.score(*stream(chunk), len(chunk.ids))
+            data, wanted, text = symbols(chunk, words, hashes)
+            each = np.full(len(wanted), ends, np.int64)
+            each[data[wanted] != END] = count[place]
+            score = np.bincount(text, weights=np.log10(tree.value.probability(data, wanted, each)), minlength=len(chunk.ids))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(chunk.id_list(), pa.int64()), pa.array(chunk.marks), pa.array(words.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(score)],
                 names=["doc_id", "trained", "n_tokens", "n_known", "logs", "score"])
@@ -254,28 +322,23 @@ def _score(tree, n_buckets: int, ends: int):
 
 
 def fit_and_score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, trained, n_tokens, n_known, train_tokens, base_score, score``
-    for all documents; ``train`` marks the rows to learn from (an expression
-    of ``doc_id``)."""
+    """``doc_id, trained, n_tokens, n_known, train_tokens, base_score`` (the
+    add-one unigram model's) and ``score`` for all documents; ``train`` marks
+    the rows to learn from (an expression of ``doc_id``)."""
     spark = docs.sparkSession
     table = C.chunk_table(docs, id_col, text_col, train)
-    tree = Shared(spark, build(_levels(table).toPandas()))
     n = C.buckets_for(table, KEY_BYTES)
-    counted = saved(C.replies(table, _send_words(n), _answer_words, _distinct))
-    tokens, ends = _train_tokens(table)  # of the training rows: words and an end for each
-    vocabulary = counted.agg(F.coalesce(F.sum("tally"), F.lit(0))).first()[0] + (ends > 0)
+    tokens, ends = _train_tokens(table)
+    least = int(max(MIN_PAIRS, np.ceil(MIN_PAIR_SHARE * tokens)))
+    counted = saved(C.replies(table, _send_words(n), _answer_words, _tally_words(least)))
+    tallies = [np.frombuffer(r["tally"], np.int64) for r in counted.where("tally is not null").select("tally").collect()]
+    distinct, once, twice = (int(x) for x in sum((t[:3] for t in tallies), np.array([ends > 0, ends == 1, ends == 2], np.int64)))
+    often = np.concatenate([t[3 : 3 + (len(t) - 3) // 2] for t in tallies] or [np.zeros(0, np.int64)]).view(W.U64)
+    counts = np.concatenate([t[3 + (len(t) - 3) // 2 :] for t in tallies] or [np.zeros(0, np.int64)])
+    if ends >= least:
+        often, counts = np.append(often, END), np.append(counts, ends)
+    tree = Tree(tokens, distinct, once / (once + 2 * twice) if once else 0.5)
+    tree = Shared(spark, _grow(spark, table, tree, often, counts) if tokens else tree)
     scored = C.with_replies(table, C.gathered(counted)).mapInArrow(_score(tree, n, ends), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
     return scored.select("doc_id", "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
-                         (F.col("logs") - F.col("n_tokens") * float(np.log10(tokens + vocabulary + 1.0))).alias("base_score"), "score")
-
-
-def _train_tokens(table: DataFrame) -> tuple[int, int]:
-    def run(batches):
-        for row in C.rows_of(batches):
-            chunk = C.Chunk(row)
-            words = W.scan(chunk.data, chunk.offsets, W.SPACED)
-            ends = int(chunk.marks.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([int(words.counts[chunk.marks].sum()) + ends], pa.int64()), pa.array([ends], pa.int64())], names=["n", "ends"])
-
-    row = table.mapInArrow(run, "n long, ends long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
-    return row[0], row[1]
+                         (F.col("logs") - F.col("n_tokens") * float(np.log10(tokens + distinct + 1.0))).alias("base_score"), "score")
