@@ -28,7 +28,7 @@ from clusterfold.llm.frames import bounded_batches, saved
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 MIN_GROUP = 100
-FENCE = 3.0
+FENCE = 5.0
 SKETCH_K = 400
 
 #: metric: (expression, lowest spread of the fence, fence below?, fence above?)
