@@ -10,16 +10,18 @@ table through one partition:
 4. the running offsets (a table with one row per partition, bounded by
    the partition count) are broadcast and added to the position.
 
-The range-partitioned frame is persisted between steps 3 and 4 so both
-see the same partition boundaries.
+The range-partitioned frame is checkpointed after step 2: steps 3 and 4 see
+the same boundaries even after an executor is lost, and nothing stays
+persisted in executor memory.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clusterfold.session import checkpoint_dir
+
 # Fixed value: monotonically_increasing_id keeps the row position in the
 # lower 33 bits and the partition id above them.
 _POS_BITS = 33
@@ -27,7 +29,7 @@ _POS_BITS = 33
 
 def row_index(
     df: DataFrame, order_cols: list[str], name: str = "idx", partitions: int | None = None,
-    check_unique: bool = False,
+    check_unique: bool = True,
 ) -> DataFrame:
     """See ``row_index_counted``; returns the indexed frame only."""
     return row_index_counted(df, order_cols, name, partitions, check_unique)[0]
@@ -35,31 +37,30 @@ def row_index(
 
 def row_index_counted(
     df: DataFrame, order_cols: list[str], name: str = "idx", partitions: int | None = None,
-    check_unique: bool = False,
+    check_unique: bool = True,
 ) -> tuple[DataFrame, int]:
     """Add a 0-based index in the order of ``order_cols`` (a unique key);
     also returns the row count.  The result keeps the range partitioning
     on ``order_cols``: every partition holds one contiguous index range.
 
-    ``check_unique`` adds one aggregate job that verifies the key is
-    unique (a repeated key would make the index order arbitrary)."""
+    A repeated key would make the index order arbitrary; it raises.  Equal
+    keys are neighbours in one sorted range, so the check compares each row
+    with the one before it, without a further shuffle."""
     spark = df.sparkSession
+    checkpoint_dir(spark)
     # without an explicit count AQE may merge adjacent (small) ranges
     ranged = (df.repartitionByRange(partitions, *order_cols) if partitions
               else df.repartitionByRange(*order_cols))
-    ordered = ranged.sortWithinPartitions(*order_cols)
-    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    if check_unique:
-        dup = df.groupBy(*order_cols).count().where(F.col("count") > 1).limit(1).collect()
-        if dup:
-            tagged.unpersist()
-            raise ValueError(f"order key {order_cols} is not unique: {dup[0]}")
+    tagged = ranged.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy(F.shiftright("_mid", _POS_BITS).alias("_pid")).agg(
         F.count(F.lit(1)).alias("_n")
     )
     rows = sorted((int(r["_pid"]), int(r["_n"])) for r in counts.collect())
+    if check_unique:
+        repeated = tagged.select(*order_cols).mapInArrow(_repeats, "n long").agg(F.sum("n")).first()[0]
+        if repeated:
+            raise ValueError(f"order key {order_cols} is not unique: {repeated} rows repeat one")
     offsets, acc = [], 0
     for pid, cnt in rows:
         offsets.append((pid, acc))
@@ -75,6 +76,29 @@ def row_index_counted(
     return out, acc
 
 
+def _repeats(batches):
+    """Rows whose key equals that of the row before, in sorted batches."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    n, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        first = batch.slice(0, 1).to_pylist()
+        n += int(first == last)
+        if batch.num_rows > 1:
+            same = None
+            for column in batch.columns:
+                a, b = column[:-1], column[1:]
+                both = pc.and_(pc.is_null(a), pc.is_null(b))
+                equal = pc.or_(pc.fill_null(pc.equal(a, b), False), both)
+                same = equal if same is None else pc.and_(same, equal)
+            n += pc.sum(same.cast(pa.int64())).as_py()
+        last = batch.slice(batch.num_rows - 1, 1).to_pylist()
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+
 def prefix(x: Column | str, n: int) -> Column:
     """P5: the first n elements (a shorter array stays shorter)."""
     return F.slice(F.col(x) if isinstance(x, str) else x, 1, n)
@@ -87,24 +111,33 @@ def last(x: Column | str, strict: bool = True) -> Column:
     return F.element_at(x, -1) if strict else F.try_element_at(x, F.lit(-1))
 
 
-# Fixed value: multiplier of the reproducible sample order (Knuth's
-# multiplicative hash constant, modulo 2^32).
-HASH_MULT = 2654435761
+# Modulus, multipliers (below 2^31, so that a product of a
+# reduced value stays below 2^63) and shifts of the reproducible draw.
+HASH_MOD = 1 << 32
+HASH_MULTS = (1597334677, 1103515245)
+HASH_SHIFTS = (15, 13)
 
 
-def hash_key(id_col: str, seed: int) -> Column:
-    """pmod(id * 2654435761 + seed, 2^32): a pseudo-random order that any
-    engine can recompute from an integer id."""
-    return F.pmod(F.col(id_col).cast("long") * HASH_MULT + F.lit(seed), F.lit(1 << 32))
+def hash_key(id_col: str, seed: int | Column = 0) -> Column:
+    """A pseudo-random number below 2^32 of an integer id and a seed, by
+    multiplications modulo 2^32 and shifts, which any engine can recompute.
+    Ids are reduced first: no id is too large."""
+    mod = F.lit(HASH_MOD)
+    seed = seed if isinstance(seed, Column) else F.lit(seed)
+    h = F.pmod(F.pmod(F.col(id_col).cast("long"), mod) * HASH_MULTS[0] + F.pmod(seed.cast("long"), mod), mod)
+    for mult, shift in zip(HASH_MULTS[::-1], HASH_SHIFTS):
+        h = F.pmod(h.bitwiseXOR(F.shiftright(h, shift)) * mult, mod)
+    return h
 
 
 def sample_k(df: DataFrame, k: int, seed: int = 0, order_col: str | None = None) -> DataFrame:
     """K rows without replacement. ``orderBy(key).limit(k)`` runs as a
     per-partition top-k plus a merge of k rows per partition.  The key is
-    ``rand(seed)``, or with ``order_col`` the reproducible ``hash_key``
-    (ties broken by the id)."""
+    ``hash_key`` of ``order_col`` (ties broken by the id) or, without one, a
+    hash of the whole row: the draw does not depend on the partitioning."""
     if order_col is None:
-        return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(k).drop("_r")
+        cols = [F.col(f"`{c}`") for c in df.columns]
+        return df.withColumn("_r", F.xxhash64(F.lit(seed), *cols)).orderBy("_r").limit(k).drop("_r")
     return df.withColumn("_r", hash_key(order_col, seed)).orderBy("_r", order_col).limit(k).drop("_r")
 
 

@@ -1,22 +1,24 @@
 """Equi-joins: shuffled (J1) and strict broadcast lookup.
 
 ``shuffle_join`` forces a shuffled plan (sort-merge by default) through a
-join hint, as the reference's ``RDD.join``; AQE's skew-join handling splits
-a key that holds a large share of the rows.
+join hint, as the reference's ``RDD.join``.  AQE's skew-join handling may
+split a key that holds a large share of the rows; ``salt`` spreads every key
+over that many tasks whatever the runtime decides.
 
 ``lookup_join`` is the reference's broadcast-map lookup: every key of the
 fact side must exist in the lookup table (a missing key raises), lookup
-keys must be unique (it is a map).  The lookup side is broadcast only
-after its size is proven: at most ``max_rows`` rows (counted with a
-``limit``, so a huge table costs at most max_rows+1 rows read) and an
-estimated size under ``max_bytes``.  Beyond that bound the same strict
-join runs shuffled.
+keys must be unique (it is a map; a repeated key raises at every size).
+One aggregate over the lookup, partial in every task, gives its rows, bytes
+and largest key multiplicity; the lookup is broadcast if it has at most
+``max_rows`` rows and ``max_bytes`` bytes, and otherwise the same strict join
+runs shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed bounds for broadcasting a lookup table.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -24,55 +26,56 @@ MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def shuffle_join(left: DataFrame, right: DataFrame, on: list[str] | str,
-                 strategy: str = "merge", how: str = "inner") -> DataFrame:
-    """Join with a shuffle on the keys (``merge`` or ``shuffle_hash``)."""
+                 strategy: str = "merge", how: str = "inner", salt: int = 1) -> DataFrame:
+    """Join with a shuffle on the keys (``merge`` or ``shuffle_hash``).
+
+    ``salt`` > 1 cuts every key's left rows into that many parts by a hash of
+    the row and repeats the right rows for each part (inner and left joins)."""
     if strategy not in ("merge", "shuffle_hash", "shuffle_merge"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    return left.join(right.hint(strategy), on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    if salt <= 1:
+        return left.join(right.hint(strategy), keys, how)
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"a salted {how} join would repeat right rows")
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salt)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
+    salted = right.withColumn("_salt", parts).hint(strategy)
+    return left.withColumn("_salt", part).join(salted, [*keys, "_salt"], how).drop("_salt")
+
 
+def _bytes(field: T.StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+    return F.lit(16)
 
-def broadcast_size_ok(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES,
-                      keys: list[str] | None = None) -> tuple[bool, int, int, int]:
-    """(fits, rows, bytes, largest key multiplicity) measured in one job on
-    at most max_rows + 1 rows: the row count, the serialised (JSON) size and,
-    if ``keys`` are given, how often the most repeated key occurs (exact
-    whenever the frame fits, since then all its rows were read)."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    limited = df.limit(max_rows + 1).select(
-        *[F.col(f"`{k}`") for k in (keys or [])],
-        F.octet_length(F.to_json(F.struct(*cols))).alias("_b"),
-    )
-    per_key = limited.groupBy(*(keys or [])).agg(
-        F.count(F.lit(1)).alias("_c"), F.sum("_b").alias("_b"))
-    r = per_key.agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum("_b"), F.lit(0)).alias("b"),
-        F.coalesce(F.max("_c"), F.lit(0)).alias("mult"),
-    ).first()
-    n, b, mult = int(r["n"]), int(r["b"]), int(r["mult"])
-    return n <= max_rows and b <= max_bytes, n, b, mult
+
+def lookup_size(df: DataFrame, keys: list[str]) -> tuple[int, int, int]:
+    """(rows, bytes, largest key multiplicity) of a lookup table: one
+    aggregate by key, partial in every task, and one over the keys."""
+    size = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        size = size + _bytes(field)
+    per_key = df.select(*[F.col(f"`{k}`") for k in keys], size.alias("_b")).groupBy(
+        *[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_c"), F.sum("_b").alias("_b"))
+    r = per_key.agg(F.sum("_c").alias("n"), F.sum("_b").alias("b"), F.max("_c").alias("mult")).first()
+    return int(r["n"] or 0), int(r["b"] or 0), int(r["mult"] or 0)
 
 
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, on: list[str] | str, strict: bool = True,
     max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
-    check_unique: bool | None = None,
 ) -> DataFrame:
     """``facts`` enriched with ``lookup`` columns; a fact key absent from
-    the lookup raises (``strict``) or drops the row (inner join).
-
-    The size proof and the key-uniqueness check (a lookup is a map) are one
-    bounded job.  For a lookup beyond the broadcast bound, uniqueness is
-    checked only on request (``check_unique=True``: one aggregate over it)."""
+    the lookup raises (``strict``) or drops the row (inner join)."""
     keys = [on] if isinstance(on, str) else list(on)
-    fits, _, _, mult = broadcast_size_ok(lookup, max_rows, max_bytes, keys)
-    if fits and mult > 1:
-        raise ValueError(f"lookup keys {keys} are not unique ({mult} rows share a key)")
-    if not fits and check_unique:
-        dup = lookup.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"lookup keys {keys} are not unique: {dup[0].asDict()}")
+    rows, size, multiplicity = lookup_size(lookup, keys)
+    if multiplicity > 1:
+        raise ValueError(f"lookup keys {keys} are not unique ({multiplicity} rows share a key)")
+    fits = rows <= max_rows and size <= max_bytes
     side = lookup.withColumn("_hit", F.lit(True))
     side = F.broadcast(side) if fits else side.hint("merge")
     if not strict:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, " +$", "")
+    return F.rtrim(line)  # spaces only, in one pass from the end
 
 
 def words(line: Column | str) -> Column:
@@ -37,12 +37,16 @@ def tokenize(lines: DataFrame, line_col: str = "line", keep: list[str] | None =
 
 def line_counters(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """One row: lines, blank lines, words (one aggregate, partial per task)."""
+    return lines.agg(*_counters(line_col))
+
+
+def _counters(line_col: str) -> list[Column]:
     line = F.col(line_col)
-    return lines.agg(
+    return [
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(line == "").alias("n_blank"),
-        F.sum(F.size(words(line))).cast("bigint").alias("n_words"),
-    )
+        F.coalesce(F.sum(F.size(words(line))), F.lit(0)).cast("bigint").alias("n_words"),
+    ]
 
 
 def tokenize_observed(
@@ -52,11 +56,5 @@ def tokenize_observed(
     """Words plus an Observation holding ``n_lines``, ``n_blank`` and
     ``n_words``; the values appear once an action has run on the words."""
     obs = Observation(name)
-    line = F.col(line_col)
-    observed = lines.observe(
-        obs,
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(line == "").alias("n_blank"),
-        F.sum(F.size(words(line))).cast("bigint").alias("n_words"),
-    )
+    observed = lines.observe(obs, *_counters(line_col))
     return tokenize(observed, line_col, keep), obs

@@ -24,17 +24,16 @@ DEFAULT_CONF = {
 
 def build_session(
     master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "clusterfold",
     extra_conf: dict | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the package defaults."""
+    """Create (or reuse) a session with the package defaults.  The number of
+    shuffle partitions and all memory sizes are the caller's (or Spark's)."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master.startswith("local"):
-        # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = "16g"
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -3,6 +3,7 @@
 Tables live as ``<dir>/<name>.parquet``. Reading through ``spark.read``
 keeps column pruning and predicate pushdown in Catalyst's hands: callers
 select what they need and the scan's ``ReadSchema`` shrinks accordingly.
+Every call lists the files anew, so appended files are read.
 """
 
 from __future__ import annotations
@@ -21,25 +22,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
-def _app_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # a Spark Connect session has no SparkContext
-        return "connect"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
-    """Lazy DataFrame over one table.
-
-    Reading a parquet table runs a small job (its footer gives the schema);
-    the DataFrame is kept per session and path, as a catalog table would
-    be, so later jobs reuse the resolved scan.  ``refresh`` reads anew
-    (after the files changed)."""
-    path = table_path(sf_dir, name)
-    key = (_app_id(spark), id(spark), path)
-    if refresh or key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy DataFrame over one table."""
+    return spark.read.parquet(table_path(sf_dir, name))

@@ -14,7 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from clusterfold.session import build_session, checkpoint_dir
 
-    s = build_session("local[4]", shuffle_partitions=8, app_name="clusterfold-tests")
+    s = build_session("local[4]", shuffle_partitions=8, app_name="clusterfold-tests",
+                      extra_conf={"spark.driver.memory": "8g"})
     checkpoint_dir(s)
     yield s
     s.stop()
