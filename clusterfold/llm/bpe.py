@@ -31,8 +31,8 @@ from clusterfold.llm.frames import Shared, bounded_batches, texts
 MAX_VOCABULARY = 1 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
 LONG_PIECE = 128
-MATRIX_CELLS = 1 << 19
-CACHE_PIECES = 200_000
+MATRIX_CELLS = 1 << 17
+CACHE_PIECES = 50_000
 _NONE = np.int64(1 << 40)
 
 
@@ -44,18 +44,32 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-class Vocabulary:
-    """Ranks as arrays: token bytes for decoding, a pair table for merging.
-    Tokens are numbered densely inside; ``rank`` maps back to ids."""
+class Tokens:
+    """Ranks and bytes of the tokens, numbered densely in the order of rank."""
 
     def __init__(self, ranks: dict[bytes, int]):
         tokens = sorted(ranks, key=ranks.get)
         self.rank = np.array([ranks[t] for t in tokens], np.int64)
-        number = {t: i for i, t in enumerate(tokens)}
-        self.byte_token = np.array([number[bytes([b])] for b in range(256)], np.int64)
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)])
         self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode_tokens(self, tokens: np.ndarray) -> np.ndarray:
+        """Bytes of the tokens, one after the other."""
+        lengths = self.lengths[tokens]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(self.begins[tokens] - (ends - lengths), lengths)
+        return self.data[at]
+
+
+class Vocabulary(Tokens):
+    """Tokens with a pair table for merging."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__(ranks)
+        number = {t: i for i, t in enumerate(sorted(ranks, key=ranks.get))}
+        self.byte_token = np.array([number[bytes([b])] for b in range(256)], np.int64)
         self.pairs = {}
         for token, i in number.items():
             for cut in range(1, len(token)):
@@ -187,14 +201,6 @@ class Vocabulary:
                 heapq.heappush(heap, (x, p))
         return np.array([t for t in token if t >= 0], np.int64)
 
-    def decode_tokens(self, tokens: np.ndarray) -> np.ndarray:
-        """Bytes of the tokens, one after the other."""
-        lengths = self.lengths[tokens]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.begins[tokens] - (ends - lengths), lengths)
-        return self.data[at]
-
 
 def _encoder(vocabulary, pattern: str):
     def run(batches):
@@ -243,7 +249,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """The rows of ``encoded`` (with packed ``ids``) and ``decoded`` (bytes)."""
-    vocabulary = Shared(encoded.sparkSession, Vocabulary(read_ranks(ranks_path)))
+    vocabulary = Shared(encoded.sparkSession, Tokens(read_ranks(ranks_path)))
     bounded_batches(encoded.sparkSession)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(_decoder(vocabulary), f"{fields}, decoded binary")
