@@ -56,6 +56,9 @@ EXPR_MAX_TERMS = 128
 
 Centroids = dict[int, list[float]]
 
+# One rule for both assignment forms: a NULL, NaN or infinite coordinate raises.
+NOT_FINITE = "a point has a coordinate that is not finite"
+
 
 # ---- points and seeds -----------------------------------------------------
 
@@ -81,15 +84,13 @@ def k_from_labels(points: DataFrame, label_col: str = "label") -> int:
 def seed_frame(points: DataFrame, k: int, how: str = "first", seed: int = 0) -> DataFrame:
     """K1 as a DataFrame ``(j int, c array<double>)`` of k rows.
 
-    ``first``: the k smallest ids; ``sample``: k rows drawn without
-    replacement (``orderBy(rand)`` + ``limit`` runs as a per-partition
-    top-k, never a full sort); ``hash``: the same draw with a reproducible
-    key computed from the id (``indexing.hash_key``)."""
+    ``first``: the k smallest ids; ``sample`` (or ``hash``): k rows drawn
+    without replacement, in the order of a key computed from the id and the
+    seed (``indexing.hash_key``): a per-partition top-k, never a full sort,
+    and the same rows under any partitioning."""
     if how == "first":
         order = F.col("id")
-    elif how == "sample":
-        order = F.rand(seed)
-    elif how == "hash":
+    elif how in ("sample", "hash"):
         order = hash_key("id", seed)
     else:
         raise ValueError(f"unknown init {how!r}")
@@ -198,12 +199,14 @@ def _with_coords(points: DataFrame, d: int, keep: list[str]) -> DataFrame:
     return points.where(require_length("x", d, "point")).select(*keep, "x")
 
 
-def _batch_points(pdf, d: int):
-    """(n, d) matrix of a batch's points."""
+def _batch_points(batch, d: int):
+    """(n, d) matrix of an Arrow batch's points (one flat buffer)."""
     import numpy as np
 
-    xs = pdf["x"]
-    return np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, d))
+    X = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if not np.isfinite(X).all():
+        raise ValueError(NOT_FINITE)
+    return X.reshape(-1, d)
 
 
 def _distances(X, C):
@@ -254,19 +257,30 @@ def assign(points: DataFrame, cents: Centroids, mode: str = "auto") -> DataFrame
     d = ship.d
 
     def run(batches):
-        for pdf in batches:
-            best, dist = _nearest(_batch_points(pdf, d), ship)
-            out = pdf[keep].copy()
-            out["j"] = ship.js[best]
-            out["d"] = dist
-            yield out
+        import pyarrow as pa
+
+        for batch in batches:
+            best, dist = _nearest(_batch_points(batch, d), ship)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], pa.array(ship.js[best]), pa.array(dist)],
+                names=[*keep, "j", "d"])
+
+    return _with_coords(points, d, keep).mapInArrow(run, _point_schema(points, keep))
 
-    return _with_coords(points, d, keep).mapInPandas(run, _point_schema(points, keep))
+
+def _checked(points: DataFrame, d: int) -> DataFrame:
+    """Points of width d with finite coordinates; any other raises."""
+    total = F.lit(0.0)
+    for i in range(d):
+        total = total + F.col("x")[i] * 0.0  # not finite: NaN
+    bad = F.isnan(F.coalesce(total, F.lit(float("nan"))))
+    return points.where(require_length("x", d, "point")).where(
+        F.when(bad, F.raise_error(F.lit(NOT_FINITE))).otherwise(F.lit(True)))
 
 
 def _assigned_expr(points: DataFrame, cents: Centroids) -> DataFrame:
     d = _dim(cents)
-    checked = points.where(require_length("x", d, "point"))
+    checked = _checked(points, d)
     return checked.withColumn("_m", nearest("x", cents)).select(
         *points.columns, F.col("_m.j").alias("j"), F.col("_m.d").alias("d")
     )
@@ -288,7 +302,7 @@ def distance_rows(points: DataFrame, cents: Centroids, mode: str = "auto") -> Da
             ]
         )
         return (
-            points.where(require_length("x", d, "point"))
+            _checked(points, d)
             .select("id", F.explode(pairs).alias("_p"))
             .select("id", "_p.j", "_p.d")
         )
@@ -297,20 +311,53 @@ def distance_rows(points: DataFrame, cents: Centroids, mode: str = "auto") -> Da
 
     def run(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            X = _batch_points(pdf, d)
-            ids = pdf["id"].to_numpy()
+        for batch in batches:
+            X = _batch_points(batch, d)
+            at = np.arange(len(X))
             for off, C in ship.chunks():
                 D = _distances(X, C)
-                yield pd.DataFrame({
-                    "id": np.repeat(ids, len(C)),
-                    "j": np.tile(ship.js[off:off + len(C)], len(pdf)),
-                    "d": D.reshape(-1),
-                })
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(np.repeat(at, len(C)))),
+                     pa.array(np.tile(ship.js[off:off + len(C)], len(X))), pa.array(D.reshape(-1))],
+                    names=["id", "j", "d"])
+
+    return _with_coords(points, d, ["id"]).mapInArrow(run, "id bigint, j int, d double")
+
+
+# Fixed value: distances that one slice of points may have in a task.
+_SLICE_DISTANCES = 1 << 22
+
+
+def distance_lists(points: DataFrame, cents: Centroids, mode: str = "auto") -> DataFrame:
+    """A2/A3 in the point's own row: ``(id, l)``, l the array of
+    ``struct<d, j>`` to every centroid (k entries).  No shuffle."""
+    _check_size(cents)
+    if _mode(cents, mode) == "expr":
+        pairs = F.array(*[F.struct(dist_const("x", c).alias("d"), F.lit(j).cast("int").alias("j"))
+                          for j, c in sorted(cents.items())])
+        return _checked(points, _dim(cents)).select("id", pairs.alias("l"))
+    ship = _Shipped(points.sparkSession, cents)
+    d, k = ship.d, ship.k
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        rows = max(1, _SLICE_DISTANCES // k)
+        for whole in batches:
+            for s in range(0, whole.num_rows, rows):
+                batch = whole.slice(s, rows)
+                X = _batch_points(batch, d)
+                D = np.concatenate([_distances(X, C) for _, C in ship.chunks()], axis=1)
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array(D.reshape(-1)), pa.array(np.tile(ship.js, len(X)))], names=["d", "j"])
+                offsets = pa.array(np.arange(len(X) + 1, dtype=np.int32) * k)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.ListArray.from_arrays(offsets, pairs)], names=["id", "l"])
 
-    return _with_coords(points, d, ["id"]).mapInPandas(run, "id bigint, j int, d double")
+    return _with_coords(points, d, ["id"]).mapInArrow(run, "id bigint, l array<struct<d:double,j:int>>")
 
 
 def assign_stepwise(points: DataFrame, cents: Centroids, mode: str = "auto") -> DataFrame:
@@ -347,25 +394,24 @@ def _partial_sums_arrow(points: DataFrame, ship: "_Shipped | Centroids") -> Data
 
     def run(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
         S = np.zeros((k, d))
         N = np.zeros(k, dtype=np.int64)
-        for pdf in batches:
-            X = _batch_points(pdf, d)
+        for batch in batches:
+            X = _batch_points(batch, d)
             best, _ = _nearest(X, ship)
             N += np.bincount(best, minlength=k)
             for t in np.unique(best):
                 S[t] += X[best == t].sum(axis=0)
         seen = np.flatnonzero(N)
-        yield pd.DataFrame({
-            "j": np.repeat(js[seen], d),
-            "pos": np.tile(np.arange(d, dtype=np.int32), len(seen)),
-            "s": S[seen].reshape(-1),
-            "n": np.repeat(N[seen], d),
-        })
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(js[seen], d)),
+             pa.array(np.tile(np.arange(d, dtype=np.int32), len(seen))),
+             pa.array(S[seen].reshape(-1)), pa.array(np.repeat(N[seen], d))],
+            names=["j", "pos", "s", "n"])
 
-    return _with_coords(points, d, []).mapInPandas(run, "j int, pos int, s double, n bigint")
+    return _with_coords(points, d, []).mapInArrow(run, "j int, pos int, s double, n bigint")
 
 
 def cluster_means(assigned: DataFrame) -> DataFrame:
@@ -389,60 +435,37 @@ def vector_means_long(df: DataFrame, key: str, x: str = "x") -> DataFrame:
     ).withColumn("pos", F.col("pos").cast("int"))
 
 
-# Fixed bound: partial rows (partitions x k x d) the driver may add up
-# itself; above it the executors reduce them first.
-MAX_DRIVER_PARTIALS = 1_000_000
-
-
-def step_sums(points: DataFrame, cents: Centroids, assign_mode: str = "auto") -> list:
+def step_sums(points: DataFrame, cents: Centroids, assign_mode: str = "auto",
+              coalesce: int | None = None) -> list:
     """The aggregate behind one Lloyd step: rows ``(j, pos, s, n)``, one per
-    cluster and coordinate, summed over all points (one job)."""
+    cluster and coordinate, summed over all points by the executors (one
+    job).  ``coalesce`` merges the partitions of these k*d sums."""
     _check_size(cents)
-    k, d = len(cents), _dim(cents)
+    ship = None
     if assign_mode == "cross":
-        inner = _mode(cents, "auto")
-        return cluster_sums(assign_stepwise(points, cents, inner)).collect()
-    if _mode(cents, assign_mode) == "expr":
-        return cluster_sums(_assigned_expr(points, cents)).collect()
-    ship = _Shipped(points.sparkSession, cents)
+        sums = cluster_sums(assign_stepwise(points, cents, _mode(cents, "auto")))
+    elif _mode(cents, assign_mode) == "expr":
+        sums = cluster_sums(_assigned_expr(points, cents))
+    else:
+        ship = _Shipped(points.sparkSession, cents)
+        sums = _partial_sums_arrow(points, ship).groupBy("j", "pos").agg(
+            F.sum("s").alias("s"), F.sum("n").alias("n"))
     try:
-        return _collect_sums(points, ship, k, d)
+        return (sums.coalesce(coalesce) if coalesce else sums).collect()
     finally:
-        ship.release()
-
-
-def _num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): take the executor-side path
-        return None
-
-
-def _collect_sums(points: DataFrame, ship: "_Shipped", k: int, d: int) -> list:
-    partial = _partial_sums_arrow(points, ship)
-    parts = _num_partitions(points)
-    if parts is not None and parts * k * d <= MAX_DRIVER_PARTIALS:
-        # single-stage job: each task returns at most k*d rows
-        acc: dict[tuple[int, int], list] = {}
-        for r in partial.collect():
-            key = (int(r["j"]), int(r["pos"]))
-            a = acc.setdefault(key, [0.0, 0])
-            a[0] += r["s"]
-            a[1] += int(r["n"])
-        return [{"j": j, "pos": p, "s": v[0], "n": v[1]} for (j, p), v in acc.items()]
-    return partial.groupBy("j", "pos").agg(
-        F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
+        if ship is not None:
+            ship.release()
 
 
 def step(
     points: DataFrame, cents: Centroids, assign_mode: str = "auto",
-    empty_cluster: str = "drop",
+    empty_cluster: str = "drop", coalesce: int | None = None,
 ) -> tuple[Centroids, dict[int, int]]:
     """K3: one Lloyd step (one job). Returns the new centroids and sizes."""
     d = _dim(cents)
     new: Centroids = {}
     sizes: dict[int, int] = {}
-    for r in step_sums(points, cents, assign_mode):
+    for r in step_sums(points, cents, assign_mode, coalesce):
         j, pos, n = int(r["j"]), int(r["pos"]), int(r["n"])
         new.setdefault(j, [0.0] * d)[pos] = r["s"] / n
         sizes[j] = n
@@ -520,10 +543,10 @@ def kmeans(
 
     Stops after ``max_iter`` steps or as soon as no centroid moved more than
     ``eps`` (centroids that vanished are not compared, as with an inner
-    join).  ``k`` defaults to the number of distinct labels."""
+    join).  ``k`` defaults to the number of distinct labels; seeds are taken
+    from the persisted points.  ``coalesce`` is the number of partitions of
+    the new centroids' sums (never of the points)."""
     pts = points
-    if coalesce is not None:
-        pts = pts.coalesce(coalesce)
     if cache:
         pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -540,7 +563,7 @@ def kmeans(
         for it in range(1, max_iter + 1):
             t0 = time.perf_counter()
             result.history.append(cents)
-            new, sizes = step(pts, cents, assign_mode, empty_cluster)
+            new, sizes = step(pts, cents, assign_mode, empty_cluster, coalesce)
             moved_by = shifts(cents, new)
             n_moved = sum(1 for s in moved_by.values() if s > eps)
             result.trace.append(
@@ -590,27 +613,25 @@ def label_trace(points: DataFrame, history: Sequence[Centroids],
 
     def run(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            labels = pdf[label_col].to_numpy()
-            X = _batch_points(pdf, d)
-            frames = []
+            # a NULL label is a label of its own
+            labels = batch.column(label_col).dictionary_encode(null_encoding="encode")
+            codes = labels.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            width = len(labels.dictionary)
+            X = _batch_points(batch, d)
             for it, ship in enumerate(ships, start=1):
-                best = ship.js[_nearest(X, ship)[0]]
-                counts = pd.DataFrame({"j": best, "label": labels}).value_counts().reset_index()
-                counts.columns = ["j", "label", "n"]
-                counts.insert(0, "iteration", it)
-                frames.append(counts)
-            out = pd.concat(frames, ignore_index=True)
-            out["iteration"] = out["iteration"].astype(np.int32)
-            out["j"] = out["j"].astype(np.int32)
-            out["n"] = out["n"].astype(np.int64)
-            yield out
-
-    partial = _with_coords(points, d, [label_col]).mapInPandas(
+                best = _nearest(X, ship)[0]
+                found, n = np.unique(best * width + codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(found), it, np.int32)), pa.array(ship.js[found // width]),
+                     labels.dictionary.take(pa.array(found % width)), pa.array(n.astype(np.int64))],
+                    names=["iteration", "j", label_col, "n"])
+
+    partial = _with_coords(points, d, [label_col]).mapInArrow(
         run, f"iteration int, j int, {label_col} {label_type}, n bigint")
     return partial.groupBy("iteration", "j", label_col).agg(F.sum("n").alias("n"))
 
@@ -618,13 +639,15 @@ def label_trace(points: DataFrame, history: Sequence[Centroids],
 def variant_timings(
     points: DataFrame,
     init: Centroids,
-    max_iter: int = 3,
+    max_iter: int = 10,
     eps: float = 1e-3,
     caches: Sequence[bool] = (False, True),
     coalesces: Sequence[int | None] = (None, 8),
     assigns: Sequence[str] = ("cross", "auto"),
 ) -> list[tuple]:
-    """Seconds per iteration for persist x coalesce x assignment."""
+    """Seconds and report per iteration for persist x coalesce (of the
+    new centroids) x assignment (``cross``: the reference's cartesian shape;
+    ``auto``: the broadcast form it announces)."""
     rows = []
     for a in assigns:
         for c in caches:
@@ -633,5 +656,6 @@ def variant_timings(
                 res = kmeans(points, init=init, max_iter=max_iter, eps=eps,
                              assign_mode=a, cache=c, coalesce=co)
                 for t in res.trace:
-                    rows.append((name, a, c, co or 0, t["iteration"], t["seconds"]))
+                    rows.append((name, a, c, co or 0, t["iteration"], t["seconds"],
+                                 t["n_clusters"], t["n_moved"]))
     return rows

@@ -21,9 +21,9 @@ in parallel without changing the result:
 1. ``repartitionByRange(keys + ord)`` + ``sortWithinPartitions``: every task
    holds contiguous key-ordered ranges.  A hot group spreads over as many
    tasks as its size needs; nothing is gathered in one place.
-2. ``mapInPandas``: each task multiplies its rows' matrices (numpy; short
-   runs of many groups together, one batched product per row position;
-   long runs by log-depth pairwise products) into one matrix per group run.
+2. ``mapInPandas``: each task composes its rows' maps (numpy; short runs of
+   many groups together, one rank-1 update per row position; long runs block
+   by block, each block one triangular solve) into one matrix per group run.
 3. the chunks (at most one per group and partition) are hash-partitioned
    by group and sorted; a second ``mapInPandas`` chains each group's chunks
    in key order and applies them to w0, finishing all single-chunk groups
@@ -32,10 +32,10 @@ in parallel without changing the result:
 
 The ordered pass (G4), shard averaging (G5), shard relay (G6) and sampled
 SGD (G3) are all this one fold with different keys.  AdaGrad (G7) is not
-affine (its rate depends on the running squared gradients), so it is a
+affine (its rate depends on the running squared gradients), so a group is a
 sequential fold: hash-partitioned by group, sorted, streamed through
 ``mapInPandas`` with the state carried across Arrow batches (constant
-memory; one task per group is inherent to the method).
+memory; all groups of a batch advance together).
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterfold.functions.vectors import dot_const, require_length
-from clusterfold.operators.indexing import row_index_counted
+from clusterfold.operators.indexing import hash_key, row_index_counted
 
 # Fixed value: rows per block in the pairwise matrix product (memory cap
 # of a block: rows * (d+1)^2 doubles).
@@ -68,6 +68,9 @@ def _check_finite(w: Sequence[float], what: str) -> None:
 # (compiled together); wider vectors use long-form partial sums.
 _WIDE_FEATURES = 8
 
+# Fixed value: the widest vectors whose d x d matrix the driver holds.
+MAX_GRAM_FEATURES = 1024
+
 
 def gradient(train: DataFrame, w: Sequence[float]) -> list[float]:
     """G1: sum over rows of 2 (w.x - y) x (one aggregate job)."""
@@ -90,6 +93,16 @@ def gradient(train: DataFrame, w: Sequence[float]) -> list[float]:
     return [float(row[f"g{i}"] or 0.0) for i in range(d)]
 
 
+def _scalar_gradient(cached: DataFrame, w: Sequence[float]) -> list[float]:
+    """G1 over scalar feature columns: one aggregate of d sums."""
+    r = F.lit(0.0)
+    for i, v in enumerate(w):
+        r = r + F.col(f"_x{i}") * float(v)
+    r = 2.0 * (r - F.col("y"))
+    row = cached.agg(*[F.sum(r * F.col(f"_x{i}")).alias(f"g{i}") for i in range(len(w))]).first()
+    return [float(row[f"g{i}"] or 0.0) for i in range(len(w))]
+
+
 def _gram_wide(train: DataFrame, d: int) -> tuple[int, list[list[float]], list[float]]:
     """X'X, X'y and m for wide vectors: each task forms its own d x d
     products with numpy (Arrow batches) and returns them in long form; a
@@ -159,24 +172,36 @@ def batch_gd(
     """``w <- w - (step/m) sum 2 (w.x - y) x`` for ``epochs`` epochs."""
     w = [float(v) for v in w0]
     d = len(w)
+    if method == "gram" and d > MAX_GRAM_FEATURES:
+        method = "scan"  # the same sums, without a d x d matrix on the driver
     if method == "gram":
+        import numpy as np
+
         m, G, h = gram(train, d)
         if m == 0:
             return w
+        G, h, v = np.asarray(G), np.asarray(h), np.asarray(w)
         for _ in range(epochs):
-            g = [2.0 * (sum(G[i][k] * w[k] for k in range(d)) - h[i]) for i in range(d)]
-            w = [w[i] - g[i] * (step / m) for i in range(d)]
+            v = v - 2.0 * (G @ v - h) * (step / m)
+        w = v.tolist()
         _check_finite(w, "batch_gd")
         return w
     if method != "scan":
         raise ValueError(f"unknown method {method!r}")
-    cached = train.select("x", "y").persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = d <= _WIDE_FEATURES
+    if narrow:  # checked once, kept as d + 1 scalar columns
+        cached = train.where(require_length("x", d, "feature vector")).select(
+            *[F.col("x")[i].cast("double").alias(f"_x{i}") for i in range(d)],
+            F.col("y").cast("double").alias("y"))
+    else:
+        cached = train.select("x", "y")
+    cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         m = cached.count()
         if m == 0:
             return w
         for _ in range(epochs):
-            g = gradient(cached, w)
+            g = _scalar_gradient(cached, w) if narrow else gradient(cached, w)
             w = [w[i] - g[i] * (step / m) for i in range(d)]
         _check_finite(w, "batch_gd")
         return w
@@ -187,30 +212,34 @@ def batch_gd(
 # ---- the affine fold (G3-G6) ---------------------------------------------------
 
 
-def _row_maps(X, y, c):
-    """Stack of homogeneous (d+1)x(d+1) matrices, one SGD step per row."""
-    import numpy as np
-
-    n, d = X.shape
-    M = np.zeros((n, d + 1, d + 1))
-    cX = X * c[:, None]
-    M[:, :d, :d] = -cX[:, :, None] * X[:, None, :]
-    idx = np.arange(d)
-    M[:, idx, idx] += 1.0
-    M[:, :d, d] = cX * y[:, None]
-    M[:, d, d] = 1.0
-    return M
-
-
 def _compose(X, y, c):
-    """Product M_n ... M_1 of the rows' maps (row 1 applied first)."""
+    """Map of a run of rows (row 1 applied first), by blocks of B rows.
+
+    The residual coefficients u of a block solve a unit lower triangular
+    system, (I + C L) u = C (X w - y) with L the strict lower part of X X',
+    and the block takes w to w - X' u.  So a block costs a few matrix
+    products and one solve instead of B products of (d+1)^2 matrices."""
     import numpy as np
 
     n, d = X.shape
-    block = max(1, _BLOCK_VALUES // ((d + 1) * (d + 1)))
+    rows = max(16, min(64, d))
+    many = max(1, _BLOCK_VALUES // (rows * (rows + 2 * d) + (d + 1) * (d + 1)))
     total = np.eye(d + 1)
-    for s in range(0, n, block):
-        M = _row_maps(X[s:s + block], y[s:s + block], c[s:s + block])
+    idx = np.arange(d)
+    for s in range(0, n, rows * many):
+        Xs, ys, cs = (v[s:s + rows * many] for v in (X, y, c))
+        pad = -len(Xs) % rows  # rows with c = 0 change nothing
+        if pad:
+            Xs = np.concatenate([Xs, np.zeros((pad, d))])
+            ys, cs = np.append(ys, np.zeros(pad)), np.append(cs, np.zeros(pad))
+        B = Xs.reshape(-1, rows, d)
+        yb, cb = ys.reshape(-1, rows, 1), cs.reshape(-1, rows, 1)
+        lower = np.tril(np.matmul(B, B.transpose(0, 2, 1)), -1)
+        S = np.linalg.solve(np.eye(rows) + cb * lower, cb * np.concatenate([B, -yb], axis=2))
+        M = np.zeros((len(B), d + 1, d + 1))
+        M[:, :d, :] = -np.matmul(B.transpose(0, 2, 1), S)
+        M[:, idx, idx] += 1.0
+        M[:, d, d] = 1.0
         while len(M) > 1:
             if len(M) % 2:
                 M = np.concatenate([M, np.eye(d + 1)[None]], axis=0)
@@ -240,7 +269,7 @@ def _features(pdf, d: int):
 
 
 # Fixed value: runs up to this many rows are composed together, one
-# batched matrix product per row position; longer runs use the pairwise tree.
+# batched rank-1 update per row position; longer runs use ``_compose``.
 _SHORT_RUN = 64
 
 
@@ -265,11 +294,37 @@ def _compose_runs(X, y, c, starts, ends):
         for t in range(int(L.max())):
             act = np.flatnonzero(L > t)
             idx = S[act] + t
-            M[act] = np.matmul(_row_maps(X[idx], y[idx], c[idx]), M[act])
+            x = X[idx]
+            now = M[act]
+            err = np.matmul(x[:, None, :], now[:, :d, :])  # x'M, less y
+            err[:, 0, d] -= y[idx]
+            now[:, :d, :] -= (c[idx][:, None] * x)[:, :, None] * err
+            M[act] = now
         out[sl] = M
     return out
 
 
+def _null_safe(df: DataFrame, keys: Sequence[str]):
+    """Group keys for pandas: a NULL of a non-string key would become NaN,
+    which equals nothing, so such a key travels as a value that is never
+    NULL and a flag.  Returns (frame, key columns, function that restores
+    the keys of a result)."""
+    flags: dict[str, str] = {}
+    for k in keys:
+        kind = df.schema[k].dataType
+        if not isinstance(kind, T.StringType):
+            dated = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+            flags[k] = f"_null_{k}"
+            df = df.withColumn(flags[k], F.col(k).isNull()).withColumn(
+                k, F.coalesce(F.col(k), F.lit("1970-01-01" if dated else "0").cast(kind)))
+
+    def restore(out: DataFrame) -> DataFrame:
+        return out.select(*[F.when(~F.col(flags[c]), F.col(c)).alias(c) if c in flags else F.col(c)
+                            for c in out.columns if c not in flags.values()])
+
+    return df, [*keys, *flags.values()], restore
+
+
 def _runs(pdf, cols):
     """Start and end offsets of the runs of equal ``cols`` in a sorted batch."""
     import numpy as np
@@ -278,7 +333,7 @@ def _runs(pdf, cols):
     change[0] = True
     for col in cols:
         v = pdf[col].to_numpy()
-        change[1:] |= v[1:] != v[:-1]
+        change[1:] |= v[1:] != v[:-1]  # a NULL string is None, equal to itself
     starts = np.flatnonzero(change)
     return starts, np.append(starts[1:], len(pdf))
 
@@ -324,9 +379,9 @@ def affine_chunks(
         import pandas as pd
 
         cur = None  # {"key": tuple, "first": ord, "n": count, "m": matrix}
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
+        # at most a matrix for each row: slices keep them within the budget
+        most = max(1, 8 * _BLOCK_VALUES // width)
+        for pdf in (b.iloc[s:s + most] for b in batches for s in range(0, len(b), most)):
             starts, ends = _runs(pdf, keys)
             mats = _compose_runs(_features(pdf, d), pdf["y"].to_numpy(dtype=float),
                                  pdf["_c"].to_numpy(dtype=float), starts, ends)
@@ -471,10 +526,12 @@ def sgd_pass(
     by: Sequence[str] = (), partitions: int | None = None, ordered_input: bool = False,
 ) -> DataFrame:
     """One pass in ``ord_col`` order, ``w <- w - step 2 (w.x - y) x``,
-    one model per ``by`` group.  Returns ``by..., pos, w``."""
-    chunks = affine_chunks(train, list(by), ord_col, 2.0 * step, len(w0), partitions,
+    one model per ``by`` group (a NULL key is a group).  Returns
+    ``by..., pos, w``."""
+    train, keys, restore = _null_safe(train, by)
+    chunks = affine_chunks(train, keys, ord_col, 2.0 * step, len(w0), partitions,
                            ordered_input)
-    return chain_chunks(chunks, list(by), None, w0)
+    return restore(chain_chunks(chunks, keys, None, w0))
 
 
 def with_shards(
@@ -505,8 +562,13 @@ def sgd_averaged(
     sharded, ordered = with_shards(train, shards, ord_col, partitions)
     per_shard = sgd_pass(sharded, w0, step, ord_col, by=["shard"], partitions=partitions,
                          ordered_input=ordered)
+    return _average(per_shard, w0, shards)
+
+
+def _average(per_shard: DataFrame, w0: Sequence[float], shards: int) -> DataFrame:
+    """Mean of the shards' weights; a shard without rows counts with w0."""
     present = per_shard.groupBy("pos").agg(F.sum("w").alias("sw"), F.count(F.lit(1)).alias("ns"))
-    w0s = sharded.sparkSession.createDataFrame(
+    w0s = per_shard.sparkSession.createDataFrame(
         [(i, float(v)) for i, v in enumerate(w0)], "pos int, w0 double"
     )
     return present.join(F.broadcast(w0s), "pos").select(
@@ -528,14 +590,14 @@ def sgd_relay(
 
 
 def _dense_index(df: DataFrame, ord_col: str) -> tuple[bool, int]:
-    """(is the integral, unique order key exactly 0..m-1?, m) in one
-    aggregate.  With a unique key, min 0 and max m-1 prove it is dense."""
+    """(is the integral order key exactly 0..m-1, each once?, m) in one
+    aggregate: m distinct values with min 0 and max m-1."""
     if not isinstance(df.schema[ord_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
         return False, df.count()
     r = df.agg(F.min(ord_col).alias("lo"), F.max(ord_col).alias("hi"),
-               F.count(F.lit(1)).alias("m")).first()
+               F.count_distinct(ord_col).alias("kinds"), F.count(F.lit(1)).alias("m")).first()
     m = int(r["m"])
-    return m > 0 and r["lo"] == 0 and r["hi"] == m - 1, m
+    return m > 0 and r["lo"] == 0 and r["hi"] == m - 1 and r["kinds"] == m, m
 
 
 def sgd_sampled(
@@ -547,8 +609,8 @@ def sgd_sampled(
     applies ``w <- w - (step/m) 2 (w.x - y) x``; ``steps`` defaults to m.
 
     Draws: ``arith``: row pmod(t * 7919 + seed + r * 104729, m) for step t
-    of replica r (reproducible anywhere); ``rand``: floor(rand(seed) * m).
-    All draws are made in one job, joined to the indexed rows and folded
+    of replica r; ``rand``: pmod(hash_key(t, seed + r * 104729), m).  Both
+    are reproducible anywhere.  All draws are made in one job, joined to the indexed rows and folded
     in step order.  Returns ``replica, pos, w``."""
     spark = train.sparkSession
     if idx_col is None:
@@ -563,13 +625,13 @@ def sgd_sampled(
         m = rows.count()
     steps = m if steps is None else steps
     draws = spark.range(steps * replicas).select(
-        (F.col("id") / steps).cast("int").alias("replica"),
+        F.expr(f"id div {steps}").cast("int").alias("replica"),
         (F.col("id") % steps).alias("t"),
     )
     if rule == "arith":
         pick = F.pmod(F.col("t") * 7919 + seed + F.col("replica") * 104729, F.lit(m))
     elif rule == "rand":
-        pick = F.floor(F.rand(seed) * m).cast("long")
+        pick = F.pmod(hash_key("t", F.col("replica").cast("long") * 104729 + seed), F.lit(m))
     else:
         raise ValueError(f"unknown rule {rule!r}")
     draws = draws.withColumn(idx_col, pick)
@@ -580,154 +642,94 @@ def sgd_sampled(
 
 # ---- AdaGrad (G7): sequential fold ---------------------------------------------
 
-# Fixed value: a group with more rows than this is "hot": it is not sent to
-# one reducer, but range-partitioned and relayed (see ``sgd_adagrad``).
-HOT_GROUP_ROWS = 2_000_000
 
+def _adagrad_runs(X, y, starts, ends, W, S, a, step, eps):
+    """AdaGrad passes of all runs of a sorted batch, in place on their states
+    W and S (runs, d): row position t of every run is one vector step."""
+    import numpy as np
 
-def _adagrad_update(w, s, x, y, a, step, eps):
-    """One AdaGrad step in place (w, s lists; x a sequence; y a float)."""
-    d = len(w)
-    err = 2.0 * (sum(w[i] * x[i] for i in range(d)) - y)
-    for i in range(d):
-        g = a * err * x[i]
-        s[i] += g * g
-        w[i] -= step / math.sqrt(eps + s[i]) * g
+    lengths = ends - starts
+    for t in range(int(lengths.max()) if len(lengths) else 0):
+        act = np.flatnonzero(lengths > t)
+        idx = starts[act] + t
+        x = X[idx]
+        err = 2.0 * ((W[act] * x).sum(axis=1) - y[idx])
+        g = a * err[:, None] * x
+        S[act] += g * g
+        W[act] -= step / np.sqrt(eps + S[act]) * g
 
 
 def sgd_adagrad(
     train: DataFrame, w0: Sequence[float], s0: Sequence[float], step: float, eps: float,
     scale_gradient: bool = True, ord_col: str = "ord", by: Sequence[str] = (),
-    partitions: int | None = None, hot_rows: int = HOT_GROUP_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``g = a 2 (w.x - y) x`` with a = step if ``scale_gradient`` (the
     reference's written form) else 1; ``s <- s + g*g``;
     ``w <- w - step / sqrt(eps + s) * g``.  Returns ``by..., pos, w``.
 
-    The update is not associative, so each group is one ordered pass.
-    Ordinary groups: hash-partitioned by group, sorted, streamed through
-    ``mapInPandas`` (state carried across Arrow batches).  Groups above
-    ``hot_rows`` rows (found by one aggregate; at most rows/hot_rows of
-    them) are range-partitioned on (group, ord) instead, so their shuffle
-    and sort stay balanced, and their chunks are relayed in order: one
-    single-task job per chunk, handing on the (w, s) state of the hot
-    groups (2d numbers each), as the reference's shard relay hands on w."""
-    spark = train.sparkSession
-    keys = list(by)
-    n = partitions
+    The update is not associative, so a group is one ordered pass by its
+    nature: groups are hash-partitioned, sorted and streamed through
+    ``mapInPandas`` with the state carried across Arrow batches (constant
+    memory).  All groups of a batch advance together, one row position at a
+    time.  A group too large for one pass has a parallel form in
+    ``sgd_adagrad_averaged``; without ``by`` the whole table is one pass."""
+    if not by:
+        one = train.withColumn("_all", F.lit("all"))
+        return sgd_adagrad(one, w0, s0, step, eps, scale_gradient, ord_col, ["_all"], partitions).drop("_all")
+    train, keys, restore = _null_safe(train, by)
     d = len(w0)
     src = train.where(require_length("x", d, "feature vector")).select(
         *keys, ord_col, *_coords(d), F.col("y").cast("double").alias("y"))
+    src = src.repartition(partitions, *keys) if partitions else src.repartition(*keys)
     a = step if scale_gradient else 1.0
-    w_init = [float(v) for v in w0]
-    s_init = [float(v) for v in s0]
-    fields = [train.schema[k] for k in keys] + [
-        T.StructField("pos", T.IntegerType(), False), T.StructField("w", T.DoubleType(), False)]
-    schema = T.StructType(fields)
+    w_init, s_init = [float(v) for v in w0], [float(v) for v in s0]
+    schema = T.StructType([train.schema[k] for k in keys] + [
+        T.StructField("pos", T.IntegerType(), False), T.StructField("w", T.DoubleType(), False)])
 
-    if keys:
-        hot = src.groupBy(*keys).count().where(F.col("count") > hot_rows).collect()
-    else:
-        m = src.count()
-        hot = [{"count": m}] if m > hot_rows else []
-    if not hot:
-        return _adagrad_streamed(src, keys, ord_col, d, n, w_init, s_init, a, step, eps, schema)
-    hot_total = sum(int(r["count"]) for r in hot)
-    if keys:
-        hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot],
-                                         T.StructType([train.schema[k] for k in keys]))
-        cold = src.join(F.broadcast(hot_keys), keys, "left_anti")
-        hot_src = src.join(F.broadcast(hot_keys), keys, "left_semi")
-    else:
-        cold, hot_src = None, src
-    # at most 4 chunks per shuffle partition: the relay is one job per chunk
-    cap = 4 * (n or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    chunks = max(1, min(-(-hot_total // hot_rows), cap))
-    state = _adagrad_relay(hot_src, keys, ord_col, d, chunks, w_init, s_init, a, step, eps)
-    relayed = spark.createDataFrame(
-        [tuple(key) + (p, float(w[p])) for key, (w, _) in sorted(state.items()) for p in range(d)],
-        schema)
-    if cold is None:
-        return relayed
-    streamed = _adagrad_streamed(cold, keys, ord_col, d, n, w_init, s_init, a, step, eps, schema)
-    return streamed.unionByName(relayed)
-
-
-def _adagrad_streamed(src, keys, ord_col, d, n, w_init, s_init, a, step, eps, schema):
-    """One task per group set: hash-partitioned, sorted, streamed."""
-    if not keys:
-        src = src.repartition(1)
-    else:
-        src = src.repartition(n, *keys) if n else src.repartition(*keys)
-    parted = src.sortWithinPartitions(*keys, ord_col)
-    cols = [f.name for f in schema.fields]
-
-    def run(batches):
+    def rows(heads, W):
+        import numpy as np
         import pandas as pd
 
-        cur_key, w, s = None, None, None
-        done = []
+        if not np.isfinite(W).all():
+            raise FloatingPointError("AdaGrad diverged")
+        data = {k: np.repeat(h, d) for k, h in zip(keys, heads)}
+        data.update(pos=np.tile(np.arange(d, dtype=np.int32), len(W)), w=W.reshape(-1))
+        return pd.DataFrame(data)
 
-        def flush():
-            if cur_key is not None:
-                if not all(math.isfinite(v) for v in w):
-                    raise FloatingPointError("AdaGrad diverged")
-                for p in range(d):
-                    done.append(dict(zip(keys, cur_key), pos=p, w=w[p]))
+    def run(batches):
+        import numpy as np
 
+        cur = None  # (key columns of one row, w, s) of the group that goes on
         for pdf in batches:
-            xs = _features(pdf, d).tolist()
-            ys = pdf["y"].to_list()
-            kcols = [pdf[k].to_list() for k in keys]
-            for r in range(len(xs)):
-                key = tuple(col[r] for col in kcols)
-                if key != cur_key or w is None:
-                    flush()
-                    cur_key, w, s = key, list(w_init), list(s_init)
-                _adagrad_update(w, s, xs[r], ys[r], a, step, eps)
-            if done:
-                yield pd.DataFrame(done, columns=cols)
-                done.clear()
-        flush()
-        if done:
-            yield pd.DataFrame(done, columns=cols)
+            if len(pdf) == 0:
+                continue
+            starts, ends = _runs(pdf, keys)
+            heads = [pdf[k].to_numpy()[starts] for k in keys]
+            W, S = np.tile(w_init, (len(starts), 1)), np.tile(s_init, (len(starts), 1))
+            if cur is not None:
+                if all(h[0] == c[0] for h, c in zip(heads, cur[0])):
+                    W[0], S[0] = cur[1], cur[2]
+                else:
+                    yield rows(cur[0], cur[1][None])
+            _adagrad_runs(_features(pdf, d), pdf["y"].to_numpy(dtype=float), starts, ends, W, S, a, step, eps)
+            if len(starts) > 1:
+                yield rows([h[:-1] for h in heads], W[:-1])
+            cur = ([h[-1:] for h in heads], W[-1], S[-1])
+        if cur is not None:
+            yield rows(cur[0], cur[1][None])
 
-    return parted.mapInPandas(run, schema)
+    return restore(src.sortWithinPartitions(*keys, ord_col).mapInPandas(run, schema))
 
 
-def _adagrad_relay(src, keys, ord_col, d, chunks, w_init, s_init, a, step, eps):
-    """Hot groups: range-partition on (keys, ord) into ``chunks`` sorted
-    partitions (persisted), then run them in order, one single-task job per
-    partition, each starting from the states the previous ones left.
-    Returns {key tuple: (w, s)}."""
-    spark = src.sparkSession
-    parted = (src.repartitionByRange(chunks, *keys, ord_col)
-              .sortWithinPartitions(*keys, ord_col)
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    xcols = [f"_x{i}" for i in range(d)] if d <= _SCALAR_FEATURES else None
-    state: dict[tuple, tuple[list, list]] = {}
-    try:
-        rdd = parted.rdd
-        for i in range(rdd.getNumPartitions()):
-            before = dict(state)
-
-            def fold(rows, before=before):
-                seen: dict[tuple, tuple[list, list]] = {}
-                for row in rows:
-                    key = tuple(row[k] for k in keys)
-                    if key not in seen:
-                        w, s = before.get(key, (w_init, s_init))
-                        seen[key] = (list(w), list(s))
-                    w, s = seen[key]
-                    x = [row[c] for c in xcols] if xcols else list(row["x"])
-                    _adagrad_update(w, s, x, row["y"], a, step, eps)
-                for w, _ in seen.values():
-                    if not all(math.isfinite(v) for v in w):
-                        raise FloatingPointError("AdaGrad diverged")
-                return [seen]
-
-            for part in spark.sparkContext.runJob(rdd, fold, partitions=[i]):
-                state.update(part)
-    finally:
-        parted.unpersist()
-    return state
+def sgd_adagrad_averaged(
+    train: DataFrame, w0: Sequence[float], s0: Sequence[float], step: float, eps: float,
+    shards: int, scale_gradient: bool = True, ord_col: str = "ord",
+    partitions: int | None = None,
+) -> DataFrame:
+    """G7 in the form of G5: every shard runs its own pass from (w0, s0); the
+    shard weights are averaged with equal weight (an empty shard contributes
+    w0).  Returns ``pos, w``."""
+    sharded, _ = with_shards(train, shards, ord_col, partitions)
+    per_shard = sgd_adagrad(sharded, w0, s0, step, eps, scale_gradient, ord_col, ["shard"], partitions)
+    return _average(per_shard, w0, shards)

@@ -6,23 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterfold.functions import vectors as V
+from clusterfold.operators import indexing as IX
 from clusterfold.operators import kmeans as km
 from clusterfold.sources.tables import table
 from clusterfold.plans.common import (
     embedding_points,
     embedding_seeds,
     explode_vector,
+    hash_sql,
     r6,
 )
 
-# Fixed values of the registered jobs (reference settings: eps 0.001 and
-# at most 30 iterations for the full loop; 3 iterations per timed variant).
+# Fixed values of the registered jobs (reference settings: eps 0.001, at
+# most 30 iterations for the full loop and 10 for each timed variant).
 EPS = 0.001
 MAX_ITER = 30
-VARIANT_ITER = 3
+VARIANT_ITER = 10
 FAR_COORD = 100.0
 SAMPLE_K = 10
 SAMPLE_SEED = 7
+FIT_SEED = 11
 HEAD_N = 3
 PREFIX_LEN = 4
 
@@ -61,8 +64,10 @@ def q_kmeans_stepwise(spark, sf_dir):
 
 
 def _fit(spark, sf_dir):
+    """The fit from the k smallest vec_ids, k = number of labels; both are
+    read from the persisted points."""
     pts = embedding_points(spark, sf_dir)
-    return pts, km.kmeans(pts, init=embedding_seeds(pts), max_iter=MAX_ITER, eps=EPS)
+    return pts, km.kmeans(pts, init="first", max_iter=MAX_ITER, eps=EPS)
 
 
 def q_kmeans_fit(spark, sf_dir):
@@ -122,34 +127,34 @@ def q_cross_distances(spark, sf_dir):
 def q_distances_by_point(spark, sf_dir):
     """A2: every point's list of (d, j), sorted, published exploded.
 
-    A list holds k entries (bounded by the centroid count)."""
+    A list holds k entries (bounded by the centroid count) and is made in
+    the point's own row."""
     pts = embedding_points(spark, sf_dir)
-    rows = km.distance_rows(pts, embedding_seeds(pts))
-    lists = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("d", "j"))).alias("l"))
-    return lists.select(F.col("id").alias("vec_id"), F.posexplode("l").alias("rank", "p")).select(
+    lists = km.distance_lists(pts, embedding_seeds(pts))
+    return lists.select(F.col("id").alias("vec_id"), F.posexplode(F.array_sort("l")).alias("rank", "p")).select(
         "vec_id", F.col("rank").cast("int").alias("rank"), F.col("p.j").cast("int").alias("j"),
         r6("p.d").alias("d"),
     )
 
 
 def q_nearest_centroid(spark, sf_dir):
-    """A3: argmin per point over the distance rows (min of (d, j))."""
+    """A3: argmin per point over its distances (min of (d, j))."""
     pts = embedding_points(spark, sf_dir)
-    rows = km.distance_rows(pts, embedding_seeds(pts))
-    m = rows.groupBy("id").agg(F.min(F.struct("d", "j")).alias("m"))
+    lists = km.distance_lists(pts, embedding_seeds(pts))
+    m = lists.select("id", F.array_min("l").alias("m"))
     return m.select(F.col("id").alias("vec_id"), F.col("m.j").alias("j"), r6("m.d").alias("d"))
 
 
 def q_cluster_means(spark, sf_dir):
     """A4 keyed by the true label: mean vector and size per label."""
     pts = embedding_points(spark, sf_dir)
-    means = km.vector_means_long(pts, "label")
-    return means.select("label", "n", "pos", r6("v").alias("c"))
+    means = km.cluster_means(pts.select(F.col("label").alias("j"), "x"))
+    return explode_vector(means.withColumnRenamed("j", "label"), ["label", "n"], "c", "c")
 
 
 def q_k_from_labels(spark, sf_dir):
-    pts = embedding_points(spark, sf_dir)
-    return pts.agg(F.countDistinct("label").alias("k"))
+    k = km.k_from_labels(embedding_points(spark, sf_dir))
+    return spark.createDataFrame([(k,)], "k bigint")
 
 
 def q_label_domain(spark, sf_dir):
@@ -160,20 +165,21 @@ def q_label_domain(spark, sf_dir):
 
 def q_head_n(spark, sf_dir):
     pts = embedding_points(spark, sf_dir)
-    top = pts.orderBy("id").limit(HEAD_N)
+    top = IX.head_n(pts, HEAD_N, ["id"])
     return explode_vector(top.withColumnRenamed("id", "vec_id"), ["vec_id", "label"], "x", "v",
                           rounded=False)
 
 
 def q_vec_prefix(spark, sf_dir):
     pts = embedding_points(spark, sf_dir)
-    pre = pts.select(F.col("id").alias("vec_id"), F.slice("x", 1, PREFIX_LEN).alias("p"))
+    pre = pts.select(F.col("id").alias("vec_id"), IX.prefix("x", PREFIX_LEN).alias("p"))
     return explode_vector(pre, ["vec_id"], "p", "v", rounded=False)
 
 
 def q_sample_k(spark, sf_dir):
-    pts = embedding_points(spark, sf_dir)
-    return km.seed_frame(pts, SAMPLE_K, "sample", SAMPLE_SEED).select("j")
+    """K sampled rows with their coordinates."""
+    e = IX.sample_k(table(spark, sf_dir, "embeddings"), SAMPLE_K, SAMPLE_SEED, order_col="vec_id")
+    return explode_vector(e, ["vec_id"], "embedding", "v", rounded=False).withColumn("v", F.col("v").cast("double"))
 
 
 def q_vec_ops(spark, sf_dir):
@@ -194,14 +200,31 @@ def q_vec_ops(spark, sf_dir):
     )
 
 
-def q_kmeans_variants(spark, sf_dir):
-    """K10 timing matrix with A7 (total seconds per variant)."""
+def _variants(spark, sf_dir):
     pts = embedding_points(spark, sf_dir)
     rows = km.variant_timings(pts, embedding_seeds(pts), max_iter=VARIANT_ITER, eps=EPS)
-    t = spark.createDataFrame(
+    return spark.createDataFrame(
         rows, "variant string, assign string, persist boolean, coalesce int, "
-        "iteration int, seconds double"
+        "iteration int, seconds double, n_clusters int, n_moved int"
     )
+
+
+def q_kmeans_variants_trace(spark, sf_dir):
+    """K10 without seconds: every variant's report, which must be one and the same."""
+    return _variants(spark, sf_dir).select("assign", "persist", "coalesce", "iteration", "n_clusters", "n_moved")
+
+
+def q_cluster_labels_null(spark, sf_dir):
+    """K7 at the first iteration over labels of which every third is NULL."""
+    pts = embedding_points(spark, sf_dir)
+    some = pts.withColumn("label", F.when(F.col("id") % 3 != 0, F.col("label")))
+    found = km.label_trace(some, [embedding_seeds(pts)])
+    return found.withColumn("label", F.coalesce(F.col("label").cast("string"), F.lit("null")))
+
+
+def q_kmeans_variants(spark, sf_dir):
+    """K10 timing matrix with A7 (total seconds per variant)."""
+    t = _variants(spark, sf_dir).drop("n_clusters", "n_moved")
     totals = t.groupBy("variant").agg(F.sum("seconds").alias("total_seconds"))
     return t.join(F.broadcast(totals), "variant")
 
@@ -226,7 +249,7 @@ def q_kmeans_fit_hashed(spark, sf_dir):
 def q_kmeans_fit_sampled(spark, sf_dir):
     """K1 with sampled seeds (k = number of labels), then the full loop."""
     pts = embedding_points(spark, sf_dir)
-    res = km.kmeans(pts, init="sample", seed=SAMPLE_SEED, max_iter=MAX_ITER, eps=EPS)
+    res = km.kmeans(pts, init="sample", seed=FIT_SEED, max_iter=MAX_ITER, eps=EPS)
     return _centroid_rows(spark, res.centroids, res.sizes)
 
 
@@ -253,6 +276,8 @@ QUERIES = {
     "sample_k": q_sample_k,
     "vec_ops": q_vec_ops,
     "kmeans_variants": q_kmeans_variants,
+    "kmeans_variants_trace": q_kmeans_variants_trace,
+    "cluster_labels_null": q_cluster_labels_null,
     "kmeans_fit_sampled": q_kmeans_fit_sampled,
     "sample_k_hashed": q_sample_k_hashed,
     "kmeans_fit_hashed": q_kmeans_fit_hashed,
@@ -296,13 +321,17 @@ def _rows_of(cents: str, with_n: bool = True) -> str:
     )
 
 
-_HASH = f"((vec_id * 2654435761 + {SAMPLE_SEED}) % 4294967296)"
-_C0_HASH = (
-    f"c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY {_HASH}, vec_id) - 1)::INTEGER AS j, "
-    "embedding::DOUBLE[] AS c FROM embeddings "
-    f"QUALIFY row_number() OVER (ORDER BY {_HASH}, vec_id) <= "
-    "(SELECT count(DISTINCT label) FROM embeddings))"
-)
+_HASH = hash_sql("vec_id", SAMPLE_SEED)
+
+
+def _c0_hash(seed: int) -> str:
+    key = hash_sql("vec_id", seed)
+    return (
+        f"c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY {key}, vec_id) - 1)::INTEGER AS j, "
+        "embedding::DOUBLE[] AS c FROM embeddings "
+        f"QUALIFY row_number() OVER (ORDER BY {key}, vec_id) <= "
+        "(SELECT count(DISTINCT label) FROM embeddings))"
+    )
 
 
 def _fit_sql(max_iter: int, eps: float, final: str, seed_cte: str = _C0) -> str:
@@ -391,7 +420,23 @@ ORACLES = {
     ),
     "centroid_shift": _one_step_sql(_C0, "shift"),
     "kmeans_fit": _fit_sql(MAX_ITER, EPS, "centroids"),
-    "kmeans_fit_hashed": _fit_sql(MAX_ITER, EPS, "centroids", _C0_HASH),
+    "kmeans_fit_hashed": _fit_sql(MAX_ITER, EPS, "centroids", _c0_hash(SAMPLE_SEED)),
+    "kmeans_fit_sampled": _fit_sql(MAX_ITER, EPS, "centroids", _c0_hash(FIT_SEED)),
+    "kmeans_variants_trace": (
+        "SELECT a.assign, p.persist, c.c AS coalesce, t.iteration, t.n_clusters, t.n_moved FROM ("
+        + _fit_sql(VARIANT_ITER, EPS, "trace") + ") t, (VALUES ('cross'), ('auto')) a(assign), "
+        "(VALUES (true), (false)) p(persist), (VALUES (0::INTEGER), (8::INTEGER)) c(c)"
+    ),
+    "cluster_labels_null": (
+        f"WITH {_P}, {_C0}, {_assign_cte('a', 'c0')}, n AS (SELECT j, "
+        "CASE WHEN vec_id % 3 <> 0 THEN label::VARCHAR ELSE 'null' END AS label FROM a) "
+        "SELECT 1::INTEGER AS iteration, j, label, count(*) AS n FROM n GROUP BY j, label"
+    ),
+    "sample_k": (
+        "SELECT vec_id, (pos - 1)::INTEGER AS pos, embedding[pos]::DOUBLE AS v FROM "
+        "(SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS pos FROM "
+        f"(SELECT * FROM embeddings ORDER BY {_HASH}, vec_id LIMIT {SAMPLE_K}))"
+    ),
     "sample_k_hashed": (
         f"SELECT vec_id, label FROM embeddings ORDER BY {_HASH}, vec_id LIMIT {SAMPLE_K}"
     ),

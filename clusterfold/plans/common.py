@@ -12,12 +12,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterfold.operators import kmeans as km
+from clusterfold.operators.indexing import HASH_MOD, HASH_MULTS, HASH_SHIFTS
+from clusterfold.session import checkpoint_dir
 from clusterfold.sources.tables import table
 
 # Fixed value: decimals kept when comparing order-dependent float sums.
 DECIMALS = 6
 
 
+def hash_sql(value: str, seed: int | str) -> str:
+    """``indexing.hash_key`` as SQL, for the oracles."""
+    h = f"((({value}) % {HASH_MOD}) * {HASH_MULTS[0]} + ({seed}) % {HASH_MOD}) % {HASH_MOD}"
+    for mult, shift in zip(HASH_MULTS[::-1], HASH_SHIFTS):
+        h = f"(xor(({h})::BIGINT, (({h})::BIGINT >> {shift})) * {mult}) % {HASH_MOD}"
+    return f"({h})"
+
+
+def finished(result: DataFrame, *persisted: DataFrame) -> DataFrame:
+    """The rows of ``result``, computed now and written to the shared
+    checkpoint folder, after which the frames it read are released."""
+    checkpoint_dir(result.sparkSession)
+    out = result.checkpoint(eager=True)
+    for frame in persisted:
+        frame.unpersist()
+    return out
+
+
 def r6(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c, DECIMALS)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clusterfold.operators import joins as J
 from clusterfold.operators import text as TX
 from clusterfold.operators.indexing import row_index
-from clusterfold.operators.profile import partition_profile, row_counts
+from clusterfold.operators.profile import partition_profile, row_counts, run_noop
 from clusterfold.sources import delimited as D
 from clusterfold.sources import generators as G
 from clusterfold.sources import text as S
@@ -33,6 +33,15 @@ def q_blank_line_count(spark, sf_dir):
     return TX.line_counters(S.log_lines(table(spark, sf_dir, "events")))
 
 
+def q_token_counters(spark, sf_dir):
+    """A8 inside the pipeline: the counters that one action over the words fills."""
+    words, counters = TX.tokenize_observed(S.log_lines(table(spark, sf_dir, "events")))
+    run_noop(words)
+    got = counters.get
+    return spark.createDataFrame([(got["n_lines"], got["n_blank"], got["n_words"])],
+                                 "n_lines bigint, n_blank bigint, n_words bigint")
+
+
 def q_delimited_points(spark, sf_dir):
     lines = S.csv_lines(table(spark, sf_dir, "customer"), "c_custkey", CSV_COLS)
     pts = D.parse_points(lines, CSV_FEATURES, ",", "strict", keep=["c_custkey"])
@@ -102,13 +111,16 @@ def q_join_broadcast(spark, sf_dir):
 
 
 def q_partition_profile(spark, sf_dir):
-    return partition_profile(table(spark, sf_dir, "lineitem").select("l_orderkey"))
+    """Rows of all partitions together, and of those that the profile lists empty."""
+    profile = partition_profile(table(spark, sf_dir, "lineitem").select("l_orderkey"))
+    return profile.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("n") < 1).alias("n_empty"))
 
 
 QUERIES = {
     "text_lines": q_text_lines,
     "tokenize": q_tokenize,
     "blank_line_count": q_blank_line_count,
+    "token_counters": q_token_counters,
     "delimited_points": q_delimited_points,
     "delimited_permissive": q_delimited_permissive,
     "delimited_counts": q_delimited_counts,
@@ -153,7 +165,15 @@ _JOIN = (
     "JOIN nation ON c_nationkey = n_nationkey"
 )
 
+_COUNTERS = (
+    f"WITH {_LOG} SELECT count(*) AS n_lines, count(*) FILTER (WHERE line = '') AS n_blank, "
+    "coalesce(sum(CASE WHEN rtrim(line, ' ') = '' THEN 0 "
+    "ELSE len(string_split(rtrim(line, ' '), ' ')) END), 0)::BIGINT AS n_words FROM ll"
+)
+
 ORACLES = {
+    "partition_profile": "SELECT count(*) AS n_rows, 0::BIGINT AS n_empty FROM lineitem",
+    "token_counters": _COUNTERS,
     "text_lines": (
         "SELECT doc_id, (generate_subscripts(string_split(text, chr(10)), 1) - 1)::INTEGER AS line_no, "
         "unnest(string_split(text, chr(10))) AS line FROM documents"
@@ -164,11 +184,7 @@ ORACLES = {
         "SELECT event_id, (generate_subscripts(string_split(t, ' '), 1) - 1)::INTEGER AS pos, "
         "unnest(string_split(t, ' ')) AS word FROM t"
     ),
-    "blank_line_count": (
-        f"WITH {_LOG} SELECT count(*) AS n_lines, count(*) FILTER (WHERE line = '') AS n_blank, "
-        "coalesce(sum(CASE WHEN rtrim(line, ' ') = '' THEN 0 "
-        "ELSE len(string_split(rtrim(line, ' '), ' ')) END), 0)::BIGINT AS n_words FROM ll"
-    ),
+    "blank_line_count": _COUNTERS,
     "delimited_points": (
         "SELECT c_custkey, (pos - 1)::INTEGER AS pos, v, label FROM (SELECT c_custkey, "
         "c_mktsegment AS label, unnest([c_custkey::DOUBLE, c_nationkey::DOUBLE, c_acctbal]) AS v, "

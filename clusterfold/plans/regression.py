@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from clusterfold.operators import linear as lin
-from clusterfold.plans.common import r6, weights_frame
-from clusterfold.plans.training import train_lineitem, train_orders
+from clusterfold.plans.common import finished, hash_sql, r6, weights_frame
+from clusterfold.plans.training import train_embeddings, train_lineitem, train_orders
 
 # Fixed values of the registered jobs.
 W_PROBE = [0.1, 0.2]          # weights at which gradient_once is evaluated
 GD_EPOCHS = 100               # batch GD epochs (reference: 100)
 GD_STEP = 0.1                 # batch GD step (reference, normalised data: 0.1)
-SCAN_EPOCHS = 10              # epochs of the one-job-per-epoch variant
+SCAN_EPOCHS = 100             # epochs of the one-job-per-epoch variant (reference: 100)
 SGD_STEP = 0.01               # ordered / averaged / relay SGD step (reference: 0.01)
 AVG_SHARDS = 16
 RELAY_SHARDS = 4
@@ -21,7 +23,9 @@ SAMPLED_STEP = 0.1            # sampled SGD step (reference: 0.1)
 SAMPLED_REPLICAS = 2
 SAMPLED_SEED = 0
 GROUPS = ["c_mktsegment", "o_orderpriority"]
+CUSTOMERS = ["custkey"]       # a key that grows with the data
 ZERO = [0.0, 0.0]
+WIDE = 64                     # features of ``embeddings``
 
 
 def q_gradient_once(spark, sf_dir):
@@ -39,43 +43,74 @@ def q_batch_gd_scan(spark, sf_dir):
     return weights_frame(spark, w)
 
 
+def _on_orders(spark, sf_dir, job):
+    """A job over orders joined to customer: the join runs once (persisted
+    for the job's passes, then released); the weights are rounded."""
+    train = train_orders(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return finished(job(train).withColumn("w", r6("w")), train)
+
+
 def q_sgd_pass(spark, sf_dir):
-    out = lin.sgd_pass(train_orders(spark, sf_dir), ZERO, SGD_STEP, "ord", by=GROUPS)
+    return _on_orders(spark, sf_dir, lambda t: lin.sgd_pass(t, ZERO, SGD_STEP, "ord", by=GROUPS))
+
+
+def q_sgd_pass_null(spark, sf_dir):
+    """G4 by an integer key that is NULL for every second order."""
+    def job(t):
+        some = t.withColumn("g", F.when(F.col("ord") % 2 == 0, (F.col("ord") % 7).cast("int")))
+        out = lin.sgd_pass(some, ZERO, SGD_STEP, "ord", by=["g"])
+        return out.withColumn("g", F.coalesce(F.col("g").cast("string"), F.lit("null")))
+
+    return _on_orders(spark, sf_dir, job)
+
+
+def q_sgd_pass_wide(spark, sf_dir):
+    """G4 over 64 features."""
+    out = lin.sgd_pass(train_embeddings(spark, sf_dir), [0.0] * WIDE, SGD_STEP, "ord")
     return out.withColumn("w", r6("w"))
 
 
 def q_sgd_averaged(spark, sf_dir):
-    out = lin.sgd_averaged(train_orders(spark, sf_dir), ZERO, SGD_STEP, AVG_SHARDS, "ord")
-    return out.withColumn("w", r6("w"))
+    return _on_orders(spark, sf_dir, lambda t: lin.sgd_averaged(t, ZERO, SGD_STEP, AVG_SHARDS, "ord"))
 
 
 def q_sgd_relay(spark, sf_dir):
-    out = lin.sgd_relay(train_orders(spark, sf_dir), ZERO, SGD_STEP, RELAY_SHARDS, "ord")
-    return out.withColumn("w", r6("w"))
+    return _on_orders(spark, sf_dir, lambda t: lin.sgd_relay(t, ZERO, SGD_STEP, RELAY_SHARDS, "ord"))
+
+
+def _adagrad(spark, sf_dir, by, scaled):
+    return _on_orders(spark, sf_dir, lambda t: lin.sgd_adagrad(
+        t, ZERO, ZERO, ADA_STEP, ADA_EPS, scale_gradient=scaled, ord_col="ord", by=by))
 
 
 def q_sgd_adagrad(spark, sf_dir):
-    out = lin.sgd_adagrad(train_orders(spark, sf_dir), ZERO, ZERO, ADA_STEP, ADA_EPS,
-                          scale_gradient=True, ord_col="ord", by=GROUPS)
-    return out.withColumn("w", r6("w"))
+    return _adagrad(spark, sf_dir, CUSTOMERS, True)
 
 
 def q_sgd_adagrad_textbook(spark, sf_dir):
-    out = lin.sgd_adagrad(train_orders(spark, sf_dir), ZERO, ZERO, ADA_STEP, ADA_EPS,
-                          scale_gradient=False, ord_col="ord", by=GROUPS)
-    return out.withColumn("w", r6("w"))
+    return _adagrad(spark, sf_dir, CUSTOMERS, False)
+
+
+def q_sgd_adagrad_segments(spark, sf_dir):
+    return _adagrad(spark, sf_dir, GROUPS, True)
+
+
+def q_sgd_adagrad_averaged(spark, sf_dir):
+    return _on_orders(spark, sf_dir, lambda t: lin.sgd_adagrad_averaged(
+        t, ZERO, ZERO, ADA_STEP, ADA_EPS, AVG_SHARDS, ord_col="ord"))
+
+
+def _sampled(spark, sf_dir, rule):
+    return _on_orders(spark, sf_dir, lambda t: lin.sgd_sampled(
+        t, ZERO, SAMPLED_STEP, seed=SAMPLED_SEED, replicas=SAMPLED_REPLICAS, rule=rule, ord_col="ord"))
 
 
 def q_sgd_sampled_rand(spark, sf_dir):
-    out = lin.sgd_sampled(train_orders(spark, sf_dir), ZERO, SAMPLED_STEP, seed=SAMPLED_SEED,
-                          replicas=SAMPLED_REPLICAS, rule="rand", ord_col="ord")
-    return out.withColumn("w", r6("w"))
+    return _sampled(spark, sf_dir, "rand")
 
 
 def q_sgd_sampled(spark, sf_dir):
-    out = lin.sgd_sampled(train_orders(spark, sf_dir), ZERO, SAMPLED_STEP, seed=SAMPLED_SEED,
-                          replicas=SAMPLED_REPLICAS, rule="arith", ord_col="ord")
-    return out.withColumn("w", r6("w"))
+    return _sampled(spark, sf_dir, "arith")
 
 
 QUERIES = {
@@ -83,11 +118,15 @@ QUERIES = {
     "batch_gd": q_batch_gd,
     "batch_gd_scan": q_batch_gd_scan,
     "sgd_pass": q_sgd_pass,
+    "sgd_pass_null": q_sgd_pass_null,
+    "sgd_pass_wide": q_sgd_pass_wide,
     "sgd_averaged": q_sgd_averaged,
     "sgd_relay": q_sgd_relay,
     "sgd_adagrad": q_sgd_adagrad,
     "sgd_sampled": q_sgd_sampled,
     "sgd_adagrad_textbook": q_sgd_adagrad_textbook,
+    "sgd_adagrad_segments": q_sgd_adagrad_segments,
+    "sgd_adagrad_averaged": q_sgd_adagrad_averaged,
     "sgd_sampled_rand": q_sgd_sampled_rand,
 }
 
@@ -96,7 +135,7 @@ QUERIES = {
 
 _TL = ("tl AS (SELECT l_quantity / 50.0 AS x0, 1.0::DOUBLE AS x1, "
        "l_extendedprice / 100000.0 AS y FROM lineitem)")
-_TO = ("tr AS (SELECT o_orderkey AS ord, c_mktsegment, o_orderpriority, "
+_TO = ("tr AS (SELECT o_orderkey AS ord, o_custkey AS custkey, c_mktsegment, o_orderpriority, "
        "c_acctbal / 10000.0 AS x0, 1.0::DOUBLE AS x1, o_totalprice / 500000.0 AS y "
        "FROM orders JOIN customer ON o_custkey = c_custkey)")
 
@@ -153,11 +192,11 @@ def _unpivot(src: str, keys: list[str]) -> str:
             f"SELECT {k}1 AS pos, round(r.w1, 6) AS w FROM {src}")
 
 
-def _grouped_fold_sql(lam: str, ada: bool) -> str:
-    g = ", ".join(GROUPS)
+def _grouped_fold_sql(lam: str, ada: bool, groups: list[str] = GROUPS) -> str:
+    g = ", ".join(groups)
     return (
         f"WITH {_TO}, f AS (SELECT {g}, list_reduce(list({_elem(ada)} ORDER BY ord), "
-        f"{lam}, {_init(ada)}) AS r FROM tr GROUP BY {g}) " + _unpivot("f", GROUPS)
+        f"{lam}, {_init(ada)}) AS r FROM tr GROUP BY {g}) " + _unpivot("f", groups)
     )
 
 
@@ -174,6 +213,23 @@ _AVG_SQL = (
     f"SELECT pos, round(sum(w) / {AVG_SHARDS}, 6) AS w FROM u GROUP BY pos"
 )
 
+_AVG_ADA_SQL = (
+    f"WITH {_TO}, {_SHARDED.format(p=AVG_SHARDS)}, "
+    f"f AS (SELECT shard, list_reduce(list({_elem(True)} ORDER BY ord), "
+    f"{_ada_lambda(ADA_STEP, ADA_EPS)}, {_init(True)}) AS r FROM sh GROUP BY shard), "
+    "u AS (SELECT 0 AS pos, r.w0 AS w FROM f UNION ALL SELECT 1 AS pos, r.w1 AS w FROM f) "
+    f"SELECT pos, round(sum(w) / {AVG_SHARDS}, 6) AS w FROM u GROUP BY pos"
+)
+
+_WIDE_ZERO = f"list_transform(range({WIDE}), lambda i: 0.0::DOUBLE)"
+_WIDE_SQL = (
+    "WITH f AS (SELECT list_reduce(list({'w': " + _WIDE_ZERO + ", 'x': embedding::DOUBLE[], 'y': label::DOUBLE} "
+    "ORDER BY vec_id), lambda a, e: {'w': list_transform(range(1, " + str(WIDE + 1) + "), lambda i: a.w[i] - "
+    f"{SGD_STEP} * 2.0 * (list_dot_product(a.w, e.x) - e.y) * e.x[i]), 'x': e.x, 'y': e.y}}, "
+    "{'w': " + _WIDE_ZERO + ", 'x': " + _WIDE_ZERO + ", 'y': 0.0::DOUBLE}) AS r FROM embeddings) "
+    f"SELECT (pos - 1)::INTEGER AS pos, round(r.w[pos], 6) AS w FROM f, (SELECT unnest(range(1, {WIDE + 1})) AS pos)"
+)
+
 _RELAY_SQL = (
     f"WITH {_TO}, {_SHARDED.format(p=RELAY_SHARDS)}, "
     f"l AS (SELECT list({_elem(False)} ORDER BY ord) AS l FROM sh), "
@@ -190,18 +246,22 @@ _SAMPLED_LAMBDA = (
     "'w1': a.w1 - e.x1 * (e.c * (a.w0 * e.x0 + a.w1 * e.x1 - e.y)), "
     f"'c': {_Z}, 'x0': {_Z}, 'x1': {_Z}, 'y': {_Z}}}"
 )
-_SAMPLED_SQL = (
-    f"WITH {_TO}, ix AS (SELECT row_number() OVER (ORDER BY ord) - 1 AS idx, x0, x1, y FROM tr), "
-    "mm AS (SELECT count(*) AS m FROM tr), "
-    f"dr AS (SELECT r.replica::INTEGER AS replica, ix.idx AS t, "
-    f"(ix.idx * 7919 + {SAMPLED_SEED} + r.replica * 104729) % mm.m AS pick, "
-    f"2.0 * {SAMPLED_STEP} / mm.m AS c "
-    f"FROM range({SAMPLED_REPLICAS}) r(replica), ix, mm), "
-    "st AS (SELECT dr.replica, dr.t, dr.c, ix.x0, ix.x1, ix.y FROM dr JOIN ix ON ix.idx = dr.pick), "
-    f"f AS (SELECT replica, list_reduce(list({_SAMPLED_ELEM} ORDER BY t), "
-    f"{_SAMPLED_LAMBDA}, {_SAMPLED_INIT}) AS r "
-    "FROM st GROUP BY replica) " + _unpivot("f", ["replica"])
-)
+def _sampled_sql(pick: str) -> str:
+    return (
+        f"WITH {_TO}, ix AS (SELECT row_number() OVER (ORDER BY ord) - 1 AS idx, x0, x1, y FROM tr), "
+        "mm AS (SELECT count(*) AS m FROM tr), "
+        f"dr AS (SELECT r.replica::INTEGER AS replica, ix.idx AS t, "
+        f"{pick} AS pick, "
+        f"2.0 * {SAMPLED_STEP} / mm.m AS c "
+        f"FROM range({SAMPLED_REPLICAS}) r(replica), ix, mm), "
+        "st AS (SELECT dr.replica, dr.t, dr.c, ix.x0, ix.x1, ix.y FROM dr JOIN ix ON ix.idx = dr.pick), "
+        f"f AS (SELECT replica, list_reduce(list({_SAMPLED_ELEM} ORDER BY t), "
+        f"{_SAMPLED_LAMBDA}, {_SAMPLED_INIT}) AS r "
+        "FROM st GROUP BY replica) " + _unpivot("f", ["replica"])
+    )
+
+
+_SAMPLED_SQL = _sampled_sql(f"(ix.idx * 7919 + {SAMPLED_SEED} + r.replica * 104729) % mm.m")
 
 ORACLES = {
     "gradient_once": (
@@ -212,8 +272,17 @@ ORACLES = {
     "batch_gd": _gd_sql(GD_EPOCHS),
     "batch_gd_scan": _gd_sql(SCAN_EPOCHS),
     "sgd_pass": _grouped_fold_sql(_sgd_lambda(f"{SGD_STEP} * 2.0"), False),
-    "sgd_adagrad": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS), True),
-    "sgd_adagrad_textbook": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS, 1.0), True),
+    "sgd_pass_null": (
+        _grouped_fold_sql(_sgd_lambda(f"{SGD_STEP} * 2.0"), False, ["g"]).replace(
+            "AS custkey,", "AS custkey, CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey % 7)::VARCHAR "
+            "ELSE 'null' END AS g,", 1)
+    ),
+    "sgd_pass_wide": _WIDE_SQL,
+    "sgd_adagrad": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS), True, CUSTOMERS),
+    "sgd_adagrad_textbook": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS, 1.0), True, CUSTOMERS),
+    "sgd_adagrad_segments": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS), True),
+    "sgd_adagrad_averaged": _AVG_ADA_SQL,
+    "sgd_sampled_rand": _sampled_sql(hash_sql("ix.idx", f"(r.replica * 104729 + {SAMPLED_SEED})") + " % mm.m"),
     "sgd_averaged": _AVG_SQL,
     "sgd_relay": _RELAY_SQL,
     "sgd_sampled": _SAMPLED_SQL,

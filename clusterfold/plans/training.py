@@ -38,8 +38,16 @@ def train_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = lookup_join(o, c, "custkey", strict=False)
     return j.select(
         F.col("o_orderkey").alias("ord"),
+        "custkey",
         "c_mktsegment",
         "o_orderpriority",
         F.array(F.col("c_acctbal") / 10000, F.lit(1.0)).alias("x"),
         (F.col("o_totalprice") / 500000).alias("y"),
     )
+
+
+def train_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ord = vec_id``, ``x`` = the embedding (64 features), ``y = label``."""
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("ord"), F.col("embedding").cast("array<double>").alias("x"),
+        F.col("label").cast("double").alias("y"))

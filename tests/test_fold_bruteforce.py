@@ -2,6 +2,7 @@
 on groups of very different sizes, several partition counts and small
 Arrow batches (so runs cross batch boundaries)."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,27 +103,44 @@ def test_adagrad_equals_sequential(spark, parts, batch):
         assert res[g] == pytest.approx(exp[g], rel=1e-12, abs=1e-15)
 
 
-@pytest.mark.parametrize("hot_rows", [500, 100])
-def test_adagrad_hot_groups_relayed(spark, hot_rows):
+def test_adagrad_whole_table_is_one_pass(spark):
     df, rows = _train(spark)
-    got = lin.sgd_adagrad(df.repartition(3), [0.0, 0.0], [0.0, 0.0], 0.1, 1e-5, True, "ord",
-                          by=["g"], partitions=5, hot_rows=hot_rows).collect()
-    exp = _brute_adagrad(rows, 0.1, 1e-5)
-    res = {}
-    for r in got:
-        res.setdefault(r["g"], [None, None])[r["pos"]] = r["w"]
-    assert sorted(res) == sorted(exp)
-    for g in exp:
-        assert res[g] == pytest.approx(exp[g], rel=1e-12, abs=1e-15)
+    got = lin.sgd_adagrad(df.drop("g"), [0.0, 0.0], [0.0, 0.0], 0.1, 1e-5, False, "ord")
+    exp = _brute_adagrad([(o, "all", x, y) for o, _, x, y in rows], 0.1, 1e-5, scale=False)["all"]
+    assert got.columns == ["pos", "w"]
+    w = [r["w"] for r in got.orderBy("pos").collect()]
+    assert w == pytest.approx(exp, rel=1e-12, abs=1e-15)
 
 
-def test_adagrad_single_hot_group_relayed(spark):
+def test_adagrad_averaged_is_the_mean_of_the_shards(spark):
     df, rows = _train(spark)
-    one = df.withColumn("g", F.lit("all"))
-    got = lin.sgd_adagrad(one, [0.0, 0.0], [0.0, 0.0], 0.1, 1e-5, False, "ord", hot_rows=700)
-    exp = _brute_adagrad([(o, "all", x, y) for o, _, x, y in rows], 0.1, 1e-5, scale=False)["all"]
+    rows, shards = sorted(rows, key=lambda r: r[0]), 3
+    own = [(o, i * shards // len(rows), x, y) for i, (o, _, x, y) in enumerate(rows)]
+    exp = _brute_adagrad(own, 0.1, 1e-5)
+    got = lin.sgd_adagrad_averaged(df.drop("g"), [0.0, 0.0], [0.0, 0.0], 0.1, 1e-5, shards)
     w = [r["w"] for r in got.orderBy("pos").collect()]
-    assert w == pytest.approx(exp, rel=1e-12, abs=1e-15)
+    assert w == pytest.approx([sum(exp[g][p] for g in exp) / shards for p in (0, 1)], rel=1e-12)
+
+
+def test_wide_fold_equals_sequential(spark):
+    rng = np.random.default_rng(4)
+    n, d = 300, 40
+    X, y = rng.normal(size=(n, d)) / 8, rng.normal(size=n)
+    df = spark.createDataFrame([(i, X[i].tolist(), float(y[i])) for i in range(n)], "ord int, x array<double>, y double")
+    w = np.zeros(d)
+    for i in range(n):
+        w = w - 0.05 * 2 * (w @ X[i] - y[i]) * X[i]
+    got = lin.sgd_pass(df.repartition(3), [0.0] * d, 0.05, "ord", partitions=2)
+    assert np.allclose([r["w"] for r in got.orderBy("pos").collect()], w, rtol=1e-10)
+
+
+def test_null_keys_are_one_group(spark):
+    rows = [(i, None if i % 2 else 5, [0.5, 1.0], 1.0) for i in range(8)]
+    df = spark.createDataFrame(rows, "ord int, g int, x array<double>, y double")
+    for got in (lin.sgd_pass(df, [0.0, 0.0], 0.1, "ord", by=["g"]),
+                lin.sgd_adagrad(df, [0.0, 0.0], [0.0, 0.0], 0.1, 1e-5, ord_col="ord", by=["g"])):
+        found = sorted(((r["g"], r["pos"]) for r in got.collect()), key=str)
+        assert found == [(5, 0), (5, 1), (None, 0), (None, 1)]
 
 
 def test_hot_group_is_split_across_tasks(spark):

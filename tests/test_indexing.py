@@ -20,7 +20,7 @@ def test_row_index_rejects_duplicate_key(spark):
 
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     with pytest.raises(ValueError, match="not unique"):
-        row_index(df, ["k"], check_unique=True)
+        row_index(df, ["k"])
 
 
 def test_sample_and_head(spark):

@@ -80,7 +80,7 @@ def test_assignment_does_not_shuffle_points(spark):
     a = km.assign(pts, embedding_seeds(pts))
     assert count_operator(a, "Exchange") == 0
     s = km._partial_sums_arrow(pts, embedding_seeds(pts))
-    assert "MapInPandas" in physical_plan(s)
+    assert "MapInArrow" in physical_plan(s)
 
 
 def test_large_centroid_tables_go_as_broadcast_chunks(spark, monkeypatch):

@@ -45,15 +45,21 @@ def test_shard_folds_shuffle_once(spark):
     for job in (lin.sgd_relay(gaps, [0.0, 0.0], 0.01, 4, "ord"),
                 lin.sgd_averaged(gaps, [0.0, 0.0], 0.01, 4, "ord")):
         p = physical_plan(job).lower()
-        assert "rangepartitioning(ord" in p and "rangepartitioning(shard" not in p
+        assert "rangepartitioning(shard" not in p and "inmemoryrelation" not in p
     plain = physical_plan(lin.sgd_pass(dense, [0.0, 0.0], 0.01, "ord"))
     assert "rangepartitioning(ord" in plain.lower()
 
 
-def test_gram_is_one_aggregate(spark):
-    from pyspark.sql import functions as F
+def test_gram_equals_numpy(spark):
+    import numpy as np
     from clusterfold.plans.training import train_lineitem
 
-    tl = train_lineitem(spark, SF_SMALL)
-    df = tl.agg(F.sum(F.col("x")[0] * F.col("y")))
-    assert count_operator(df, "Exchange") == 1
+    rows = train_lineitem(spark, SF_SMALL).collect()
+    X, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows])
+    m, G, h = lin.gram(train_lineitem(spark, SF_SMALL), 2)
+    assert m == len(rows) and np.allclose(G, X.T @ X) and np.allclose(h, X.T @ y)
+
+
+def test_argmin_lists_do_not_shuffle(spark):
+    for name in ("nearest_centroid", "distances_by_point"):
+        assert count_operator(queries()[name](spark, SF_SMALL), "Exchange") == 0, name
