@@ -21,6 +21,8 @@ each on its own.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -168,7 +170,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
     found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
     own, out = found.schema, None
-    for block in [*_blocks(benchmark, item_col, item_text_col, size)] or [[]]:
+    blocks = _blocks(benchmark, item_col, item_text_col, size)
+    for block in chain([next(blocks, [])], blocks):  # an empty benchmark is one empty block
         windows = Shared(spark, WindowSet(block, size))
         if out is None:
             out = found.mapInArrow(_scan_with(windows), _schema(own))
