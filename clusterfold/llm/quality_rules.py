@@ -111,14 +111,15 @@ def thresholds(measured: DataFrame) -> DataFrame:
     groups = saved(good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *sketch.values()))
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in METRICS]]
     langs = groups.groupBy("lang").agg(*merged)
-    every = groups.agg(*merged)
+    corpus = groups.agg(*merged).first()  # one sketch a metric, of a size that SKETCH_K bounds
+    every = F.struct(F.lit(corpus["n"]).cast("long").alias("n"), *[F.lit(corpus[m] and bytes(corpus[m])).cast("binary").alias(m) for m in METRICS])
 
     def named(df, level):
         return df.select(*[c for c in ("lang", "source") if c in df.columns], F.struct("n", *METRICS).alias(level))
 
     # groups of documents that all failed the base rule need no fence
     table = named(groups, "g0").alias("g").join(named(langs, "g1").alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")), "left") \
-        .select("g.lang", "g.source", "g0", "g1").join(F.broadcast(named(every, "g2")))  # one row
+        .select("g.lang", "g.source", "g0", "g1", every.alias("g2"))
     level = F.when(F.col("g0.n") >= MIN_GROUP, F.col("g0")).when(F.col("g1.n") >= MIN_GROUP, F.col("g1")).otherwise(F.col("g2"))
     table = table.select("lang", "source", level.alias("s"))
     out = [F.col("lang"), F.col("source")]
