@@ -175,7 +175,8 @@ def _matches(line: Column, at: Column, rule: Column) -> Column:
 
 
 def _suppressed(d: Column, e: Column) -> Column:
-    inside = (e["line"] == d["line"]) & (e["start"] <= d["start"]) & (e["end"] >= d["end"])
+    """Whether ``e`` of the same line suppresses ``d``."""
+    inside = (e["start"] <= d["start"]) & (e["end"] >= d["end"])
     longer = (e["end"] - e["start"]) > (d["end"] - d["start"])
     better = e["priority"] < d["priority"]
     level = e["priority"] == d["priority"]
@@ -216,9 +217,10 @@ def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
     empty_places = F.array().cast("array<struct<start:bigint,label:string>>")
     kind = "array<struct<line:int,start:int,end:int,priority:int,label:string,rule:int>>"
-    own = own.select("row", "n_words", F.coalesce(places, empty_places).alias("places"), F.coalesce(F.flatten(F.transform("lines", of_line)), F.array().cast(kind)).alias("all"))
-    left = F.filter("all", lambda d: ~F.exists("all", lambda e: _suppressed(d, e)))
-    own = own.select("row", "n_words", "places", F.when(F.size("all") > 0, left).otherwise(F.col("all")).alias("detections"))
+    own = own.select("row", "n_words", F.coalesce(places, empty_places).alias("places"), F.transform("lines", of_line).alias("by_line"))
+    # line by line: the comparisons grow with a line's detections, not with the text's
+    left = F.transform("by_line", lambda found: F.filter(found, lambda d: ~F.exists(found, lambda e: _suppressed(d, e))))
+    own = own.select("row", "n_words", "places", F.coalesce(F.flatten(left), F.array().cast(kind)).alias("detections"))
     sure = F.element_at(F.array(*[F.lit(c) for c in CONFIDENCE]), F.lit(1))
     levels = F.array(*[F.lit(1.0 - c) for c in CONFIDENCE])
     doubt = F.aggregate("detections", F.lit(1.0), lambda s, d: s * F.element_at(levels, d["priority"]))

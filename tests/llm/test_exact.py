@@ -302,6 +302,15 @@ def test_license_rules_against_python_regexes(docs):
         assert {tuple(d) for d in r["detections"]} == {d for d in found if not loses(d)}
 
 
+def test_license_lines_of_a_long_text(spark):
+    """Each line of a text is judged by itself, as it would be alone."""
+    line = "GNU General Public License version 2.0, or the MIT license; Apache License 2.0"
+    docs = spark.createDataFrame([(1, line), (2, "\n".join([line] * 5000))], "doc_id long, text string")
+    found = {r["row"]["doc_id"]: [tuple(d) for d in r["detections"]] for r in licenses.scan(docs).collect()}
+    assert len(found[1]) >= 3
+    assert found[2] == [(at, *d[1:]) for at in range(5000) for d in found[1]]
+
+
 def brute_lines(texts, min_docs=3, share=0.7):
     parsed, leaves = {}, defaultdict(list)
     for k, (i, t) in enumerate(texts):
