@@ -16,7 +16,8 @@ different fingerprints is lost for the components.
 Defined results: a null text is empty; a text without words has fingerprint
 zero and is linked like any other; a text of fewer words than a shingle is
 one shingle; repeated rows share their fingerprint's component; null ids
-count as the largest id.
+count as the largest id, and a component of null ids only has a null
+``component_id``.
 """
 
 from __future__ import annotations
@@ -213,20 +214,34 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def _with_components(prints: DataFrame, radius: int) -> DataFrame:
-    largest = F.lit((1 << 63) - 1)
-    nodes = saved(prints.groupBy("fp").agg(F.min(F.coalesce("doc_id", largest)).alias("node")))
-    found = components(links(nodes, radius))
-    table = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    table = table.withColumn("component_id", F.when(F.col("component_id") < largest, F.col("component_id")))
+    table = _component_table(prints, radius).select("fp", F.col("least").alias("component_id"))
     return prints.join(table, "fp").select("doc_id", "fp", "component_id")
 
 
+def _component_table(prints: DataFrame, radius: int) -> DataFrame:
+    """``fp, component, least``: the smallest fingerprint of its component,
+    which names it, and the smallest id, null if it holds null ids only."""
+    nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    # a node is its fingerprint: ids can be null or shared, fingerprints not
+    found = saved(components(links(nodes.select("fp", F.col("fp").alias("node")), radius)).withColumnRenamed("node", "fp"))
+    linked = nodes.join(found, "fp")
+    firsts = linked.groupBy("component").agg(F.min("least").alias("least"))
+    linked = linked.drop("least").join(firsts, "component").select("fp", "component", "least")
+    return linked.union(nodes.join(found, "fp", "left_anti").select("fp", F.col("fp").alias("component"), "least"))
+
+
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
     """One document of each component, that of the smallest id, columns
-    unchanged; rows that repeat both id and text count as one document."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, radius=radius)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
+    unchanged; rows that repeat both id and text count as one document.  Of a
+    component of null ids only, the text of the smallest hash stays."""
+    prints = saved(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
+    table = saved(_component_table(prints, radius))
+    first = prints.join(table, "fp").where("doc_id = least").select(F.col("doc_id").alias("_id")).distinct()
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("_id"),
-                      F.xxhash64(F.col(f"`{text_col}`")).alias("_text"))
-    kept = own.join(first, F.col("_id").eqNullSafe(F.col("_first")), "left_semi")
+                      F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_text"))
+    # rows without an id are told apart by their texts
+    bare = docs.where(F.col(f"`{id_col}`").cast("long").isNull()).select(F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    marks = fingerprints(bare, shingle=shingle).join(table.where("least is null"), "fp").groupBy("component").agg(F.min("doc_id").alias("_text"))
+    kept = own.where("_id is not null").join(first, "_id", "left_semi").select("row", "_id", "_text") \
+        .unionByName(own.where("_id is null").join(marks, "_text", "left_semi").select("row", "_id", "_text"))
     return kept.dropDuplicates(["_id", "_text"]).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -118,6 +118,27 @@ def test_simhash_tiles_find_every_link(spark, monkeypatch):
     assert {i: got.get(i, i) for i in by_node} == want
 
 
+def test_simhash_null_ids_do_not_join_unlike_groups(spark):
+    """Two documents without an id, each near another document, and a pair of null ids only."""
+    rng = np.random.default_rng(3)
+
+    def near_pair():
+        while True:
+            words = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+            a, b = " ".join(words), " ".join([*words[:-1], "changed"])
+            if 1 <= (brute_fingerprint(a) ^ brute_fingerprint(b)).bit_count() <= 4:
+                return a, b
+
+    (a, a2), (b, b2), (c, c2) = near_pair(), near_pair(), near_pair()
+    docs = spark.createDataFrame([(5, a), (None, a2), (7, b), (None, b2), (None, c), (None, c2)], "doc_id long, text string")
+    prints = {t: brute_fingerprint(t) for t in (a, a2, b, b2, c, c2)}
+    assert min((prints[x] ^ prints[y]).bit_count() for x, y in ((a, b), (a, c), (b, c))) > 12
+    got = {r["fp"] % (1 << 64): r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert got == {prints[a]: 5, prints[a2]: 5, prints[b]: 7, prints[b2]: 7, prints[c]: None, prints[c2]: None}
+    kept = rows_of(simhash.keep_first(docs))
+    assert len(kept) == 3 and {(5, a), (7, b)} < set(kept) and {t for i, t in kept if i is None} < {c, c2}
+
+
 def test_first_links_keep_components():
     rng = np.random.default_rng(11)
     for density in (0.01, 0.1, 0.6):
