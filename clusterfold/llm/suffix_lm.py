@@ -3,21 +3,23 @@
 A text's symbols are its words (A-Z lower-cased) and one end; a word that
 training never saw is the unknown symbol.  Contexts are the one to ``DEPTH``
 symbols before a position (a start symbol stands before the text).  A context
-may enter the tree if it stands at ``MIN_SHARE`` or more of the training
-positions; it is retained if the divergence of its next-symbol distribution
-from that of its longest proper suffix passes a test: the likelihood gain
-``N * KL`` must exceed ``followers / 2 * ln N``.  Suffixes of retained
-contexts stay.  Next-symbol distributions are interpolated with the suffix's
-(Witten-Bell) down to the root, which discounts every word's count by ``d``
-and gives the freed mass to the unknown symbol; all of them sum to one.  Each
-symbol is scored in the state of the longest suffix of what stands before it.
-
-Word counts are exact and come from an exchange of all chunks' distinct words
-(:mod:`chunks`), which is as large as the corpus.  Followers of contexts are
-counted one depth at a time: pre-aggregated in the tasks, summed by Spark,
-kept where a pair makes up ``MIN_PAIR_SHARE`` of the positions.  Both shares
-bound the tree (``1 / MIN_SHARE`` contexts and ``1 / MIN_PAIR_SHARE`` pairs a
-depth) whatever the corpus, so it is built on the driver and broadcast.
+or a pair of a context and its next symbol counts if training holds it
+``MIN_PAIRS`` times or more; a context is retained if the divergence of its
+next-symbol distribution from that of its longest proper suffix passes a
+test: the likelihood gain ``N * KL`` must exceed ``followers / 2 * ln N``.
+Suffixes of retained contexts stay.  Next-symbol distributions are
+interpolated with the suffix's (Witten-Bell) down to the root, which discounts
+every word's count by ``d`` and gives the freed mass to the unknown symbol;
+all of them sum to one.  Each symbol is scored in the state of the longest
+suffix of what stands before it.
+
+The tree grows with the corpus, so nothing of it but the root's few numbers
+passes through the driver.  Its parts meet in exchanges of all chunks' keys
+(:mod:`chunks`): the words; then, one length after the other, the pairs, whose
+sums return to every chunk that holds them, and the contexts, whose followers
+are added up from the pairs' first senders, tested, and returned; last the
+suffixes of retained contexts.  A chunk sends a key once, whatever its
+frequency, and only pairs whose context counts and whose suffix's pair does.
 
 Defined results: a null text is empty (one end symbol); with no training row
 everything is unknown, with probability 1; repeated rows are scored and
@@ -26,7 +28,9 @@ counted each; a null id counts as the largest, its row as ``train`` says.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +40,13 @@ from pyspark.sql import functions as F
 
 from clusterfold.llm import chunks as C
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import Shared, saved
+from clusterfold.llm.frames import saved
 
 DEPTH = 3
-MIN_SHARE = 1e-4  # of a context
-MIN_PAIR_SHARE = 5e-6  # of a context with its next symbol
-MIN_PAIRS = 2
-EMIT_PAIRS = 1_000_000
+MIN_PAIRS = 2  # occurrences of a context, and of a context with its next symbol
 KEY_BYTES = 25.0  # of text for each distinct word of a chunk, about
+PAIR_BYTES = 8.0  # of text for each distinct pair of one length, about
+GAIN_UNIT, MASS_UNIT = 1 << 10, 1 << 32  # sums of whole units do not depend on their order
 START, END = W.mix(np.array([1, 2], W.U64))
 _MIX_CONTEXT, _MIX_PAIR = W.U64(0xA0761D6478BD642F), W.U64(0xE7037ED1A0B428DB)
 
@@ -133,16 +136,10 @@ def _answer_words(parts):
     return [zstandard.compress(x.astype("<u8").tobytes(), 1) for x in np.split(out, np.cumsum([len(k) for k in keys])[:-1])]
 
 
-def _tally_words(least: int):
-    """Distinct trained words, those seen once and twice, and the frequent ones."""
-
-    def tally(parts):
-        _, keys, _, _, sums = _sums(parts)
-        often = sums >= least
-        head = np.array([(sums > 0).sum(), (sums == 1).sum(), (sums == 2).sum()], np.int64)
-        return np.concatenate([head, keys[often].view(np.int64), sums[often]]).tobytes()
-
-    return tally
+def _tally_words(parts):
+    """Distinct trained words, those seen once and twice."""
+    sums = _sums(parts)[4]
+    return np.array([(sums > 0).sum(), (sums == 1).sum(), (sums == 2).sum()], np.int64).tobytes()
 
 
 def _train_tokens(table: DataFrame) -> tuple[int, int]:
@@ -171,23 +168,273 @@ class Level:
 
 
 @dataclass
-class Tree:
-    """Retained contexts by length, over a root of discounted word counts."""
+class Root:
+    """Discounted word counts."""
 
     n: int
     distinct: int
     discount: float
-    levels: list[Level] = field(default_factory=list)
+    ends: int
 
-    def root(self, counts: np.ndarray) -> np.ndarray:
+    def probability(self, counts: np.ndarray) -> np.ndarray:
         if not self.n:
             return np.ones(len(counts))
         return np.where(counts > 0, counts - self.discount, self.discount * self.distinct) / self.n
 
+
+PAIRS, CONTEXTS, SUFFIXES = b"p", b"c", b"s"  # what a message holds
+
+
+@dataclass
+class Depth:
+    """A chunk's places whose context of one length counts."""
+
+    at: np.ndarray  # the places
+    pairs: np.ndarray  # those that may be frequent: distinct, ascending
+    first_of_pair: np.ndarray  # one of its places, as a number in ``at``
+    trained: np.ndarray  # of a distinct pair in this chunk
+    seen: np.ndarray | None = None  # a place's pair in training; 0 below MIN_PAIRS
+    own: np.ndarray | None = None  # distinct pairs that this chunk adds to their context
+    contexts: np.ndarray | None = None  # distinct, ascending
+    context_of: np.ndarray | None = None
+    total: np.ndarray | None = None
+    kinds: np.ndarray | None = None
+    kept: np.ndarray | None = None
+    retained: np.ndarray | None = None
+
+
+class Positions:
+    """A chunk's places to predict, with all that the exchanges so far
+    answered: 0 the words, ``d`` the pairs of length ``d`` (and the contexts
+    of length ``d - 1``), ``DEPTH + 2`` the suffixes of retained contexts."""
+
+    def __init__(self, chunk: C.Chunk, root: Root, n_words: int, n_keys: int):
+        self.chunk, self.n_keys = chunk, n_keys
+        self.words, hashes = _tokens(chunk)
+        keys, _, place = _trained(chunk, self.words, hashes)
+        count = np.zeros(len(keys), np.int64)
+        answers = {r["bucket"]: r["reply"] for r in chunk.replies[0]}
+        for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_words))):
+            count[lo:hi] = np.frombuffer(zstandard.decompress(answers[bucket]), "<u8")
+        self.count = count[place]
+        data, wanted, self.text = symbols(chunk, self.words, hashes)
+        each = np.full(len(wanted), root.ends, np.int64)
+        each[data[wanted] != END] = self.count
+        self.p = [root.probability(each)]
+        self.depths: list[Depth] = []
+        trained = chunk.marks[self.text]
+        first = np.append(True, self.text[1:] != self.text[:-1])[: len(wanted)]
+        context, live = np.full(len(wanted), _EMPTY), np.ones(len(wanted), bool)
+        before, at_start = each, root.ends
+        prior, n_ids = np.zeros(len(wanted), np.int64), len(keys) + 1
+        prior[data[wanted] != END] = place
+        done = len(chunk.replies)
+        for d in range(1, min(done, DEPTH) + 1):
+            context = longer(context, data[wanted - d])
+            total = np.where(first, at_start, np.append(0, before[:-1])[: len(wanted)])
+            live = live & (total >= MIN_PAIRS)
+            at = np.flatnonzero(live)
+            # a pair is at most as frequent as that of the suffix: others are not asked for
+            asked = np.flatnonzero(before[at] >= MIN_PAIRS)
+            ask = at[asked]
+            pairs, index, of = _distinct(pair(context[ask], data[wanted[ask]]))
+            depth = Depth(at, pairs, asked[index], np.bincount(of, weights=trained[ask], minlength=len(pairs)).astype(np.int64))
+            self.depths.append(depth)
+            if d >= done:
+                break
+            answer = _answered(chunk.replies[d], pairs, n_keys)[0]
+            n = np.where(answer >> 1 >= MIN_PAIRS, answer >> 1, 0)
+            depth.seen = np.zeros(len(at), np.int64)
+            depth.seen[asked] = n[of]
+            depth.own = np.flatnonzero((answer & 1 == 1) & (n > 0))
+            # a context is what the place before it holds: its word, or its pair
+            ids = np.where(first, n_ids - 1, np.append(0, prior[:-1])[: len(wanted)])[at]
+            sample = np.full(n_ids, -1)
+            sample[ids] = np.arange(len(at))
+            used = np.flatnonzero(sample >= 0)
+            sample = sample[used]
+            order = np.argsort(context[at[sample]])
+            rank = np.empty(n_ids, np.int64)
+            rank[used[order]] = np.arange(len(used))
+            depth.contexts, depth.context_of, depth.total = context[at[sample[order]]], rank[ids], total[at[sample[order]]]
+            prior, n_ids = np.zeros(len(wanted), np.int64), len(pairs) + 1
+            prior[ask] = of
+            before, at_start = np.zeros(len(wanted), np.int64), 0
+            before[at] = depth.seen
+            if d + 1 >= done:
+                continue
+            depth.kinds, kept = _answered(chunk.replies[d + 1], depth.contexts, n_keys, n_keys, 2)
+            depth.kept, depth.retained = kept >> 1, kept & 1 == 1
+            p, kinds = self.p[-1].copy(), depth.kinds[depth.context_of]
+            some = kinds > 0
+            p[at[some]] = ((depth.seen + kinds * p[at]) / np.maximum(depth.kept[depth.context_of] + kinds, 1))[some]
+            self.p.append(p)
+        if done > DEPTH + 2:
+            own = self.suffixes()
+            keys = np.concatenate([k for _, k in own])
+            order, under = np.argsort(keys), np.zeros(len(keys), bool)
+            under[order] = _answered(chunk.replies[DEPTH + 2], keys[order], n_keys)[0] == 1
+            for depth, (picked, _), flags in zip(self.depths, own, np.split(under, np.cumsum([len(k) for _, k in own])[:-1])):
+                depth.retained = depth.retained.copy()
+                depth.retained[picked] = flags
+
+    def suffixes(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By length, the contexts that did not pass the test themselves: (places in ``contexts``, keys)."""
+        found = [np.flatnonzero(~depth.retained & (depth.kinds > 0)) for depth in self.depths[:-1]]
+        return [(own, depth.contexts[own]) for own, depth in zip(found, self.depths)]
+
+    def messages(self):
+        """What this chunk sends next: (bucket, parts)."""
+        step = len(self.chunk.replies)
+        if step <= DEPTH:
+            depth = self.depths[step - 1]
+            yield from _sent(PAIRS, depth.pairs, [depth.trained], self.n_keys)
+        if 1 < step <= DEPTH + 1:
+            depth, size = self.depths[step - 2], len(self.depths[step - 2].contexts)
+            place = depth.first_of_pair[depth.own]
+            context, n, q = depth.context_of[place], depth.seen[place], self.p[step - 2][depth.at[place]]
+            gain = n * np.log(n / depth.total[context] / q)
+            kinds, kept, mass, gain = (np.bincount(context, weights=w, minlength=size) for w in (np.ones(len(n)), n, q, gain))
+            yield from _sent(CONTEXTS, depth.contexts, [np.where(kinds > 0, depth.total, 0), kinds, kept, np.rint(mass * MASS_UNIT), np.rint(gain * GAIN_UNIT)], self.n_keys, self.n_keys)
+        if step == DEPTH + 2:
+            found, under = [], np.zeros(len(self.text), bool)
+            for depth, (picked, keys) in reversed(list(zip(self.depths, [*self.suffixes(), (None, None)]))):
+                if picked is not None:
+                    found.append((keys, np.bincount(depth.context_of, weights=under[depth.at], minlength=len(depth.contexts))[picked] > 0))
+                under[depth.at] |= depth.retained[depth.context_of]
+            keys, flags = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(keys)
+            yield from _sent(SUFFIXES, keys[order], [flags[order]], self.n_keys)
+
+    def probability(self) -> np.ndarray:
+        """Of each place's symbol, in the state of the longest suffix before it."""
+        out, live = self.p[0].copy(), np.ones(len(self.text), bool)
+        for depth, p in zip(self.depths, self.p[1:]):
+            here = np.zeros(len(live), bool)
+            here[depth.at] = depth.retained[depth.context_of]
+            live &= here
+            out[live] = p[live]
+        return out
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ascending distinct keys, a place of each, each place's key)."""
+    order = np.argsort(keys)
+    new = np.append(True, keys[order][1:] != keys[order][:-1])[: len(keys)]
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return keys[order[new]], order[new], of
+
+
+def _sent(kind: bytes, keys: np.ndarray, columns: list, n_buckets: int, shift: int = 0):
+    """Messages of ascending keys; contexts have buckets of their own."""
+    for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_buckets))):
+        yield bucket + shift, [kind, _squeezed(np.diff(keys[lo:hi], prepend=_EMPTY)), _squeezed(np.stack([c[lo:hi] for c in columns]).astype("<i8"))]
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Eight-byte numbers, compressed byte by byte: the high ones are zeros."""
+    return zstandard.compress(numbers.reshape(-1, 1).view(np.uint8).T.tobytes(), 1)
+
+
+def _expanded(data: bytes, kind=np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _answered(replies: list[dict], keys: np.ndarray, n_buckets: int, shift: int = 0, width: int = 1) -> np.ndarray:
+    """The numbers that came back for ascending keys, a row for each column."""
+    out = np.zeros((width, len(keys)), np.int64)
+    by = {r["bucket"]: r["reply"] for r in replies}
+    found, first, end = C.by_bucket(keys, n_buckets)
+    for bucket, lo, hi in zip(found.tolist(), first.tolist(), end.tolist()):
+        out[:, lo:hi] = _expanded(by[bucket + shift]).reshape(width, -1)
+    return out
+
+
+def _answer(parts):
+    kind = parts[0][0]
+    keys = [np.cumsum(_expanded(p[1], W.U64), dtype=W.U64) for p in parts]
+    every, sizes = np.concatenate(keys), [len(k) for k in keys]
+    rows = np.concatenate([_expanded(p[2]).reshape(-1, size) for p, size in zip(parts, sizes)], axis=1)
+    order = np.argsort(every, kind="stable")
+    first = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1]))
+    rows, group = rows[:, order], np.repeat(np.arange(len(first)), np.diff(np.append(first, len(every))))
+    if kind == PAIRS:  # the sum, and a mark for the first chunk that trains on it
+        found = (np.add.reduceat(rows[0], first) << 1)[group][None]
+        trains = np.flatnonzero(rows[0] > 0)
+        found[0, trains[np.append(True, group[trains][1:] != group[trains][:-1])[: len(trains)]]] |= 1
+    elif kind == CONTEXTS:
+        total = np.maximum.reduceat(rows[0], first)
+        kinds, kept, mass, gain = (np.add.reduceat(r, first) for r in rows[1:])
+        rest, free = total - kept, 1 - mass / MASS_UNIT
+        more = (rest > 0) & (free > 1e-6)
+        gain = gain / GAIN_UNIT + np.where(more, rest * np.log(np.where(more, rest, 1) / np.maximum(total, 1) / np.where(more, free, 1)), 0.0)
+        passed = (kinds > 0) & (gain > kinds / 2 * np.log(np.maximum(total, 1)))
+        found = np.stack([kinds, kept << 1 | passed])[:, group]
+    else:
+        found = np.maximum.reduceat(rows[0], first)[group][None]
+    out = np.empty_like(found)
+    out[:, order] = found
+    return [_squeezed(np.ascontiguousarray(x, "<i8")) for x in np.split(out, np.cumsum(sizes)[:-1], axis=1)]
+
+
+@contextmanager
+def _swept(spark: SparkSession):
+    """Each frame made inside drops its shuffle files once it is saved: those
+    of all steps together are several times the text."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+@dataclass
+class Tree:
+    """The root, and the chunks with the answers of all exchanges."""
+
+    root: Root
+    chunks: DataFrame
+    n_words: int
+    n_keys: int
+
+    def positions(self):
+        """A function from a chunk of ``chunks`` to its positions."""
+        root, n_words, n_keys = self.root, self.n_words, self.n_keys
+        return lambda chunk: Positions(chunk, root, n_words, n_keys)
+
+    @cached_property
+    def levels(self) -> list[Level]:
+        """The retained contexts by length, collected: to look into small trees."""
+        of = self.positions()
+
+        def run(batches):
+            for row in C.rows_of(batches):
+                own = of(C.Chunk(row))
+                for d, depth in enumerate(own.depths):
+                    place = depth.first_of_pair
+                    context = depth.context_of[place]
+                    ok = depth.retained[context]
+                    place, context = place[ok], context[ok]
+                    kinds, kept = depth.kinds[context], depth.kept[context]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(place), d)), pa.array(depth.contexts[context].view(np.int64)), pa.array(kinds / (kept + kinds)), pa.array(depth.pairs[ok].view(np.int64)),
+                         pa.array(depth.seen[place]), pa.array(own.p[d + 1][depth.at[place]])], names=["d", "context", "left", "pair", "n", "p"])
+
+        rows = self.chunks.mapInArrow(run, "d long, context long, left double, pair long, n long, p double").dropDuplicates(["d", "context", "pair"]).toPandas()
+        levels = []
+        for _, own in sorted(rows.groupby("d")):
+            contexts, pairs = own.drop_duplicates("context"), own[own["n"] > 0]
+            keys, known = (x.to_numpy(np.int64).view(W.U64) for x in (contexts["context"], pairs["pair"]))
+            levels.append(Level(Keys(keys), contexts["left"].to_numpy()[np.argsort(keys)], Keys(known), pairs["p"].to_numpy()[np.argsort(known)]))
+        return levels
+
     def probability(self, data: np.ndarray, place: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Of each symbol in ``place``, in the state of the longest suffix
-        before it; ``counts`` are the symbols' training counts."""
-        out = self.root(counts)
+        """As :meth:`Positions.probability`, for any symbols, from the
+        collected levels; ``counts`` are the symbols' training counts."""
+        out = self.root.probability(counts)
         live, context = np.arange(len(place)), np.full(len(place), _EMPTY)
         for k, level in enumerate(self.levels):  # from the suffix to longer contexts
             context = longer(context, data[place[live] - 1 - k])
@@ -201,119 +448,25 @@ class Tree:
         return out
 
 
-def _count_followers(contexts: Shared, next_: Shared, depth: int):
-    """(context, symbol, count) of the candidate contexts of one length."""
-
-    def run(batches):
-        held: list = []
-
-        def flush():
-            context, symbol, n = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            key = pair(context, symbol)
-            _, first, place = np.unique(key, return_index=True, return_inverse=True)
-            total = np.bincount(place, weights=n).astype(np.int64)
-            for lo in range(0, len(first), 100_000):
-                at = first[lo : lo + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(context[at].view(np.int64)), pa.array(symbol[at].view(np.int64)), pa.array(total[lo : lo + 100_000])], names=["context", "symbol", "n"])
-
-        for row in C.rows_of(batches):
-            chunk = C.Chunk(row)
-            words, hashes = _tokens(chunk)
-            data, place, text = symbols(chunk, words, hashes)
-            place = place[chunk.marks[text]]
-            context = np.full(len(place), _EMPTY)
-            for k in range(depth):
-                context = longer(context, data[place - 1 - k])
-            ok = (contexts.value.find(context) >= 0) & (next_.value.find(data[place]) >= 0)
-            context, symbol = context[ok], data[place[ok]]
-            _, first, n = np.unique(pair(context, symbol), return_index=True, return_counts=True)
-            held.append((context[first], symbol[first], n))
-            if sum(len(h[0]) for h in held) > EMIT_PAIRS:
-                yield from flush()
-        if held:
-            yield from flush()
-
-    return run
-
-
-def _grow(spark: SparkSession, table: DataFrame, tree: Tree, words: np.ndarray, counts: np.ndarray) -> Tree:
-    """Add the retained contexts, one length after the other."""
-    least, least_pair = max(MIN_PAIRS, MIN_SHARE * tree.n), max(MIN_PAIRS, MIN_PAIR_SHARE * tree.n)
-    next_ = Shared(spark, Keys(words))
-    by_word = dict(zip(words.tolist(), counts.tolist()))
-    # candidate contexts (symbols, oldest first) and their counts
-    starts = by_word.get(int(END), 0)
-    found = {(w,): n for w, n in by_word.items() if n >= least and w != int(END)} | ({(int(START),): starts} if starts >= least else {})
-
-    def key_of(symbols_: tuple) -> int:
-        context = np.array([_EMPTY])
-        for s in reversed(symbols_):
-            context = longer(context, np.array([s], W.U64))
-        return int(context[0])
-
-    prior: list[dict] = []  # per level: (context, symbol) -> probability; context -> mass left
-    for depth in range(1, DEPTH + 1):
-        keys = {key_of(c): c for c in found}
-        if not keys:
-            break
-        sent = Shared(spark, Keys(np.fromiter(keys, W.U64, len(keys))))
-        rows = table.mapInArrow(_count_followers(sent, next_, depth), "context long, symbol long, n long") \
-            .groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair).toPandas()
-        followers: dict[tuple, dict[int, int]] = {}
-        for context, symbol, n in zip(rows["context"].to_numpy(np.int64).view(W.U64).tolist(), rows["symbol"].to_numpy(np.int64).view(W.U64).tolist(), rows["n"].tolist()):
-            followers.setdefault(keys[context], {})[symbol] = n
-        level = {}
-        for context, own in followers.items():
-            kept, kinds = sum(own.values()), len(own)
-            before = {x: _before(tree, by_word, prior, context, x) for x in own}
-            rest, rest_before = found[context] - kept, 1 - sum(before.values())
-            gain = sum(n * np.log(n / found[context] / before[x]) for x, n in own.items())
-            if rest > 0 and rest_before > 0:
-                gain += rest * np.log(rest / found[context] / rest_before)
-            left = kinds / (kept + kinds)
-            level[context] = (gain > kinds / 2 * np.log(found[context]), left, {x: (n + kinds * before[x]) / (kept + kinds) for x, n in own.items()})
-        prior.append(level)
-        found = {(*context, x): n for context, own in followers.items() for x, n in own.items() if n >= least and x != int(END)}
-    keep: set[tuple] = {c for level in prior for c, (ok, _, _) in level.items() if ok}
-    keep |= {c[k:] for c in keep for k in range(1, len(c))}
-    for level in prior:
-        own = sorted((key_of(c), c) for c in level if c in keep)
-        if not own:
-            break
-        contexts = Keys(np.array([k for k, _ in own], W.U64))
-        rows = sorted((int(pair(np.array([k], W.U64), np.array([x], W.U64))[0]), p) for k, c in own for x, p in level[c][2].items())
-        tree.levels.append(Level(contexts, np.array([level[c][1] for _, c in own]), Keys(np.array([k for k, _ in rows], W.U64)), np.array([p for _, p in rows])))
+def _grow(table: DataFrame, answers: list[DataFrame], tree: Tree) -> Tree:
+    """The tree with the answers about its pairs and contexts, one length after the other."""
+    for _ in range(DEPTH + 2):
+        of = tree.positions()
+        with _swept(table.sparkSession):
+            found = saved(C.replies(tree.chunks, lambda chunk: of(chunk).messages(), _answer).drop("tally"))
+        answers = [*answers, C.gathered(found)]
+        tree = Tree(tree.root, C.with_replies(table, *answers), tree.n_words, tree.n_keys)
     return tree
 
 
-def _before(tree: Tree, by_word: dict, prior: list[dict], context: tuple, symbol: int) -> float:
-    """Probability of a frequent symbol after the context's longest proper suffix."""
-    p = (by_word[symbol] - tree.discount) / tree.n
-    for k in range(1, len(context)):
-        state = prior[k - 1].get(context[len(context) - k :])
-        if state is None:
-            break
-        p = state[2].get(symbol, state[1] * p)
-    return p
-
-
-def _score(tree: Shared, n_buckets: int, ends: int):
+def _score(of, ends: int):
     def run(batches):
         for row in C.rows_of(batches):
-            chunk = C.Chunk(row)
-            words, hashes = _tokens(chunk)
-            keys, _, place = _trained(chunk, words, hashes)
-            count = np.zeros(len(keys), np.int64)
-            answers = {r["bucket"]: r["reply"] for r in chunk.replies[0]}
-            for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_buckets))):
-                count[lo:hi] = np.frombuffer(zstandard.decompress(answers[bucket]), "<u8")
-            logs = W.per_text(words, np.log10(count + 1.0)[place]) + np.log10(ends + 1.0)
-            known = W.per_text(words, (count > 0)[place]) + int(ends > 0)
-            data, wanted, text = symbols(chunk, words, hashes)
-            each = np.full(len(wanted), ends, np.int64)
-            each[data[wanted] != END] = count[place]
-            score = np.bincount(text, weights=np.log10(tree.value.probability(data, wanted, each)), minlength=len(chunk.ids))
+            own = of(C.Chunk(row))
+            chunk, words, count = own.chunk, own.words, own.count
+            logs = W.per_text(words, np.log10(count + 1.0)) + np.log10(ends + 1.0)
+            known = W.per_text(words, count > 0) + int(ends > 0)
+            score = np.bincount(own.text, weights=np.log10(own.probability()), minlength=len(chunk.ids))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(chunk.id_list(), pa.int64()), pa.array(chunk.marks), pa.array(words.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(score)],
                 names=["doc_id", "trained", "n_tokens", "n_known", "logs", "score"])
@@ -325,20 +478,17 @@ def fit_and_score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", tex
     """``doc_id, trained, n_tokens, n_known, train_tokens, base_score`` (the
     add-one unigram model's) and ``score`` for all documents; ``train`` marks
     the rows to learn from (an expression of ``doc_id``)."""
-    spark = docs.sparkSession
     table = C.chunk_table(docs, id_col, text_col, train)
-    n = C.buckets_for(table, KEY_BYTES)
+    n_words, n_keys = C.buckets_for(table, KEY_BYTES), C.buckets_for(table, PAIR_BYTES)
     tokens, ends = _train_tokens(table)
-    least = int(max(MIN_PAIRS, np.ceil(MIN_PAIR_SHARE * tokens)))
-    counted = saved(C.replies(table, _send_words(n), _answer_words, _tally_words(least)))
+    with _swept(docs.sparkSession):
+        counted = saved(C.replies(table, _send_words(n_words), _answer_words, _tally_words))
     tallies = [np.frombuffer(r["tally"], np.int64) for r in counted.where("tally is not null").select("tally").collect()]
-    distinct, once, twice = (int(x) for x in sum((t[:3] for t in tallies), np.array([ends > 0, ends == 1, ends == 2], np.int64)))
-    often = np.concatenate([t[3 : 3 + (len(t) - 3) // 2] for t in tallies] or [np.zeros(0, np.int64)]).view(W.U64)
-    counts = np.concatenate([t[3 + (len(t) - 3) // 2 :] for t in tallies] or [np.zeros(0, np.int64)])
-    if ends >= least:
-        often, counts = np.append(often, END), np.append(counts, ends)
-    tree = Tree(tokens, distinct, once / (once + 2 * twice) if once else 0.5)
-    tree = Shared(spark, _grow(spark, table, tree, often, counts) if tokens else tree)
-    scored = C.with_replies(table, C.gathered(counted)).mapInArrow(_score(tree, n, ends), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
+    distinct, once, twice = (int(x) for x in sum(tallies, np.array([ends > 0, ends == 1, ends == 2], np.int64)))
+    root = Root(tokens, distinct, once / (once + 2 * twice) if once else 0.5, ends)
+    answers = [C.gathered(counted)]
+    tree = Tree(root, C.with_replies(table, *answers), n_words, n_keys)
+    tree = _grow(table, answers, tree) if tokens else tree
+    scored = tree.chunks.mapInArrow(_score(tree.positions(), ends), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
     return scored.select("doc_id", "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
                          (F.col("logs") - F.col("n_tokens") * float(np.log10(tokens + distinct + 1.0))).alias("base_score"), "score")

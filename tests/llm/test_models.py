@@ -94,6 +94,67 @@ def test_language_model_states_sum_to_one(spark):
     assert found[99]["score"] == found[100]["score"] and found[99]["n_tokens"] == 1
 
 
+def brute_scores(texts, trained, depth=3, least=2):
+    """Log10 scores of word lists by the same rules, in dictionaries over all n-grams."""
+    padded = [["<s>"] * depth + t + ["</s>"] for t in texts]
+    ones = Counter(w for t, ok in zip(padded, trained) if ok for w in t[depth:])
+    n = sum(ones.values())
+    once, twice = (sum(v == k for v in ones.values()) for k in (1, 2))
+    d = once / (once + 2 * twice)
+    states = [{} for _ in range(depth + 1)]  # context -> (followers, left, passed)
+    total = {(w,): k for w, k in ones.items()} | {("<s>",): sum(trained)}
+
+    def probability(context, x, retained=None):
+        p = (ones[x] - d if x in ones else d * len(ones)) / n
+        for k in range(1, len(context) + 1):
+            c = tuple(context[len(context) - k :])
+            if c not in states[k] or retained is not None and c not in retained:
+                break
+            own, _ = states[k][c]
+            kept = sum(own.values())
+            p = (own.get(x, 0) + len(own) * p) / (kept + len(own))
+        return p
+
+    passed = set()
+    for k in range(1, depth + 1):
+        seen = {}
+        for t, ok in zip(padded, trained):
+            for i in range(depth, len(t)) if ok else ():
+                c = tuple(t[i - k : i])
+                if total.get(c, 0) >= least:
+                    seen.setdefault(c, Counter())[t[i]] += 1
+        following = {}
+        for c, every in seen.items():
+            own = {x: v for x, v in every.items() if v >= least}
+            following |= {(*c, x): v for x, v in own.items()}
+            if not own:
+                continue
+            before = {x: probability(c[1:], x) for x in own}
+            rest, free = total[c] - sum(own.values()), 1 - sum(before.values())
+            gain = sum(v * math.log(v / total[c] / before[x]) for x, v in own.items()) + (rest * math.log(rest / total[c] / free) if rest > 0 and free > 0 else 0)
+            states[k][c] = own, total[c]
+            if gain > len(own) / 2 * math.log(total[c]):
+                passed |= {c[j:] for j in range(k)}
+        total = following
+    return [sum(math.log10(probability(t[i - depth : i], t[i], passed)) for i in range(depth, len(t))) for t in padded], passed
+
+
+def test_language_model_keeps_rare_contexts_of_a_large_corpus(spark, monkeypatch):
+    """Scores of brute force, over several chunks and buckets; most contexts stand at under 1e-4 of the positions."""
+    monkeypatch.setattr(suffix_lm.C, "BUCKET_KEYS", 3000)
+    rng = np.random.default_rng(1)
+    names = [f"w{k}" for k in range(3000)]
+    phrases = [rng.choice(names, 6).tolist() for _ in range(1500)]
+    texts = [sum((phrases[k] for k in rng.integers(0, 1500, 40)), []) + rng.choice(names, 20).tolist() for _ in range(300)] + [[], ["w1"]]
+    trained = [i % 7 != 2 for i in range(len(texts))]
+    want, passed = brute_scores(texts, trained)
+    total = Counter(w for t, ok in zip(texts, trained) if ok for w in t)
+    assert sum(len(c) == 1 and total[c[0]] < 1e-4 * total.total() * 3 for c in passed) > 100
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: r["score"] for r in suffix_lm.fit_and_score(docs, F.col("doc_id") % 7 != 2).collect()}
+    assert np.allclose([found[i] for i in range(len(texts))], want, rtol=1e-9)
+
+
 def test_language_model_without_training(spark, no_docs, edge_docs):
     assert suffix_lm.fit_and_score(no_docs, F.lit(True)).count() == 0
     found = suffix_lm.fit_and_score(edge_docs, F.lit(False)).collect()
