@@ -38,6 +38,12 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate data that this package wrote."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Shared:
     """A broadcast object of bounded size.  Its classes travel with it, so
     that executors need not have this package on their path."""

@@ -87,4 +87,29 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(co
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op3_line_templates": OP3, "op7_decontaminate": OP7, "op9_substrings": OP9}
+OP13 = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_ALNUM}) AS w FROM documents
+), full_doc AS (
+  SELECT k, doc_id, w, len(w) AS n FROM doc WHERE len(w) > 0
+), size AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM full_doc
+), posting AS (
+  SELECT k, n, term, count(*) AS tf FROM (SELECT k, n, unnest(w) AS term FROM full_doc) GROUP BY k, n, term
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS wt FROM posting, size GROUP BY term
+), item AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_ALNUM}) AS w FROM benchmark
+), query AS (
+  SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest(w) AS term FROM item) GROUP BY item_id, term
+), scored AS (
+  SELECT item_id, k, sum(repeats * wt * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM query JOIN weight USING (term) JOIN posting USING (term), size GROUP BY item_id, k
+), ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored JOIN full_doc USING (k) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op3_line_templates": OP3, "op7_decontaminate": OP7, "op9_substrings": OP9, "op13_ranked_search": OP13}
