@@ -38,6 +38,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ WINDOW = 2048
 #: Queries that are broadcast at once: so many terms, with repeats.
 QUERY_TERMS = 200_000
 
-INDEX = ("shard long, n_docs int, ids binary, nulls binary, norms binary, terms array<binary>, df array<int>, "
-         "first array<int>, top array<long>, widths binary, starts array<long>, block_low binary, block_high binary, block_top binary, packed binary")
+INDEX = ("shard long, n_docs int, ids binary, nulls binary, norms binary, terms array<binary>, df array<int>, widths binary, "
+         "block_low binary, block_high binary, block_top binary, packed binary")
 
 
 # ---- terms and weights -------------------------------------------------------------
@@ -164,16 +165,15 @@ def _shard(parts: list[tuple], number: int, n_docs: int, n_terms: int, b: int) -
     _pack(tf, lists, place, wide_tf, starts[:-1] + df * wide_doc, packed)
     tails = np.append(heads[1:], len(doc)) - 1 if len(doc) else heads
     block_top = np.maximum.reduceat(impact, heads) if len(heads) else impact
-    top = np.maximum.reduceat(impact, begins[:-1]) if n_lists else impact
     return {
         "shard": number, "n_docs": len(ids), "ids": ids[order].tobytes(), "nulls": nulls[order].tobytes(), "norms": norm.tobytes(),
-        "terms": coded.dictionary.cast(pa.binary()), "df": df, "first": first, "top": top, "widths": np.stack([wide_doc, wide_tf]).astype(np.uint8).tobytes(),
-        "starts": starts, "block_low": low.astype(np.int32).tobytes(), "block_high": doc[tails].astype(np.int32).tobytes(),
-        "block_top": block_top.astype(np.int64).tobytes(), "packed": packed.tobytes(),
+        "terms": coded.dictionary.cast(pa.binary()), "df": df, "widths": np.stack([wide_doc, wide_tf]).astype(np.uint8).tobytes(),
+        "block_low": low.astype(np.int32).tobytes(), "block_high": doc[tails].astype(np.int32).tobytes(),
+        "block_top": block_top.astype(np.int32).tobytes(), "packed": packed.tobytes(),
     }
 
 
-_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary()), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary()), "array<int>": pa.list_(pa.int32())}
 
 
 def _row(shard: dict) -> pa.RecordBatch:
@@ -245,10 +245,13 @@ class _Lists:
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.nulls = np.frombuffer(row["nulls"], bool)
         self.norms = np.frombuffer(row["norms"], np.int64)
-        self.lookup, self.df, self.first, self.top, self.starts = row["terms"], row["df"], row["first"], row["top"], row["starts"]
+        self.lookup, self.df = row["terms"], row["df"]
         self.widths = np.frombuffer(row["widths"], np.uint8).reshape(2, -1)
+        # where each list's blocks and bytes begin
+        self.first = np.concatenate([[0], np.cumsum(-(-self.df // BLOCK))])
+        self.starts = np.concatenate([[0], np.cumsum(self.df * self.widths.sum(axis=0, dtype=np.int64))])
         self.low, self.high = np.frombuffer(row["block_low"], np.int32), np.frombuffer(row["block_high"], np.int32)
-        self.block_top = np.frombuffer(row["block_top"], np.int64)
+        self.block_top = np.frombuffer(row["block_top"], np.int32)
         self.packed = np.frombuffer(row["packed"], np.uint8)
         self.open: dict[int, "_List"] = {}
         self.unpacked = 0
@@ -268,9 +271,9 @@ class _List:
 
     def __init__(self, shard: _Lists, t: int):
         n, (a, b), at = int(shard.df[t]), shard.widths[:, t].tolist(), int(shard.starts[t])
-        self.shard, self.top = shard, int(shard.top[t])
         f, g = int(shard.first[t]), int(shard.first[t + 1])
-        self.low, self.high, self.tops = shard.low[f:g].astype(np.int64), shard.high[f:g].astype(np.int64), shard.block_top[f:g]
+        self.low, self.high, self.tops = (v[f:g].astype(np.int64) for v in (shard.low, shard.high, shard.block_top))
+        self.shard, self.top = shard, int(self.tops.max())
         kinds = {1: np.uint8, 2: np.uint16, 4: np.uint32}
         self.offsets = shard.packed[at : at + n * a].view(kinds[a])
         self.tf = shard.packed[at + n * a : at + n * (a + b)].view(kinds[b])
@@ -350,7 +353,13 @@ class _Queries:
 
     def __init__(self, queries: list[tuple[int, list[bytes]]], weights: dict[bytes, int]):
         self.terms = {q: [(weights[t], n, t) for t, n in Counter(terms).items() if weights.get(t, 0) > 0] for q, terms in queries}
-        self.vocabulary = {t for terms in self.terms.values() for _, _, t in terms}
+        self.vocabulary = pa.array(sorted({t for terms in self.terms.values() for _, _, t in terms}), pa.binary())
+
+
+def _held(terms: pa.Array, wanted: pa.Array) -> tuple[list[bytes], list[int]]:
+    """The wanted ones among a shard's terms, and their places."""
+    places = pc.indices_nonzero(pc.is_in(terms, value_set=wanted))
+    return terms.take(places).to_pylist(), places.to_pylist()
 
 
 def _searching(shared: Shared, k: int):
@@ -360,9 +369,9 @@ def _searching(shared: Shared, k: int):
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {name: batch.column(j)[r] for j, name in enumerate(batch.schema.names)}
-                terms = row["terms"].values.to_pylist()
-                values = {name: v.values.to_numpy() if isinstance(v, pa.ListScalar) and name != "terms" else v.as_py() if name != "terms" else None for name, v in row.items()}
-                values["terms"] = {t: j for j, t in enumerate(terms) if t in queries.vocabulary}
+                values = {name: v.as_py() for name, v in row.items() if name not in ("terms", "df")}
+                values["df"] = row["df"].values.to_numpy().astype(np.int64)
+                values["terms"] = dict(zip(*_held(row["terms"].values, queries.vocabulary)))
                 _search_shard(_Lists(values), queries, heaps)
         out = [(q, None if null else i, -score) for q, heap in heaps.items() for score, null, i in heap.rows]
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(3)], names=["query", "doc_id", "score"])
@@ -396,14 +405,13 @@ def _blocks(queries: DataFrame, most: int):
 def _weights(index: Index, wanted: set[bytes]) -> dict[bytes, int]:
     """Weights of the wanted terms by their frequency in the whole index: only
     two columns of it are read, and at most one row a term comes back."""
-    shared = Shared(index.spark, wanted)
+    shared = Shared(index.spark, pa.array(sorted(wanted), pa.binary()))
 
     def run(batches):
         for batch in batches:
-            terms, df = batch.column(0), batch.column(1)
-            names, n = terms.flatten(), df.flatten()
-            some = [j for j, t in enumerate(names.to_pylist()) if t in shared.value]
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(some, pa.int64())), n.take(pa.array(some, pa.int64())).cast(pa.int64())], names=["term", "df"])
+            terms, df = (column.flatten() for column in batch.columns)
+            some = pc.is_in(terms, value_set=shared.value)
+            yield pa.RecordBatch.from_arrays([terms.filter(some), df.filter(some).cast(pa.int64())], names=["term", "df"])
 
     found = index.shards().select("terms", "df").mapInArrow(run, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
     return {bytes(r["term"]): weight(r["df"], index.n_docs) for r in found.collect()}
