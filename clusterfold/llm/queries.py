@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterfold.llm import bpe, decontam, language_id, licenses, line_crf, line_templates, quality_rules, ranked_search, simhash, substrings, suffix_lm, toxicity
+from clusterfold.llm import bpe, decontam, language_id, licenses, line_crf, line_templates, quality_rules, ranked_search, simhash, substrings, suffix_lm, toxicity, whitening
 from clusterfold.sources.tables import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -80,6 +80,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), 32)
+    each = found.select("vec_id", "n", F.col("deviation").try_cast("long").alias("deviation"), "explained", "identity_error", F.posexplode("white").alias("at", "whitened"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.col("explained")[F.col("at")].alias("explained"), "identity_error")
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.train(docs, fold(5) != 0))
@@ -92,4 +98,4 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_byte_bpe, op2_simhash, op3_line_templates, op4_quality_rules, op5_suffix_lm,
-                                   op6_line_crf, op7_decontaminate, op8_licenses, op9_substrings, op10_toxicity, op12_language_id, op13_ranked_search)}
+                                   op6_line_crf, op7_decontaminate, op8_licenses, op9_substrings, op10_toxicity, op11_whitening, op12_language_id, op13_ranked_search)}
