@@ -15,7 +15,7 @@ the word's n-grams, times its number of letters (``LONGEST`` at most), against
 the mean of the candidates.  A Viterbi pass over the words of the text then
 finds the labels of the highest total score, where each change of language
 costs ``SWITCH``; equal labels in a row are a span.  All texts of a block
-take each step together, the longest first.  The language of a text is that of
+take each step together, long ones in pieces whose ends are chained.  The language of a text is that of
 most of its letters; the score is the share of these letters among all.
 
 Defined results: a null text and one without letters are ``und`` with score 0
@@ -48,6 +48,8 @@ SWITCH = 12.0
 LONGEST = 12
 SCRIPT_SHARE = 0.001  # of a language's letters, for a script to be one of its own
 BLOCK_BYTES = 4 << 20
+PIECE = 512  # words of a text that are labelled one after another
+_MATRICES = 1 << 21  # numbers in the pieces' matrices at a time
 UNDECIDED = "und"
 
 # Blocks of the Unicode code charts by script (first, last).
@@ -273,32 +275,91 @@ def train(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
 # ---- labelling ----------------------------------------------------------------------
 
 
-def viterbi(scores: np.ndarray, code: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+def _forward(scores: np.ndarray, code: np.ndarray, start: np.ndarray, size: np.ndarray, value: np.ndarray, switch: float, trail=None) -> np.ndarray:
+    """Best score of every last label, from ``value`` (pieces, ..., languages)
+    after the first word; pieces by falling size, and those that have a word
+    t take step t together.  ``trail`` gets the way into every label."""
+    for t, n in enumerate(_active(size)):
+        if not t:
+            continue
+        at, own = start[:n] + t, value[:n]
+        other = own.max(axis=-1, keepdims=True) - switch
+        if trail is not None:
+            moved, source = trail
+            moved[at], source[at] = other > own, own.argmax(axis=-1)
+        new = scores[code[at]]
+        value[:n] = np.maximum(own, other) + (new if own.ndim == 2 else new[:, None, :])
+    return value
+
+
+def _active(size: np.ndarray) -> np.ndarray:
+    """Pieces that have a word t, for each t; sizes fall."""
+    return np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
+
+
+def _ends(scores: np.ndarray, code: np.ndarray, start: np.ndarray, size: np.ndarray, text: np.ndarray, switch: float):
+    """(label before, last label) of the pieces of texts with several.  A
+    piece is one max-plus matrix from the label before it to its last one;
+    these are chained along each text, and the best chain is followed back."""
+    many = scores.shape[1]
+    away = -switch * (1 - np.eye(many))
+    order = np.argsort(-size, kind="stable")
+    entry = np.concatenate([[True], text[1:] != text[:-1]])
+    step = np.empty((len(start), many, many))
+    for lo in range(0, len(start), max(1, _MATRICES // (many * many))):
+        own = order[lo : lo + max(1, _MATRICES // (many * many))]
+        value = scores[code[start[own]]][:, None, :] + np.where(entry[own][:, None, None], 0.0, away)
+        step[own] = _forward(scores, code, start[own], size[own], value, switch)
+    heads = np.flatnonzero(entry)
+    length = np.diff(np.append(heads, len(start)))
+    by = np.argsort(-length, kind="stable")
+    heads, length = heads[by], length[by]
+    back = np.zeros((len(start), many), np.int64)
+    value = step[heads, 0].copy()
+    active = _active(length)
+    for r in range(1, len(active)):
+        at = heads[: active[r]] + r
+        ways = value[: active[r], :, None] + step[at]
+        back[at] = ways.argmax(axis=1)
+        value[: active[r]] = ways.max(axis=1)
+    now = value.argmax(axis=1)
+    before, last = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+    for r in range(len(active) - 1, -1, -1):
+        at = heads[: active[r]] + r
+        last[at] = now[: active[r]]
+        before[at] = now[: active[r]] = back[at, now[: active[r]]]
+    return before, last
+
+
+def viterbi(scores: np.ndarray, code: np.ndarray, first: np.ndarray, switch: float = SWITCH, piece: int = PIECE) -> np.ndarray:
     """Best label of every word.  ``scores[code]`` are the words' scores in
-    text order, ``first`` each text's first word and the end.  The texts that
-    have a word t take step t together."""
+    text order, ``first`` each text's first word and the end.  Texts of more
+    than ``piece`` words are cut into pieces that advance together; the labels
+    at the cuts come from the chained pieces, so the path is that of the whole
+    text."""
     sizes = np.diff(first)
-    order = np.argsort(-sizes, kind="stable")
-    start, size = first[:-1][order], sizes[order]
-    longest = int(size[0]) if len(size) else 0
-    active = np.searchsorted(-size, -np.arange(longest), "left")  # texts with a word t
+    many = scores.shape[1]
     label = np.zeros(len(code), np.int64)
-    if not longest:
+    if not len(code):
         return label
-    moved = np.zeros((len(code), scores.shape[1]), bool)  # the best way into this label is from `source`
+    n_pieces = -(-sizes // piece)
+    text = np.repeat(np.arange(len(sizes)), n_pieces)
+    rank = np.arange(len(text)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+    start = first[:-1][text] + rank * piece
+    size = np.minimum(piece, first[1:][text] - start)
+    before, last = np.full(len(text), -1), np.full(len(text), -1)
+    cut = n_pieces[text] > 1
+    if cut.any():
+        before[cut], last[cut] = _ends(scores, code, start[cut], size[cut], text[cut], switch)
+    order = np.argsort(-size, kind="stable")
+    start, size, before, last, rank = (v[order] for v in (start, size, before, last, rank))
+    moved = np.zeros((len(code), many), bool)  # the best way into this label is from `source`
     source = np.zeros(len(code), np.int32)
-    start = start[: active[0]]
-    value = scores[code[start]].copy()
-    rows = np.arange(len(start))
-    for t in range(1, longest):
-        n = active[t]
-        at, own = start[:n] + t, value[:n]
-        best = own.argmax(axis=1)
-        other = (own[rows[:n], best] - switch)[:, None]
-        moved[at], source[at] = other > own, best
-        value[:n] = np.maximum(own, other) + scores[code[at]]
-    now = value.argmax(axis=1)
-    for t in range(longest - 1, -1, -1):
+    away = np.where((rank > 0)[:, None] & (before[:, None] != np.arange(many)), -switch, 0.0)
+    value = _forward(scores, code, start, size, scores[code[start]] + away, switch, (moved, source))
+    now = np.where(last >= 0, last, value.argmax(axis=1))
+    active = _active(size)
+    for t in range(len(active) - 1, -1, -1):
         n = active[t]
         at = start[:n] + t
         label[at] = now[:n]
