@@ -252,7 +252,7 @@ def vectors():
 @pytest.mark.parametrize("one", [False, True])
 def test_whitening_equals_brute_force(spark, vectors, one):
     rows = [(k, [float(c) for c in v], "x") for k, v in enumerate(vectors)]
-    bad = [(-1, None, "x"), (-2, [], "x"), (-3, [1.0, None, 0, 0, 0, 0], "x"), (-4, [float("nan")] * 6, "x"), (-5, [float("inf")] + [0.0] * 5, "x"), (None, rows[3][1], "x")]
+    bad = [(-1, None, "x"), (-2, [], "x"), (-3, [1.0, None, 0.0, 0.0, 0.0, 0.0], "x"), (-4, [float("nan")] * 6, "x"), (-5, [float("inf")] + [0.0] * 5, "x"), (None, rows[3][1], "x")]
     table = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, n string").repartition(7)
     got = whitening.whiten(table, 4, weights="one" if one else "counts").collect()
     fitted = [r[1] for r in rows] + [rows[3][1]]
