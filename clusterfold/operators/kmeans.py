@@ -13,11 +13,13 @@ Design
     ``least(struct(dist_0, 0), ..., struct(dist_k-1, k-1))`` with every
     distance unrolled into arithmetic on ``x[i]``: a plain projection
     compiled by whole-stage codegen, ties going to the lowest id;
-  - ``arrow`` (wide vectors): ``mapInPandas`` over Arrow batches, distances
-    by numpy, and for a Lloyd step the task emits its per-cluster partial
-    sums only (k*d rows per partition, long form).  Measured 10x faster than Spark's
+  - ``arrow`` (wide vectors): ``mapInArrow``, exact nearest centroids by tiles
+    of matrix products (``nearest.py``).  Measured 10x faster than Spark's
     higher-order functions for k*d = 640, which run interpreted, and it
     avoids the 64 KB method limit an unrolled expression of that size hits.
+* The loop over wide vectors keeps the points as packed blocks with distance
+  bounds (``bounds.py``): a step computes only the points whose bounds no
+  longer prove their centroid, and returns the tasks' sums.
 * One Lloyd step is one job: projection -> partial aggregate of
   ``count`` and the d coordinate sums per cluster -> shuffle of at most
   k rows per input partition -> final aggregate -> k rows to the driver.
@@ -45,7 +47,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from clusterfold.functions.vectors import as_double_array, dist_const, require_length
+from clusterfold.operators.bounds import BoundedLloyd
 from clusterfold.operators.indexing import hash_key
+from clusterfold.operators.nearest import distances
+from clusterfold.operators.nearest import nearest as nearest_places
 
 # Centroid values shipped inside a task closure; beyond that
 # they travel as broadcast chunks of at most BROADCAST_CHUNK_VALUES values.
@@ -209,35 +214,10 @@ def _batch_points(batch, d: int):
     return X.reshape(-1, d)
 
 
-def _distances(X, C):
-    """(n, k) Euclidean distances of points X to centroids C."""
-    import numpy as np
-
-    D = np.empty((X.shape[0], C.shape[0]))
-    for t in range(C.shape[0]):
-        diff = X - C[t]
-        D[:, t] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-    return D
-
-
 def _nearest(X, ship):
-    """(index into ship.js, distance) of every point's nearest centroid,
-    chunk by chunk; ties go to the lowest j (first in a chunk, and a later
-    chunk must be strictly closer)."""
-    import numpy as np
-
-    n = X.shape[0]
-    best_d = np.full(n, np.inf)
-    best_i = np.zeros(n, dtype=np.int64)
-    rows = np.arange(n)
-    for off, C in ship.chunks():
-        D = _distances(X, C)
-        a = D.argmin(axis=1) if n else np.zeros(0, dtype=np.int64)
-        dm = D[rows, a] if n else np.zeros(0)
-        better = dm < best_d
-        best_d[better] = dm[better]
-        best_i[better] = a[better] + off
-    return best_i, best_d
+    """(index into ship.js, distance) of every point's nearest centroid;
+    ties go to the lowest j."""
+    return nearest_places(X, ship.chunks())[:2]
 
 
 def _point_schema(points: DataFrame, keep: list[str]) -> str:
@@ -317,7 +297,7 @@ def distance_rows(points: DataFrame, cents: Centroids, mode: str = "auto") -> Da
             X = _batch_points(batch, d)
             at = np.arange(len(X))
             for off, C in ship.chunks():
-                D = _distances(X, C)
+                D = distances(X, C)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(np.repeat(at, len(C)))),
                      pa.array(np.tile(ship.js[off:off + len(C)], len(X))), pa.array(D.reshape(-1))],
@@ -350,7 +330,7 @@ def distance_lists(points: DataFrame, cents: Centroids, mode: str = "auto") -> D
             for s in range(0, whole.num_rows, rows):
                 batch = whole.slice(s, rows)
                 X = _batch_points(batch, d)
-                D = np.concatenate([_distances(X, C) for _, C in ship.chunks()], axis=1)
+                D = np.concatenate([distances(X, C) for _, C in ship.chunks()], axis=1)
                 pairs = pa.StructArray.from_arrays(
                     [pa.array(D.reshape(-1)), pa.array(np.tile(ship.js, len(X)))], names=["d", "j"])
                 offsets = pa.array(np.arange(len(X) + 1, dtype=np.int32) * k)
@@ -469,6 +449,10 @@ def step(
         j, pos, n = int(r["j"]), int(r["pos"]), int(r["n"])
         new.setdefault(j, [0.0] * d)[pos] = r["s"] / n
         sizes[j] = n
+    return _with_empty(new, sizes, cents, empty_cluster)
+
+
+def _with_empty(new: Centroids, sizes: dict[int, int], cents: Centroids, empty_cluster: str):
     if empty_cluster == "keep":
         for j, c in cents.items():
             new.setdefault(j, list(c))
@@ -538,6 +522,7 @@ def kmeans(
     assign_mode: str = "auto",
     cache: bool = True,
     coalesce: int | None = None,
+    log: str | None = None,
 ) -> KMeansResult:
     """K8: parameterised K-means.
 
@@ -545,12 +530,27 @@ def kmeans(
     ``eps`` (centroids that vanished are not compared, as with an inner
     join).  ``k`` defaults to the number of distinct labels; seeds are taken
     from the persisted points.  ``coalesce`` is the number of partitions of
-    the new centroids' sums (never of the points)."""
+    the new centroids' sums (never of the points).
+
+    With ``cache``, wide vectors run on packed blocks with distance bounds
+    (``bounds.py``): the same assignments, but a step computes distances only
+    for the points whose bounds do not prove their centroid
+    (``n_recomputed`` in the trace).
+
+    ``log`` names a folder in shared storage to which every finished
+    iteration is written; a later call with that folder and the same
+    arguments goes on after the last finished one, so that a lost driver
+    costs one iteration."""
     pts = points
-    if cache:
+    done = read_log(points.sparkSession, log) if log else None
+    seeded = done is not None or isinstance(init, (dict, DataFrame))
+    if cache and not (seeded and assign_mode in ("auto", "arrow")):
         pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    bounded = None
     try:
-        if isinstance(init, dict):
+        if done is not None:
+            cents = done.centroids
+        elif isinstance(init, dict):
             cents = {int(j): [float(v) for v in c] for j, c in init.items()}
             _check_size(cents)
         elif isinstance(init, DataFrame):
@@ -559,11 +559,22 @@ def kmeans(
             if k is None:
                 k = k_from_labels(pts)
             cents = collect_centroids(seed_frame(pts, k, init, seed))
-        result = KMeansResult(centroids=cents)
-        for it in range(1, max_iter + 1):
+        result = done or KMeansResult(centroids=cents)
+        if result.trace and (result.trace[-1]["n_moved"] == 0 or not cents):
+            return result
+        if cache and cents and assign_mode != "cross" and _mode(cents, assign_mode) == "arrow":
+            d = _dim(cents)
+            bounded = BoundedLloyd(_with_coords(pts, d, []), _batch_points, d)
+        elif cache and pts is points:
+            pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+        for it in range(len(result.trace) + 1, max_iter + 1):
             t0 = time.perf_counter()
             result.history.append(cents)
-            new, sizes = step(pts, cents, assign_mode, empty_cluster, coalesce)
+            if bounded:
+                new, sizes = _bounded_step(bounded, cents, empty_cluster)
+                pts.unpersist()  # from here on the blocks hold the points
+            else:
+                new, sizes = step(pts, cents, assign_mode, empty_cluster, coalesce)
             moved_by = shifts(cents, new)
             n_moved = sum(1 for s in moved_by.values() if s > eps)
             result.trace.append(
@@ -573,20 +584,70 @@ def kmeans(
                     "n_compared": len(moved_by),
                     "n_moved": n_moved,
                     "n_stable": len(moved_by) - n_moved,
+                    "n_recomputed": bounded.recomputed if bounded else sum(sizes.values()),
                     "seconds": time.perf_counter() - t0,
                 }
             )
             cents = new
             result.centroids = new
             result.sizes = sizes
+            if log:
+                write_log(points.sparkSession, log, result)
             if n_moved == 0 or not new:
                 break
         return result
     finally:
-        if cache:
+        if bounded:
+            bounded.release()
+        if cache and pts is not points or not bounded:
             pts.unpersist()
 
 
+def _bounded_step(bounded: BoundedLloyd, cents: Centroids, empty_cluster: str):
+    """K3 on packed blocks; see ``step``."""
+    ship = _Shipped(bounded.points.sparkSession, cents)
+    js, C = _matrix(cents)
+    try:
+        S, N = bounded.step(ship, js, C)
+    finally:
+        ship.release()
+    new = {int(j): (S[i] / N[i]).tolist() for i, j in enumerate(js) if N[i]}
+    sizes = {int(j): int(N[i]) for i, j in enumerate(js) if N[i]}
+    return _with_empty(new, sizes, cents, empty_cluster)
+
+
+# ---- the iteration log ---------------------------------------------------------
+
+
+_LOG = "iteration int, j int, c array<double>, n bigint, c_old array<double>, n_clusters int, n_compared int, n_moved int, n_stable int, n_recomputed bigint, seconds double"
+
+
+def write_log(spark: SparkSession, folder: str, result: KMeansResult) -> None:
+    """The last iteration of ``result``: one row a centroid (new, and the one
+    assigned to), as one Parquet file in a folder of its own.  A folder
+    without the writer's success mark does not count."""
+    t, old = result.trace[-1], result.history[-1]
+    report = tuple(t[c] for c in ("n_clusters", "n_compared", "n_moved", "n_stable", "n_recomputed", "seconds"))
+    rows = [(t["iteration"], j, result.centroids.get(j), result.sizes.get(j), old.get(j), *report) for j in sorted({*old, *result.centroids})]
+    spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("overwrite").parquet(f"{folder}/iteration={t['iteration']}")
+
+
+def read_log(spark: SparkSession, folder: str) -> KMeansResult | None:
+    """The run up to the last iteration that ``write_log`` finished, or None."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    result, it = None, 1
+    while fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/iteration={it}/_SUCCESS")):
+        rows = spark.read.schema(_LOG).parquet(f"{folder}/iteration={it}").collect()
+        result = result or KMeansResult(centroids={})
+        result.centroids = {r["j"]: list(r["c"]) for r in rows if r["c"] is not None}
+        result.sizes = {r["j"]: r["n"] for r in rows if r["n"] is not None}
+        result.history.append({r["j"]: list(r["c_old"]) for r in rows if r["c_old"] is not None})
+        result.trace.append({"iteration": it, **{c: rows[0][c] for c in ("n_clusters", "n_compared", "n_moved", "n_stable", "n_recomputed", "seconds")}})
+        it += 1
+    return result
+
+
 # ---- reports (K7, K10) -----------------------------------------------------------
 
 
@@ -600,15 +661,29 @@ def label_trace(points: DataFrame, history: Sequence[Centroids],
     """K7 at every iteration: ``(iteration, j, label, n)``, the labels found
     in each cluster when iteration i assigned the points to ``history[i-1]``.
 
-    One job for all iterations: each task assigns its points under every
-    iteration's centroids (T*k*d numbers, bounded like one centroid table per
-    iteration) and returns its counts; a partial + final aggregate adds them."""
+    One job for as many iterations as a task closure holds centroids of
+    (``CLOSURE_VALUES`` numbers), one iteration at least: each task assigns its
+    points under these centroids and returns its counts; a partial + final
+    aggregate adds them."""
     if not history:
         raise ValueError("empty history")
     for cents in history:
         _check_size(cents)
-    d = _dim(history[0])
-    ships = [_Shipped(points.sparkSession, c) for c in history]
+    out, group, held = None, [], 0
+    for it, cents in enumerate(history, start=1):
+        size = len(cents) * _dim(cents)
+        if group and held + size > CLOSURE_VALUES:
+            part = _label_counts(points, group, label_col)
+            out, group, held = part if out is None else out.unionByName(part), [], 0
+        group.append((it, cents))
+        held += size
+    part = _label_counts(points, group, label_col)
+    return part if out is None else out.unionByName(part)
+
+
+def _label_counts(points: DataFrame, history: Sequence[tuple[int, Centroids]], label_col: str) -> DataFrame:
+    d = _dim(history[0][1])
+    ships = [(it, _Shipped(points.sparkSession, c)) for it, c in history]
     label_type = points.schema[label_col].dataType.simpleString()
 
     def run(batches):
@@ -623,7 +698,7 @@ def label_trace(points: DataFrame, history: Sequence[Centroids],
             codes = labels.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             width = len(labels.dictionary)
             X = _batch_points(batch, d)
-            for it, ship in enumerate(ships, start=1):
+            for it, ship in ships:
                 best = _nearest(X, ship)[0]
                 found, n = np.unique(best * width + codes, return_counts=True)
                 yield pa.RecordBatch.from_arrays(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterfold.functions import vectors as V
+from clusterfold.operators import centroid_table as ct
 from clusterfold.operators import indexing as IX
 from clusterfold.operators import kmeans as km
 from clusterfold.sources.tables import table
@@ -26,6 +27,7 @@ FAR_COORD = 100.0
 SAMPLE_K = 10
 SAMPLE_SEED = 7
 FIT_SEED = 11
+SEED_SHARE = 10
 HEAD_N = 3
 PREFIX_LEN = 4
 
@@ -253,7 +255,24 @@ def q_kmeans_fit_sampled(spark, sf_dir):
     return _centroid_rows(spark, res.centroids, res.sizes)
 
 
+def q_kmeans_assign_table(spark, sf_dir):
+    """K2 with a centroid table that grows with the points (about one in
+    ``SEED_SHARE``), distributed like them."""
+    pts = embedding_points(spark, sf_dir)
+    a = ct.assign_table(pts, ct.seed_table(pts, SEED_SHARE, SAMPLE_SEED))
+    return a.select(F.col("id").alias("vec_id"), "label", "j", r6("d").alias("d"))
+
+
+def q_kmeans_step_table(spark, sf_dir):
+    """K3 on that table: the new centroids and sizes."""
+    pts = embedding_points(spark, sf_dir)
+    new = ct.step_table(pts, ct.seed_table(pts, SEED_SHARE, SAMPLE_SEED))
+    return explode_vector(new, ["j", "n"], "c", "c")
+
+
 QUERIES = {
+    "kmeans_assign_table": q_kmeans_assign_table,
+    "kmeans_step_table": q_kmeans_step_table,
     "kmeans_init": q_kmeans_init,
     "kmeans_assign": q_kmeans_assign,
     "kmeans_step": q_kmeans_step,
@@ -391,6 +410,16 @@ def _one_step_sql(seed_cte: str, final: str = "centroids") -> str:
     raise ValueError(final)
 
 
+_C0_TABLE = (
+    "c0 AS MATERIALIZED (SELECT vec_id AS j, embedding::DOUBLE[] AS c FROM embeddings "
+    f"WHERE {_HASH} % {SEED_SHARE} = 0)"
+)
+
+_ASSIGN_TABLE_SQL = (
+    f"WITH {_C0_TABLE}, near AS (SELECT vec_id, label, min({{'d': list_distance(embedding::DOUBLE[], c), 'j': j}}) AS m "
+    "FROM embeddings, c0 GROUP BY vec_id, label) SELECT vec_id, label, m.j AS j, round(m.d, 6) AS d FROM near"
+)
+
 _C0_FAR = (
     "c0 AS MATERIALIZED (SELECT * FROM (SELECT (row_number() OVER (ORDER BY vec_id) - 1)::INTEGER AS j, "
     "embedding::DOUBLE[] AS c FROM embeddings "
@@ -401,6 +430,8 @@ _C0_FAR = (
 )
 
 ORACLES = {
+    "kmeans_assign_table": _ASSIGN_TABLE_SQL,
+    "kmeans_step_table": _one_step_sql(_C0_TABLE),
     "kmeans_init": (
         f"WITH {_C0} SELECT j, (pos - 1)::INTEGER AS pos, c[pos] AS c "
         "FROM (SELECT j, c, unnest(range(1, len(c) + 1)) AS pos FROM c0)"
