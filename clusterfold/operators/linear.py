@@ -24,18 +24,25 @@ in parallel without changing the result:
 2. ``mapInPandas``: each task composes its rows' maps (numpy; short runs of
    many groups together, one rank-1 update per row position; long runs block
    by block, each block one triangular solve) into one matrix per group run.
-3. the chunks (at most one per group and partition) are hash-partitioned
-   by group and sorted; a second ``mapInPandas`` chains each group's chunks
-   in key order and applies them to w0, finishing all single-chunk groups
-   in one batched product (no per-group pandas call, so a million small
-   groups cost no more than a few large ones).
+3. without groups, the chunks (one per partition, or per partition and
+   shard) go through a prefix scan (``scan.py``): a tree of bounded fan-in
+   composes them, and a down-sweep gives the weights after every shard.  No
+   task chains the maps of all partitions;
+4. with groups, the chunks (at most one per group and partition) are
+   hash-partitioned by group and sorted; a second ``mapInPandas`` chains each
+   group's chunks in key order and applies them to w0, finishing all
+   single-chunk groups in one batched product (no per-group pandas call, so a
+   million small groups cost no more than a few large ones).  Beyond
+   ``fan`` partitions the scan's up-sweep first shortens the groups that
+   have more chunks than that.
 
 The ordered pass (G4), shard averaging (G5), shard relay (G6) and sampled
 SGD (G3) are all this one fold with different keys.  AdaGrad (G7) is not
-affine (its rate depends on the running squared gradients), so a group is a
-sequential fold: hash-partitioned by group, sorted, streamed through
+affine (its rate depends on the running squared gradients): small groups are
+sequential folds, hash-partitioned by group, sorted, streamed through
 ``mapInPandas`` with the state carried across Arrow batches (constant
-memory; all groups of a batch advance together).
+memory; all groups of a batch advance together); large ones are solved in
+parallel over their ordered ranges (``adagrad.py``).
 """
 
 from __future__ import annotations
@@ -49,7 +56,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterfold.functions.vectors import dot_const, require_length
+from clusterfold.operators.adagrad import adagrad_in_time
 from clusterfold.operators.indexing import hash_key, row_index_counted
+from clusterfold.operators.scan import Affine, fan_for, levels, prefixes, saved, total
 
 # Fixed value: rows per block in the pairwise matrix product (memory cap
 # of a block: rows * (d+1)^2 doubles).
@@ -304,6 +313,40 @@ def _compose_runs(X, y, c, starts, ends):
     return out
 
 
+# Fixed value: from this feature count on a run of few rows keeps its map as a
+# product of low rank.
+_LOW_RANK_FEATURES = 32
+
+
+def _low_rank(X, y, c) -> Affine:
+    """Map of a short run as the identity plus a product of rank len(X):
+    ``w - X' u`` with the residual coefficients u of ``_compose``."""
+    import numpy as np
+
+    n, d = X.shape
+    lower = np.tril(X @ X.T, -1)
+    S = np.linalg.solve(np.eye(n) + c[:, None] * lower, c[:, None] * np.concatenate([X, -y[:, None]], axis=1))
+    return Affine(d, None, -X.T, S)
+
+
+def _run_maps(X, y, c, starts, ends) -> list[Affine]:
+    """Composed map of every run of a sorted batch."""
+    import numpy as np
+
+    d = X.shape[1]
+    if d < _LOW_RANK_FEATURES:
+        return [Affine(d, M) for M in _compose_runs(X, y, c, starts, ends)]
+    out: list = [None] * len(starts)
+    small = (ends - starts) * 2 <= d
+    for i in np.flatnonzero(small):
+        own = slice(starts[i], ends[i])
+        out[i] = _low_rank(X[own], y[own], c[own])
+    rest = np.flatnonzero(~small)
+    for i, M in zip(rest, _compose_runs(X, y, c, starts[rest], ends[rest]) if len(rest) else ()):
+        out[i] = Affine(d, M)
+    return out
+
+
 def _null_safe(df: DataFrame, keys: Sequence[str]):
     """Group keys for pandas: a NULL of a non-string key would become NaN,
     which equals nothing, so such a key travels as a value that is never
@@ -343,7 +386,10 @@ def _chunk_schema(df: DataFrame, keys: list[str], ord_col: str) -> T.StructType:
     fields += [
         T.StructField("_first", df.schema[ord_col].dataType, True),
         T.StructField("_n", T.LongType(), False),
-        T.StructField("_m", T.ArrayType(T.DoubleType(), False), False),
+        T.StructField("_node", T.LongType(), False),
+        T.StructField("_k", T.IntegerType(), False),
+        T.StructField("_r", T.IntegerType(), False),
+        T.StructField("_m", T.BinaryType(), False),
     ]
     return T.StructType(fields)
 
@@ -356,9 +402,10 @@ def affine_chunks(
 
     ``coef`` is the SGD factor c of ``w <- w - c (w.x - y) x``: a number or
     the name of a per-row column; ``d`` the feature count.  Output: ``keys,
-    _first (first ord), _n, _m (flattened (d+1)x(d+1) matrix)``: one row per
-    group per partition, so a partition emits at most as many rows as it
-    holds groups, and a group at most one row per partition.
+    _first (first ord), _n`` and the map as ``scan.py`` reads it (``_node`` is
+    the partition, ``_k`` the place in it): one row per group per partition,
+    so a partition emits at most as many rows as it holds groups, and a group
+    at most one row per partition.
 
     ``ordered_input``: ``df`` is already partitioned so that every partition
     holds a contiguous range of the (keys, ord) order (e.g. the output of
@@ -372,151 +419,167 @@ def affine_chunks(
                else src.repartitionByRange(*keys, ord_col))
     parted = src.sortWithinPartitions(*keys, ord_col)
     schema = _chunk_schema(df, keys, ord_col)
-    width = (d + 1) * (d + 1)
 
     def run(batches):
         import numpy as np
         import pandas as pd
+        from pyspark import TaskContext
 
-        cur = None  # {"key": tuple, "first": ord, "n": count, "m": matrix}
+        node, k = TaskContext.get().partitionId(), 0
+        cur = None  # (key, first ord, rows, map) of the run that may go on
         # at most a matrix for each row: slices keep them within the budget
-        most = max(1, 8 * _BLOCK_VALUES // width)
+        most = max(1, 8 * _BLOCK_VALUES // ((d + 1) * (d + 1)))
         for pdf in (b.iloc[s:s + most] for b in batches for s in range(0, len(b), most)):
             starts, ends = _runs(pdf, keys)
-            mats = _compose_runs(_features(pdf, d), pdf["y"].to_numpy(dtype=float),
-                                 pdf["_c"].to_numpy(dtype=float), starts, ends)
-            rkeys = [pdf[k].to_numpy()[starts] for k in keys]
+            maps = _run_maps(_features(pdf, d), pdf["y"].to_numpy(dtype=float),
+                             pdf["_c"].to_numpy(dtype=float), starts, ends)
+            rkeys = [pdf[c].to_numpy()[starts] for c in keys]
             firsts = pdf[ord_col].to_numpy()[starts]
-            counts = (ends - starts).astype(np.int64)
-            a = 0
-            if cur is not None:
-                if tuple(col[0] for col in rkeys) == cur["key"]:
-                    cur["m"] = mats[0] @ cur["m"]
-                    cur["n"] += int(counts[0])
-                    a = 1
-                if a == 1 and len(starts) == 1:
+            done = []
+            for i, (n, own) in enumerate(zip((ends - starts).tolist(), maps)):
+                key = tuple(col[i] for col in rkeys)
+                if cur is not None and key == cur[0]:
+                    cur = (key, cur[1], cur[2] + n, own.after(cur[3]))
                     continue
-                yield _chunk_rows(keys, [cur["key"]], [cur["first"]], [cur["n"]],
-                                  cur["m"].reshape(1, width))
-            b = len(starts) - 1
-            if b > a:
-                data = {k: rkeys[i][a:b] for i, k in enumerate(keys)}
-                data.update(_first=firsts[a:b], _n=counts[a:b],
-                            _m=list(mats[a:b].reshape(-1, width)))
-                yield pd.DataFrame(data)
-            cur = {"key": tuple(col[b] for col in rkeys), "first": firsts[b],
-                   "n": int(counts[b]), "m": mats[b]}
+                if cur is not None:
+                    done.append(cur)
+                cur = (key, firsts[i], n, own)
+            if done:
+                yield _chunk_rows(keys, done, ord_col, node, k)
+                k += len(done)
         if cur is not None:
-            yield _chunk_rows(keys, [cur["key"]], [cur["first"]], [cur["n"]],
-                              cur["m"].reshape(1, width))
+            yield _chunk_rows(keys, [cur], ord_col, node, k)
 
     return parted.mapInPandas(run, schema)
 
 
-def _chunk_rows(keys, key_tuples, firsts, counts, mats):
+def _chunk_rows(keys, done, ord_col, node, k):
     import pandas as pd
 
-    data = {k: [t[i] for t in key_tuples] for i, k in enumerate(keys)}
-    data["_first"] = list(firsts)
-    data["_n"] = list(counts)
-    data["_m"] = list(mats)
+    data = {c: [t[0][i] for t in done] for i, c in enumerate(keys)}
+    data.update(_first=[t[1] for t in done], _n=[t[2] for t in done], _node=node, _k=range(k, k + len(done)),
+                _r=[t[3].rank for t in done], _m=[t[3].bytes() for t in done])
     return pd.DataFrame(data)
 
 
+def _finite(v, what: str = "SGD"):
+    import numpy as np
+
+    if not np.isfinite(v).all():
+        raise FloatingPointError(f"{what} diverged")
+    return v
+
+
+def _weights(vectors: DataFrame, keys: Sequence[str], d: int, name: str = "_w") -> DataFrame:
+    """``keys, pos, w`` from weights as binary doubles (d of them are kept)."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = batch.column(batch.schema.get_field_index(name)).to_pylist()
+            W = _finite(np.array([np.frombuffer(r)[:d] for r in rows]).reshape(-1, d))
+            at = pa.array(np.repeat(np.arange(len(W)), d))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(batch.schema.get_field_index(c)).take(at) for c in keys],
+                 pa.array(np.tile(np.arange(d, dtype=np.int32), len(W))), pa.array(W.ravel())], names=[*keys, "pos", "w"])
+
+    schema = T.StructType([*[vectors.schema[c] for c in keys], T.StructField("pos", T.IntegerType(), False), T.StructField("w", T.DoubleType(), False)])
+    return vectors.select(*keys, name).mapInArrow(run, schema)
+
+
+def scan_chunks(chunks: DataFrame, w0: Sequence[float], trace: str | None = None) -> DataFrame:
+    """Phase 2 without groups: ``pos, w`` after all chunks or, with ``trace``
+    (a key of the chunks that grows with their order), ``trace, pos, w`` after
+    the last chunk of each of its values."""
+    import numpy as np
+
+    d, v0 = len(w0), np.asarray([float(v) for v in w0])
+    own = saved(chunks)
+    if trace:
+        each = prefixes(own, [], v0, carry=[trace])
+        last = each.groupBy(trace).agg(F.max_by("_w", F.struct("_node", "_k")).alias("_w"))
+        return _weights(last, [trace], d)
+    one = total(own, [], d)
+
+    def apply(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            w = [Affine.read(d, r, m).apply(v0).tobytes() for r, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(w, pa.binary())], names=["_w"])
+
+    return _weights(one.select("_r", "_m").mapInArrow(apply, "_w binary"), [], d)
+
+
+def _short(chunks: DataFrame, keys: list[str], d: int, partitions: int | None) -> DataFrame:
+    """Chunks of which no group has more than the scan's fan-in.  A group has
+    one per partition at most, so few partitions need no measuring."""
+    fan = fan_for(d)
+    most = partitions or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if most <= fan:
+        return chunks
+    own = saved(chunks.drop("_first", "_n"))
+    longest = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest <= fan:
+        return own
+    return levels(own, keys, d, fan)[-1]
+
+
 def chain_chunks(
-    chunks: DataFrame, group_keys: list[str], seg_key: str | None, w0: Sequence[float],
-    trace: bool = False, partitions: int | None = None,
+    chunks: DataFrame, group_keys: list[str], w0: Sequence[float], partitions: int | None = None,
 ) -> DataFrame:
     """Phase 2: per group, chain the chunk maps in order and apply to w0.
 
     Chunks are hash-partitioned by group and sorted; one ``mapInPandas``
     walks the sorted runs.  Groups with a single chunk (the common case when
     groups are many and small) are finished together in one batched
-    product; a group split over partitions holds at most one chunk per
-    partition.  Output ``group_keys, [seg_key], pos, w``: the final weights,
-    or with ``trace`` the weights after every segment (shard relay)."""
+    product; a group split over partitions holds at most ``fan`` chunks.
+    Output ``group_keys, pos, w``: the final weights."""
     import numpy as np
 
     d = len(w0)
-    v0 = np.append(np.asarray([float(v) for v in w0]), 1.0)
+    v0 = np.asarray([float(v) for v in w0])
     gk = list(group_keys)
-    if gk:
-        src = chunks.repartition(partitions, *gk) if partitions else chunks.repartition(*gk)
-    else:
-        src = chunks.repartition(1)
-    order = gk + ([seg_key] if seg_key else []) + ["_first"]
-    parted = src.sortWithinPartitions(*order)
-    fields = [chunks.schema[k] for k in gk]
-    tracing = bool(trace and seg_key)
-    if tracing:
-        fields.append(chunks.schema[seg_key])
-    fields += [T.StructField("pos", T.IntegerType(), False),
-               T.StructField("w", T.DoubleType(), False)]
-    schema = T.StructType(fields)
-    out_cols = [f.name for f in fields]
-
-    def finish(rows):
-        import pandas as pd
+    src = _short(chunks, gk, d, partitions).select(*gk, "_node", "_k", "_r", "_m")
+    src = src.repartition(partitions, *gk) if partitions else src.repartition(*gk)
+    parted = src.sortWithinPartitions(*gk, "_node", "_k")
+    schema = T.StructType([*[chunks.schema[k] for k in gk], T.StructField("pos", T.IntegerType(), False), T.StructField("w", T.DoubleType(), False)])
 
-        return pd.DataFrame(rows, columns=out_cols)
+    def frame(heads, W):
+        import pandas as pd
 
-    def emit(key, v, seg=None):
-        if not np.all(np.isfinite(v)):
-            raise FloatingPointError("SGD diverged")
-        head = dict(zip(gk, key))
-        if seg is not None:
-            head[seg_key] = seg
-        return [dict(head, pos=p, w=float(v[p])) for p in range(d)]
+        data = {k: np.repeat(h, d) for k, h in zip(gk, heads)}
+        data.update(pos=np.tile(np.arange(d, dtype=np.int32), len(W)), w=_finite(W).reshape(-1))
+        return pd.DataFrame(data)
 
     def run(batches):
-        cur = None  # {"key": tuple, "v": vector, "seg": current segment}
+        cur = None  # (key columns of one row, v) of the group that goes on
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            rows = []
-            starts, ends = _runs(pdf, gk) if gk else (np.array([0]), np.array([len(pdf)]))
-            mats = np.stack(pdf["_m"].to_numpy()).reshape(-1, d + 1, d + 1)
-            segs = pdf[seg_key].to_numpy() if seg_key else None
-            kcols = [pdf[k].to_numpy() for k in gk]
-            single = (ends - starts == 1)
-            fast = []  # runs finished below in one batched product
-            for r, (s, e) in enumerate(zip(starts, ends)):
-                key = tuple(col[s] for col in kcols)
-                if cur is not None and key != cur["key"]:
-                    rows += emit(cur["key"], cur["v"][:d])
-                    cur = None
-                if cur is None and single[r] and not tracing and r < len(starts) - 1:
-                    fast.append(r)
-                    continue
-                if cur is None:
-                    cur = {"key": key, "v": v0.copy(), "seg": None}
-                for i in range(s, e):
-                    if tracing and cur["seg"] is not None and segs[i] != cur["seg"]:
-                        rows += emit(key, cur["v"][:d], cur["seg"])
-                    cur["v"] = mats[i] @ cur["v"]
-                    if tracing:
-                        cur["seg"] = segs[i]
-                if tracing and r < len(starts) - 1:
-                    rows += emit(key, cur["v"][:d], cur["seg"])
-                    cur = None
-                elif r < len(starts) - 1:
-                    rows += emit(key, cur["v"][:d])
-                    cur = None
-            done = np.asarray(fast, dtype=int)
-            if len(done):
-                import pandas as pd
-
-                V = np.matmul(mats[starts[done]], v0)[:, :d]
-                if not np.all(np.isfinite(V)):
-                    raise FloatingPointError("SGD diverged")
-                data = {k: np.repeat(col[starts[done]], d) for k, col in zip(gk, kcols)}
-                data.update(pos=np.tile(np.arange(d, dtype=np.int32), len(done)),
-                            w=V.reshape(-1))
-                yield pd.DataFrame(data, columns=out_cols)
-            if rows:
-                yield finish(rows)
+            starts, ends = _runs(pdf, gk)
+            heads = [pdf[k].to_numpy()[starts] for k in gk]
+            ranks, raw = pdf["_r"].to_numpy(), pdf["_m"].to_numpy()
+            W = np.tile(v0, (len(starts), 1))
+            if cur is not None:
+                if all(h[0] == c[0] for h, c in zip(heads, cur[0])):
+                    W[0] = cur[1]
+                else:
+                    yield frame(cur[0], cur[1][None])
+            single = (ends - starts == 1) & (ranks[starts] < 0)
+            fast = np.flatnonzero(single)
+            if len(fast):
+                M = np.frombuffer(b"".join(raw[starts[fast]])).reshape(-1, d + 1, d + 1)
+                W[fast] = np.matmul(M[:, :d, :d], W[fast][:, :, None])[:, :, 0] + M[:, :d, d]
+            for r in np.flatnonzero(~single):
+                for i in range(starts[r], ends[r]):
+                    W[r] = Affine.read(d, ranks[i], raw[i]).apply(W[r])
+            if len(starts) > 1:
+                yield frame([h[:-1] for h in heads], W[:-1])
+            cur = ([h[-1:] for h in heads], W[-1])
         if cur is not None:
-            yield finish(emit(cur["key"], cur["v"][:d], cur["seg"] if tracing else None))
+            yield frame(cur[0], cur[1][None])
 
     return parted.mapInPandas(run, schema)
 
@@ -531,7 +594,9 @@ def sgd_pass(
     train, keys, restore = _null_safe(train, by)
     chunks = affine_chunks(train, keys, ord_col, 2.0 * step, len(w0), partitions,
                            ordered_input)
-    return restore(chain_chunks(chunks, keys, None, w0))
+    if not keys:
+        return scan_chunks(chunks, w0)
+    return restore(chain_chunks(chunks, keys, w0, partitions))
 
 
 def with_shards(
@@ -586,7 +651,7 @@ def sgd_relay(
     sharded, ordered = with_shards(train, shards, ord_col, partitions)
     chunks = affine_chunks(sharded, ["shard"], ord_col, 2.0 * step, len(w0), partitions,
                            ordered_input=ordered)
-    return chain_chunks(chunks, [], "shard", w0, trace=True)
+    return scan_chunks(chunks, w0, trace="shard")
 
 
 def _dense_index(df: DataFrame, ord_col: str) -> tuple[bool, int]:
@@ -637,10 +702,15 @@ def sgd_sampled(
     draws = draws.withColumn(idx_col, pick)
     joined = draws.join(rows.select(idx_col, "x", "y").hint("merge"), idx_col)
     chunks = affine_chunks(joined, ["replica"], "t", 2.0 * step / m, len(w0), partitions)
-    return chain_chunks(chunks, ["replica"], None, w0)
+    return chain_chunks(chunks, ["replica"], w0, partitions)
+
 
+# ---- AdaGrad (G7) --------------------------------------------------------------
 
-# ---- AdaGrad (G7): sequential fold ---------------------------------------------
+# Rows from which on a group is solved in parallel, and groups
+# of that size whose keys are broadcast.
+HOT_ROWS = 1_000_000
+HOT_GROUPS = 100_000
 
 
 def _adagrad_runs(X, y, starts, ends, W, S, a, step, eps):
@@ -648,9 +718,11 @@ def _adagrad_runs(X, y, starts, ends, W, S, a, step, eps):
     W and S (runs, d): row position t of every run is one vector step."""
     import numpy as np
 
-    lengths = ends - starts
-    for t in range(int(lengths.max()) if len(lengths) else 0):
-        act = np.flatnonzero(lengths > t)
+    order = np.argsort(starts - ends, kind="stable")  # the longest first
+    lengths = (ends - starts)[order]
+    n_active = np.searchsorted(-lengths, -np.arange(int(lengths[0]) if len(lengths) else 0), "left")
+    for t, n in enumerate(n_active):
+        act = order[:n]
         idx = starts[act] + t
         x = X[idx]
         err = 2.0 * ((W[act] * x).sum(axis=1) - y[idx])
@@ -662,27 +734,37 @@ def _adagrad_runs(X, y, starts, ends, W, S, a, step, eps):
 def sgd_adagrad(
     train: DataFrame, w0: Sequence[float], s0: Sequence[float], step: float, eps: float,
     scale_gradient: bool = True, ord_col: str = "ord", by: Sequence[str] = (),
-    partitions: int | None = None,
+    partitions: int | None = None, hot_rows: float = HOT_ROWS,
 ) -> DataFrame:
     """``g = a 2 (w.x - y) x`` with a = step if ``scale_gradient`` (the
     reference's written form) else 1; ``s <- s + g*g``;
     ``w <- w - step / sqrt(eps + s) * g``.  Returns ``by..., pos, w``.
 
-    The update is not associative, so a group is one ordered pass by its
-    nature: groups are hash-partitioned, sorted and streamed through
-    ``mapInPandas`` with the state carried across Arrow batches (constant
-    memory).  All groups of a batch advance together, one row position at a
-    time.  A group too large for one pass has a parallel form in
-    ``sgd_adagrad_averaged``; without ``by`` the whole table is one pass."""
+    The update is not associative.  Groups are hash-partitioned, sorted and
+    streamed through ``mapInPandas`` with the state carried across Arrow
+    batches (constant memory); all groups of a batch advance together, one row
+    position at a time.  A group of more than ``hot_rows`` rows, and without
+    ``by`` the whole table, is instead solved in parallel over its ordered
+    ranges (``adagrad.py``), with the same result."""
+    d = len(w0)
+    a = step if scale_gradient else 1.0
     if not by:
-        one = train.withColumn("_all", F.lit("all"))
-        return sgd_adagrad(one, w0, s0, step, eps, scale_gradient, ord_col, ["_all"], partitions).drop("_all")
+        return _weights(adagrad_in_time(train, w0, s0, step, a, eps, ord_col, [], partitions), [], d)
+    sizes = train.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    n_hot = sizes.count() if hot_rows < math.inf else 0
+    if n_hot:
+        sizes = saved(sizes.drop("_n").withColumnsRenamed({c: f"_hot_{c}" for c in by}))
+        few = F.broadcast(sizes) if n_hot <= HOT_GROUPS else sizes.hint("merge")
+        same = F.lit(True)
+        for c in by:
+            same = same & train[c].eqNullSafe(sizes[f"_hot_{c}"])
+        hot = _weights(adagrad_in_time(train.join(few, same, "left_semi"), w0, s0, step, a, eps, ord_col, by, partitions), by, d)
+        rest = sgd_adagrad(train.join(few, same, "left_anti"), w0, s0, step, eps, scale_gradient, ord_col, by, partitions, math.inf)
+        return hot.unionByName(rest)
     train, keys, restore = _null_safe(train, by)
-    d = len(w0)
     src = train.where(require_length("x", d, "feature vector")).select(
         *keys, ord_col, *_coords(d), F.col("y").cast("double").alias("y"))
     src = src.repartition(partitions, *keys) if partitions else src.repartition(*keys)
-    a = step if scale_gradient else 1.0
     w_init, s_init = [float(v) for v in w0], [float(v) for v in s0]
     schema = T.StructType([train.schema[k] for k in keys] + [
         T.StructField("pos", T.IntegerType(), False), T.StructField("w", T.DoubleType(), False)])

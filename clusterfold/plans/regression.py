@@ -100,6 +100,15 @@ def q_sgd_adagrad_averaged(spark, sf_dir):
         t, ZERO, ZERO, ADA_STEP, ADA_EPS, AVG_SHARDS, ord_col="ord"))
 
 
+def q_sgd_adagrad_whole(spark, sf_dir):
+    """G7 as one ordered pass over the whole table."""
+    return _adagrad(spark, sf_dir, [], True)
+
+
+def q_sgd_adagrad_whole_textbook(spark, sf_dir):
+    return _adagrad(spark, sf_dir, [], False)
+
+
 def _sampled(spark, sf_dir, rule):
     return _on_orders(spark, sf_dir, lambda t: lin.sgd_sampled(
         t, ZERO, SAMPLED_STEP, seed=SAMPLED_SEED, replicas=SAMPLED_REPLICAS, rule=rule, ord_col="ord"))
@@ -128,6 +137,8 @@ QUERIES = {
     "sgd_adagrad_segments": q_sgd_adagrad_segments,
     "sgd_adagrad_averaged": q_sgd_adagrad_averaged,
     "sgd_sampled_rand": q_sgd_sampled_rand,
+    "sgd_adagrad_whole": q_sgd_adagrad_whole,
+    "sgd_adagrad_whole_textbook": q_sgd_adagrad_whole_textbook,
 }
 
 
@@ -200,6 +211,10 @@ def _grouped_fold_sql(lam: str, ada: bool, groups: list[str] = GROUPS) -> str:
     )
 
 
+def _whole_fold_sql(lam: str) -> str:
+    return f"WITH {_TO}, f AS (SELECT list_reduce(list({_elem(True)} ORDER BY ord), {lam}, {_init(True)}) AS r FROM tr) " + _unpivot("f", [])
+
+
 _SHARDED = (
     "sh AS (SELECT *, floor((row_number() OVER (ORDER BY ord) - 1) * {p} / "
     "(SELECT count(*) FROM tr))::INTEGER AS shard FROM tr)"
@@ -282,6 +297,8 @@ ORACLES = {
     "sgd_adagrad_textbook": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS, 1.0), True, CUSTOMERS),
     "sgd_adagrad_segments": _grouped_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS), True),
     "sgd_adagrad_averaged": _AVG_ADA_SQL,
+    "sgd_adagrad_whole": _whole_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS)),
+    "sgd_adagrad_whole_textbook": _whole_fold_sql(_ada_lambda(ADA_STEP, ADA_EPS, 1.0)),
     "sgd_sampled_rand": _sampled_sql(hash_sql("ix.idx", f"(r.replica * 104729 + {SAMPLED_SEED})") + " % mm.m"),
     "sgd_averaged": _AVG_SQL,
     "sgd_relay": _RELAY_SQL,

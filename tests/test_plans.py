@@ -37,16 +37,20 @@ def test_shard_folds_shuffle_once(spark):
     from pyspark.sql import functions as F
 
     dense = train_orders(spark, SF_SMALL)  # o_orderkey is 0..m-1: its own rank
-    plan = physical_plan(lin.sgd_relay(dense, [0.0, 0.0], 0.01, 4, "ord")).lower()
+    def relay_chunks(train):  # the relay saves its chunks before it scans them
+        sharded, ordered = lin.with_shards(train, 4, "ord")
+        return lin.affine_chunks(sharded, ["shard"], "ord", 0.02, 2, ordered_input=ordered)
+
+    plan = physical_plan(relay_chunks(dense)).lower()
     assert "rangepartitioning(shard" in plan and "inmemoryrelation" not in plan
     # a key with gaps goes through the row index, whose range partitioning
     # the fold reuses: no second range exchange on (shard, ord)
     gaps = dense.withColumn("ord", F.col("ord") * 3 + 1)
-    for job in (lin.sgd_relay(gaps, [0.0, 0.0], 0.01, 4, "ord"),
+    for job in (relay_chunks(gaps),
                 lin.sgd_averaged(gaps, [0.0, 0.0], 0.01, 4, "ord")):
         p = physical_plan(job).lower()
         assert "rangepartitioning(shard" not in p and "inmemoryrelation" not in p
-    plain = physical_plan(lin.sgd_pass(dense, [0.0, 0.0], 0.01, "ord"))
+    plain = physical_plan(lin.affine_chunks(dense, [], "ord", 0.02, 2))
     assert "rangepartitioning(ord" in plain.lower()
 
 
