@@ -6,7 +6,8 @@ table through one partition:
 
 1. range-partition on the order key and sort inside each partition;
 2. ``monotonically_increasing_id`` then holds (partition id, position);
-3. one aggregate counts rows per partition (one row per partition);
+3. one pass counts the rows of each partition and compares every key with the
+   one before it (one row per partition);
 4. the running offsets (a table with one row per partition, bounded by
    the partition count) are broadcast and added to the position.
 
@@ -53,14 +54,12 @@ def row_index_counted(
               else df.repartitionByRange(*order_cols))
     tagged = ranged.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy(F.shiftright("_mid", _POS_BITS).alias("_pid")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    rows = sorted((int(r["_pid"]), int(r["_n"])) for r in counts.collect())
-    if check_unique:
-        repeated = tagged.select(*order_cols).mapInArrow(_repeats, "n long").agg(F.sum("n")).first()[0]
-        if repeated:
-            raise ValueError(f"order key {order_cols} is not unique: {repeated} rows repeat one")
+    # counts and repeated keys of each partition in one pass over the saved rows
+    found = tagged.select("_mid", *(order_cols if check_unique else [])).mapInArrow(_measured, "pid long, n long, repeats long").collect()
+    rows = sorted((r["pid"], r["n"]) for r in found)
+    repeated = sum(r["repeats"] for r in found)
+    if repeated:
+        raise ValueError(f"order key {order_cols} is not unique: {repeated} rows repeat one")
     offsets, acc = [], 0
     for pid, cnt in rows:
         offsets.append((pid, acc))
@@ -76,27 +75,34 @@ def row_index_counted(
     return out, acc
 
 
-def _repeats(batches):
-    """Rows whose key equals that of the row before, in sorted batches."""
+def _measured(batches):
+    """(partition, rows, rows whose key equals that of the row before) of
+    sorted batches of ``_mid`` and the key (none: repeats are not counted)."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    n, last = 0, None
+    pid, n, repeats, last = None, 0, 0, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        first = batch.slice(0, 1).to_pylist()
-        n += int(first == last)
+        if pid is None:
+            pid = batch.column(0)[0].as_py() >> _POS_BITS
+        n += batch.num_rows
+        keys = batch.columns[1:]
+        if not keys:
+            continue
+        repeats += int([c[0].as_py() for c in keys] == last)
         if batch.num_rows > 1:
             same = None
-            for column in batch.columns:
+            for column in keys:
                 a, b = column[:-1], column[1:]
                 both = pc.and_(pc.is_null(a), pc.is_null(b))
                 equal = pc.or_(pc.fill_null(pc.equal(a, b), False), both)
                 same = equal if same is None else pc.and_(same, equal)
-            n += pc.sum(same.cast(pa.int64())).as_py()
-        last = batch.slice(batch.num_rows - 1, 1).to_pylist()
-    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+            repeats += pc.sum(same.cast(pa.int64())).as_py()
+        last = [c[batch.num_rows - 1].as_py() for c in keys]
+    if pid is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (pid, n, repeats)], names=["pid", "n", "repeats"])
 
 
 def prefix(x: Column | str, n: int) -> Column:

@@ -655,16 +655,27 @@ def sgd_relay(
 
 
 def _dense_index(df: DataFrame, ord_col: str) -> tuple[bool, int]:
-    """(is the integral order key exactly 0..m-1, each once?, m) in one
-    aggregate: m distinct values with min 0 and max m-1."""
+    """(is the integral order key exactly 0..m-1, each once?, m).
+
+    The keys of a range of 32,768 make one bitmap, partial in every task; a
+    bitmap with fewer bits than keys shows a repeated one.  So bitmaps meet in
+    the exchange, not keys, and with m keys, no repeat, least 0 and largest
+    m - 1 none is missing."""
     if not isinstance(df.schema[ord_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
         return False, df.count()
-    r = df.agg(F.min(ord_col).alias("lo"), F.max(ord_col).alias("hi"),
-               F.count_distinct(ord_col).alias("kinds"), F.count(F.lit(1)).alias("m")).first()
-    m = int(r["m"])
+    key = F.col(ord_col).cast("long")
+    maps = df.select(key.alias("_o")).groupBy(F.bitmap_bucket_number("_o").alias("_b")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_o"))).alias("bits"), F.count("_o").alias("n"),
+        F.count(F.lit(1)).alias("m"), F.min("_o").alias("lo"), F.max("_o").alias("hi"))
+    r = maps.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bits").alias("kinds"), F.sum("m").alias("m")).first()
+    m = int(r["m"] or 0)
     return m > 0 and r["lo"] == 0 and r["hi"] == m - 1 and r["kinds"] == m, m
 
 
+# Fixed value: draws that are broadcast (each is a few numbers).
+BROADCAST_DRAWS = 2_000_000
+
+
 def sgd_sampled(
     train: DataFrame, w0: Sequence[float], step: float, steps: int | None = None,
     seed: int = 0, replicas: int = 1, rule: str = "arith", idx_col: str | None = None,
@@ -675,8 +686,10 @@ def sgd_sampled(
 
     Draws: ``arith``: row pmod(t * 7919 + seed + r * 104729, m) for step t
     of replica r; ``rand``: pmod(hash_key(t, seed + r * 104729), m).  Both
-    are reproducible anywhere.  All draws are made in one job, joined to the indexed rows and folded
-    in step order.  Returns ``replica, pos, w``."""
+    are reproducible anywhere.  All draws are made in one job, joined to the
+    indexed rows and folded in step order.  Up to ``BROADCAST_DRAWS`` draws (their number is
+    known) are broadcast, so that only drawn rows are exchanged; beyond that
+    rows and draws meet by index.  Returns ``replica, pos, w``."""
     spark = train.sparkSession
     if idx_col is None:
         dense, m = _dense_index(train, ord_col)
@@ -700,7 +713,12 @@ def sgd_sampled(
     else:
         raise ValueError(f"unknown rule {rule!r}")
     draws = draws.withColumn(idx_col, pick)
-    joined = draws.join(rows.select(idx_col, "x", "y").hint("merge"), idx_col)
+    picked = rows.select(idx_col, "x", "y")
+    if steps * replicas <= BROADCAST_DRAWS:
+        # the rows stay where they are: the draws meet the scan
+        joined = picked.join(F.broadcast(draws), idx_col)
+    else:
+        joined = draws.join(picked.hint("merge"), idx_col)
     chunks = affine_chunks(joined, ["replica"], "t", 2.0 * step / m, len(w0), partitions)
     return chain_chunks(chunks, ["replica"], w0, partitions)
 

@@ -18,6 +18,7 @@ from clusterfold.sources.tables import TABLES, table
 SMALL_MAP = [(1, "a"), (2, "b"), (3, "c")]
 CSV_COLS = ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"]
 CSV_FEATURES = 3
+HOT_KEY = 0  # the order that the skewed join's hot lines are given to
 
 
 def q_text_lines(spark, sf_dir):
@@ -110,6 +111,14 @@ def q_join_broadcast(spark, sf_dir):
     return J.lookup_join(c, n, "c_nationkey").select("c_custkey", "c_nationkey", "n_name")
 
 
+def q_join_skewed(spark, sf_dir):
+    """J1 where one key holds a third of the left rows."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 3 == 0, HOT_KEY).otherwise(F.col("l_orderkey")).cast("bigint").alias("k"))
+    prices = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"), "o_totalprice")
+    return J.skew_join(lines, prices, "k").select("l_orderkey", "l_linenumber", "k", "o_totalprice")
+
+
 def q_partition_profile(spark, sf_dir):
     """Rows of all partitions together, and of those that the profile lists empty."""
     profile = partition_profile(table(spark, sf_dir, "lineitem").select("l_orderkey"))
@@ -132,6 +141,7 @@ QUERIES = {
     "row_index": q_row_index,
     "join_shuffle": q_join_shuffle,
     "join_broadcast": q_join_broadcast,
+    "join_skewed": q_join_skewed,
     "partition_profile": q_partition_profile,
 }
 
@@ -172,6 +182,10 @@ _COUNTERS = (
 )
 
 ORACLES = {
+    "join_skewed": (
+        f"SELECT l_orderkey, l_linenumber, k, o_totalprice FROM (SELECT l_orderkey, l_linenumber, "
+        f"(CASE WHEN l_partkey % 3 = 0 THEN {HOT_KEY} ELSE l_orderkey END)::BIGINT AS k FROM lineitem) JOIN orders ON k = o_orderkey"
+    ),
     "partition_profile": "SELECT count(*) AS n_rows, 0::BIGINT AS n_empty FROM lineitem",
     "token_counters": _COUNTERS,
     "text_lines": (
