@@ -8,8 +8,9 @@ Order-free methods
 * ``gradient`` (G1): one aggregate of d sums, sum(2 (w.x - y) x).
 * ``batch_gd`` (G2): ``method='gram'`` reads the data once (X'X, X'y, m:
   d*d + d + 1 numbers by partial aggregation) and runs the epochs on the
-  driver; ``method='scan'`` runs one aggregate per epoch over a persisted
-  frame, as the reference does.  Same algebra.
+  driver; beyond ``MAX_GRAM_FEATURES`` the matrix is a table of blocks
+  (``block_gram.py``); ``method='scan'`` runs one aggregate per epoch over a
+  persisted frame, as the reference does.  Same algebra.
 
 Order-dependent methods (one pass in key order)
 -----------------------------------------------
@@ -57,6 +58,7 @@ from pyspark.sql import types as T
 
 from clusterfold.functions.vectors import dot_const, require_length
 from clusterfold.operators.adagrad import adagrad_in_time
+from clusterfold.operators.block_gram import descend
 from clusterfold.operators.indexing import hash_key, row_index_counted
 from clusterfold.operators.scan import Affine, fan_for, levels, prefixes, saved, total
 
@@ -182,7 +184,11 @@ def batch_gd(
     w = [float(v) for v in w0]
     d = len(w)
     if method == "gram" and d > MAX_GRAM_FEATURES:
-        method = "scan"  # the same sums, without a d x d matrix on the driver
+        method = "blocks"  # the same sums, without a d x d matrix on the driver
+    if method == "blocks":
+        w = descend(train, w, epochs, step)
+        _check_finite(w, "batch_gd")
+        return w
     if method == "gram":
         import numpy as np
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clusterfold.operators import linear as lin
 from clusterfold.plans.common import finished, hash_sql, r6, weights_frame
-from clusterfold.plans.training import train_embeddings, train_lineitem, train_orders
+from clusterfold.plans.training import train_embeddings, train_lineitem, train_orders, train_products
 
 # Fixed values of the registered jobs.
 W_PROBE = [0.1, 0.2]          # weights at which gradient_once is evaluated
@@ -26,6 +26,8 @@ GROUPS = ["c_mktsegment", "o_orderpriority"]
 CUSTOMERS = ["custkey"]       # a key that grows with the data
 ZERO = [0.0, 0.0]
 WIDE = 64                     # features of ``embeddings``
+PRODUCTS = 45                 # coordinates whose 1,035 products are features
+BLOCK_EPOCHS = 5
 
 
 def q_gradient_once(spark, sf_dir):
@@ -43,6 +45,12 @@ def q_batch_gd_scan(spark, sf_dir):
     return weights_frame(spark, w)
 
 
+def q_batch_gd_blocks(spark, sf_dir):
+    """G2 over more features than the driver's matrix allows."""
+    n = PRODUCTS * (PRODUCTS + 1) // 2 + 1
+    return weights_frame(spark, lin.batch_gd(train_products(spark, sf_dir, PRODUCTS), [0.0] * n, BLOCK_EPOCHS, GD_STEP, "gram"))
+
+
 def _on_orders(spark, sf_dir, job):
     """A job over orders joined to customer: the join runs once (persisted
     for the job's passes, then released); the weights are rounded."""
@@ -126,6 +134,7 @@ QUERIES = {
     "gradient_once": q_gradient_once,
     "batch_gd": q_batch_gd,
     "batch_gd_scan": q_batch_gd_scan,
+    "batch_gd_blocks": q_batch_gd_blocks,
     "sgd_pass": q_sgd_pass,
     "sgd_pass_null": q_sgd_pass_null,
     "sgd_pass_wide": q_sgd_pass_wide,
@@ -278,7 +287,24 @@ def _sampled_sql(pick: str) -> str:
 
 _SAMPLED_SQL = _sampled_sql(f"(ix.idx * 7919 + {SAMPLED_SEED} + r.replica * 104729) % mm.m")
 
+def _products_sql(epochs: int) -> str:
+    ctes = [
+        f"e AS (SELECT vec_id, list_slice(embedding::DOUBLE[], 1, {PRODUCTS}) AS x, label / 10 AS y FROM embeddings)",
+        f"ab AS (SELECT a, b, row_number() OVER (ORDER BY a, b) - 1 AS pos FROM range(1, {PRODUCTS + 1}) r(a), range(1, {PRODUCTS + 1}) s(b) WHERE a <= b)",
+        "f AS MATERIALIZED (SELECT vec_id, y, pos, x[a] * x[b] AS v FROM e, ab UNION ALL SELECT vec_id, y, (SELECT count(*) FROM ab), 1.0::DOUBLE FROM e)",
+        "w0 AS MATERIALIZED (SELECT DISTINCT pos, 0.0::DOUBLE AS w FROM f)",
+    ]
+    for i in range(epochs):
+        ctes += [
+            f"r{i} AS MATERIALIZED (SELECT vec_id, sum(v * w) - any_value(y) AS r FROM f JOIN w{i} USING (pos) GROUP BY vec_id)",
+            f"w{i + 1} AS MATERIALIZED (SELECT pos, any_value(w) - 2 * sum(r * v) * ({GD_STEP} / (SELECT count(*) FROM e)) AS w "
+            f"FROM f JOIN r{i} USING (vec_id) JOIN w{i} USING (pos) GROUP BY pos)",
+        ]
+    return "WITH " + ", ".join(ctes) + f" SELECT pos::INTEGER AS pos, round(w, 6) + 0.0 AS w FROM w{epochs}"
+
+
 ORACLES = {
+    "batch_gd_blocks": _products_sql(BLOCK_EPOCHS),
     "gradient_once": (
         f"WITH {_TL} SELECT 0 AS pos, round(sum(2 * ({W_PROBE[0]} * x0 + {W_PROBE[1]} * x1 - y) * x0), 6) AS g "
         f"FROM tl UNION ALL SELECT 1 AS pos, "

@@ -51,3 +51,12 @@ def train_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("ord"), F.col("embedding").cast("array<double>").alias("x"),
         F.col("label").cast("double").alias("y"))
+
+
+def train_products(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """``x`` = the products of any two of the first ``n`` coordinates of an
+    embedding (n (n + 1) / 2 features) and the bias, ``y = label / 10``."""
+    x = F.slice(F.col("embedding").cast("array<double>"), 1, n)
+    pairs = F.flatten(F.transform("_e", lambda a, i: F.transform(F.slice("_e", i + 1, n), lambda b: a * b)))
+    return table(spark, sf_dir, "embeddings").select(x.alias("_e"), "label").select(
+        F.concat(pairs, F.array(F.lit(1.0))).alias("x"), (F.col("label") / 10).alias("y"))
