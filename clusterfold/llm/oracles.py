@@ -6,6 +6,24 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _ALNUM = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
 _SPACED = "'[^\\x20\\x09-\\x0D]+'"
 
+def _round(k: int) -> str:
+    """One round of votes of the distinct lines that belong to no template yet."""
+    return f"""
+), mode{k} AS (
+  SELECT leaf, spot, min(struct_pack(a := -n, token := token)).token AS token FROM (
+    SELECT leaf, spot, token, count(*) AS n FROM (
+      SELECT leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM rest{k}
+    ) GROUP BY leaf, spot, token
+  ) GROUP BY leaf, spot
+), shape{k} AS (
+  SELECT leaf, list(token ORDER BY spot) AS shape FROM mode{k} GROUP BY leaf
+), judged{k} AS (
+  SELECT leaf, line, tokens, len(list_filter(list_zip(tokens, shape), lambda x: x[1] = x[2])) >= 0.7 * len(tokens) AS agrees
+  FROM rest{k} JOIN shape{k} USING (leaf)
+), rest{k + 1} AS (
+  SELECT leaf, line, tokens FROM judged{k} WHERE NOT agrees"""
+
+
 OP3 = """
 WITH raw AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
@@ -16,18 +34,17 @@ WITH raw AS (
 ), parsed AS (
   SELECT doc_id, pos, line, string_split(line, ' ') AS tokens FROM masked WHERE line <> ''
 ), named AS (
-  SELECT *, len(tokens) AS n, concat_ws(' ', len(tokens), array_to_string(tokens[1:3], ' ')) AS leaf FROM parsed
+  SELECT *, concat_ws(' ', len(tokens), array_to_string(tokens[1:3], ' ')) AS leaf FROM parsed
 ), open AS (
   SELECT leaf FROM named GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT line) > 1
-), fields AS (
-  SELECT leaf, n, spot, count(DISTINCT token) AS kinds FROM (
-    SELECT leaf, n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM named SEMI JOIN open USING (leaf)
-  ) GROUP BY leaf, n, spot
+), rest0 AS (
+  SELECT DISTINCT leaf, line, tokens FROM named SEMI JOIN open USING (leaf)""" + "".join(_round(k) for k in range(3)) + """
 ), general AS (
-  SELECT leaf FROM fields GROUP BY leaf HAVING sum((kinds = 1)::INT) >= 0.7 * max(n)
+  SELECT line, 'leaf 0 ' || leaf AS template FROM judged0 WHERE agrees
+  UNION ALL SELECT line, 'leaf 1 ' || leaf FROM judged1 WHERE agrees
+  UNION ALL SELECT line, 'leaf 2 ' || leaf FROM judged2 WHERE agrees
 ), templates AS (
-  SELECT doc_id, pos, CASE WHEN g.leaf IS NULL THEN 'line ' || line ELSE 'leaf ' || g.leaf END AS template
-  FROM named LEFT JOIN general g USING (leaf)
+  SELECT doc_id, pos, coalesce(g.template, 'line ' || line) AS template FROM named LEFT JOIN general g USING (line)
 ), recurring AS (
   SELECT template, min(doc_id) AS keeper FROM templates GROUP BY template HAVING count(DISTINCT doc_id) >= 3
 ), gone AS (

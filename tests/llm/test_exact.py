@@ -332,7 +332,7 @@ def test_license_lines_of_a_long_text(spark):
     assert found[2] == [(at, *d[1:]) for at in range(5000) for d in found[1]]
 
 
-def brute_lines(texts, min_docs=3, share=0.7):
+def brute_lines(texts, min_docs=3, share=0.7, rounds=3):
     parsed, leaves = {}, defaultdict(list)
     for k, (i, t) in enumerate(texts):
         for pos, line in enumerate(t.split("\n") if t is not None else []):
@@ -340,15 +340,20 @@ def brute_lines(texts, min_docs=3, share=0.7):
             if line:
                 tokens = line.split(" ")
                 parsed[k, pos] = (len(tokens), *tokens[:3]), line
-                leaves[len(tokens), *tokens[:3]].append((i, tokens))
-    general = set()
+                leaves[len(tokens), *tokens[:3]].append((i, line))
+    general = {}
     for leaf, own in leaves.items():
-        if len({i for i, _ in own}) >= min_docs and len({tuple(x) for _, x in own}) > 1:
-            constant = sum(len(set(column)) == 1 for column in zip(*(x for _, x in own)))
-            if constant >= share * leaf[0]:
-                general.add(leaf)
+        rest = {line for _, line in own}
+        if len({i for i, _ in own}) < min_docs or len(rest) < 2:
+            continue
+        for r in range(rounds):
+            columns = list(zip(*(line.split(" ") for line in rest)))
+            shape = [min(set(c), key=lambda token: (-c.count(token), token.encode())) for c in columns]
+            agree = {line for line in rest if sum(a == b for a, b in zip(line.split(" "), shape)) >= share * leaf[0]}
+            general.update((line, (r, leaf)) for line in agree)
+            rest -= agree
     ids = defaultdict(set)
-    name = {at: leaf if leaf in general else line for at, (leaf, line) in parsed.items()}
+    name = {at: general.get(line, line) for at, (leaf, line) in parsed.items()}
     for (k, _), template in name.items():
         ids[template].add(texts[k][0])
     out = []
@@ -378,6 +383,40 @@ def test_line_templates_generalise_variable_fields(spark):
     assert found == {0: 0, 1: 1, 2: 1, 3: 1}
 
 
+def notices(n, words, start=0):
+    """Near copies of one line, each with one word of its own."""
+    return [(start + k, " ".join([*words[:5], f"word{chr(97 + k % 26)}{'x' * (k // 26)}", *words[6:]]) + f"\nown line {chr(97 + k % 26) * (3 + k)}") for k in range(n)]
+
+
+def test_line_templates_judge_lines_by_their_own_template(spark):
+    words = "please read the new terms of use before you go on to the page".split()
+    rows = notices(60, words)
+    drop = lambda r: {x["row"]["doc_id"]: x["n_dropped"] for x in line_templates.drop_recurring(spark.createDataFrame(r, "doc_id long, text string")).collect()}
+    plain = drop(rows)
+    assert sum(plain.values()) == 59 and plain[0] == 0
+    # unrelated lines of the leaf change nothing for the notices
+    other = "please read the " + " ".join(f"thing{c}" for c in "abcdefghijk")
+    assert len(other.split()) == len(words)
+    more = drop(rows + [(900, other)])
+    assert {k: v for k, v in more.items() if k != 900} == plain and more[900] == 0
+    # a second family of the leaf is a template of its own
+    second = "please read the old rules about our small shop while it is still open".split()
+    assert len(second) == len(words)
+    both = drop(rows + notices(20, second, 300))
+    assert sum(both.values()) == 59 + 19 and both[0] == both[300] == 0
+    want = {i: n for i, _, n, _ in brute_lines(rows + notices(20, second, 300))}
+    assert both == want
+
+
+def test_line_templates_of_a_long_text(spark):
+    words = "please read the new terms of use before you go on to the page".split()
+    long = "\n".join(f"line {'abcdefghij'[k % 10]} of {'xyz'[k % 3] * (1 + k % 50)} stands here for some reason" for k in range(420_000))
+    assert len(long) > 20 << 20
+    rows = notices(5, words) + [(77, long), (78, None), (79, "")]
+    found = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).selectExpr("row.doc_id", "n_lines", "n_dropped").collect()}
+    assert found[77] == (420_000, 0) and found[78] == (0, 0) and found[79] == (1, 0) and found[4] == (2, 1)
+
+
 def test_empty_tables(spark, no_docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert bpe.decode(bpe.encode(no_docs, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
