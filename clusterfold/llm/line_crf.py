@@ -5,7 +5,7 @@ capitals, digits, symbols and exclamation marks, repeated words, repeated
 lines) of itself and of the lines before and after it.  A two-state chain
 labels each line bad or good; the weights maximise the regularised
 conditional likelihood on a bounded sample of labelled documents (at most
-``SAMPLE_PER_CLASS`` of each class, of at most ``SAMPLE_LINES`` lines; every
+``SAMPLE_PER_CLASS`` and ``SAMPLE_BYTES`` of each class; every
 line carries its document's label).  Scores are forward-backward marginals,
 averaged over a document's lines with their lengths as weights.
 
@@ -26,7 +26,7 @@ from clusterfold.llm.frames import Shared, bounded_batches
 from clusterfold.llm.labelled import sample
 
 SAMPLE_PER_CLASS = 2000
-SAMPLE_LINES = 2000
+SAMPLE_BYTES = 24 << 20  # of each class; a line counts as 256 more
 ROUNDS, RATE, RIDGE = 150, 0.1, 1e-3
 
 
@@ -185,14 +185,14 @@ def _sample_features(batches):
         out = []
         for _, _, data, offsets in W.blocks(batch.column(1)):
             features, _, first = line_features(data, offsets)
-            out += [features[a:b].astype("<f4").tobytes() if b - a <= SAMPLE_LINES else None for a, b in zip(first[:-1], first[1:])]
+            out += [features[a:b].astype("<f4").tobytes() for a, b in zip(first[:-1], first[1:])]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), batch.column(2)], names=["doc_id", "features", "y"])
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, *, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Chain:
     """The chain of a bounded sample of the labelled rows that ``allowed`` marks."""
-    own = sample(docs, labels, label, allowed, SAMPLE_PER_CLASS, id_col=id_col, text_col=text_col)
-    rows = own.select("doc_id", "text", "y").mapInArrow(_sample_features, "doc_id long, features binary, y int").where("features is not null").collect()
+    own = sample(docs, labels, label, allowed, SAMPLE_PER_CLASS, SAMPLE_BYTES, id_col=id_col, text_col=text_col)
+    rows = own.select("doc_id", "text", "y").mapInArrow(_sample_features, "doc_id long, features binary, y int").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["features"]))
     classes = {r["y"] for r in rows}
     if len(classes) < 2:
@@ -202,16 +202,16 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, *, label: str = "
     return fit(np.concatenate(parts).astype(np.float64), first, np.array([r["y"] for r in rows]))
 
 
-def _score_batches(chain):
+def _score_batches(chain, place: int):
     def run(batches):
         for batch in batches:
-            scores = []
-            for _, _, data, offsets in W.blocks(batch.column(0)):
+            scores, text = [], batch.column(0).field(place)
+            for _, _, data, offsets in W.blocks(text if pa.types.is_string(text.type) else text.cast(pa.string())):
                 features, weights, first = line_features(data, offsets)
                 good = chain.value.marginals(features, first)
                 scores.append(np.add.reduceat(good * weights, first[:-1]) / np.add.reduceat(weights, first[:-1]))
             score = np.clip(np.concatenate(scores), 0, 1) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(score)], names=["row", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
 
     return run
 
@@ -220,8 +220,8 @@ def score(docs: DataFrame, chain: Chain, *, text_col: str = "text") -> DataFrame
     """``row`` (struct of the document's own columns) and ``score`` in [0, 1]."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # the text travels once
     from pyspark.sql import types as T
 
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_score_batches(Shared(spark, chain)), schema)
+    return rows.mapInArrow(_score_batches(Shared(spark, chain), docs.columns.index(text_col)), schema)

@@ -2,13 +2,17 @@
 
 Per document a numpy scan measures words, word characters, symbols,
 duplicate lines and words inside repeated 8-word windows.  The derived
-metrics are summarised per (language, source) by KLL quantile sketches;
-sketches are mergeable, so a group with fewer than ``MIN_GROUP`` documents
-takes its language's merged sketch, and a small language the merged sketch
-of all documents.  A document fails a rule when its metric lies beyond the
-Tukey fence ``q1 - FENCE * spread`` or ``q3 + FENCE * spread`` of its group,
-where the spread is at least the metric's ``floor``.  Documents and
-thresholds are joined on (language, source).
+metrics are summarised per (language, source) by quantile sketches: counts of
+documents in fixed buckets of thousandths, which keep ``BITS`` leading bits of
+larger values, so a sketch has a bounded number of them.  Sketches merge by
+adding counts of whole documents, so they are the same in any order and
+partitioning; a group with fewer than ``MIN_GROUP`` documents takes its
+language's merged sketch, and a small language the merged sketch of all
+documents.  A document fails a rule when its metric lies beyond the fence
+``q1 - FENCE * spread`` or ``q3 + FENCE * spread`` of its group, where the
+spread is the distance of the quartiles and at least the metric's ``floor``.
+Of a normal distribution less than 1e-12 lies beyond.  Documents and thresholds
+are joined on (language, source).
 
 Defined results: a null text has no words; documents that fail the base rule
 (fewer than 20 words, or over 30 % repeated words) never enter the sketches
@@ -22,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clusterfold.llm import words as W
 from clusterfold.llm.frames import bounded_batches, saved
@@ -29,14 +34,14 @@ from clusterfold.llm.frames import bounded_batches, saved
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 MIN_GROUP = 100
 FENCE = 5.0
-SKETCH_K = 400
-
-#: metric: (expression, lowest spread of the fence, fence below?, fence above?)
-METRICS: dict[str, tuple[str, float, bool, bool]] = {
-    "word_length": ("word_chars / n_words", 0.5, True, True),
-    "symbol_ratio": ("n_symbols / n_words", 0.05, False, True),
-    "dup_line_ratio": ("n_dup_lines / n_lines", 0.1, False, True),
-    "repeat_ratio": ("n_repeat_words / n_words", 0.05, False, True),
+UNIT, BITS = 1000, 12  # buckets of 1 / UNIT, and leading bits of larger values
+
+#: metric: (count, of which count, lowest spread of the fence, fence below?, fence above?)
+METRICS: dict[str, tuple[str, str, float, bool, bool]] = {
+    "word_length": ("word_chars", "n_words", 0.5, True, True),
+    "symbol_ratio": ("n_symbols", "n_words", 0.05, False, True),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.1, False, True),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.05, False, True),
 }
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -98,36 +103,51 @@ def metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                       F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{source_col}`").cast("string").alias("source"))
     counted = own.mapInArrow(_measure_batches, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in _COUNTS))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    ratios = {m: F.when(F.col("n_words") > 0, F.expr(e).cast("double")) for m, (e, *_) in METRICS.items()}
+    ratios = {m: F.when(F.col("n_words") > 0, F.expr(f"{a} / {b}").cast("double")) for m, (a, b, *_) in METRICS.items()}
     return counted.withColumn("base_failed", failed).withColumns(ratios)
 
 
+def bucket(count: str, of: str) -> Column:
+    """Thousandths of ``count / of``, rounded down, in whole numbers; of larger
+    ones only the ``BITS`` leading bits."""
+    return F.expr(f"""transform(array({UNIT} * {count} div {of}), k -> transform(array(greatest(0, length(bin(k)) - {BITS})),
+                      s -> shiftleft(shiftright(k, s), s))[0])[0]""")
+
+
+def sketches(measured: DataFrame) -> DataFrame:
+    """``lang, source, metric, bucket, n``: documents that pass the base rule."""
+    good = measured.where(~F.col("base_failed"))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), bucket(a, b).alias("bucket")) for m, (a, b, *_) in METRICS.items()]))
+    return good.select("lang", "source", each.alias("e")).groupBy("lang", "source", "e.metric", "e.bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, metric, n, q1, q3`` of sketches (bucket counts) by ``keys``: the
+    smallest buckets that a quarter and three quarters do not exceed."""
+    merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
+    here = Window.partitionBy(*keys, "metric")
+    run = merged.withColumn("upto", F.sum("n").over(here.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("n").over(here))
+    at = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("all"), F.col("bucket"))) / float(UNIT)
+    return run.groupBy(*keys, "metric").agg(F.max("all").alias("n"), at(1).alias("q1"), at(3).alias("q3"))
+
+
 def thresholds(measured: DataFrame) -> DataFrame:
     """``lang, source`` and, for each metric, ``<m>_low`` and ``<m>_high``:
     the fences of the group, its language or the corpus, whichever is the
     smallest with ``MIN_GROUP`` documents (the corpus, if none has)."""
-    good = measured.where(~F.col("base_failed"))
-    sketch = {m: F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in METRICS}
-    groups = saved(good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *sketch.values()))
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in METRICS]]
-    langs = groups.groupBy("lang").agg(*merged)
-    corpus = groups.agg(*merged).first()  # one sketch a metric, of a size that SKETCH_K bounds
-    every = F.struct(F.lit(corpus["n"]).cast("long").alias("n"), *[F.lit(corpus[m] and bytes(corpus[m])).cast("binary").alias(m) for m in METRICS])
-
-    def named(df, level):
-        return df.select(*[c for c in ("lang", "source") if c in df.columns], F.struct("n", *METRICS).alias(level))
-
+    sketch = saved(sketches(measured))
     # groups of documents that all failed the base rule need no fence
-    table = named(groups, "g0").alias("g").join(named(langs, "g1").alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")), "left") \
-        .select("g.lang", "g.source", "g0", "g1", every.alias("g2"))
-    level = F.when(F.col("g0.n") >= MIN_GROUP, F.col("g0")).when(F.col("g1.n") >= MIN_GROUP, F.col("g1")).otherwise(F.col("g2"))
-    table = table.select("lang", "source", level.alias("s"))
-    out = [F.col("lang"), F.col("source")]
-    for m, (_, floor, below, above) in METRICS.items():
-        q1, q3 = (F.kll_sketch_get_quantile_double(F.col(f"s.{m}"), F.lit(q)) for q in (0.25, 0.75))
+    groups, langs = _quartiles(sketch, ["lang", "source"]).alias("g"), _quartiles(sketch, ["lang"]).alias("l")
+    corpus = {r["metric"]: r for r in _quartiles(sketch, []).collect()}  # a row a metric
+    table = groups.join(langs, F.col("g.lang").eqNullSafe(F.col("l.lang")) & (F.col("g.metric") == F.col("l.metric")), "left")
+    own, lang = F.col("g.n") >= MIN_GROUP, F.col("l.n") >= MIN_GROUP
+    columns = []
+    for m, (_, _, floor, below, above) in METRICS.items():
+        here = F.col("g.metric") == m
+        q1, q3 = (F.max(F.when(here, F.when(own, F.col(f"g.{q}")).when(lang, F.col(f"l.{q}")).otherwise(F.lit(corpus[m][q] if m in corpus else None)))) for q in ("q1", "q3"))
         spread = FENCE * F.greatest(q3 - q1, F.lit(floor))
-        out += [F.when(F.lit(below), q1 - spread).alias(f"{m}_low"), F.when(F.lit(above), q3 + spread).alias(f"{m}_high")]
-    return table.select(*out)
+        columns += [(q1 - spread if below else F.lit(None).cast("double")).alias(f"{m}_low"), (q3 + spread if above else F.lit(None).cast("double")).alias(f"{m}_high")]
+    return table.groupBy(F.col("g.lang").alias("lang"), F.col("g.source").alias("source")).agg(*columns)
 
 
 def _verdict() -> Column:

@@ -383,6 +383,61 @@ def test_line_templates_generalise_variable_fields(spark):
     assert found == {0: 0, 1: 1, 2: 1, 3: 1}
 
 
+def brute_kept(rows):
+    """Verdicts from sorted buckets, one document after the other."""
+    def bucket(a, b):
+        k = 1000 * a // b
+        shift = max(0, k.bit_length() - 12)
+        return k >> shift << shift
+
+    def quartile(values, q):
+        return sorted(values)[-(-len(values) * q // 4) - 1] / 1000.0
+
+    good = [r for r in rows if not r["base_failed"]]
+    names = {m: v for m, v in quality_rules.METRICS.items()}
+    levels = [defaultdict(list), defaultdict(list), defaultdict(list)]
+    for r in good:
+        for m, (a, b, *_) in names.items():
+            for level, key in zip(levels, ((r["lang"], r["source"]), r["lang"], 0)):
+                level[key, m].append(bucket(r[a], r[b]))
+    out = {}
+    for r in rows:
+        kept = not r["base_failed"]
+        for m, (a, b, floor, below, above) in names.items():
+            if not kept:
+                break
+            own, lang, every = levels[0][(r["lang"], r["source"]), m], levels[1][r["lang"], m], levels[2][0, m]
+            values = own if len(own) >= quality_rules.MIN_GROUP else lang if len(lang) >= quality_rules.MIN_GROUP else every
+            q1, q3 = quartile(values, 1), quartile(values, 3)
+            spread, value = quality_rules.FENCE * max(q3 - q1, floor), r[a] / r[b]
+            kept = kept and not (below and value < q1 - spread) and not (above and value > q3 + spread)
+        out[r["doc_id"]] = kept
+    return out
+
+
+def test_quality_verdicts_in_any_partitioning(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    # null groups, small groups, ties and repeated rows among them
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 9 != 0, F.col("lang"))).withColumn("source", F.when(F.col("doc_id") % 4 != 0, F.col("source")))
+    docs = docs.unionAll(docs.where("doc_id < 30").withColumn("doc_id", F.col("doc_id") + 10_000)).persist()
+    want = None
+    for parts in (1, 3, 24):
+        rows = quality_rules.judge(docs.repartition(parts)).collect()
+        fences = {r["doc_id"]: tuple(r[c] for c in r.__fields__ if c.endswith(("_low", "_high"))) for r in rows}
+        if want is None:
+            want = brute_kept([r.asDict() for r in rows]), fences
+        assert {r["doc_id"]: r["kept"] for r in rows} == want[0] and fences == want[1]
+    assert 0 < sum(want[0].values()) < len(want[0])
+
+
+def test_quality_buckets_are_exact_and_bounded(spark):
+    counts = [(0, 7), (1, 3), (2, 3), (4095, 1000), (4097, 1000), (10**7, 3), (10**12, 1)]
+    got = [r["k"] for r in spark.createDataFrame(counts, "a long, b long").select(quality_rules.bucket("a", "b").alias("k")).collect()]
+    for (a, b), k in zip(counts, got):
+        exact = 1000 * a // b
+        assert k <= exact and exact - k <= exact >> 11 and (exact >= 4096 or k == exact)
+
+
 def notices(n, words, start=0):
     """Near copies of one line, each with one word of its own."""
     return [(start + k, " ".join([*words[:5], f"word{chr(97 + k % 26)}{'x' * (k // 26)}", *words[6:]]) + f"\nown line {chr(97 + k % 26) * (3 + k)}") for k in range(n)]

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clusterfold.llm import line_crf, suffix_lm, toxicity
+from clusterfold.llm.labelled import sample
 from clusterfold.llm import words as W
 from clusterfold.llm.queries import QUERIES, fold
 
@@ -241,6 +242,57 @@ def test_nearest_examples_are_exact(monkeypatch):
         assert np.allclose(got, want) and np.allclose(cosine[examples], got)
 
 
+def test_every_training_text_finds_itself(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    index = toxicity.train(docs, labels, F.lit(True))
+    ids = set(index.ids.tolist())
+    own = docs.where(F.col("doc_id").isin(list(ids)) & (F.length(F.trim("text")) > 0))
+    again = own.withColumn("doc_id", F.col("doc_id") + 1_000_000)
+    found = toxicity.score(again, index).collect()
+    copies = {}  # equal texts may stand for each other
+    for r in own.collect():
+        copies.setdefault(r["text"], set()).add(r["doc_id"])
+    text = {r["doc_id"] + 1_000_000: r["text"] for r in own.collect()}
+    assert len(found) > 100
+    for r in found:
+        best = [e for e in r["evidence"] if e["cosine"] > 1 - 1e-9]
+        assert best and ({e["doc_id"] for e in best} & copies[text[r["doc_id"]]] or len(best) == toxicity.K)
+    assert len({r["score"] for r in found}) > 20  # not one score for all that lack a telling term
+
+
+def test_telling_terms_by_hand():
+    gain = toxicity.tells(np.array([50, 0, 3, 100]), np.array([48, 40, 0, 0]), 100, 100)
+    assert gain[0] == 0 and gain[2] == 0 and gain[1] > 30 and gain[3] > gain[1]
+    data = "Añé ñandúes stupidity stupid".encode()
+    raw = np.frombuffer(data, np.uint8)
+    text, term, count = toxicity.term_counts(raw, np.array([0, len(raw)]))
+    assert len(term) == 6 and sorted(count) == [1, 1, 1, 1, 1, 2]  # four words, two starts, one of them twice
+    same = toxicity.term_counts(raw, np.array([0, len(raw)]), toxicity.Vocabulary(np.sort(term)))
+    assert sorted(same[2]) == sorted(count)
+
+
+def test_samples_are_bounded_by_bytes_not_by_length(spark):
+    long = "a long line of text\n" * 60_000
+    docs = spark.createDataFrame([(k, long if k == 3 else f"text {k} of it") for k in range(200)] + [(5, "again"), (5, "and again"), (7, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, toxic int")
+    whole = sample(docs, labels, "toxic", F.lit(True), 1000, 1 << 30).collect()
+    assert len(whole) == 200 and {r["doc_id"]: r["text"] for r in whole}[5] == "again"
+    assert {r["doc_id"]: r["text"] for r in whole}[3] == long
+    few = sample(docs, labels, "toxic", F.lit(True), 1000, 2000).collect()
+    assert 2 < len(few) < 30 and {r["y"] for r in few} == {0, 1}
+    one = sample(docs, labels, "toxic", F.lit(True), 1000, 1).collect()
+    assert len(one) == 2
+
+
+def test_classifiers_on_a_very_long_text(spark):
+    line = "the stone river " * 8
+    docs = spark.createDataFrame([(k, f"{line} {'bad word here' if k % 2 else 'good text there'} {k}\n{line}") for k in range(60)] + [(60, f"{line}\n" * 165_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(60)], "doc_id long, quality int, toxic int")
+    for found in (line_crf.score(docs, line_crf.train(docs, labels, F.lit(True))), toxicity.score(docs, toxicity.train(docs, labels, F.lit(True)))):
+        scores = [r["score"] for r in found.collect()]
+        assert len(scores) == 61 and all(0 <= s <= 1 for s in scores)
+
+
 def test_toxicity_evidence(spark):
     found = QUERIES["op10_toxicity"](spark, SF).where("size(evidence) > 0").collect()
     assert found
