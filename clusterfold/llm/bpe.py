@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import Shared, bounded_batches, texts
+from clusterfold.llm.frames import Shared, bounded_batches, lean, texts
 
 MAX_VOCABULARY = 1 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -244,7 +244,7 @@ def _decoder(vocabulary):
 def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids``: ids packed as little-endian uint32."""
     vocabulary = Shared(docs.sparkSession, Vocabulary(read_ranks(ranks_path)))
-    return texts(docs, id_col, text_col).mapInArrow(_encoder(vocabulary, pattern), "doc_id long, n_tokens long, ids binary")
+    return texts(docs, id_col, text_col).mapInArrow(lean(_encoder(vocabulary, pattern)), "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -252,4 +252,4 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     vocabulary = Shared(encoded.sparkSession, Tokens(read_ranks(ranks_path)))
     bounded_batches(encoded.sparkSession)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(_decoder(vocabulary), f"{fields}, decoded binary")
+    return encoded.mapInArrow(lean(_decoder(vocabulary)), f"{fields}, decoded binary")

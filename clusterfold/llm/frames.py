@@ -23,6 +23,26 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def lean(run):
+    """A function of Arrow batches whose worker gives freed memory back to the
+    system after each batch: idle workers and later stages share a machine."""
+
+    def trimmed(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        for batch in run(batches):
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+            if trim is not None:
+                trim(0)
+
+    return trimmed
+
+
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns that an operator reads, under its own names: other
     columns, whatever they are called, never meet the operator's."""

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import Shared, bounded_batches
+from clusterfold.llm.frames import Shared, bounded_batches, lean
 from clusterfold.llm.labelled import sample
 
 SAMPLE_PER_CLASS = 2000
@@ -224,4 +224,4 @@ def score(docs: DataFrame, chain: Chain, *, text_col: str = "text") -> DataFrame
     from pyspark.sql import types as T
 
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_score_batches(Shared(spark, chain), docs.columns.index(text_col)), schema)
+    return rows.mapInArrow(lean(_score_batches(Shared(spark, chain), docs.columns.index(text_col))), schema)
