@@ -26,6 +26,7 @@ from clusterfold.llm.frames import bounded_batches, saved, texts
 
 BUCKET_KEYS = 2_000_000
 CHUNK_BYTES = 2 << 20
+PART_BYTES = 64 << 20  # of text in a partition of a dealt table, at most about
 NULL_ID = (1 << 63) - 1  # a null id counts as the largest
 
 CHUNK = "chunk long, n_bytes long, ids binary, nulls binary, marks binary, sizes binary, blob binary"
@@ -51,12 +52,22 @@ def _pack(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["chunk", "n_bytes", "ids", "nulls", "marks", "sizes", "blob"])
 
 
-def chunk_table(docs: DataFrame, id_col: str, text_col: str, mark=None) -> DataFrame:
-    """Documents in chunks, saved: a chunk's rows and their order are fixed.
-    ``mark`` is a boolean column of the operator (an expression of
-    ``doc_id``), such as "is a training row"."""
+def packed(docs: DataFrame, id_col: str, text_col: str, mark=None) -> DataFrame:
+    """Documents in chunks, not yet saved.  ``mark`` is a boolean column of
+    the operator (an expression of ``doc_id``), such as "is a training row"."""
     own = texts(docs, id_col, text_col).withColumn("mark", F.coalesce(F.lit(False) if mark is None else mark, F.lit(False)))
-    return saved(own.mapInArrow(_pack, CHUNK))
+    return own.mapInArrow(_pack, CHUNK)
+
+
+def chunk_table(docs: DataFrame, id_col: str, text_col: str, mark=None) -> DataFrame:
+    """:func:`packed`, saved: a chunk's rows and their order are fixed."""
+    return saved(packed(docs, id_col, text_col, mark))
+
+
+def dealt(df: DataFrame, n: int) -> DataFrame:
+    """Rows in ``n`` partitions by chunk, saved: such tables join by chunk
+    without another exchange."""
+    return saved(df.repartition(n, "chunk").sortWithinPartitions("chunk"))
 
 
 class Chunk:
@@ -89,8 +100,8 @@ def rows_of(batches):
 def by_bucket(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, first place, end) of ascending keys: buckets are ranges of the key space."""
     high = (keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)
-    found, first = np.unique(high, return_index=True)
-    return found.astype(np.int64), first, np.append(first[1:], len(keys))
+    first = np.flatnonzero(np.append(True, high[1:] != high[:-1])[: len(keys)])
+    return high[first].astype(np.int64), first, np.append(first[1:], len(keys))[: len(first)]
 
 
 def buckets_for(chunks: DataFrame, bytes_per_key: float) -> int:
@@ -98,6 +109,12 @@ def buckets_for(chunks: DataFrame, bytes_per_key: float) -> int:
     return max(1, int(total / bytes_per_key / BUCKET_KEYS) + 1)
 
 
+def partitions_for(chunks: DataFrame) -> int:
+    """Partitions of the dealt tables: the session's number, more where that makes them too large."""
+    total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    return max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PART_BYTES + 1)
+
+
 def exchange(chunks: DataFrame, send: Callable, answer: Callable) -> DataFrame:
     """``chunk, answers`` after one exchange.
 
@@ -112,14 +129,20 @@ def gathered(found: DataFrame) -> DataFrame:
     return found.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "reply")).alias("answers"))
 
 
-def replies(chunks: DataFrame, send: Callable, answer: Callable, tally: Callable | None = None) -> DataFrame:
+def gathered_dealt(found: DataFrame, n: int) -> DataFrame:
+    """:func:`gathered`, beside the chunks of a table dealt into ``n`` partitions."""
+    return saved(gathered(found.repartition(n, "chunk")).sortWithinPartitions("chunk"))
+
+
+def replies(chunks: DataFrame, send: Callable, answer: Callable, tally: Callable | None = None, kind: Callable = Chunk) -> DataFrame:
     """``chunk, bucket, reply, tally``: as :func:`exchange`; ``tally(parts)``
-    is a byte string for the bucket, carried by one of its rows."""
+    is a byte string for the bucket, carried by one of its rows; ``kind``
+    makes a chunk of a row."""
     bounded_batches(chunks.sparkSession)
 
     def sending(batches):
         for row in rows_of(batches):
-            chunk = Chunk(row)
+            chunk = kind(row)
             sent = [(bucket, parts) for bucket, parts in send(chunk)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in sent], pa.int32()), pa.array([chunk.number] * len(sent), pa.int64()), pa.array([p for _, p in sent], pa.list_(pa.binary()))],
@@ -137,11 +160,11 @@ def replies(chunks: DataFrame, send: Callable, answer: Callable, tally: Callable
 
 def with_replies(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
     """Chunks with ``replies``: a list of each exchange's answers."""
-    names = []
+    names, columns = [], chunks.columns
     for k, own in enumerate(answers):
         chunks = chunks.join(own.withColumnRenamed("answers", f"_answers{k}").hint("merge"), "chunk", "left")
         names.append(F.coalesce(F.col(f"_answers{k}"), F.array().cast("array<struct<bucket:int,reply:binary>>")))
-    return chunks.select("chunk", "n_bytes", "ids", "nulls", "marks", "sizes", "blob", F.array(*names).alias("replies"))
+    return chunks.select(*columns, F.array(*names).alias("replies"))
 
 
 def flags_of(replies: list[dict], found: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:

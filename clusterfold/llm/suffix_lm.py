@@ -14,7 +14,9 @@ all of them sum to one.  Each symbol is scored in the state of the longest
 suffix of what stands before it.
 
 The tree grows with the corpus, so nothing of it but the root's few numbers
-passes through the driver.  Its parts meet in exchanges of all chunks' keys
+passes through the driver.  Texts are read once, into chunks of word numbers
+(:class:`Tokens`), dealt by chunk with all answers beside them, so that only
+messages are shuffled.  The parts of the tree meet in exchanges of all chunks' keys
 (:mod:`chunks`): the words; then, one length after the other, the pairs, whose
 sums return to every chunk that holds them, and the contexts, whose followers
 are added up from the pairs' first senders, tested, and returned; last the
@@ -29,7 +31,7 @@ counted each; a null id counts as the largest, its row as ``train`` says.
 from __future__ import annotations
 
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -83,43 +85,61 @@ def pair(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
 _EMPTY = W.U64(0)
 
 
-def symbols(chunk: C.Chunk, words: W.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+TOKENS = "chunk long, n_bytes long, ids binary, nulls binary, marks binary, counts binary, words binary, places binary"
+
+
+class Tokens:
+    """A chunk's words as numbers: its distinct words' keys, ascending, and
+    each word's place among them, text after text."""
+
+    def __init__(self, row: dict):
+        self.number = row["chunk"]
+        self.ids, self.nulls, self.marks = (np.frombuffer(row[name], kind) for name, kind in (("ids", np.int64), ("nulls", bool), ("marks", bool)))
+        self.counts = np.frombuffer(row["counts"], np.int64)
+        self.first = np.append(0, np.cumsum(self.counts))
+        self.keys, self.place = np.cumsum(_expanded(row["words"], W.U64), dtype=W.U64), _expanded(row["places"])
+        self.replies = row.get("replies")
+
+    id_list = C.Chunk.id_list
+
+    def text_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.counts)), self.counts)
+
+    def trained(self) -> np.ndarray:
+        """Training counts of the distinct words."""
+        return np.bincount(self.place[np.repeat(self.marks, self.counts)], minlength=len(self.keys))
+
+
+def _tokenised(batches):
+    for row in C.rows_of(batches):
+        chunk = C.Chunk(row)
+        low = W.LOWER[chunk.data]
+        words = W.scan(low, chunk.offsets, W.SPACED)
+        keys, _, place = _distinct(W.word_hashes(low, words))
+        own = [row[name] for name in ("chunk", "n_bytes", "ids", "nulls", "marks")] + [words.counts.tobytes(), _squeezed(np.diff(keys, prepend=_EMPTY)), _squeezed(place)]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64() if k < 2 else pa.binary()) for k, x in enumerate(own)], names=[x.split()[0] for x in TOKENS.split(", ")])
+
+
+def symbols(chunk: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, places to predict, their texts): ``DEPTH`` starts, the words, an end."""
-    counts = words.counts
-    sizes = counts + DEPTH + 1
+    sizes = chunk.counts + DEPTH + 1
     ends = np.cumsum(sizes)
     out = np.full(int(ends[-1]) if len(ends) else 0, START, W.U64)
-    text = words.text_of()
-    out[np.arange(len(hashes)) + DEPTH + (DEPTH + 1) * text] = hashes
+    out[np.arange(len(chunk.place)) + DEPTH + (DEPTH + 1) * chunk.text_of()] = chunk.keys[chunk.place]
     out[ends - 1] = END
-    place = np.arange(len(out))
-    own = np.repeat(np.arange(len(sizes)), sizes)
-    wanted = place - np.repeat(ends - sizes, sizes) >= DEPTH
-    return out, place[wanted], own[wanted]
-
-
-def _tokens(chunk: C.Chunk) -> tuple[W.Words, np.ndarray]:
-    low = W.LOWER[chunk.data]
-    words = W.scan(low, chunk.offsets, W.SPACED)
-    return words, W.word_hashes(low, words)
+    own = np.repeat(np.arange(len(sizes)), chunk.counts + 1)
+    return out, np.arange(len(own)) + DEPTH * (own + 1), own
 
 
 def _send_words(n_buckets: int):
-    def send(chunk: C.Chunk):
-        words, hashes = _tokens(chunk)
-        keys, counts, _ = _trained(chunk, words, hashes)
-        for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_buckets))):
-            yield bucket, [keys[lo:hi].tobytes(), zstandard.compress(counts[lo:hi].astype("<u4").tobytes(), 1)]
+    def send(chunk: Tokens):
+        counts = chunk.trained()
+        for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(chunk.keys, n_buckets))):
+            yield bucket, [chunk.keys[lo:hi].tobytes(), zstandard.compress(counts[lo:hi].astype("<u4").tobytes(), 1)]
 
     return send
 
 
-def _trained(chunk: C.Chunk, words: W.Words, hashes: np.ndarray):
-    """(distinct words, their training counts, words' places)."""
-    keys, place = np.unique(hashes, return_inverse=True)
-    return keys, np.bincount(place, weights=chunk.marks[words.text_of()], minlength=len(keys)).astype(np.int64), place
-
-
 def _sums(parts):
     keys = [np.frombuffer(p[0], np.uint64) for p in parts]
     every = np.concatenate(keys)
@@ -146,13 +166,13 @@ def _train_tokens(table: DataFrame) -> tuple[int, int]:
     """(symbols, ends) of the training rows."""
 
     def run(batches):
-        for row in C.rows_of(batches):
-            chunk = C.Chunk(row)
-            words = W.scan(chunk.data, chunk.offsets, W.SPACED)
-            ends = int(chunk.marks.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([int(words.counts[chunk.marks].sum()) + ends], pa.int64()), pa.array([ends], pa.int64())], names=["n", "ends"])
+        for batch in batches:
+            for own, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                marks = np.frombuffer(marks, bool)
+                ends = int(marks.sum())
+                yield pa.RecordBatch.from_arrays([pa.array([int(np.frombuffer(own, np.int64)[marks].sum()) + ends], pa.int64()), pa.array([ends], pa.int64())], names=["n", "ends"])
 
-    row = table.mapInArrow(run, "n long, ends long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
+    row = table.select("counts", "marks").mapInArrow(run, "n long, ends long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
     return row[0], row[1]
 
 
@@ -208,37 +228,37 @@ class Positions:
     answered: 0 the words, ``d`` the pairs of length ``d`` (and the contexts
     of length ``d - 1``), ``DEPTH + 2`` the suffixes of retained contexts."""
 
-    def __init__(self, chunk: C.Chunk, root: Root, n_words: int, n_keys: int):
+    def __init__(self, chunk: Tokens, root: Root, n_words: int, n_keys: int):
         self.chunk, self.n_keys = chunk, n_keys
-        self.words, hashes = _tokens(chunk)
-        keys, _, place = _trained(chunk, self.words, hashes)
+        keys, place = chunk.keys, chunk.place
         count = np.zeros(len(keys), np.int64)
         answers = {r["bucket"]: r["reply"] for r in chunk.replies[0]}
         for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_words))):
             count[lo:hi] = np.frombuffer(zstandard.decompress(answers[bucket]), "<u8")
         self.count = count[place]
-        data, wanted, self.text = symbols(chunk, self.words, hashes)
+        data, wanted, self.text = symbols(chunk)
         each = np.full(len(wanted), root.ends, np.int64)
         each[data[wanted] != END] = self.count
         self.p = [root.probability(each)]
         self.depths: list[Depth] = []
+        size = len(wanted)
         trained = chunk.marks[self.text]
-        first = np.append(True, self.text[1:] != self.text[:-1])[: len(wanted)]
-        context, live = np.full(len(wanted), _EMPTY), np.ones(len(wanted), bool)
+        first = np.flatnonzero(np.append(True, self.text[1:] != self.text[:-1])[:size])
+        at, context = np.arange(size), np.full(size, _EMPTY)
         before, at_start = each, root.ends
-        prior, n_ids = np.zeros(len(wanted), np.int64), len(keys) + 1
+        prior, n_ids = np.full(size, len(keys)), len(keys) + 1
         prior[data[wanted] != END] = place
         done = len(chunk.replies)
         for d in range(1, min(done, DEPTH) + 1):
-            context = longer(context, data[wanted - d])
-            total = np.where(first, at_start, np.append(0, before[:-1])[: len(wanted)])
-            live = live & (total >= MIN_PAIRS)
-            at = np.flatnonzero(live)
+            total = _shifted(before, first, at_start)[at]
+            live = np.flatnonzero(total >= MIN_PAIRS)
+            at, total = at[live], total[live]
+            context = longer(context[live], data[wanted[at] - d])
             # a pair is at most as frequent as that of the suffix: others are not asked for
             asked = np.flatnonzero(before[at] >= MIN_PAIRS)
             ask = at[asked]
-            pairs, index, of = _distinct(pair(context[ask], data[wanted[ask]]))
-            depth = Depth(at, pairs, asked[index], np.bincount(of, weights=trained[ask], minlength=len(pairs)).astype(np.int64))
+            pairs, index, of = _distinct(pair(context[asked], data[wanted[ask]]))
+            depth = Depth(at, pairs, asked[index], np.bincount(of[trained[ask]], minlength=len(pairs)))
             self.depths.append(depth)
             if d >= done:
                 break
@@ -248,26 +268,30 @@ class Positions:
             depth.seen[asked] = n[of]
             depth.own = np.flatnonzero((answer & 1 == 1) & (n > 0))
             # a context is what the place before it holds: its word, or its pair
-            ids = np.where(first, n_ids - 1, np.append(0, prior[:-1])[: len(wanted)])[at]
+            ids = _shifted(prior, first, n_ids - 1)[at]
             sample = np.full(n_ids, -1)
             sample[ids] = np.arange(len(at))
             used = np.flatnonzero(sample >= 0)
             sample = sample[used]
-            order = np.argsort(context[at[sample]])
+            order = np.argsort(context[sample])
             rank = np.empty(n_ids, np.int64)
             rank[used[order]] = np.arange(len(used))
-            depth.contexts, depth.context_of, depth.total = context[at[sample[order]]], rank[ids], total[at[sample[order]]]
-            prior, n_ids = np.zeros(len(wanted), np.int64), len(pairs) + 1
-            prior[ask] = of
-            before, at_start = np.zeros(len(wanted), np.int64), 0
-            before[at] = depth.seen
+            sample = sample[order]
+            depth.contexts, depth.context_of, depth.total = context[sample], rank[ids], total[sample]
+            if d < DEPTH:
+                prior, n_ids = np.full(size, len(pairs)), len(pairs) + 1
+                prior[ask] = of
+                before, at_start = np.zeros(size, np.int64), 0
+                before[at] = depth.seen
             if d + 1 >= done:
                 continue
             depth.kinds, kept = _answered(chunk.replies[d + 1], depth.contexts, n_keys, n_keys, 2)
             depth.kept, depth.retained = kept >> 1, kept & 1 == 1
-            p, kinds = self.p[-1].copy(), depth.kinds[depth.context_of]
-            some = kinds > 0
-            p[at[some]] = ((depth.seen + kinds * p[at]) / np.maximum(depth.kept[depth.context_of] + kinds, 1))[some]
+            # a context without followers leaves all to its suffix
+            share = 1.0 / np.maximum(depth.kept + depth.kinds, 1)
+            left = np.where(depth.kinds > 0, depth.kinds * share, 1.0)
+            p = self.p[-1].copy()
+            p[at] = depth.seen * share[depth.context_of] + left[depth.context_of] * p[at]
             self.p.append(p)
         if done > DEPTH + 2:
             own = self.suffixes()
@@ -326,6 +350,14 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys[order[new]], order[new], of
 
 
+def _shifted(values: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
+    """What stands one place before, and ``start`` before each text."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[first] = start
+    return out
+
+
 def _sent(kind: bytes, keys: np.ndarray, columns: list, n_buckets: int, shift: int = 0):
     """Messages of ascending keys; contexts have buckets of their own."""
     for bucket, lo, hi in zip(*(x.tolist() for x in C.by_bucket(keys, n_buckets))):
@@ -333,12 +365,23 @@ def _sent(kind: bytes, keys: np.ndarray, columns: list, n_buckets: int, shift: i
 
 
 def _squeezed(numbers: np.ndarray) -> bytes:
-    """Eight-byte numbers, compressed byte by byte: the high ones are zeros."""
-    return zstandard.compress(numbers.reshape(-1, 1).view(np.uint8).T.tobytes(), 1)
+    """Eight-byte numbers, compressed byte by byte, without the high bytes that all lack."""
+    numbers = np.ascontiguousarray(numbers).ravel().view(W.U64)
+    n, width = len(numbers), max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    out = np.empty(1 + width * n, np.uint8)
+    out[0] = width
+    for k in range(width):
+        out[1 + k * n : 1 + (k + 1) * n] = numbers >> W.U64(8 * k)
+    return zstandard.compress(out.tobytes(), 1)
 
 
 def _expanded(data: bytes, kind=np.int64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(kind).ravel()
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    planes = raw[1:].reshape(int(raw[0]), -1)
+    out = planes[0].astype(W.U64)
+    for k in range(1, len(planes)):
+        out |= planes[k].astype(W.U64) << W.U64(8 * k)
+    return out.view(kind)
 
 
 def _answered(replies: list[dict], keys: np.ndarray, n_buckets: int, shift: int = 0, width: int = 1) -> np.ndarray:
@@ -399,6 +442,7 @@ class Tree:
     chunks: DataFrame
     n_words: int
     n_keys: int
+    n_parts: int
 
     def positions(self):
         """A function from a chunk of ``chunks`` to its positions."""
@@ -412,7 +456,7 @@ class Tree:
 
         def run(batches):
             for row in C.rows_of(batches):
-                own = of(C.Chunk(row))
+                own = of(Tokens(row))
                 for d, depth in enumerate(own.depths):
                     place = depth.first_of_pair
                     context = depth.context_of[place]
@@ -453,22 +497,22 @@ def _grow(table: DataFrame, answers: list[DataFrame], tree: Tree) -> Tree:
     for _ in range(DEPTH + 2):
         of = tree.positions()
         with _swept(table.sparkSession):
-            found = saved(C.replies(tree.chunks, lambda chunk: of(chunk).messages(), _answer).drop("tally"))
-        answers = [*answers, C.gathered(found)]
-        tree = Tree(tree.root, C.with_replies(table, *answers), tree.n_words, tree.n_keys)
+            found = C.replies(tree.chunks, lambda chunk: of(chunk).messages(), _answer, kind=Tokens).drop("tally")
+            answers = [*answers, C.gathered_dealt(found, tree.n_parts)]
+        tree = replace(tree, chunks=C.with_replies(table, *answers))
     return tree
 
 
 def _score(of, ends: int):
     def run(batches):
         for row in C.rows_of(batches):
-            own = of(C.Chunk(row))
-            chunk, words, count = own.chunk, own.words, own.count
-            logs = W.per_text(words, np.log10(count + 1.0)) + np.log10(ends + 1.0)
-            known = W.per_text(words, count > 0) + int(ends > 0)
+            own = of(Tokens(row))
+            chunk, count = own.chunk, own.count
+            logs = W.per_text(chunk, np.log10(count + 1.0)) + np.log10(ends + 1.0)
+            known = W.per_text(chunk, count > 0) + int(ends > 0)
             score = np.bincount(own.text, weights=np.log10(own.probability()), minlength=len(chunk.ids))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk.id_list(), pa.int64()), pa.array(chunk.marks), pa.array(words.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(score)],
+                [pa.array(chunk.id_list(), pa.int64()), pa.array(chunk.marks), pa.array(chunk.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(score)],
                 names=["doc_id", "trained", "n_tokens", "n_known", "logs", "score"])
 
     return run
@@ -478,16 +522,19 @@ def fit_and_score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", tex
     """``doc_id, trained, n_tokens, n_known, train_tokens, base_score`` (the
     add-one unigram model's) and ``score`` for all documents; ``train`` marks
     the rows to learn from (an expression of ``doc_id``)."""
-    table = C.chunk_table(docs, id_col, text_col, train)
+    with _swept(docs.sparkSession):
+        table = saved(C.packed(docs, id_col, text_col, train).mapInArrow(_tokenised, TOKENS))
+        n = C.partitions_for(table)
+        table = C.dealt(table, n)
     n_words, n_keys = C.buckets_for(table, KEY_BYTES), C.buckets_for(table, PAIR_BYTES)
     tokens, ends = _train_tokens(table)
     with _swept(docs.sparkSession):
-        counted = saved(C.replies(table, _send_words(n_words), _answer_words, _tally_words))
+        counted = saved(C.replies(table, _send_words(n_words), _answer_words, _tally_words, Tokens))
     tallies = [np.frombuffer(r["tally"], np.int64) for r in counted.where("tally is not null").select("tally").collect()]
     distinct, once, twice = (int(x) for x in sum(tallies, np.array([ends > 0, ends == 1, ends == 2], np.int64)))
     root = Root(tokens, distinct, once / (once + 2 * twice) if once else 0.5, ends)
-    answers = [C.gathered(counted)]
-    tree = Tree(root, C.with_replies(table, *answers), n_words, n_keys)
+    answers = [C.gathered_dealt(counted, n)]
+    tree = Tree(root, C.with_replies(table, *answers), n_words, n_keys, n)
     tree = _grow(table, answers, tree) if tokens else tree
     scored = tree.chunks.mapInArrow(_score(tree.positions(), ends), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
     return scored.select("doc_id", "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
