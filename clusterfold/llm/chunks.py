@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import bounded_batches, saved, texts
+from clusterfold.llm.frames import bounded_batches, saved, setting, texts
 
 BUCKET_KEYS = 2_000_000
 CHUNK_BYTES = 2 << 20
@@ -66,8 +66,10 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str, mark=None) -> DataF
 
 def dealt(df: DataFrame, n: int) -> DataFrame:
     """Rows in ``n`` partitions by chunk, saved: such tables join by chunk
-    without another exchange."""
-    return saved(df.repartition(n, "chunk").sortWithinPartitions("chunk"))
+    without another exchange.  Spark remembers how a checkpoint is dealt only
+    if its plan was not adaptive."""
+    with setting(df.sparkSession, "spark.sql.adaptive.enabled", "false"):
+        return saved(df.repartition(n, "chunk").sortWithinPartitions("chunk"))
 
 
 class Chunk:
@@ -131,7 +133,8 @@ def gathered(found: DataFrame) -> DataFrame:
 
 def gathered_dealt(found: DataFrame, n: int) -> DataFrame:
     """:func:`gathered`, beside the chunks of a table dealt into ``n`` partitions."""
-    return saved(gathered(found.repartition(n, "chunk")).sortWithinPartitions("chunk"))
+    with setting(found.sparkSession, "spark.sql.adaptive.enabled", "false"):
+        return saved(gathered(found.repartition(n, "chunk")).sortWithinPartitions("chunk"))
 
 
 def replies(chunks: DataFrame, send: Callable, answer: Callable, tally: Callable | None = None, kind: Callable = Chunk) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +60,20 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session for the jobs run inside; the caller's returns."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def removed(spark: SparkSession, folder: str) -> None:
     """Delete a folder of intermediate data that this package wrote."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -30,7 +30,6 @@ counted each; a null id counts as the largest, its row as ``train`` says.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 
 from clusterfold.llm import chunks as C
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import saved
+from clusterfold.llm.frames import saved, setting
 
 DEPTH = 3
 MIN_PAIRS = 2  # occurrences of a context, and of a context with its next symbol
@@ -421,17 +420,10 @@ def _answer(parts):
     return [_squeezed(np.ascontiguousarray(x, "<i8")) for x in np.split(out, np.cumsum(sizes)[:-1], axis=1)]
 
 
-@contextmanager
 def _swept(spark: SparkSession):
     """Each frame made inside drops its shuffle files once it is saved: those
     of all steps together are several times the text."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 @dataclass
