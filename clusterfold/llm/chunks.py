@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import bounded_batches, saved, setting, texts
+from clusterfold.llm.frames import bounded_batches, give_back, lean, saved, setting, texts
 
 BUCKET_KEYS = 2_000_000
 CHUNK_BYTES = 2 << 20
@@ -155,9 +155,12 @@ def replies(chunks: DataFrame, send: Callable, answer: Callable, tally: Callable
         parts = [p for block in table.column("parts").chunks for p in block.to_pylist()]
         notes: list = [None] * len(parts)
         notes[0] = tally(parts) if tally else None
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "reply": pa.array(answer(parts), pa.binary()), "tally": pa.array(notes, pa.binary())})
+        found = pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "reply": pa.array(answer(parts), pa.binary()), "tally": pa.array(notes, pa.binary())})
+        del parts
+        give_back()
+        return found
 
-    sent = chunks.mapInArrow(sending, "bucket int, chunk long, parts array<binary>")
+    sent = chunks.mapInArrow(lean(sending, False), "bucket int, chunk long, parts array<binary>")
     return sent.groupBy("bucket").applyInArrow(answering, "chunk long, bucket int, reply binary, tally binary")
 
 

@@ -25,22 +25,30 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def lean(run):
-    """A function of Arrow batches whose worker gives freed memory back to the
-    system after each batch: idle workers and later stages share a machine."""
+def give_back() -> None:
+    """Return this worker's freed memory to the system."""
+    import ctypes
 
-    def trimmed(batches):
-        import ctypes
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
-        import pyarrow as pa
 
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+def lean(run, every_batch: bool = True):
+    """A function of Arrow batches whose worker gives freed memory back after
+    each batch, or only at its task's end: idle workers and later stages share
+    a machine."""
+
+    def trimmed(batches):
         for batch in run(batches):
             yield batch
             del batch
-            pa.default_memory_pool().release_unused()
-            if trim is not None:
-                trim(0)
+            if every_batch:
+                give_back()
+        give_back()
 
     return trimmed
 

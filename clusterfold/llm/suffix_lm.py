@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from clusterfold.llm import chunks as C
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import saved, setting
+from clusterfold.llm.frames import lean, saved, setting
 
 DEPTH = 3
 MIN_PAIRS = 2  # occurrences of a context, and of a context with its next symbol
@@ -515,7 +515,7 @@ def fit_and_score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", tex
     add-one unigram model's) and ``score`` for all documents; ``train`` marks
     the rows to learn from (an expression of ``doc_id``)."""
     with _swept(docs.sparkSession):
-        table = saved(C.packed(docs, id_col, text_col, train).mapInArrow(_tokenised, TOKENS))
+        table = saved(C.packed(docs, id_col, text_col, train).mapInArrow(lean(_tokenised, False), TOKENS))
         n = C.partitions_for(table)
         table = C.dealt(table, n)
     n_words, n_keys = C.buckets_for(table, KEY_BYTES), C.buckets_for(table, PAIR_BYTES)
@@ -528,6 +528,6 @@ def fit_and_score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", tex
     answers = [C.gathered_dealt(counted, n)]
     tree = Tree(root, C.with_replies(table, *answers), n_words, n_keys, n)
     tree = _grow(table, answers, tree) if tokens else tree
-    scored = tree.chunks.mapInArrow(_score(tree.positions(), ends), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
+    scored = tree.chunks.mapInArrow(lean(_score(tree.positions(), ends)), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
     return scored.select("doc_id", "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
                          (F.col("logs") - F.col("n_tokens") * float(np.log10(tokens + distinct + 1.0))).alias("base_score"), "score")
