@@ -144,8 +144,9 @@ def _sums(parts):
     every = np.concatenate(keys)
     counts = np.concatenate([np.frombuffer(zstandard.decompress(p[1]), "<u4") for p in parts]).astype(np.int64)
     order = np.argsort(every, kind="stable")
-    first = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1]))
-    return keys, every[order][first], order, first, np.add.reduceat(counts[order], first)
+    ascending = every[order]
+    first = np.flatnonzero(np.append(True, ascending[1:] != ascending[:-1]))
+    return keys, ascending[first], order, first, np.add.reduceat(counts[order], first)
 
 
 def _answer_words(parts):
@@ -237,7 +238,9 @@ class Positions:
         self.count = count[place]
         data, wanted, self.text = symbols(chunk)
         each = np.full(len(wanted), root.ends, np.int64)
-        each[data[wanted] != END] = self.count
+        here = data[wanted]
+        a_word = here != END
+        each[a_word] = self.count
         self.p = [root.probability(each)]
         self.depths: list[Depth] = []
         size = len(wanted)
@@ -246,7 +249,7 @@ class Positions:
         at, context = np.arange(size), np.full(size, _EMPTY)
         before, at_start = each, root.ends
         prior, n_ids = np.full(size, len(keys)), len(keys) + 1
-        prior[data[wanted] != END] = place
+        prior[a_word] = place
         done = len(chunk.replies)
         for d in range(1, min(done, DEPTH) + 1):
             total = _shifted(before, first, at_start)[at]
@@ -256,7 +259,7 @@ class Positions:
             # a pair is at most as frequent as that of the suffix: others are not asked for
             asked = np.flatnonzero(before[at] >= MIN_PAIRS)
             ask = at[asked]
-            pairs, index, of = _distinct(pair(context[asked], data[wanted[ask]]))
+            pairs, index, of = _distinct(pair(context[asked], here[ask]))
             depth = Depth(at, pairs, asked[index], np.bincount(of[trained[ask]], minlength=len(pairs)))
             self.depths.append(depth)
             if d >= done:
@@ -343,10 +346,11 @@ class Positions:
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ascending distinct keys, a place of each, each place's key)."""
     order = np.argsort(keys)
-    new = np.append(True, keys[order][1:] != keys[order][:-1])[: len(keys)]
+    ascending = keys[order]
+    new = np.append(True, ascending[1:] != ascending[:-1])[: len(keys)]
     of = np.empty(len(keys), np.int64)
     of[order] = np.cumsum(new) - 1
-    return keys[order[new]], order[new], of
+    return ascending[new], order[new], of
 
 
 def _shifted(values: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
@@ -399,7 +403,8 @@ def _answer(parts):
     every, sizes = np.concatenate(keys), [len(k) for k in keys]
     rows = np.concatenate([_expanded(p[2]).reshape(-1, size) for p, size in zip(parts, sizes)], axis=1)
     order = np.argsort(every, kind="stable")
-    first = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1]))
+    ascending = every[order]
+    first = np.flatnonzero(np.append(True, ascending[1:] != ascending[:-1]))
     rows, group = rows[:, order], np.repeat(np.arange(len(first)), np.diff(np.append(first, len(every))))
     if kind == PAIRS:  # the sum, and a mark for the first chunk that trains on it
         found = (np.add.reduceat(rows[0], first) << 1)[group][None]
@@ -528,6 +533,6 @@ def fit_and_score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", tex
     answers = [C.gathered_dealt(counted, n)]
     tree = Tree(root, C.with_replies(table, *answers), n_words, n_keys, n)
     tree = _grow(table, answers, tree) if tokens else tree
-    scored = tree.chunks.mapInArrow(lean(_score(tree.positions(), ends)), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
+    scored = tree.chunks.mapInArrow(lean(_score(tree.positions(), ends), False), "doc_id long, trained boolean, n_tokens long, n_known long, logs double, score double")
     return scored.select("doc_id", "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
                          (F.col("logs") - F.col("n_tokens") * float(np.log10(tokens + distinct + 1.0))).alias("base_score"), "score")
