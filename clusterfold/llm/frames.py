@@ -12,6 +12,7 @@ from clusterfold.session import checkpoint_dir
 
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
+KEPT_BYTES, MAPPED_BYTES = 128 << 20, 32 << 20  # freed memory that a worker keeps, and larger arrays that it does not
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -37,6 +38,17 @@ def give_back() -> None:
         trim(0)
 
 
+def keep_memory() -> None:
+    """Let this worker reuse freed memory until :func:`give_back`: by default
+    it returns arrays of megabytes at once, and every new one is paged in anew."""
+    import ctypes
+
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)  # glibc only
+    if mallopt is not None:
+        mallopt(-1, KEPT_BYTES)  # M_TRIM_THRESHOLD
+        mallopt(-3, MAPPED_BYTES)  # M_MMAP_THRESHOLD
+
+
 def lean(run, every_batch: bool = True):
     """A function of Arrow batches whose worker gives freed memory back after
     each batch, or only at its task's end: idle workers and later stages share

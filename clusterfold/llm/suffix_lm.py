@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from clusterfold.llm import chunks as C
 from clusterfold.llm import words as W
-from clusterfold.llm.frames import lean, saved, setting
+from clusterfold.llm.frames import keep_memory, lean, saved, setting
 
 DEPTH = 3
 MIN_PAIRS = 2  # occurrences of a context, and of a context with its next symbol
@@ -104,6 +104,12 @@ class Tokens:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
+    def a_word(self) -> np.ndarray:
+        """Which of the places to predict are words; a text's last is its end."""
+        out = np.ones(len(self.place) + len(self.counts), bool)
+        out[self.first[1:] + np.arange(len(self.counts))] = False
+        return out
+
     def trained(self) -> np.ndarray:
         """Training counts of the distinct words."""
         return np.bincount(self.place[np.repeat(self.marks, self.counts)], minlength=len(self.keys))
@@ -121,13 +127,14 @@ def _tokenised(batches):
 
 def symbols(chunk: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, places to predict, their texts): ``DEPTH`` starts, the words, an end."""
-    sizes = chunk.counts + DEPTH + 1
-    ends = np.cumsum(sizes)
-    out = np.full(int(ends[-1]) if len(ends) else 0, START, W.U64)
-    out[np.arange(len(chunk.place)) + DEPTH + (DEPTH + 1) * chunk.text_of()] = chunk.keys[chunk.place]
-    out[ends - 1] = END
-    own = np.repeat(np.arange(len(sizes)), chunk.counts + 1)
-    return out, np.arange(len(own)) + DEPTH * (own + 1), own
+    own = np.repeat(np.arange(len(chunk.counts)), chunk.counts + 1)
+    wanted = np.arange(len(own))
+    wanted += DEPTH * (own + 1)
+    out = np.full(len(own) + DEPTH * len(chunk.counts), START, W.U64)
+    here = np.full(len(own), END)
+    here[chunk.a_word()] = chunk.keys[chunk.place]
+    out[wanted] = here
+    return out, wanted, own
 
 
 def _send_words(n_buckets: int):
@@ -210,9 +217,9 @@ class Depth:
     """A chunk's places whose context of one length counts."""
 
     at: np.ndarray  # the places
-    pairs: np.ndarray  # those that may be frequent: distinct, ascending
-    first_of_pair: np.ndarray  # one of its places, as a number in ``at``
-    trained: np.ndarray  # of a distinct pair in this chunk
+    pairs: np.ndarray | None = None  # those that may be frequent: distinct, ascending
+    first_of_pair: np.ndarray | None = None  # one of its places, as a number in ``at``
+    trained: np.ndarray | None = None  # of a distinct pair in this chunk
     seen: np.ndarray | None = None  # a place's pair in training; 0 below MIN_PAIRS
     own: np.ndarray | None = None  # distinct pairs that this chunk adds to their context
     contexts: np.ndarray | None = None  # distinct, ascending
@@ -226,7 +233,8 @@ class Depth:
 class Positions:
     """A chunk's places to predict, with all that the exchanges so far
     answered: 0 the words, ``d`` the pairs of length ``d`` (and the contexts
-    of length ``d - 1``), ``DEPTH + 2`` the suffixes of retained contexts."""
+    of length ``d - 1``), ``DEPTH + 2`` the suffixes of retained contexts.
+    What the next messages do not need is not derived again."""
 
     def __init__(self, chunk: Tokens, root: Root, n_words: int, n_keys: int):
         self.chunk, self.n_keys = chunk, n_keys
@@ -239,13 +247,12 @@ class Positions:
         data, wanted, self.text = symbols(chunk)
         each = np.full(len(wanted), root.ends, np.int64)
         here = data[wanted]
-        a_word = here != END
+        a_word = chunk.a_word()
         each[a_word] = self.count
         self.p = [root.probability(each)]
         self.depths: list[Depth] = []
         size = len(wanted)
-        trained = chunk.marks[self.text]
-        first = np.flatnonzero(np.append(True, self.text[1:] != self.text[:-1])[:size])
+        first = chunk.first[:-1] + np.arange(len(chunk.counts))
         at, context = np.arange(size), np.full(size, _EMPTY)
         before, at_start = each, root.ends
         prior, n_ids = np.full(size, len(keys)), len(keys) + 1
@@ -256,30 +263,34 @@ class Positions:
             live = np.flatnonzero(total >= MIN_PAIRS)
             at, total = at[live], total[live]
             context = longer(context[live], data[wanted[at] - d])
-            # a pair is at most as frequent as that of the suffix: others are not asked for
-            asked = np.flatnonzero(before[at] >= MIN_PAIRS)
-            ask = at[asked]
-            pairs, index, of = _distinct(pair(context[asked], here[ask]))
-            depth = Depth(at, pairs, asked[index], np.bincount(of[trained[ask]], minlength=len(pairs)))
+            depth = Depth(at)
             self.depths.append(depth)
-            if d >= done:
-                break
-            answer = _answered(chunk.replies[d], pairs, n_keys)[0]
-            n = np.where(answer >> 1 >= MIN_PAIRS, answer >> 1, 0)
-            depth.seen = np.zeros(len(at), np.int64)
-            depth.seen[asked] = n[of]
-            depth.own = np.flatnonzero((answer & 1 == 1) & (n > 0))
+            if d < DEPTH or done != DEPTH + 2:  # the suffixes need no pairs of the longest contexts
+                # a pair is at most as frequent as that of the suffix: others are not asked for
+                asked = np.flatnonzero(before[at] >= MIN_PAIRS)
+                ask = at[asked]
+                pairs, index, of = _distinct(pair(context[asked], here[ask]))
+                depth.pairs = pairs
+                if d >= done:
+                    depth.trained = np.bincount(of[chunk.marks[self.text[ask]]], minlength=len(pairs))
+                    break
+                answer = _answered(chunk.replies[d], pairs, n_keys)[0]
+                n = answer >> 1
+                n[n < MIN_PAIRS] = 0
+                depth.seen = np.zeros(len(at), np.int64)
+                depth.seen[asked] = n[of]
+                if d + 1 == done or done > DEPTH + 2:
+                    depth.first_of_pair, depth.own = asked[index], np.flatnonzero((answer & 1 == 1) & (n > 0))
             # a context is what the place before it holds: its word, or its pair
             ids = _shifted(prior, first, n_ids - 1)[at]
             sample = np.full(n_ids, -1)
             sample[ids] = np.arange(len(at))
             used = np.flatnonzero(sample >= 0)
             sample = sample[used]
-            order = np.argsort(context[sample])
+            order, depth.contexts = _ordered(context[sample])
             rank = np.empty(n_ids, np.int64)
             rank[used[order]] = np.arange(len(used))
-            sample = sample[order]
-            depth.contexts, depth.context_of, depth.total = context[sample], rank[ids], total[sample]
+            depth.context_of, depth.total = rank[ids], total[sample[order]]
             if d < DEPTH:
                 prior, n_ids = np.full(size, len(pairs)), len(pairs) + 1
                 prior[ask] = of
@@ -289,6 +300,8 @@ class Positions:
                 continue
             depth.kinds, kept = _answered(chunk.replies[d + 1], depth.contexts, n_keys, n_keys, 2)
             depth.kept, depth.retained = kept >> 1, kept & 1 == 1
+            if done == DEPTH + 2:
+                continue
             # a context without followers leaves all to its suffix
             share = 1.0 / np.maximum(depth.kept + depth.kinds, 1)
             left = np.where(depth.kinds > 0, depth.kinds * share, 1.0)
@@ -345,14 +358,33 @@ class Positions:
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ascending distinct keys, a place of each, each place's key)."""
-    order = np.argsort(keys)
-    ascending = keys[order]
+    order, ascending = _ordered(keys)
     new = np.append(True, ascending[1:] != ascending[:-1])[: len(keys)]
+    place = np.cumsum(new)
+    place -= 1
     of = np.empty(len(keys), np.int64)
-    of[order] = np.cumsum(new) - 1
+    of[order] = place
+    new = np.flatnonzero(new)
     return ascending[new], order[new], of
 
 
+def _ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, ascending keys).  Numbers of the keys' high bits and their
+    places are sorted as such, faster than places by key; the few chunks with
+    keys that only differ below are sorted plainly."""
+    low = W.U64((1 << len(keys).bit_length()) - 1)
+    both = keys & ~low
+    both |= np.arange(len(keys), dtype=W.U64)
+    both.sort()
+    both &= low
+    order = both.view(np.int64)
+    ascending = keys[order]
+    if (ascending[1:] < ascending[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        ascending = keys[order]
+    return order, ascending
+
+
 def _shifted(values: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
     """What stands one place before, and ``start`` before each text."""
     out = np.empty_like(values)
@@ -444,7 +476,12 @@ class Tree:
     def positions(self):
         """A function from a chunk of ``chunks`` to its positions."""
         root, n_words, n_keys = self.root, self.n_words, self.n_keys
-        return lambda chunk: Positions(chunk, root, n_words, n_keys)
+
+        def of(chunk: Tokens) -> Positions:
+            keep_memory()  # until the task ends
+            return Positions(chunk, root, n_words, n_keys)
+
+        return of
 
     @cached_property
     def levels(self) -> list[Level]:

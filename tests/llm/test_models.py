@@ -163,6 +163,31 @@ def test_language_model_without_training(spark, no_docs, edge_docs):
     assert all(r["score"] == 0 and r["base_score"] == 0 and r["train_tokens"] == 0 for r in found)
 
 
+def test_keys_that_differ_in_low_bits_only_are_ordered():
+    keys = np.array([7, 3, 1 << 63, 3, 2, (1 << 63) + 1, 0], W.U64)
+    order, ascending = suffix_lm._ordered(keys)
+    assert ascending.tolist() == sorted(keys.tolist()) and keys[order].tolist() == ascending.tolist()
+    distinct, place, of = suffix_lm._distinct(keys)
+    assert distinct.tolist() == sorted(set(keys.tolist())) and (distinct[of] == keys).all() and (keys[place] == distinct).all()
+    assert [len(x) for x in suffix_lm._distinct(keys[:0])] == [0, 0, 0]
+
+
+def test_a_pass_derives_only_what_its_messages_need(spark):
+    """The pass that sends suffixes sorts no pairs of the longest contexts."""
+    def row(replies):
+        none = np.zeros(0, np.int64).tobytes()
+        return {"chunk": 0, "ids": none, "nulls": none, "marks": none, "counts": none, "replies": replies,
+                "words": suffix_lm._squeezed(np.zeros(0, np.int64)), "places": suffix_lm._squeezed(np.zeros(0, np.int64))}
+
+    root = suffix_lm.Root(0, 0, 0.5, 0)
+    for done in range(1, suffix_lm.DEPTH + 4):
+        own = suffix_lm.Positions(suffix_lm.Tokens(row([[] for _ in range(done)])), root, 1, 1)
+        last = own.depths[-1]
+        assert (last.pairs is None) == (done == suffix_lm.DEPTH + 2)
+        assert (last.trained is not None) == (done <= suffix_lm.DEPTH)
+
+
+
 def brute_marginals(emit, moves):
     """Sum over all labellings."""
     n = len(emit)
