@@ -25,7 +25,7 @@ def _round(k: int) -> str:
 
 
 OP3 = """
-WITH raw AS (
+WITH RECURSIVE raw AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents WHERE text IS NOT NULL
 ), masked AS (
@@ -38,11 +38,30 @@ WITH raw AS (
 ), open AS (
   SELECT leaf FROM named GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT line) > 1
 ), rest0 AS (
-  SELECT DISTINCT leaf, line, tokens FROM named SEMI JOIN open USING (leaf)""" + "".join(_round(k) for k in range(3)) + """
+  SELECT DISTINCT leaf, line, tokens FROM named SEMI JOIN open USING (leaf)""" + "".join(_round(k) for k in range(2)) + """
+), judged2(k, leaf, line, tokens, agrees, part) AS (  -- from the third round on, lines that do not agree part and vote again
+  SELECT 1, leaf, line, tokens, false, leaf FROM rest2
+  UNION ALL (
+    WITH rest AS (
+      SELECT k + 1 AS k, part AS leaf, line, tokens FROM judged2 WHERE NOT agrees
+    ), votes AS (
+      SELECT leaf, spot, token, count(*) AS n FROM (
+        SELECT leaf, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM rest
+      ) GROUP BY leaf, spot, token
+    ), mode AS (
+      SELECT leaf, spot, min(struct_pack(a := -n, token := token)).token AS token, count(*) AS kinds FROM votes GROUP BY leaf, spot
+    ), shape AS (
+      SELECT leaf, list(token ORDER BY spot) AS shape, (min(struct_pack(kinds := kinds, spot := spot)) FILTER (WHERE kinds > 1)).spot AS spot
+      FROM mode GROUP BY leaf
+    )
+    SELECT k, leaf, line, tokens, len(list_filter(list_zip(tokens, shape), lambda x: x[1] = x[2])) >= 0.7 * len(tokens),
+           concat_ws(' ', leaf, spot, tokens[spot])
+    FROM rest JOIN shape USING (leaf)
+  )
 ), general AS (
   SELECT line, 'leaf 0 ' || leaf AS template FROM judged0 WHERE agrees
   UNION ALL SELECT line, 'leaf 1 ' || leaf FROM judged1 WHERE agrees
-  UNION ALL SELECT line, 'leaf 2 ' || leaf FROM judged2 WHERE agrees
+  UNION ALL SELECT line, 'leaf ' || k || ' ' || leaf FROM judged2 WHERE agrees
 ), templates AS (
   SELECT doc_id, pos, coalesce(g.template, 'line ' || line) AS template FROM named LEFT JOIN general g USING (line)
 ), recurring AS (

@@ -1,9 +1,12 @@
 """Operators with exact results, against brute force."""
 
 import base64
+import hashlib
+import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -12,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from clusterfold.llm import bpe, decontam, licenses, line_templates, quality_rules, simhash, substrings
+from clusterfold.llm.oracles import ORACLES
 
 from .conftest import LOWER
 
@@ -463,6 +467,31 @@ def test_line_templates_judge_lines_by_their_own_template(spark):
     assert both == want
 
 
+def test_line_templates_of_a_leaf_with_many_families(spark):
+    """More families in one leaf than rounds of votes, of equal and of different sizes."""
+    families = [["please", "read", "the", *(f"{'abcdefgh'[f]}{'qrstuvwxyz'[k]}" for k in range(10))] for f in range(8)]
+    rows = [(i, text.split("\n")[0]) for f, words in enumerate(families) for i, text in notices(6 if f < 5 else 4 + f, words, 100 * f)]
+    rows += [(2000 + k, "please read the " + " ".join(f"{c}{'xyz'[k]}" for c in "abcdefghij")) for k in range(3)]  # unrelated lines
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["row"]["doc_id"]: r["n_dropped"] for r in line_templates.drop_recurring(table).collect()}
+    assert found == {i: int(i < 2000 and i % 100 > 0) for i, _ in rows}
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+        assert {i: dropped for i, _, dropped, _ in con.execute(ORACLES["op3_line_templates"]).fetchall()} == found
+
+
+def test_line_templates_of_mixed_leaves_equal_the_sql(spark):
+    rng = random.Random(5)
+    rows = [(i, "\n".join("go on to " + " ".join(rng.choice("ab" if k % 3 else "cdefgh") for k in range(rng.choice((7, 12)))) for _ in range(4))) for i in range(150)]
+    own = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {(r["row"]["doc_id"], r["n_lines"], r["n_dropped"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in line_templates.drop_recurring(own).collect()}
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+        assert set(con.execute(ORACLES["op3_line_templates"]).fetchall()) == found
+
+
 def test_line_templates_of_a_long_text(spark):
     words = "please read the new terms of use before you go on to the page".split()
     long = "\n".join(f"line {'abcdefghij'[k % 10]} of {'xyz'[k % 3] * (1 + k % 50)} stands here for some reason" for k in range(420_000))
