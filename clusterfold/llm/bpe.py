@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ MAX_VOCABULARY_BYTES = 64 << 20
 LONG_PIECE = 128
 MATRIX_CELLS = 1 << 17
 CACHE_PIECES = 50_000
+DECODED_ROWS = 500  # that leave a worker at once
 _NONE = np.int64(1 << 40)
 
 
@@ -70,17 +72,23 @@ class Vocabulary(Tokens):
         super().__init__(ranks)
         number = {t: i for i, t in enumerate(sorted(ranks, key=ranks.get))}
         self.byte_token = np.array([number[bytes([b])] for b in range(256)], np.int64)
-        self.pairs = {}
+        pairs = {}
         for token, i in number.items():
             for cut in range(1, len(token)):
                 a, b = number.get(token[:cut]), number.get(token[cut:])
                 if a is not None and b is not None:
-                    self.pairs[a << 20 | b] = i
-        self._fill_table()
-
-    def _fill_table(self):
-        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
-        values = np.fromiter(self.pairs.values(), np.int64, len(self.pairs))
+                    pairs[a << 20 | b] = i
+        self._fill_table(pairs)
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The table as a dict, made where a long piece asks for it."""
+        full = np.flatnonzero(self.keys >= 0)
+        return dict(zip(self.keys[full].tolist(), self.values[full].tolist()))
+
+    def _fill_table(self, pairs: dict[int, int]):
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        values = np.fromiter(pairs.values(), np.int64, len(pairs))
         self.bits = max(10, int(2 * len(keys)).bit_length() + 1)
         size = 1 << self.bits
         self.keys = np.full(size, -1, np.int64)
@@ -206,8 +214,8 @@ def _encoder(vocabulary, pattern: str):
     def run(batches):
         v, find, cache = vocabulary.value, regex.compile(pattern).findall, {}
         for batch in batches:
-            ids, counts = [], []
             for lo, hi, data, offsets in W.blocks(batch.column(1)):
+                ids, counts = [], []
                 raw = data.tobytes()
                 pieces = [find(raw[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 if len(cache) > CACHE_PIECES:
@@ -219,7 +227,7 @@ def _encoder(vocabulary, pattern: str):
                     packed = b"".join([cache[p] for p in own])
                     ids.append(packed)
                     counts.append(len(packed) // 4)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 
     return run
 
@@ -229,14 +237,15 @@ def _decoder(vocabulary):
         v = vocabulary.value
         number = np.full(int(v.rank.max()) + 1, -1, np.int64)
         number[v.rank] = np.arange(len(v.rank))
-        for batch in batches:
-            out = []
-            for packed in batch.column(batch.schema.get_field_index("ids")).to_pylist():
-                tokens = number[np.frombuffer(packed or b"", "<u4").astype(np.int64)]
-                if (tokens < 0).any():
-                    raise ValueError("an id that the vocabulary lacks")
-                out.append(v.decode_tokens(tokens).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, DECODED_ROWS):
+                batch, out = whole.slice(lo, DECODED_ROWS), []
+                for packed in batch.column(batch.schema.get_field_index("ids")).to_pylist():
+                    tokens = number[np.frombuffer(packed or b"", "<u4").astype(np.int64)]
+                    if (tokens < 0).any():
+                        raise ValueError("an id that the vocabulary lacks")
+                    out.append(v.decode_tokens(tokens).tobytes())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     return run
 

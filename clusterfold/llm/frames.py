@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,10 +103,11 @@ def removed(spark: SparkSession, folder: str) -> None:
 
 class Shared:
     """A broadcast object of bounded size.  Its classes travel with it, so
-    that executors need not have this package on their path."""
+    that executors need not have this package on their path.  A worker keeps
+    what was sent as long as it lives: compressed, beside the object."""
 
     def __init__(self, spark: SparkSession, thing):
-        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+        self._sent = spark.sparkContext.broadcast(zstandard.compress(cloudpickle.dumps(thing), 3))
         self._thing = None
 
     def __getstate__(self):
@@ -114,5 +116,5 @@ class Shared:
     @property
     def value(self):
         if self._thing is None:
-            self._thing = cloudpickle.loads(self._sent.value)
+            self._thing = cloudpickle.loads(zstandard.decompress(self._sent.value))
         return self._thing

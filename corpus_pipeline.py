@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterfold.llm import bpe, decontam, line_crf, line_templates, simhash
+from clusterfold.llm.frames import saved
 from clusterfold.llm.queries import RANKS, fold
 from clusterfold.session import checkpoint_dir
 from clusterfold.sources.tables import table
@@ -49,9 +50,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` (little-endian uint32) and digests of the ids
-    and of the decoded bytes."""
+    and of the decoded bytes.  The ids are saved in between: encoders and
+    decoders, each a Python worker for a core, take turns in an executor."""
     path = public_tokenizers.path(RANKS)
-    done = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    done = bpe.decode(saved(bpe.encode(docs, path, public_tokenizers.PATTERN)), path)
     return done.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -9,12 +9,17 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from clusterfold.llm import bpe, decontam, licenses, line_templates, quality_rules, simhash, substrings
+from clusterfold.llm import words as W
+from clusterfold.llm.frames import Shared
 from clusterfold.llm.oracles import ORACLES
 
 from .conftest import LOWER
@@ -515,3 +520,32 @@ def test_empty_tables(spark, no_docs):
 def test_empty_benchmark_hits_nothing(spark, sf_docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontam.scan(sf_docs, bench).where(F.size("spans") > 0).count() == 0
+
+
+def test_bpe_workers_hold_little(spark, edge_docs, encoding):
+    """Encoders and decoders never share a stage of the pipeline, the sent
+    vocabulary is small, and results leave a worker in small batches."""
+    stages = dict(corpus_pipeline.STAGES)
+    plan = stages["byte-level BPE"](spark, edge_docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    vocabulary = bpe.Vocabulary(bpe.read_ranks(RANKS))
+    assert "pairs" not in vars(vocabulary)
+    shared = Shared(spark, vocabulary)
+    assert len(shared._sent.value) < len(cloudpickle.dumps(vocabulary)) / 3
+    assert shared.value.decode_tokens(np.arange(300)).tobytes() == vocabulary.decode_tokens(np.arange(300)).tobytes()
+    texts = ["many words of a text " * 3000] * 50
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = list(bpe._encoder(shared, public_tokenizers.PATTERN)(iter([batch])))
+    assert len(out) > 1 and [i for b in out for i in b.column(0).to_pylist()] == list(range(50))
+    assert {x for b in out for x in b.column(2).to_pylist()} == {np.array(encoding.encode_ordinary(texts[0]), "<u4").tobytes()}
+
+
+def test_word_hashes_do_not_depend_on_place(monkeypatch):
+    text = b"one two  three " + b"x" * 300 + b" one\ntwo " + b"word " * 100
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    words = W.scan(data, offsets, W.SPACED)
+    whole = W.word_hashes(data, words)
+    monkeypatch.setattr(W, "HASHED_BYTES", 7)
+    assert W.word_hashes(data, words).tolist() == whole.tolist()
+    assert whole[0] == whole[4] and whole[1] == whole[5] and len(set(whole.tolist())) == 5
+    assert len(W.word_hashes(data[:0], W.scan(data[:0], offsets[:1], W.SPACED))) == 0
